@@ -429,4 +429,7 @@ def with_views(names: tuple[str, ...], body: str, *extra: tuple[str, str]) -> st
         visit(name)
     parts = [f"{name} as ({VIEWS[name][0]})" for name in ordered]
     parts += [f"{name} as ({sql})" for name, sql in extra]
+    body = body.strip()
+    if body.startswith(","):
+        return f"with {', '.join(parts)} {body}"
     return f"with {', '.join(parts)} {body}" if parts else body
