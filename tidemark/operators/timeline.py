@@ -214,3 +214,80 @@ def overlap_chunks(df: DataFrame, number: str, size: int, back: int) -> DataFram
     ahead = F.floor((F.col(number) - 1 + back) / size)
     spread = F.when(ahead > home, F.array(home, ahead)).otherwise(F.array(home))
     return df.withColumn("chunk", F.explode(spread)).withColumn("own", F.col("chunk") == home)
+
+
+def known_prefix(left: DataFrame, right: DataFrame, on: Sequence[str], axis: Column, clock: Column,
+                 right_axis: Column, right_clock: Column, values: Mapping[str, Running], *,
+                 within: Sequence[str] = (), cell: str = "day", segment: str = "year",
+                 tail: Column | None = None) -> DataFrame:
+    """Running values over right rows that are both before an axis limit and already published.
+
+    A right row counts when ``right_axis < axis`` and ``right_clock <= clock``: two orders at once,
+    which one scan cannot follow. Per key, the rows are settled up to the largest axis point whose
+    own and earlier clocks have all passed; that prefix is read with as-of lookups. The few rows
+    between the settled point and the limit are found by an equi join on axis cells and filtered
+    exactly, so late or out-of-order clocks cost time but never change the answer.
+
+    ``within`` are further equality keys of the values (say, the month) that do not take part in
+    settling. ``tail`` also collects that expression over the unsettled rows as column ``tail``.
+    The values must be sum, max or min, or ``last`` together with ``tail``.
+    """
+    keys, inner = list(on), list(within)
+    units = {"day": 86_400_000_000, "hour": 3_600_000_000}[cell]
+    facts = right.select(
+        *keys, *inner, right_axis.alias("__a"), right_clock.alias("__c"),
+        *[spec.value.alias(f"__v_{name}") for name, spec in values.items()],
+        *([tail.alias("__tail")] if tail is not None else []),
+    ).where(F.col("__a").isNotNull() & F.col("__c").isNotNull())
+    asks = left.select(*keys, *inner, axis.alias("__axis"), clock.alias("__clock")).distinct()
+    chain = running_scan(
+        facts.groupBy(*keys, "__a").agg(F.max("__c").alias("__late")), keys, ["__a"],
+        {"__settled": Running("max", F.col("__late"))}, F.date_trunc(segment, F.col("__a")),
+    )
+    cut = asof_scan(asks, chain, keys, F.col("__clock"), F.col("__settled"),
+                    {"__p": Running("max", F.col("__a"))}, segment=segment)
+    # Only points strictly before the limit count, and none when nothing has settled.
+    step = F.timestamp_micros(F.unix_micros(F.col("__axis").cast("timestamp")) - 1)
+    point = F.when(F.col("__p").isNotNull(), F.least(F.col("__p").cast("timestamp"), step))
+    cut = cut.withColumn("__point", point)
+    prefix = asof_scan(
+        cut, facts, [*keys, *inner], F.col("__point"), F.col("__a").cast("timestamp"),
+        {name: Running(spec.kind, F.col(f"__v_{name}"), spec.tie) for name, spec in values.items()},
+        segment=segment,
+    )
+
+    def cells(instant: Column) -> Column:
+        return F.floor(F.unix_micros(instant.cast("timestamp")) / units)
+
+    first = facts.groupBy(*keys).agg(F.min("__a").alias("__first"))
+    opened = prefix.join(first, keys, "left")
+    start = F.coalesce(F.col("__p"), F.col("__first"))
+    low, high = cells(start), cells(step)
+    opened = opened.select(*keys, *inner, "__axis", "__clock", "__p", F.explode(
+        F.when(low <= high, F.sequence(low, high))).alias("__cell"))
+    celled = facts.withColumn("__cell", cells(F.col("__a")))
+    hits = opened.join(celled, [*keys, *inner, "__cell"]).where(
+        (F.col("__c") <= F.col("__clock")) & (F.col("__a") < F.col("__axis"))
+        & (F.col("__p").isNull() | (F.col("__a") > F.col("__p"))))
+    unit = [*keys, *inner, "__axis", "__clock"]
+    folded = hits.groupBy(*unit).agg(
+        *[_windowed(spec.kind, F.col(f"__v_{name}")).alias(f"__t_{name}")
+          for name, spec in values.items() if spec.kind != "last"],
+        *([F.array_sort(F.collect_list("__tail")).alias("tail")] if tail is not None else []),
+        F.count(F.lit(1)).alias("__n"),
+    )
+    merged = prefix.join(folded, unit, "left").select(
+        *unit,
+        *[(F.col(name) if spec.kind == "last" else _combined(spec.kind, F.col(name), F.col(f"__t_{name}"))).alias(name)
+          for name, spec in values.items()],
+        *(["tail"] if tail is not None else []),
+    )
+    renamed = merged
+    for key in [*keys, *inner]:
+        renamed = renamed.withColumnRenamed(key, f"__on_{key}")
+    asked = left.withColumn("__ask_axis", axis).withColumn("__ask_clock", clock)
+    match = (F.col("__ask_axis") == F.col("__axis")) & (F.col("__ask_clock") == F.col("__clock"))
+    for key in [*keys, *inner]:
+        match = match & (F.col(key) == F.col(f"__on_{key}"))
+    return asked.join(renamed, match, "left").select(
+        *left.columns, *values, *(["tail"] if tail is not None else []))

@@ -382,9 +382,9 @@ def returns(spark: SparkSession, sf: str) -> DataFrame:
         F.avg((F.col("l_discount") - F.lit(0.05)) / 10))
     days = daily.where(F.col("A").isNotNull() & F.col("N").isNotNull() & F.col("R").isNotNull())
     numbered = (
-        timeline.row_numbers(days.withColumn("part", F.lit(1)), ["part"], ["day"], F.trunc("day", "year"), "n"))
+        timeline.row_numbers(days.withColumn("part", F.lit(1)), ["part"], ["day"], F.trunc("day", "year"), "position"))
     return numbered.select(
-        (F.col("n") - 1).alias("t"), F.explode(F.create_map(
+        (F.col("position") - 1).alias("t"), F.explode(F.create_map(
             F.lit("A"), F.col("A"), F.lit("N"), F.col("N"), F.lit("R"), F.col("R"),
         )).alias("strategy", "value"),
     )
