@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import clocks, numeric
+from ..session import cut_lineage
 from . import models
 from .filters import REASON, first_reason, inside_bucket, split
 from .joins import label_after
@@ -120,7 +121,8 @@ def binary_metrics(df: DataFrame, fold: str = "oos_fold") -> DataFrame:
     marked = df.withColumns({
         "__ok": ok, "__p": F.when(ok, p), "__y": F.when(ok, y), "__gain": gain,
         "__bin": F.least(F.floor(p * 10), F.lit(9)).cast("int")})
-    loss = -F.log(F.greatest(F.when(F.col("__y") == 1.0, F.col("__p")).otherwise(1.0 - F.col("__p")), F.lit(1e-15)))
+    hit = F.when(F.col("__y") == 1.0, F.col("__p")).otherwise(1.0 - F.col("__p"))
+    loss = F.when(F.col("__ok"), -F.log(F.greatest(hit, F.lit(1e-15))))
     # One pass per (fold, bin) and the total over folds; both levels then fold over bins.
     cells = marked.groupingSets([[F.col(fold), F.col("__bin")], [F.col("__bin")]], fold, "__bin").agg(
         F.grouping(fold).alias("overall"), F.count(F.lit(1)).alias("__all"), F.count_if("__ok").alias("__n"), F.sum("__p").alias("__sp"),
@@ -227,22 +229,24 @@ def walk_forward_postprocessor(forecasts: DataFrame, labels: DataFrame, method:
                                test_days: int = 30, embargo_days: int = 0) -> DataFrame:
     """Fit on each fold's train side as of its first test decision, correct the test side, score it."""
     fit, apply = models.POSTPROCESSORS[method]
-    folds = walk_forward_folds(forecasts, train_days=train_days, test_days=test_days, embargo_days=embargo_days)
+    folds = cut_lineage(walk_forward_folds(
+        forecasts, train_days=train_days, test_days=test_days, embargo_days=embargo_days))
     train, test = _fold_parts(forecasts, folds)
     gate = test.groupBy("fold").agg(F.min("decision_time_utc").alias("__as_of"))
-    rows = models.training_rows(train.join(gate, "fold"), labels, F.col("__as_of"))
-    corrected = apply(test, fit(rows, extra=["fold"]), ["fold"])
+    rows = cut_lineage(models.training_rows(train.join(gate, "fold"), labels, F.col("__as_of")))
+    corrected = cut_lineage(apply(test, cut_lineage(fit(rows, extra=["fold"])), ["fold"]))
     good, _ = forecast_skill(corrected, labels)
     return _fold_scores(good)
 
 
 def walk_forward_blend(forecasts: DataFrame, labels: DataFrame, train_days: int = 365, test_days: int = 30) -> DataFrame:
     """Skill of the inverse-error blend per fold; a fold needs at least two weighted models."""
-    folds = walk_forward_folds(forecasts, train_days=train_days, test_days=test_days)
+    folds = cut_lineage(walk_forward_folds(forecasts, train_days=train_days, test_days=test_days))
     train, test = _fold_parts(forecasts, folds)
     as_of = F.col("test_start").cast("timestamp")
     weights = models.fit_weights(models.training_rows(train, labels, as_of), extra=["fold"]).where(F.col("models") >= 2)
-    blended = models.apply_blend(test, weights, ["fold"])
+    weights = cut_lineage(weights)
+    blended = cut_lineage(models.apply_blend(test, weights, ["fold"]))
     good, bad = forecast_skill(blended, labels)
     scores = good.groupBy("fold").agg(
         F.count(F.lit(1)).alias("eligible_predictions"), F.avg("abs_error_f").alias("mae_f"), F.avg("crps_f").alias("crps_f"))

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import clocks, numeric
+from ..functions import clocks
+from ..session import cut_lineage
 from .filters import REASON, all_reasons, first_reason, split
 from .timeline import Running, asof_join, asof_scan
 
@@ -152,17 +153,16 @@ def slope_features(states: DataFrame, observations: DataFrame, station: str = "s
                    minutes: Sequence[int] = SLOPE_MINUTES) -> DataFrame:
     """Slopes back from the latest known observation: its value less the value k minutes before, over k."""
     points = observations.where(F.col("temperature_f").isNotNull())
-    out = states
-    for k in minutes:
-        at = out["latest_valid_utc"] - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(k))
-        out = asof_join(
-            out, points, [station], at, F.col("valid_utc"), {"__prior": F.col("temperature_f")},
-            [F.col("receipt_utc")],
-        )
-        out = out.withColumn(
-            f"temperature_slope_{k}m", (F.col("temperature_latest") - F.col("__prior")) / k
-        ).drop("__prior")
-    return out
+    states = cut_lineage(states)
+    asks = states.where(F.col("latest_valid_utc").isNotNull()).select(
+        station, "latest_valid_utc", F.explode(F.array(*[F.lit(k) for k in minutes])).alias("__k")).distinct()
+    at = F.col("latest_valid_utc") - F.make_dt_interval(F.lit(0), F.lit(0), F.col("__k"))
+    found = asof_join(asks, points, [station], at, F.col("valid_utc"), {"__prior": F.col("temperature_f")}, [F.col("receipt_utc")])
+    wide = found.groupBy(station, "latest_valid_utc").agg(*[
+        F.max(F.when(F.col("__k") == k, F.col("__prior"))).alias(f"__prior_{k}") for k in minutes])
+    out = states.join(wide, [station, "latest_valid_utc"], "left")
+    return out.select(*states.columns, *[
+        ((F.col("temperature_latest") - F.col(f"__prior_{k}")) / k).alias(f"temperature_slope_{k}m") for k in minutes])
 
 
 def forecast_summary(contracts: DataFrame, forecasts: DataFrame) -> DataFrame:
@@ -179,7 +179,7 @@ def forecast_summary(contracts: DataFrame, forecasts: DataFrame) -> DataFrame:
     spread = F.sqrt(F.greatest(F.col("__square") / F.col("__n") - mean * mean, F.lit(0.0)))
     return out.withColumns({
         "forecast_mean": mean,
-        "forecast_std": F.when(F.col("forecast_min") == F.col("forecast_max"), 0.0).otherwise(spread),
+        "forecast_std": F.when(F.col("forecast_min") == F.col("forecast_max"), 0.0).when(F.col("__n") > 0, spread),
         "forecast_count": F.coalesce(F.col("__n"), F.lit(0)).cast("long"),
     }).drop("__n", "__sum", "__square")
 
@@ -195,8 +195,8 @@ def decision_features(contracts: DataFrame, observations: DataFrame, forecasts:
         F.min("valid_utc").alias("__first_valid"), F.count(F.lit(1)).alias("__station_rows"))
     fc_any = forecasts.groupBy("target_time_utc").agg(F.count(F.lit(1)).alias("__target_rows"))
     out = checked.join(first_obs, "station", "left").join(fc_any, "target_time_utc", "left")
-    out = slope_features(observation_features(out, observations), observations)
-    out = forecast_summary(out, forecasts)
+    out = slope_features(observation_features(cut_lineage(out), observations), observations)
+    out = forecast_summary(cut_lineage(out), forecasts)
     has_obs = F.coalesce(F.col("observation_count"), F.lit(0)) > 0
     has_fc = F.col("forecast_count") > 0
     late_obs = F.coalesce(F.col("__first_valid") <= F.col("target_time_utc"), F.lit(False))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import clocks, numeric
+from ..session import cut_lineage
 from .aggregates import LEVELS, by_level, grouping_levels, regression
 from .filters import REASON, first_reason, split
 from .joins import expand_buckets, label_both_extremes
@@ -110,27 +111,32 @@ def nowcast(states: DataFrame, labels: DataFrame, min_training: int = 10) -> tup
     rows, _ = label_both_extremes(states, labels)
     items = rows.withColumn("residual", F.col("final_f") - F.col("current_f")).select(
         "city", "temp_type", "local_hour", "label_available_ts", "residual")
-    out = rows
+    r = F.col("residual")
+    out = cut_lineage(rows)
     for level, keys in (("hour", ["city", "temp_type", "local_hour"]), ("day", ["city", "temp_type"])):
-        release, count = f"__release_{level}", f"__count_{level}"
-        out = asof_scan(out, items, keys, F.col("feature_asof_utc"), F.col("label_available_ts"),
-                        {release: Running("max", F.col("label_available_ts"))}, segment="day")
-        pools = out.where(F.col(release).isNotNull()).select(*keys, release).distinct()
-        r = F.col("residual")
-        pools = asof_scan(pools, items, keys, F.col(release), F.col("label_available_ts"), {
-            count: Running("sum", F.lit(1)), "__s": Running("sum", r), "__q": Running("sum", r * r),
-            "__lo": Running("min", r), "__hi": Running("max", r)}, segment="day")
-        mean = F.col("__s") / F.col(count)
-        spread = F.sqrt(F.greatest(F.col("__q") / F.col(count) - mean * mean, F.lit(0.0)))
-        pools = pools.where(F.col(count) >= min_training).withColumn(
-            f"__spread_{level}", F.when(F.col("__hi") > F.col("__lo"), spread).otherwise(0.0)).drop("__s", "__q", "__lo", "__hi")
-        medians = asof_medians(pools, items, keys, release, "label_available_ts", "residual").select(
-            *keys, release, F.col("median").alias(f"__median_{level}"))
-        out = out.join(pools.join(medians, [*keys, release]), [*keys, release], "left")
-    narrow = F.col("__count_hour").isNotNull()
-    count = F.coalesce("__count_hour", "__count_day")
-    center = F.when(narrow, F.col("__median_hour")).otherwise(F.col("__median_day"))
-    spread = F.when(narrow, F.col("__spread_hour")).otherwise(F.col("__spread_day"))
+        out = cut_lineage(asof_scan(out, items, keys, F.col("feature_asof_utc"), F.col("label_available_ts"), {
+            f"__n_{level}": Running("sum", F.lit(1)), f"__s_{level}": Running("sum", r), f"__q_{level}": Running("sum", r * r),
+            f"__lo_{level}": Running("min", r), f"__hi_{level}": Running("max", r),
+            f"__release_{level}": Running("max", F.col("label_available_ts"))}, segment="day"))
+    narrow = F.coalesce(F.col("__n_hour") >= min_training, F.lit(False))
+    broad = F.coalesce(F.col("__n_day") >= min_training, F.lit(False))
+
+    def of(name: str) -> Column:
+        return F.when(narrow, F.col(f"__{name}_hour")).when(broad, F.col(f"__{name}_day"))
+
+    count, mean = of("n"), of("s") / of("n")
+    spread = F.when(of("hi") > of("lo"), F.sqrt(F.greatest(of("q") / of("n") - mean * mean, F.lit(0.0)))).otherwise(0.0)
+    # Pool -1 is the whole day, the fallback of the hour pools.
+    out = out.withColumns({
+        "__pool": F.when(narrow, F.col("local_hour")).otherwise(F.lit(-1)), "__release": of("release"), "__count": count,
+        "__spread": spread})
+    out = out.drop(*[f"__{n}_{level}" for n in ("n", "s", "q", "lo", "hi", "release") for level in ("hour", "day")])
+    pooled = items.withColumn("__pool", F.explode(F.array(F.col("local_hour"), F.lit(-1))))
+    key = ["city", "temp_type", "__pool"]
+    states_at = out.where(F.col("__release").isNotNull()).select(*key, "__release").distinct()
+    medians = asof_medians(cut_lineage(states_at), pooled, key, "__release", "label_available_ts", "residual")
+    out = out.join(medians.select(*key, "__release", "median"), [*key, "__release"], "left")
+    count, center, spread = F.col("__count"), F.col("median"), F.col("__spread")
     day_gap = F.datediff("local_date", F.to_date("feature_asof_utc")) * F.lit(24.0)
     out = out.withColumns({
         "mean_f": F.col("current_f") + center, "stddev_f": F.greatest(spread, F.lit(0.25)),
@@ -141,7 +147,7 @@ def nowcast(states: DataFrame, labels: DataFrame, min_training: int = 10) -> tup
             F.date_format("feature_asof_utc", "yyyyMMdd'T'HHmmss'Z'")),
         REASON: first_reason((count.isNull(), "insufficient_prior_residuals")),
     }).withColumn("decision_time_utc", F.col("feature_asof_utc")).withColumn("outcome_local_date", F.col("local_date"))
-    extra = [c for c in out.columns if c.startswith("__")]
+    extra = [c for c in out.columns if c.startswith("__") or c == "median"]
     good, bad = split(out.drop(*extra))
     return (_forecast_columns(good, "observation_nowcast", "running_extrema_residual_v1"),
             bad.select("city", "local_date", "temp_type", "feature_asof_utc", REASON))
@@ -391,18 +397,23 @@ def quote_edges(markets: DataFrame, quotes: DataFrame, forecasts: DataFrame, fee
     def cdf(x: Column) -> Column:
         return numeric.gaussian_cdf(x, F.col("mean_f"), F.col("stddev_f"))
 
-    p = (
-        F.when(strike == "less", cdf(threshold - 0.5)).when(strike == "greater", F.lit(1.0) - cdf(threshold + 0.5))
-        .when((strike == "between") & F.col("cap_strike").isNotNull(), cdf(F.col("cap_strike") + 0.5) - cdf(threshold - 0.5)))
+    between = (strike == "between") & F.col("cap_strike").isNotNull()
+    wide = wide.withColumns({
+        "__upper": F.when(strike == "less", threshold - 0.5).when(between, F.col("cap_strike") + 0.5),
+        "__lower": F.when(strike == "greater", threshold + 0.5).when(between, threshold - 0.5),
+    }).withColumn("__below", cdf(F.col("__upper"))).withColumn("__under", cdf(F.col("__lower")))
+    supported = F.col("__upper").isNotNull() | F.col("__lower").isNotNull()
+    p = F.when(supported & F.col("mean_f").isNotNull(),
+               F.coalesce("__below", F.lit(1.0)) - F.coalesce("__under", F.lit(0.0)))
     bad_quote = F.lit(False)
     for name in quote_fields:
         bad_quote = bad_quote | clocks.finite(F.col(name)).isNull()
-    wide = wide.withColumns({"threshold_f": threshold, "probability": p}).withColumn(REASON, first_reason(
+    wide = wide.withColumns({"threshold_f": threshold, "probability": p}).drop("__upper", "__lower", "__below", "__under").withColumn(REASON, first_reason(
         (F.col("decision_ts").isNull(), "missing_quote_receipt"),
         (~F.coalesce(F.col("rules_primary").contains(F.col("product_key")), F.lit(False)), "settlement_rule_station_mismatch"),
         (F.col("target_date").isNull() | threshold.isNull(), "invalid_target_or_threshold"),
         (F.col("mean_f").isNull(), "missing_forecast_asof_quote"),
-        (p.isNull(), "unsupported_strike_semantics"),
+        (F.col("probability").isNull(), "unsupported_strike_semantics"),
         (bad_quote, "missing_executable_quote_fields")))
     ask, no_ask = F.col("ask_cents") / 100.0, (F.lit(100.0) - F.col("bid_cents")) / 100.0
     edges = {"yes_gross_edge_at_ask": F.col("probability") - ask}

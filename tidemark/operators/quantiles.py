@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .timeline import Running, asof_scan, running_scan
 
 SLOTS = 1024
@@ -19,7 +20,7 @@ SLOTS = 1024
 
 def _ranked_values(df: DataFrame, keys: Sequence[str], value: str, slots: int) -> DataFrame:
     """Distinct values with the first and last 1-based rank each takes in its group."""
-    counts = (
+    counts = cut_lineage(
         df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("__v"))
         .agg(F.count(F.lit(1)).alias("__n"))
     )
@@ -82,62 +83,45 @@ def floor_index_quantiles(df: DataFrame, keys: Sequence[str], value: str,
 
 
 def asof_medians(states: DataFrame, items: DataFrame, on: Sequence[str], state_time: str,
-                 item_time: str, value: str, *, quantum: float = 0.01, digit: int = 32,
-                 levels: int = 4, segment: str = "day") -> DataFrame:
+                 item_time: str, value: str, *, quantum: float = 0.01, digit: int = 64,
+                 levels: int = 3, segment: str = "day") -> DataFrame:
     """Median of all items of the key released at or before each state's instant.
 
     ``states`` is distinct on (``on``, ``state_time``). The wanted ranks are found digit by digit:
-    each level counts, as of the state's instant, the items under every child of the value range
-    found so far. Values are ordered on a grid of ``quantum``, which must separate them (reports
-    carry at most two decimals); the value returned is the item's own. ``digit ** levels`` grid
-    points must cover the range around zero.
+    each level asks, for every child of the value range found so far, how many items had been
+    released by then, and steps into the child that holds the rank. Values are ordered on a grid of
+    ``quantum``, which must separate them (reports carry at most two decimals); the value returned
+    is the item's own. A value beyond ``quantum * digit ** levels / 2`` fails the job.
     """
     half = digit ** levels // 2
     grid = F.round(F.col(value) / F.lit(quantum)).cast("long") + half
+    in_range = F.when(
+        F.assert_true(grid.between(0, digit ** levels - 1), F.lit("value outside the rank grid")).isNull(), grid)
     facts = items.where(F.col(value).isNotNull() & F.col(item_time).isNotNull()).select(
-        *on, item_time, grid.alias("__grid"), value
-    )
+        *on, item_time, in_range.alias("__grid"), value)
     totals = asof_scan(
-        states, facts, on, F.col(state_time), F.col(item_time),
-        {"__total": Running("sum", F.lit(1))}, segment=segment,
-    ).where(F.col("__total") > 0)
-    want = totals.select(
-        *on, state_time, "__total",
-        F.explode(F.array_distinct(F.array(
-            F.floor((F.col("__total") + 1) / 2), F.floor(F.col("__total") / 2) + 1
-        ))).alias("__rank"),
-    ).withColumn("__node", F.lit(0).cast("long"))
+        states.select(*on, state_time), facts, on, F.col(state_time), F.col(item_time),
+        {"__total": Running("sum", F.lit(1))}, segment=segment).where(F.col("__total") > 0)
+    ranks = F.explode(F.array_distinct(F.array(
+        F.floor((F.col("__total") + 1) / 2), F.floor(F.col("__total") / 2) + 1))).alias("__rank")
+    want = totals.select(*on, state_time, "__total", ranks).withColumn("__node", F.lit(0).cast("long"))
+    unit = [*on, state_time, "__total", "__rank", "__node"]
     for level in range(levels):
         below = digit ** (levels - level - 1)
-        child = (F.floor(F.col("__grid") / below) % digit).cast("int")
-        tree = facts.withColumn("__node", F.floor(F.col("__grid") / (below * digit)))
-        last = level == levels - 1
-        counts = {
-            f"__c{i}": Running("sum", F.when(child == i, 1)) for i in range(digit)
-        }
-        if last:
-            counts |= {
-                f"__v{i}": Running("max", F.when(child == i, F.col(value))) for i in range(digit)
-            }
-        seen = asof_scan(
-            want, tree, [*on, "__node"], F.col(state_time), F.col(item_time), counts,
-            segment=segment,
-        )
-        prefix, running = [], F.lit(0)
-        for i in range(digit):
-            running = running + F.coalesce(F.col(f"__c{i}"), F.lit(0))
-            prefix.append(running)
-        passed = [F.when(total < F.col("__rank"), total).otherwise(0) for total in prefix]
-        chosen = sum((F.when(total < F.col("__rank"), 1).otherwise(0) for total in prefix), F.lit(0))
-        exact = (
-            F.get(F.array(*[F.col(f"__v{i}") for i in range(digit)]), chosen)
-            if last else F.lit(None).cast("double")
-        )
-        want = seen.select(
-            *on, state_time, "__total",
-            (F.col("__rank") - F.greatest(*passed)).alias("__rank"),
-            (F.col("__node") * digit + chosen).alias("__node"), exact.alias("__exact"),
-        )
-    return want.groupBy(*on, state_time).agg(
-        F.max("__total").alias("item_count"), F.avg("__exact").alias("median")
-    )
+        tree = facts.withColumn("__node", F.floor(F.col("__grid") / (below * digit))).withColumn(
+            "__child", (F.floor(F.col("__grid") / below) % digit).cast("int"))
+        asks = cut_lineage(want).withColumn("__child", F.explode(F.sequence(F.lit(0), F.lit(digit - 1))))
+        seen = asof_scan(asks, tree, [*on, "__node", "__child"], F.col(state_time), F.col(item_time),
+                         {"__n": Running("sum", F.lit(1)), "__own": Running("max", F.col(value))}, segment=segment)
+        # At most ``digit`` rows per wanted rank.
+        folded = seen.where(F.col("__n") > 0).groupBy(*unit).agg(
+            F.array_sort(F.collect_list(F.struct("__child", "__n", "__own"))).alias("__list"))
+        start = F.struct(F.lit(0).cast("long").alias("before"), F.lit(-1).alias("child"), F.lit(None).cast("double").alias("own"))
+        hit = F.aggregate("__list", start, lambda a, x: F.when(
+            (a["child"] < 0) & (a["before"] + x["__n"] >= F.col("__rank")),
+            F.struct(a["before"].alias("before"), x["__child"].alias("child"), x["__own"].alias("own"))
+        ).when(a["child"] < 0, F.struct((a["before"] + x["__n"]).alias("before"), a["child"].alias("child"), a["own"].alias("own"))).otherwise(a))
+        want = folded.withColumn("__hit", hit).select(
+            *on, state_time, "__total", (F.col("__rank") - F.col("__hit.before")).alias("__rank"),
+            (F.col("__node") * digit + F.col("__hit.child")).alias("__node"), F.col("__hit.own").alias("__exact"))
+    return want.groupBy(*on, state_time).agg(F.max("__total").alias("item_count"), F.avg("__exact").alias("median"))

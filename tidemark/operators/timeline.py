@@ -15,6 +15,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 SEGMENT = "__segment"
 INSTANT = "__instant"
 WANTED = "__wanted"
@@ -249,12 +251,12 @@ def known_prefix(left: DataFrame, right: DataFrame, on: Sequence[str], axis: Col
     # Only points strictly before the limit count, and none when nothing has settled.
     step = F.timestamp_micros(F.unix_micros(F.col("__axis").cast("timestamp")) - 1)
     point = F.when(F.col("__p").isNotNull(), F.least(F.col("__p").cast("timestamp"), step))
-    cut = cut.withColumn("__point", point)
-    prefix = asof_scan(
+    cut = cut_lineage(cut.withColumn("__point", point))
+    prefix = cut_lineage(asof_scan(
         cut, facts, [*keys, *inner], F.col("__point"), F.col("__a").cast("timestamp"),
         {name: Running(spec.kind, F.col(f"__v_{name}"), spec.tie) for name, spec in values.items()},
         segment=segment,
-    )
+    ))
 
     def cells(instant: Column) -> Column:
         return F.floor(F.unix_micros(instant.cast("timestamp")) / units)

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from . import asof_queries, model_queries, relational_queries, state_queries  # noqa: F401
+from . import asof_queries, market_queries, model_queries, relational_queries, state_queries  # noqa: F401
 from .registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]

@@ -644,7 +644,7 @@ def walk_forward_emos(spark: SparkSession, sf: str) -> DataFrame:
  , tr as (select f.model_name, r[2] as observed_f, mean_f, k.fold from zf f join kept k on f.outcome_local_date between k.train_start and k.train_end join lastlab using (event_ticker) where r[1]<=k.test_start and f.outcome_local_date<k.test_start),
  w0 as (select fold, model_name, 1/greatest(avg(abs(observed_f-mean_f)),1e-6) as w from tr group by 1,2 having count(*)>=3),
  w as (select * from (select *, count(*) over (partition by fold) as k from w0) where k>=2),
- bl as (select k.fold, event_ticker, sum(w*mean_f)/sum(w) as m, arg_min(row(decision_time_utc, forecast_issue_time, source_receipt_time), model_name) as c from zf join kept k on outcome_local_date between test_start and test_end join w on w.fold=k.fold and w.model_name=zf.model_name group by 1,2),
+ bl as (select k.fold, event_ticker, sum(w*mean_f)/sum(w) as m, arg_min(row(decision_time_utc, forecast_issue_time, source_receipt_time), zf.model_name) as c from zf join kept k on outcome_local_date between test_start and test_end join w on w.fold=k.fold and w.model_name=zf.model_name group by 1,2),
  lab as (select event_ticker, arg_min(row(observed_f), label_available_ts)[1] as observed_f from event_labels where label_available_ts is not null group by 1)
  select fold, count(*) filter (coalesce(c[3]<=c[1],false) and observed_f is not null) as eligible_predictions, count(*) filter (not (coalesce(c[3]<=c[1],false) and observed_f is not null)) as rejected_predictions, {q6_sql('avg(abs(m-observed_f)) filter (coalesce(c[3]<=c[1],false) and observed_f is not null)', 3)} as mae_f
  from bl left join lab using (event_ticker) group by 1""", ZONED, LAST_LABEL, *fold_ctes()))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +47,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder, so later branches read one stored copy."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    Operators that read an intermediate result from several branches use it, so that a chain of them
+    neither recomputes nor regrows its plan, and a lost executor only re-reads files.
+    """
+    folder = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/tidemark-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
