@@ -1,6 +1,13 @@
 """All registered queries."""
 
-from . import asof_queries, market_queries, model_queries, relational_queries, state_queries  # noqa: F401
+from . import (  # noqa: F401
+    asof_queries,
+    market_queries,
+    model_queries,
+    relational_queries,
+    source_queries,
+    state_queries,
+)
 from .registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]
