@@ -21,8 +21,9 @@ ARRIVAL = ["received_ts", "event_id"]
 def sequence_books(messages: DataFrame) -> DataFrame:
     """Accepted frames with their book's snapshot number and quarantine flag.
 
-    Stale frames are dropped. A gap taints every book of the session until that book's next
-    snapshot, and frames met while tainted are ignored, except the snapshot that heals.
+    Stale frames are dropped. A gap taints every known book of the session until that book's next
+    snapshot, and frames met while tainted are ignored, except the snapshot that heals. Connection
+    epochs must rise with time.
     """
     health = sequence_health(messages).where(~F.col("stale"))
     at = F.struct("received_ts", "event_id")
@@ -33,11 +34,17 @@ def sequence_books(messages: DataFrame) -> DataFrame:
             "gap_count": Running("sum", F.col("accepted_gap").cast("int"))}, time_segment("received_ts")))
     books = running_scan(
         gaps, ["connection_epoch", "market_ticker"], ARRIVAL, {
-            "last_snapshot": Running("last", F.when(snapshot, at)), "snapshot_no": Running("sum", snapshot.cast("int"))},
+            "last_snapshot": Running("last", F.when(snapshot, at)), "snapshot_no": Running("sum", snapshot.cast("int")),
+            "first_frame": Running("min", at)},
         time_segment("received_ts"))
+    oldest = health.groupBy("market_ticker").agg(F.min("connection_epoch").alias("first_epoch"))
+    books = books.join(oldest, "market_ticker")
     healed = F.coalesce(F.col("last_snapshot") >= F.col("last_gap"), F.lit(False))
-    return books.withColumn("quarantined", F.col("last_gap").isNotNull() & ~healed).withColumn(
-        "snapshot_no", F.col("snapshot_no").cast("long"))
+    # A gap taints the books that exist by then; a reconnect taints the books of earlier sessions.
+    tainted = F.coalesce(F.col("last_gap") >= F.col("first_frame"), F.lit(False)) & ~healed
+    carried = (F.col("first_epoch") < F.col("connection_epoch")) & F.col("last_snapshot").isNull()
+    return books.withColumn("quarantined", tainted | carried).withColumn(
+        "snapshot_no", F.col("snapshot_no").cast("long")).drop("first_frame", "first_epoch")
 
 
 def level_history(sequenced: DataFrame) -> DataFrame:

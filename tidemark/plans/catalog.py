@@ -4,6 +4,7 @@ from . import (  # noqa: F401
     asof_queries,
     market_queries,
     model_queries,
+    quality_queries,
     relational_queries,
     source_queries,
     state_queries,

@@ -139,7 +139,7 @@ def deployment_gate(spark: SparkSession, sf: str) -> DataFrame:
 SEQUENCED = [
     ("hb", "select *, max(seq) over (partition by sid order by received_ts, event_id rows between unbounded preceding and 1 preceding) as pm, row_number() over (order by received_ts, event_id) as pos from book"),
     ("ac", "select *, coalesce(seq>pm+1,false) as gap, type='orderbook_snapshot' as snap from hb where not coalesce(seq<=pm,false)"),
-    ("sq", """select *, lg is not null and not coalesce(ls>=lg,false) as quarantined from (select *, max(case when gap then pos end) over (order by pos) as lg, max(case when snap then pos end) over (partition by market_ticker order by pos) as ls,
+    ("sq", """select *, coalesce(lg>=fp,false) and not coalesce(ls>=lg,false) as quarantined from (select *, min(pos) over (partition by market_ticker order by pos) as fp, max(case when gap then pos end) over (order by pos) as lg, max(case when snap then pos end) over (partition by market_ticker order by pos) as ls,
  sum(case when snap then 1 else 0 end) over (partition by market_ticker order by pos) as sno from ac)"""),
     ("st", """select market_ticker, sno, pos, 'yes' as side, cast(event_id%4+40 as int) as price, cast(event_id%7+1 as double) as ch from sq where snap union all select market_ticker, sno, pos, 'yes', 39, cast(event_id%5 as double) from sq where snap and event_id%5>0
  union all select market_ticker, sno, pos, 'no', cast(event_id%3+50 as int), cast(event_id%6+1 as double) from sq where snap union all select market_ticker, sno, pos, side, price, delta from sq where not snap and not quarantined"""),

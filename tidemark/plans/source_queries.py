@@ -1,4 +1,4 @@
-"""Source, function, quality and streaming queries. Archives are derived from the supplied tables."""
+"""Source and function queries. Archives are derived from the supplied tables."""
 
 from __future__ import annotations
 
@@ -8,10 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clocks, encode, numeric, text
-from ..operators import quality
 from ..session import ensure_checkpoint_dir
 from ..sources import json_products, tables, text_products
-from ..streaming import jobs
 from . import shapes
 from .model_queries import cdf_sql
 from .registry import query
@@ -162,7 +160,7 @@ def station_history(spark: SparkSession, sf: str) -> DataFrame:
     return json_products.station_history(s.select(F.col("s_suppkey").alias("station"), doc.alias("payload"))).select("station", "record_type", "identifier")
 
 
-@query("s13_epoch_series", with_views(("obs",), f"select event_id, {stamp_sql('make_timestamp(epoch_ms(valid_utc)*1000)')} as ts, tmpf as value_f from obs"))
+@query("s13_epoch_series", with_views(("obs",), f"select event_id, {stamp_sql('make_timestamp((epoch_us(valid_utc)//1000)*1000)')} as ts, tmpf as value_f from obs"))
 def epoch_series(spark: SparkSession, sf: str) -> DataFrame:
     o = shapes.obs(spark, sf)
     doc = F.concat(F.lit('{"city":"c","timeseries":[{"t":"'), F.unix_millis("valid_utc").cast("string"), F.lit('","v":"'), F.col("tmpf").cast("string"), F.lit('"},{"t":"x","v":"1"}]}'))
@@ -342,8 +340,8 @@ def normal_cdf(spark: SparkSession, sf: str) -> DataFrame:
 @query("f12_normal_quantile", "select o_orderkey, (o_orderkey%999+1)/1000e0 as p from orders")
 def normal_quantile(spark: SparkSession, sf: str) -> DataFrame:
     p = (F.col("o_orderkey") % 999 + 1) / F.lit(1000.0)
-    back = numeric.norm_cdf(numeric.norm_quantile(p))
-    return table(spark, sf, "orders").select("o_orderkey", (F.round(back * 1000) / F.lit(1000.0)).alias("p"))
+    rows = table(spark, sf, "orders").select("o_orderkey", numeric.norm_quantile(p).alias("z"))
+    return rows.select("o_orderkey", (F.round(numeric.norm_cdf(F.col("z")) * 1000) / F.lit(1000.0)).alias("p"))
 
 
 @query("f14_solar_day", "select distinct cast(o_orderdate as date)::varchar as day from orders")
@@ -382,7 +380,7 @@ def split_ids(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select("o_orderkey", F.size(encode.split_ids(raw)).alias("ids"))
 
 
-@query("f21_exchange_time", f"select event_id, case when event_id%4=3 then 'none' else {stamp_sql('make_timestamp(case when event_id%4=1 then (epoch_us(ts)//1000000)*1000000 else epoch_ms(ts)*1000 end)')} end as t from events")
+@query("f21_exchange_time", f"select event_id, case when event_id%4=3 then 'none' else {stamp_sql('make_timestamp(case when event_id%4=1 then (epoch_us(ts)//1000000)*1000000 else (epoch_us(ts)//1000)*1000 end)')} end as t from events")
 def exchange_time(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("event_id")
     t = clocks.exchange_instant(
