@@ -357,17 +357,19 @@ def persistence_probability(rows: DataFrame, known_contracts: DataFrame, sigma_f
     celsius = clocks.to_number(F.get_json_object(doc, "$.temperature_c"))
     latest = F.coalesce(fahrenheit, celsius * 9 / 5 + 32)
     side = F.lower(F.trim(F.col("comparison")))
-    below = numeric.norm_cdf((F.col("threshold_f") - latest) / F.lit(sigma_f))
-    p = F.when(side == "above", F.lit(1.0) - below).when(side == "below", below)
     contract = known_contracts.select("market_ticker", F.lit(True).alias("__known")).distinct()
-    marked = rows.join(contract, "market_ticker", "left").withColumn(
+    # One column per step, so that the JSON is read once and not once per use.
+    staged = rows.withColumn("__z", (F.col("threshold_f") - latest) / F.lit(sigma_f)).withColumn(
+        "__below", numeric.norm_cdf(F.col("__z")))
+    p = F.when(side == "above", F.lit(1.0) - F.col("__below")).when(side == "below", F.col("__below"))
+    marked = staged.join(contract, "market_ticker", "left").withColumn(
         "prediction", F.greatest(F.lit(0.0), F.least(F.lit(1.0), p))
     ).withColumn(REASON, first_reason(
         (F.col("__known").isNull(), "missing_contract_terms"),
         (F.coalesce(F.col("settlement_station_method"), F.lit("")).contains("unverified"), "unverified_settlement_station"),
-        (F.col("prediction").isNull() | clocks.first_text(F.col("source_run_ids")).isNull()
+        (p.isNull() | clocks.first_text(F.col("source_run_ids")).isNull()
          | clocks.first_text(F.col("observation_ids")).isNull(), "missing_baseline_provenance"),
-    )).drop("__known")
+    )).drop("__z", "__below").drop("__known")
     return split(marked)
 
 

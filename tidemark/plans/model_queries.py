@@ -184,13 +184,14 @@ def ensemble_point_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("j12_threshold_edges", with_views(("members",), f"""
- , f as (select city, avg(case when value>=20e0 then 1e0 else 0e0 end) as p20, avg(case when value>=30e0 then 1e0 else 0e0 end) as p30, avg(case when value>=40e0 then 1e0 else 0e0 end) as p40, forecast_run_time from single where forecast_run_time<timestamp '1992-03-01' group by city, forecast_run_time),
- g as (select city, forecast_run_time, u.t, case u.t when 20 then p20 when 30 then p30 else p40 end as p from f, (values (20),(30),(40)) u(t)),
+ , mo as (select city, date_trunc('month', forecast_run_time) as run, member_id, arg_max(value, row(valid_time, l_orderkey, l_partkey, l_suppkey, value)) as value from members group by 1,2,3),
+ f as (select city, run, avg(case when value>=20e0 then 1e0 else 0e0 end) as p20, avg(case when value>=30e0 then 1e0 else 0e0 end) as p30, avg(case when value>=40e0 then 1e0 else 0e0 end) as p40 from mo group by 1,2),
+ g as (select city, run, u.t, case u.t when 20 then p20 when 30 then p30 else p40 end as p from f, (values (20),(30),(40)) u(t)),
  mk as (select c_custkey, 'c' || (c_custkey%50) as city, 20+10*(c_custkey%4) as t, (c_custkey%97)/100e0 as price from customer)
- select c_custkey as market, {stamp_sql('forecast_run_time')} as run, {q6_sql('p-price')} as edge from mk join g using (city, t)""", SINGLE))
+ select c_custkey as market, {stamp_sql('cast(run as timestamp)')} as run, {q6_sql('p-price')} as edge from mk join g using (city, t)"""))
 def threshold_edges(spark: SparkSession, sf: str) -> DataFrame:
-    early = shapes.members(spark, sf).where(F.col("forecast_run_time") < F.lit("1992-03-01").cast("timestamp"))
-    f = features.ensemble_features(early, ["city", "forecast_run_time"], THRESHOLDS, MEMBER_ORDER).withColumn("valid_time", F.col("forecast_run_time"))
+    monthly = shapes.members(spark, sf).withColumn("forecast_run_time", F.date_trunc("month", "forecast_run_time"))
+    f = features.ensemble_features(monthly, ["city", "forecast_run_time"], THRESHOLDS, MEMBER_ORDER).withColumn("valid_time", F.col("forecast_run_time"))
     k = F.col("c_custkey")
     markets = table(spark, sf, "customer").select(
         k.alias("market"), F.concat(F.lit("C"), (k % 50).cast("string")).alias("city"), (k % 4 * 10 + 20).cast("double").alias("threshold"),
@@ -286,7 +287,7 @@ def station_bias(spark: SparkSession, sf: str) -> DataFrame:
 EMOS_FIT = "case when var_pop(mean_f)*count(*)>1e-12 then covar_pop(mean_f,observed_f)/var_pop(mean_f) else 0e0 end as sl, avg(observed_f)-(case when var_pop(mean_f)*count(*)>1e-12 then covar_pop(mean_f,observed_f)/var_pop(mean_f) else 0e0 end)*avg(mean_f) as ic, greatest(sqrt(greatest(var_pop(observed_f)-pow(covar_pop(mean_f,observed_f),2)/var_pop(mean_f),0))/avg(stddev_f), 0.01e0) as sc"
 
 
-@query("m12_emos", with_views(("forecasts", "event_labels"), f"select event_ticker, model_name, {q6_sql('case when stddev_f is null then mean_f else ' + best('ic', '0e0') + '+' + best('sl', '1e0') + '*mean_f end', 4)} as mean_f, {q6_sql('coalesce(greatest(stddev_f*' + best('sc', '1e0') + ',0.01e0),-1)', 4)} as stddev_f from {fit_joins('zf')}",
+@query("m12_emos", with_views(("forecasts", "event_labels"), f"select event_ticker, model_name, {q6_sql('case when stddev_f is null then mean_f else ' + best('ic', '0e0') + '+' + best('sl', '1e0') + '*mean_f end', 4)} as mean_f, {q6_sql('case when stddev_f is null then -1e0 else greatest(stddev_f*' + best('sc', '1e0') + ',0.01e0) end', 4)} as stddev_f from {fit_joins('zf')}",
        ZONED, LAST_LABEL, TRAIN, *fit_ctes(EMOS_FIT, "stddev_f>0")))
 def emos(spark: SparkSession, sf: str) -> DataFrame:
     out = models.apply_emos(zoned_forecasts(spark, sf), models.fit_emos(train_rows(spark, sf)))
