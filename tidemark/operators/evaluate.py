@@ -55,6 +55,7 @@ def bucket_skill(probabilities: DataFrame, labels: DataFrame, segment: str = "mo
     ``labels`` needs event_ticker, label_available_ts, settled_market_ticker. Events are folded with
     plain aggregates, so an event with many copies of a bucket does not collect anywhere.
     """
+    probabilities = cut_lineage(probabilities)
     p = clocks.finite(F.col("bucket_probability"))
     unit = ["event_ticker", "model_name", "model_version", "city", "temp_type"]
     timely = clocks.available_asof(F.col("forecast_issue_time"), F.col("source_receipt_time"), F.col("decision_time_utc"))
@@ -75,7 +76,7 @@ def bucket_skill(probabilities: DataFrame, labels: DataFrame, segment: str = "mo
     truth = probabilities.groupBy(*unit, "market_ticker").agg(F.max("bucket_probability").alias("truth")).withColumnRenamed("market_ticker", "settled")
     scored = found.join(truth, [*unit, "settled"], "left").withColumn(REASON, first_reason(
         (F.col("settled").isNull(), "no_label_after_decision"), (F.col("truth").isNull(), "label_not_in_partition")))
-    fine, missed = split(scored)
+    fine, missed = split(cut_lineage(scored))
     # Sum of (p - y)^2 over the set, with y = 1 at the settled bucket only.
     fine = fine.withColumns({
         "brier": F.col("__square") - 2 * F.col("truth") + 1.0, "log_loss": -F.log(F.greatest("truth", F.lit(1e-15)))})

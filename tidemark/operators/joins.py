@@ -1,4 +1,4 @@
-"""Joins with the references' duplicate, fallback and tie rules."""
+"""Joins with stated duplicate, fallback and tie rules."""
 
 from __future__ import annotations
 
@@ -53,7 +53,7 @@ def label_after(forecasts: DataFrame, labels: DataFrame, decision: str = "decisi
         forecasts, usable, ["event_ticker"], F.col(decision), F.col("label_available_ts"),
         {"label_available_ts": F.col("label_available_ts"), "observed_f": F.col("observed_f"),
          "__hit": F.lit(True)},
-        # Of labels published together the reference keeps the first; the smallest value stands in for it.
+        # Labels published together carry no order of their own; the smallest value is taken.
         [-F.col("observed_f")], inclusive=False, backward=False, segment=segment,
     ).join(seen, "event_ticker", "left")
     none = F.col("__hit").isNull()

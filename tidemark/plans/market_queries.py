@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import book, joins, market
@@ -10,7 +10,8 @@ from . import shapes
 from .registry import query
 from .shapes import q6, q6_sql, stamp, stamp_sql, table, with_views
 
-COUNT = F.count(F.lit(1))
+def count_rows() -> Column:
+    return F.count(F.lit(1))
 
 EDGES = ("edges", """select s.signal_id, s.bucket_probability as fair, c.yes_ask_close as ask, c.yes_bid_close as bid, o.settled_yes,
  s.bucket_probability-least(1e0, c.yes_ask_close+0.005e0+0.02e0*c.yes_ask_close) as yes_edge, 1-s.bucket_probability-greatest(0e0, 1-c.yes_bid_close+0.005e0+0.02e0*(1-c.yes_bid_close)) as no_edge
@@ -80,7 +81,7 @@ def kelly_sizing(spark: SparkSession, sf: str) -> DataFrame:
  select ev as event_ticker, count(*) as contracts_count, {q6_sql('sum(case when tot>10 then floor(al*10e0/tot/net) else n end)', 3)} as contracts from t group by 1""")
 def event_allocation(spark: SparkSession, sf: str) -> DataFrame:
     out = market.allocate_event(candidates(spark, sf), 1000.0).where(F.col("contracts").isNotNull())
-    return out.groupBy("event_ticker").agg(COUNT.alias("contracts_count"), q6(F.sum("contracts"), 3).alias("contracts"))
+    return out.groupBy("event_ticker").agg(count_rows().alias("contracts_count"), q6(F.sum("contracts"), 3).alias("contracts"))
 
 
 def draws_sql(count: str, sims: int, block: int) -> str:
@@ -107,7 +108,7 @@ def reality_check(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("x08_ledger_records", with_views(("signals", "candles", "outcomes"), "select scenario, record_type, count(*) as n from (select scenario, unnest(['would_have_order','simulated_fill']) as record_type from fills) group by 1,2", FILLS))
 def ledger_records(spark: SparkSession, sf: str) -> DataFrame:
-    return market.ledger_records(_fills(spark, sf), "manifests/x").groupBy("scenario", "record_type").agg(COUNT.alias("n"))
+    return market.ledger_records(_fills(spark, sf), "manifests/x").groupBy("scenario", "record_type").agg(count_rows().alias("n"))
 
 
 def snapshots(spark: SparkSession, sf: str) -> DataFrame:
@@ -159,12 +160,12 @@ def _levels(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("b01_level_history", with_views(("book",), "select market_ticker, side, price, count(*) as steps, sum(qty) as total from hist group by 1,2,3", *SEQUENCED))
 def level_history(spark: SparkSession, sf: str) -> DataFrame:
-    return book.level_history(_sequenced(spark, sf)).groupBy("market_ticker", "side", "price").agg(COUNT.alias("steps"), F.sum("qty").alias("total"))
+    return book.level_history(_sequenced(spark, sf)).groupBy("market_ticker", "side", "price").agg(count_rows().alias("steps"), F.sum("qty").alias("total"))
 
 
 @query("b02_quarantine", with_views(("book",), "select market_ticker, count(*) as accepted, count(*) filter (quarantined) as quarantined, count(*) filter (gap) as gaps from sq group by 1", *SEQUENCED))
 def quarantine(spark: SparkSession, sf: str) -> DataFrame:
-    return _sequenced(spark, sf).groupBy("market_ticker").agg(COUNT.alias("accepted"), F.count_if("quarantined").alias("quarantined"), F.count_if("accepted_gap").alias("gaps"))
+    return _sequenced(spark, sf).groupBy("market_ticker").agg(count_rows().alias("accepted"), F.count_if("quarantined").alias("quarantined"), F.count_if("accepted_gap").alias("gaps"))
 
 
 @query("b03_top_of_book", with_views(("book",), f"""
@@ -199,4 +200,4 @@ def book_reconciliation(spark: SparkSession, sf: str) -> DataFrame:
     newest = history.groupBy("market_ticker").agg(F.max("snapshot_no").alias("snapshot_no"))
     first = history.join(newest, ["market_ticker", "snapshot_no"]).groupBy("market_ticker", "side", "price").agg(F.min_by("qty", F.struct(*book.ARRIVAL)).alias("qty"))
     diff = joins.reconcile_levels(book.current_levels(history), first, ["market_ticker", "side", "price"])
-    return diff.groupBy("market_ticker").agg(COUNT.alias("mismatches"))
+    return diff.groupBy("market_ticker").agg(count_rows().alias("mismatches"))

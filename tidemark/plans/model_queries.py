@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clocks, numeric
@@ -12,7 +12,8 @@ from . import shapes, state_queries
 from .registry import query
 from .shapes import minutes, q6, q6_sql, stamp, stamp_sql, table, with_views
 
-COUNT = F.count(F.lit(1))
+def count_rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def horner(coefficients, x: str) -> str:
@@ -82,7 +83,7 @@ def climatology(spark: SparkSession, sf: str) -> DataFrame:
  select 'no_prior_available_labels' as reason, s.temp_type, count(*) as n from sched s where not exists (select 1 from late l where s.city=l.city and s.temp_type=l.temp_type and l.date<s.outcome_local_date and month(l.date)=month(s.outcome_local_date) and l.av<=s.d) group by 1,2""", LATE, SCHEDULE))
 def climatology_rejections(spark: SparkSession, sf: str) -> DataFrame:
     _, bad = models.climatology(schedule(spark, sf), late_labels(spark, sf))
-    return bad.groupBy("reason", "temp_type").agg(COUNT.alias("n"))
+    return bad.groupBy("reason", "temp_type").agg(count_rows().alias("n"))
 
 
 TRAILING = """, p as (select event_ticker, v, l.date, row_number() over (partition by event_ticker order by l.date desc) as rn from sched s join late l on s.city=l.city and s.temp_type=l.temp_type and l.date<s.outcome_local_date and l.av<=s.d)"""
@@ -100,7 +101,7 @@ def persistence(spark: SparkSession, sf: str) -> DataFrame:
 def trailing_rows(spark: SparkSession, sf: str) -> DataFrame:
     good, bad = models.persistence(schedule(spark, sf), late_labels(spark, sf), window=3)
     both = good.select("temp_type", "training_rows").unionByName(bad.select("temp_type", F.lit(0).cast("long").alias("training_rows")))
-    return both.groupBy("temp_type", "training_rows").agg(COUNT.alias("events"))
+    return both.groupBy("temp_type", "training_rows").agg(count_rows().alias("events"))
 
 
 STATES = ("states", f"""select *, cast(hour(valid_utc)//6 as int) as local_hour, max(tmpf) {state_queries.SO_FAR} as high, min(tmpf) {state_queries.SO_FAR} as low from obs""")
@@ -163,14 +164,15 @@ def daily_ensemble(spark: SparkSession, sf: str) -> DataFrame:
 
 THRESHOLDS = (20.0, 30.0, 40.0)
 SINGLE = ("single", "select city, forecast_run_time, member_id, arg_max(value, row(valid_time, l_orderkey, l_partkey, l_suppkey, value)) as value from members group by 1,2,3")
-MEMBER_ORDER = [F.col(c) for c in ("valid_time", "l_orderkey", "l_partkey", "l_suppkey", "value")]
+def member_order() -> list[Column]:
+    return [F.col(c) for c in ("valid_time", "l_orderkey", "l_partkey", "l_suppkey", "value")]
 
 
 @query("m08_ensemble_features", with_views(("members",), f"""
  select city, {stamp_sql('forecast_run_time')} as run, count(*) as member_count, {q6_sql('avg(value)', 4)} as mean, {q6_sql('stddev_pop(value)', 4)} as spread, {q6_sql('quantile_cont(value,0.1)', 4)} as p10, {q6_sql('quantile_cont(value,0.5)', 4)} as median, {q6_sql('quantile_cont(value,0.9)', 4)} as p90,
  {', '.join(q6_sql(f'avg(case when value>={k}e0 then 1e0 else 0e0 end)', 5) + f' as prob_ge_{k:g}' for k in THRESHOLDS)} from single group by city, forecast_run_time""", SINGLE))
 def ensemble_features(spark: SparkSession, sf: str) -> DataFrame:
-    out = features.ensemble_features(shapes.members(spark, sf), ["city", "forecast_run_time"], THRESHOLDS, MEMBER_ORDER)
+    out = features.ensemble_features(shapes.members(spark, sf), ["city", "forecast_run_time"], THRESHOLDS, member_order())
     return out.select(
         "city", stamp(F.col("forecast_run_time")).alias("run"), "member_count", q6(F.col("ensemble_mean"), 4).alias("mean"), q6(F.col("ensemble_spread"), 4).alias("spread"),
         *[q6(F.col(c), 4).alias(c) for c in ("p10", "median", "p90")], *[q6(F.col(f"prob_ge_{k:g}"), 5).alias(f"prob_ge_{k:g}") for k in THRESHOLDS])
@@ -191,7 +193,7 @@ def ensemble_point_summary(spark: SparkSession, sf: str) -> DataFrame:
  select c_custkey as market, {stamp_sql('cast(run as timestamp)')} as run, {q6_sql('p-price')} as edge from mk join g using (city, t)"""))
 def threshold_edges(spark: SparkSession, sf: str) -> DataFrame:
     monthly = shapes.members(spark, sf).withColumn("forecast_run_time", F.date_trunc("month", "forecast_run_time"))
-    f = features.ensemble_features(monthly, ["city", "forecast_run_time"], THRESHOLDS, MEMBER_ORDER).withColumn("valid_time", F.col("forecast_run_time"))
+    f = features.ensemble_features(monthly, ["city", "forecast_run_time"], THRESHOLDS, member_order()).withColumn("valid_time", F.col("forecast_run_time"))
     k = F.col("c_custkey")
     markets = table(spark, sf, "customer").select(
         k.alias("market"), F.concat(F.lit("C"), (k % 50).cast("string")).alias("city"), (k % 4 * 10 + 20).cast("double").alias("threshold"),
@@ -223,7 +225,7 @@ def bucket_probabilities(spark: SparkSession, sf: str) -> DataFrame:
  where source_receipt_time is null or source_receipt_time>decision_time_utc or stddev_f is null group by 1,2"""))
 def bucket_rejections(spark: SparkSession, sf: str) -> DataFrame:
     _, bad = models.bucket_probabilities(shapes.forecasts(spark, sf), shapes.buckets(spark, sf))
-    return bad.groupBy("model_name", "reason").agg(COUNT.alias("n"))
+    return bad.groupBy("model_name", "reason").agg(count_rows().alias("n"))
 
 
 def settled_labels(spark: SparkSession, sf: str) -> DataFrame:
@@ -246,7 +248,8 @@ def bucket_skill(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- post-processors
 
 FIT_CLOCK = "timestamp '2024-01-22 00:00:00'"
-FIT_CLOCK_COL = F.lit("2024-01-22 00:00:00").cast("timestamp")
+def fit_clock_col() -> Column:
+    return F.lit("2024-01-22 00:00:00").cast("timestamp")
 LEVEL_COLS = aggregates.LEVELS
 ZONED = ("zf", "select * exclude (city), 'z' || (station%5) as city, cast(round_even(lead_hours/6,0)*6 as int) as lead_bucket, strftime(outcome_local_date,'%m') as month from forecasts")
 LAST_LABEL = ("lastlab", "select event_ticker, arg_max(row(label_available_ts, observed_f), row(label_available_ts, observed_f)) as r from event_labels where label_available_ts is not null and observed_f is not null group by 1")
@@ -258,7 +261,7 @@ def zoned_forecasts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def train_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return models.training_rows(zoned_forecasts(spark, sf), shapes.event_labels(spark, sf), FIT_CLOCK_COL)
+    return models.training_rows(zoned_forecasts(spark, sf), shapes.event_labels(spark, sf), fit_clock_col())
 
 
 def fit_ctes(columns: str, where: str = "true", source: str = "train", extra: tuple[str, ...] = ()) -> list[tuple[str, str]]:
@@ -352,7 +355,7 @@ def persistence_probability(spark: SparkSession, sf: str) -> DataFrame:
 @query("m17_probability_rejections", with_views(("obs",), """select case when station%10=3 then 'missing_contract_terms' when event_id%9=0 then 'unverified_settlement_station' else 'missing_baseline_provenance' end as reason, count(*) as n from obs where station%10=3 or event_id%9=0 or event_id%41=0 group by 1"""))
 def probability_rejections(spark: SparkSession, sf: str) -> DataFrame:
     _, bad = models.persistence_probability(*probability_inputs(spark, sf))
-    return bad.groupBy("reason").agg(COUNT.alias("n"))
+    return bad.groupBy("reason").agg(count_rows().alias("n"))
 
 
 def probability_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -402,7 +405,7 @@ def quote_edges(spark: SparkSession, sf: str) -> DataFrame:
 @query("m18_quote_rejections", with_views(("forecasts", "buckets"), f"select {QUOTE_REASON} as reason, count(*) as n from qf where {QUOTE_REASON} is not null group by 1", QUOTE_EDGE, QUOTE_FC))
 def quote_rejections(spark: SparkSession, sf: str) -> DataFrame:
     _, bad = models.quote_edges(*quote_inputs(spark, sf), fee_rate=0.02, slippage_cents=1.0)
-    return bad.groupBy("reason").agg(COUNT.alias("n"))
+    return bad.groupBy("reason").agg(count_rows().alias("n"))
 
 
 @query("m19_cloud_adjusted", with_views(("labels_daily",), f"""
@@ -472,7 +475,7 @@ def decision_features(spark: SparkSession, sf: str) -> DataFrame:
  from ct left join co using (market_ticker) left join cf using (market_ticker) left join s using (station) where co.n is null and cf.n is null group by 1""", CONTRACTS, CONTRACT_OBS, CONTRACT_FC))
 def decision_join_reasons(spark: SparkSession, sf: str) -> DataFrame:
     _, bad = features.decision_features(feature_contracts(spark, sf), state_queries.temperature_rows(spark, sf), target_forecasts(spark, sf))
-    return bad.groupBy("reason").agg(COUNT.alias("n"))
+    return bad.groupBy("reason").agg(count_rows().alias("n"))
 
 
 def admission_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
@@ -498,7 +501,7 @@ ADMIT = """select k, list_filter([case when k%4=0 then (case when k%8=0 then 'la
 def admission(spark: SparkSession, sf: str) -> DataFrame:
     good, bad = features.admit(*admission_inputs(spark, sf))
     both = good.select(F.lit("accepted").alias("reason"), F.lit("").alias("reason_codes")).unionByName(bad.select("reason", "reason_codes"))
-    return both.groupBy("reason", "reason_codes").agg(COUNT.alias("n"))
+    return both.groupBy("reason", "reason_codes").agg(count_rows().alias("n"))
 
 
 # ---------------------------------------------------------------- evaluation

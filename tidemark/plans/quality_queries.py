@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clocks
@@ -13,8 +13,10 @@ from .registry import query
 from .shapes import q6, q6_sql, stamp, stamp_sql, table, with_views
 from .source_queries import folder, frame_lines
 
-COUNT = F.count(F.lit(1))
-AS_OF = F.lit("2024-01-20 00:00:00").cast("timestamp")
+def count_rows() -> Column:
+    return F.count(F.lit(1))
+def as_of() -> Column:
+    return F.lit("2024-01-20 00:00:00").cast("timestamp")
 
 
 @query("q01_gate_suite", with_views(("forecasts", "labels_daily"), """
@@ -24,7 +26,7 @@ AS_OF = F.lit("2024-01-20 00:00:00").cast("timestamp")
 def gate_suite(spark: SparkSession, sf: str) -> DataFrame:
     f = shapes.forecasts(spark, sf)
     return quality.gate_suite({
-        "forecast_receipts": quality.timestamp_gate(f, F.col("source_receipt_time"), F.col("source_receipt_time"), AS_OF),
+        "forecast_receipts": quality.timestamp_gate(f, F.col("source_receipt_time"), F.col("source_receipt_time"), as_of()),
         "label_keys": quality.duplicate_gate(shapes.labels_daily(spark, sf), ["station", "date"])})
 
 
@@ -42,7 +44,7 @@ def file_manifest(spark: SparkSession, sf: str) -> DataFrame:
     manifest = d.where(k % 10 != 0).select(
         "path", F.when(k % 7 == 0, "stale").otherwise(F.sha2("text", 256)).alias("sha256"), F.length("text").alias("bytes"),
         F.when(k % 13 == 0, F.lit("2030-01-01")).otherwise("2020-01-01").cast("timestamp").alias("retrieved_at"))
-    return quality.file_gate(manifest, files, AS_OF).select("rows", "missing_file", "unindexed_file", "hash_mismatch", "future_receipt")
+    return quality.file_gate(manifest, files, as_of()).select("rows", "missing_file", "unindexed_file", "hash_mismatch", "future_receipt")
 
 
 @query("q04_quarantine_coverage", "select count(*) as empty_payload, count(*) filter (doc_id%3<>0) as unquarantined_empty from documents where doc_id not in (select doc_id from labels)")
@@ -90,7 +92,7 @@ def manifest_validation(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("run"), c.cast("string")).alias("id"), F.when((c % 3 == 1) & (c % 2 == 0), F.lit("2030-01-01").cast("timestamp")).otherwise(late).alias("receipt_time"))
     seen = o.agg(F.min("o_orderdate").alias("receipt_time")).select(F.lit("o1").alias("id"), "receipt_time")
     out = quality.validate_manifests(manifests, contracts, runs, seen)
-    return out.groupBy(F.array_join("errors", ";").alias("errors")).agg(COUNT.alias("n"))
+    return out.groupBy(F.array_join("errors", ";").alias("errors")).agg(count_rows().alias("n"))
 
 
 @query("q07_provenance_indexes", with_views(("obs",), "select 'observation' as kind, case when station%4=0 then 'non_target_station' else 'missing_raw_path' end as reason, count(*) as n from obs where station%4=0 or event_id%21=0 group by 1,2 union all select 'source', 'missing_raw_sha256', count(*) from lineitem where l_partkey%17=0"))
@@ -101,7 +103,7 @@ def provenance_indexes(spark: SparkSession, sf: str) -> DataFrame:
     fc = li.select(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate").alias("source_run_id"), F.col("l_shipdate").alias("receipt"), F.lit("i").alias("initialization"), F.lit("p").alias("raw_path"),
                    F.when(F.col("l_partkey") % 17 != 0, "h").alias("raw_sha256"))
     _, _, bad = quality.provenance_indexes(fc, obs, ["near"])
-    return bad.groupBy("kind", "reason").agg(COUNT.alias("n"))
+    return bad.groupBy("kind", "reason").agg(count_rows().alias("n"))
 
 
 @query("q08_label_sanity", with_views(("labels_daily",), f"select city, count(*) as rows, count(*) as unique_dates, 0::bigint as duplicate_dates, cast(min(date) as varchar) as first_date, {q6_sql('max(tmax_f)')} as tmax_top, 0::bigint as tmax_lt_tmin from labels_daily group by 1"))
@@ -147,7 +149,7 @@ def example_join(spark: SparkSession, sf: str) -> DataFrame:
 @query("q12_quote_audit", "select count(*) as rows, count(*) filter (o_orderkey%12=0) as non_finite, (select count(*) from orders) as expected_rows, false as pass from orders")
 def quote_audit(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders").select(F.when(F.col("o_orderkey") % 12 == 0, F.lit(float("nan"))).otherwise(F.lit(1.0)).alias("bid"), F.lit(2.0).alias("ask"))
-    return quality.quote_audit(o, ["bid", "ask"], table(spark, sf, "orders").agg(COUNT.alias("expected_rows")))
+    return quality.quote_audit(o, ["bid", "ask"], table(spark, sf, "orders").agg(count_rows().alias("expected_rows")))
 
 
 # ---------------------------------------------------------------- streams
@@ -163,7 +165,7 @@ def raw_append(spark: SparkSession, sf: str) -> DataFrame:
     frames = jobs.raw_frames(jobs.read_frames(spark, _lines_dir(spark, sf)))
     out = folder(spark, "bronze")
     jobs.append_table(frames.select("value", "valid", "message_type", "frame_sha"), out, folder(spark, "offsets")).awaitTermination()
-    return spark.read.parquet(out).groupBy("message_type", "valid").agg(COUNT.alias("n"))
+    return spark.read.parquet(out).groupBy("message_type", "valid").agg(count_rows().alias("n"))
 
 
 @query("r02_duplicate_frames", "select count(*) as n from events where event_id%97<>0 and event_id%3<>2")
@@ -173,7 +175,7 @@ def duplicate_frames(spark: SparkSession, sf: str) -> DataFrame:
     frames = jobs.raw_frames(jobs.read_frames(spark, path, 1000)).where(F.col("valid") & F.col("received_at").isNotNull())
     out = folder(spark, "distinct")
     jobs.append_table(jobs.distinct_frames(frames, "400 days").select("frame_sha"), out, folder(spark, "offsets")).awaitTermination()
-    return spark.read.parquet(out).agg(COUNT.alias("n"))
+    return spark.read.parquet(out).agg(count_rows().alias("n"))
 
 
 def _book_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -193,7 +195,7 @@ SEQ_SQL = """, h as (select *, max(seq) over (partition by sid order by received
 def sequence_events(spark: SparkSession, sf: str) -> DataFrame:
     out = folder(spark, "health")
     jobs.append_table(_book_stream(spark, sf), out, folder(spark, "offsets")).awaitTermination()
-    return spark.read.parquet(out).groupBy("sid", "event").agg(COUNT.alias("n"))
+    return spark.read.parquet(out).groupBy("sid", "event").agg(count_rows().alias("n"))
 
 
 @query("r04_live_books", with_views(("book",), f"""{SEQ_SQL}, a as (select *, coalesce(seq>pm+1,false) as gap, type='orderbook_snapshot' as snap, row_number() over (order by received_ts, event_id) as pos from h where not coalesce(seq<=pm,false)),
@@ -203,13 +205,13 @@ def live_books(spark: SparkSession, sf: str) -> DataFrame:
     out = folder(spark, "books")
     jobs.append_table(_book_stream(spark, sf), out, folder(spark, "offsets")).awaitTermination()
     kept = spark.read.parquet(out).where(F.col("event") != "stale")
-    return kept.groupBy("sid").agg(COUNT.alias("accepted"), F.count_if("quarantined").alias("quarantined"))
+    return kept.groupBy("sid").agg(count_rows().alias("accepted"), F.count_if("quarantined").alias("quarantined"))
 
 
 @query("r05_late_data_view", with_views(("feature_rows",), "select source, count(*) as n from feature_rows where source_event_time<=timestamp '2024-01-10' and coalesce(available_at, retrieved_at)<=timestamp '2024-01-10' group by 1"))
 def late_data_view(spark: SparkSession, sf: str) -> DataFrame:
     rows = shapes.feature_rows(spark, sf).withColumn("receipt", F.coalesce("available_at", "retrieved_at"))
-    return jobs.asof_view(rows, F.lit("2024-01-10 00:00:00").cast("timestamp"), "source_event_time", "receipt").groupBy("source").agg(COUNT.alias("n"))
+    return jobs.asof_view(rows, F.lit("2024-01-10 00:00:00").cast("timestamp"), "source_event_time", "receipt").groupBy("source").agg(count_rows().alias("n"))
 
 
 @query("r06_type_routing", "select case when event_id%97=0 then 'unknown' when event_id%5=0 then 'orderbook_snapshot' else 'orderbook_delta' end as message_type, count(*) as n from events group by 1")
@@ -217,7 +219,7 @@ def type_routing(spark: SparkSession, sf: str) -> DataFrame:
     frames = jobs.raw_frames(jobs.read_frames(spark, _lines_dir(spark, sf))).select("value", "message_type")
     out = folder(spark, "routed")
     jobs.append_table(frames, out, folder(spark, "offsets"), ["message_type"]).awaitTermination()
-    return spark.read.parquet(out).groupBy("message_type").agg(COUNT.alias("n"))
+    return spark.read.parquet(out).groupBy("message_type").agg(count_rows().alias("n"))
 
 
 @query("r07_incremental_ledger", "select count(*) as n, count(distinct o_custkey) as ids from (select distinct o_custkey from orders)")
@@ -227,7 +229,7 @@ def incremental_ledger(spark: SparkSession, sf: str) -> DataFrame:
     rows.repartition(4).write.parquet(path)
     stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(path)
     jobs.ingest_new(stream, out, folder(spark, "offsets"))
-    return spark.read.parquet(out).agg(COUNT.alias("n"), F.countDistinct("record_id").alias("ids"))
+    return spark.read.parquet(out).agg(count_rows().alias("n"), F.countDistinct("record_id").alias("ids"))
 
 
 @query("r08_snapshot_upsert", f"select o_custkey as k, {stamp_sql('min(o_orderdate)')} as receipt from orders group by 1")

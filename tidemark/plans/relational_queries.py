@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clocks, numeric
@@ -12,7 +12,8 @@ from . import shapes
 from .registry import query
 from .shapes import q6, q6_sql, stamp, stamp_sql, table, with_views
 
-COUNT = F.count(F.lit(1))
+def count_rows() -> Column:
+    return F.count(F.lit(1))
 
 
 # ---------------------------------------------------------------- filters
@@ -23,32 +24,33 @@ COUNT = F.count(F.lit(1))
  from forecasts group by 1,2,3"""))
 def available_asof(spark: SparkSession, sf: str) -> DataFrame:
     marked = filters.mark_available(shapes.forecasts(spark, sf), F.col("decision_time_utc"))
-    return marked.groupBy("model_name", "temp_type", F.coalesce("reason", F.lit("admitted")).alias("reason")).agg(COUNT.alias("n"))
+    return marked.groupBy("model_name", "temp_type", F.coalesce("reason", F.lit("admitted")).alias("reason")).agg(count_rows().alias("n"))
 
 
 AS_OF = "timestamp '2024-01-15 00:00:00'"
-AS_OF_COL = F.lit("2024-01-15 00:00:00").cast("timestamp")
+def as_of_col() -> Column:
+    return F.lit("2024-01-15 00:00:00").cast("timestamp")
 
 
 @query("p02_known_forecasts", with_views(("forecasts",), f"""
  select event_ticker, model_name, {stamp_sql('source_receipt_time')} as receipt from forecasts
  where forecast_issue_time<={AS_OF} and source_receipt_time<={AS_OF}"""))
 def known_forecasts(spark: SparkSession, sf: str) -> DataFrame:
-    out = filters.known_forecasts(shapes.forecasts(spark, sf), AS_OF_COL)
+    out = filters.known_forecasts(shapes.forecasts(spark, sf), as_of_col())
     return out.select("event_ticker", "model_name", stamp(F.col("source_receipt_time")).alias("receipt"))
 
 
 @query("p03_valid_forecasts", with_views(("forecasts",), f"""
  select event_ticker, model_name from forecasts where forecast_issue_time<={AS_OF} and source_receipt_time<={AS_OF} and outcome_local_date<={AS_OF}"""))
 def valid_forecasts(spark: SparkSession, sf: str) -> DataFrame:
-    out = filters.valid_forecasts(shapes.forecasts(spark, sf), AS_OF_COL, "outcome_local_date")
+    out = filters.valid_forecasts(shapes.forecasts(spark, sf), as_of_col(), "outcome_local_date")
     return out.select("event_ticker", "model_name")
 
 
 @query("p04_known_labels", with_views(("labels_daily",), f"""
  select station, cast(date as varchar) as date, {q6_sql('tmax_f')} as tmax_f from labels_daily where label_available_ts<={AS_OF}"""))
 def known_labels(spark: SparkSession, sf: str) -> DataFrame:
-    out = filters.known_labels(shapes.labels_daily(spark, sf), AS_OF_COL)
+    out = filters.known_labels(shapes.labels_daily(spark, sf), as_of_col())
     return out.select("station", F.col("date").cast("string").alias("date"), q6(F.col("tmax_f")).alias("tmax_f"))
 
 
@@ -71,7 +73,7 @@ def value_domain(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("o_orderkey") % 110 / F.lit(100.0)).alias("p"), (F.col("o_custkey") % 3).alias("y"),
         (F.col("o_orderkey") % 7 / F.lit(6.0)).alias("price"))
     reason = filters.probability_reason(F.col("p"), F.col("y"), F.col("price"))
-    return o.groupBy(F.coalesce(reason, F.lit("valid")).alias("reason")).agg(COUNT.alias("n"))
+    return o.groupBy(F.coalesce(reason, F.lit("valid")).alias("reason")).agg(count_rows().alias("n"))
 
 
 @query("p08_scope_filter", """
@@ -80,7 +82,7 @@ def value_domain(spark: SparkSession, sf: str) -> DataFrame:
 def scope_filter(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     reason = filters.scope_reason(F.col("n_name"), ("NATION_1", "NATION_3", "NATION_5"), (F.col("c_acctbal") < 0, "missing_value"))
-    return rows.groupBy(F.coalesce(reason, F.lit("accepted")).alias("reason")).agg(COUNT.alias("n"))
+    return rows.groupBy(F.coalesce(reason, F.lit("accepted")).alias("reason")).agg(count_rows().alias("n"))
 
 
 @query("p09_settlement_window", with_views(("obs",), f"""
@@ -149,7 +151,7 @@ def derived_prices(spark: SparkSession, sf: str) -> DataFrame:
 def source_era(spark: SparkSession, sf: str) -> DataFrame:
     rows = filters.source_era(
         table(spark, sf, "orders"), F.col("o_orderdate"), F.lit("1997-06-01").cast("timestamp"), F.col("o_orderstatus"), "F", "O")
-    return rows.groupBy("era", F.coalesce("reason", F.lit("match")).alias("reason")).agg(COUNT.alias("n"))
+    return rows.groupBy("era", F.coalesce("reason", F.lit("match")).alias("reason")).agg(count_rows().alias("n"))
 
 
 # ---------------------------------------------------------------- joins
@@ -172,7 +174,7 @@ def left_with_fallback(spark: SparkSession, sf: str) -> DataFrame:
     good, bad = joins.lookup_or_reject(
         shapes.forecasts(spark, sf), labels, ["event_ticker"], [F.col("label_available_ts"), F.col("observed_f")], ["observed_f"], "missing_proxy_label")
     both = good.select("model_name", F.lit("accepted").alias("reason")).unionByName(bad.select("model_name", "reason"))
-    return both.groupBy("reason", "model_name").agg(COUNT.alias("n"))
+    return both.groupBy("reason", "model_name").agg(count_rows().alias("n"))
 
 
 @query("j03_missing_references", with_views(("candles", "outcomes"), "select distinct market_ticker from candles where market_ticker not in (select market_ticker from outcomes)"))
@@ -183,7 +185,7 @@ def missing_references(spark: SparkSession, sf: str) -> DataFrame:
 @query("j04_key_membership", with_views(("candles", "outcomes"), "select market_ticker, count(*) as n from candles where market_ticker in (select market_ticker from outcomes) group by 1"))
 def key_membership(spark: SparkSession, sf: str) -> DataFrame:
     kept = joins.present_in(shapes.candles(spark, sf), shapes.outcomes(spark, sf), ["market_ticker"])
-    return kept.groupBy("market_ticker").agg(COUNT.alias("n"))
+    return kept.groupBy("market_ticker").agg(count_rows().alias("n"))
 
 
 @query("j08_label_after_decision", with_views(("forecasts", "event_labels"), """
@@ -194,7 +196,7 @@ def key_membership(spark: SparkSession, sf: str) -> DataFrame:
 def label_after_decision(spark: SparkSession, sf: str) -> DataFrame:
     out = joins.label_after(shapes.forecasts(spark, sf), shapes.event_labels(spark, sf))
     return out.groupBy("model_name", F.coalesce("label_reason", F.lit("scored")).alias("reason")).agg(
-        COUNT.alias("n"), q6(F.sum("observed_f"), 4).alias("total"))
+        count_rows().alias("n"), q6(F.sum("observed_f"), 4).alias("total"))
 
 
 def portal_contracts(spark: SparkSession, sf: str) -> DataFrame:
@@ -228,7 +230,7 @@ def exact_time_newest(spark: SparkSession, sf: str) -> DataFrame:
  select model_name, temp_type, b.bucket_floor_f, b.bucket_ceil_f, count(*) as n from forecasts join (select event_ticker, bucket_floor_f, bucket_ceil_f from buckets) b using (event_ticker) group by 1,2,3,4"""))
 def bucket_expansion(spark: SparkSession, sf: str) -> DataFrame:
     wide, _ = joins.expand_buckets(shapes.forecasts(spark, sf), shapes.buckets(spark, sf))
-    return wide.groupBy("model_name", "temp_type", "bucket_floor_f", "bucket_ceil_f").agg(COUNT.alias("n"))
+    return wide.groupBy("model_name", "temp_type", "bucket_floor_f", "bucket_ceil_f").agg(count_rows().alias("n"))
 
 
 GRID = ("select {key} as id, -60 + ({key}*37)%120 + ({key}%7)/10e0 as lat, -180 + ({key}*53)%360 + ({key}%11)/10e0 as lon from {table}")
@@ -267,7 +269,7 @@ def spatial_neighbours(spark: SparkSession, sf: str) -> DataFrame:
  select o_orderkey, c_custkey, n_name, r_name, l.items from orders left join customer on o_custkey=c_custkey left join nation on c_nationkey=n_nationkey left join region on n_regionkey=r_regionkey
  left join (select l_orderkey, count(*) as items from lineitem group by 1) l on l_orderkey=o_orderkey where l.items is not null""")
 def event_metadata_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    items = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(COUNT.alias("items"))
+    items = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(count_rows().alias("items"))
     return (
         table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
         .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
@@ -421,7 +423,7 @@ def fallback_levels(spark: SparkSession, sf: str) -> DataFrame:
  {q6_sql('sqrt(var_pop(observed_f)-2*regr_slope(observed_f,mean_f)*covar_pop(observed_f,mean_f)+pow(regr_slope(observed_f,mean_f),2)*var_pop(mean_f))', 5)} as residual_rms from fit group by 1,2""", FIT))
 def group_regression(spark: SparkSession, sf: str) -> DataFrame:
     line = aggregates.regression("mean_f", "observed_f")
-    out = fit_rows(spark, sf).groupBy("city", "model_name").agg(COUNT.alias("n"), *[F.expr(sql).alias(n) for n, sql in line.items()])
+    out = fit_rows(spark, sf).groupBy("city", "model_name").agg(count_rows().alias("n"), *[F.expr(sql).alias(n) for n, sql in line.items()])
     return out.select("city", "model_name", "n", *[q6(F.col(n), 5).alias(n) for n in line])
 
 
@@ -459,7 +461,7 @@ def deviation_summary(spark: SparkSession, sf: str) -> DataFrame:
 def status_counters(spark: SparkSession, sf: str) -> DataFrame:
     text = F.when(F.col("source_receipt_time").isNull(), "").when(F.col("station") % 50 == 0, "soon").otherwise(clocks.render_utc(F.col("source_receipt_time")))
     rows = shapes.forecasts(spark, sf).withColumn("clock_text", text)
-    return aggregates.clock_status(rows, F.col("clock_text"), clocks.parse_utc(F.col("clock_text")), AS_OF_COL)
+    return aggregates.clock_status(rows, F.col("clock_text"), clocks.parse_utc(F.col("clock_text")), as_of_col())
 
 
 @query("a20_conflicting_runs", "select l_orderkey, l_linenumber, sum(n)::bigint as repeats, count(*) as identities from (select l_orderkey, l_linenumber, l_shipdate, l_partkey, count(*) as n from lineitem group by 1,2,3,4) group by 1,2 having sum(n)>1")

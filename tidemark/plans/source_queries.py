@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clocks, encode, numeric, text
@@ -15,7 +15,8 @@ from .model_queries import cdf_sql
 from .registry import query
 from .shapes import q6, q6_sql, stamp, stamp_sql, table, with_views
 
-COUNT = F.count(F.lit(1))
+def count_rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def folder(spark: SparkSession, name: str) -> str:
@@ -54,7 +55,7 @@ def frame_lines(spark: SparkSession, sf: str) -> DataFrame:
 @query("s03_jsonl_unwrap", "select case when event_id%97=0 then '' else case when event_id%5=0 then 'orderbook_snapshot' else 'orderbook_delta' end end as type, event_id%97<>0 as valid, count(*) as n from events group by 1,2")
 def jsonl_unwrap(spark: SparkSession, sf: str) -> DataFrame:
     out = json_products.unwrap_messages(frame_lines(spark, sf))
-    return out.groupBy(F.coalesce("message.type", F.lit("")).alias("type"), "valid").agg(COUNT.alias("n"))
+    return out.groupBy(F.coalesce("message.type", F.lit("")).alias("type"), "valid").agg(count_rows().alias("n"))
 
 
 @query("s04_nested_markets", """select o_custkey::varchar as event_ticker, o_orderkey::varchar as market_ticker, round_even((o_orderkey%50/100e0+(o_orderkey%50+2+2*(o_orderkey%3))/100e0)/2,2) as mid_price, 'S' || o_custkey%9 as series_title from orders""")
@@ -205,7 +206,7 @@ def twin_output(spark: SparkSession, sf: str) -> DataFrame:
     a, b = folder(spark, "accepted"), folder(spark, "rejected")
     tables.write_twin(o, "reason", a, b)
     both = spark.read.parquet(a).select(F.lit("accepted").alias("side")).unionByName(spark.read.parquet(b).select(F.lit("rejected").alias("side")))
-    return both.groupBy("side").agg(COUNT.alias("n"))
+    return both.groupBy("side").agg(count_rows().alias("n"))
 
 
 @query("s19_keyed_store", "select o_custkey, coalesce(arg_max(nullif(case when o_orderkey%3=0 then '' else o_orderpriority end,''), o_orderkey) filter (o_orderkey=m), '-') as priority from (select *, max(o_orderkey) over (partition by o_custkey) as m from orders) group by 1")
@@ -228,7 +229,7 @@ def glob_union(spark: SparkSession, sf: str) -> DataFrame:
     path = folder(spark, "glob")
     table(spark, sf, "events").select("event_id", "event_type").write.partitionBy("event_type").option("header", True).csv(path)
     out = tables.read_csv_glob(spark, f"{path}/*/*.csv", ["event_id"], r"event_type=([a-z]+)/")
-    return out.groupBy("file_part").agg(COUNT.alias("n"))
+    return out.groupBy("file_part").agg(count_rows().alias("n"))
 
 
 @query("s22_model_runs", "select substr(sha256(provider || '|' || model || '|' || init || '|' || raw),1,32) as run_id, min(provider) as provider from (select 'GFS' as provider, 'm' || o_custkey%5 as model, strftime(o_orderdate,'%Y-%m-%d') as init, 'raw/' || o_orderstatus as raw from orders union all select 'LAMP', 'm' || o_custkey%5, strftime(o_orderdate,'%Y-%m-%d'), 'raw/' || o_orderpriority from orders) group by 1")
@@ -324,7 +325,7 @@ UNITS = (("2t", 1.8, -459.67), ("10u", 2.2369362920544, 0.0), ("prmsl", 0.01, 0.
 def unit_conversion(spark: SparkSession, sf: str) -> DataFrame:
     units = spark.createDataFrame(UNITS, "code string, scale double, shift double")
     li = table(spark, sf, "lineitem").withColumn("code", shapes.pick([u[0] for u in UNITS], F.col("l_linenumber") % 4))
-    return li.join(F.broadcast(units), "code").groupBy("l_orderkey", "l_linenumber").agg(COUNT.alias("n"), q6(F.sum(F.col("l_extendedprice") * F.col("scale") + F.col("shift")), 2).alias("total"))
+    return li.join(F.broadcast(units), "code").groupBy("l_orderkey", "l_linenumber").agg(count_rows().alias("n"), q6(F.sum(F.col("l_extendedprice") * F.col("scale") + F.col("shift")), 2).alias("total"))
 
 
 @query("f11_whole_degree", "select event_id, cast(case when value-50>=0 then floor(value-50+0.5e0) else ceil(value-50-0.5e0) end as bigint) as degree from events")
