@@ -371,3 +371,13 @@ def issuance_slots(reports: DataFrame) -> DataFrame:
     return reports.withColumn("__t", hhmm).groupBy(
         "city", F.when(F.col("__t") < "04:00", "00xxZ").otherwise("08xxZ").alias("slot")
     ).agg(F.min("__t").alias("first"), F.max("__t").alias("last"), F.count(F.lit(1)).alias("products"))
+
+
+def price_scenarios(edges: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Rows, positive candidates and mean, least and greatest net edge of each cost scenario."""
+    cells = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("scenario"), clocks.finite(F.col(column)).alias("v")) for name, column in columns.items()])).alias("s")
+    v = F.col("s.v")
+    return edges.select(cells).groupBy("s.scenario").agg(
+        F.count(v).alias("rows"), F.count_if(v > 0).alias("positive_candidates"), F.avg(v).alias("mean_net_edge"),
+        F.min(v).alias("min_net_edge"), F.max(v).alias("max_net_edge"))

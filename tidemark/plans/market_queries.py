@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import book, joins, market
+from ..operators import book, evaluate, joins, market
 from . import shapes
 from .registry import query
 from .shapes import q6, q6_sql, stamp, stamp_sql, table, with_views
@@ -201,3 +201,9 @@ def book_reconciliation(spark: SparkSession, sf: str) -> DataFrame:
     first = history.join(newest, ["market_ticker", "snapshot_no"]).groupBy("market_ticker", "side", "price").agg(F.min_by("qty", F.struct(*book.ARRIVAL)).alias("qty"))
     diff = joins.reconcile_levels(book.current_levels(history), first, ["market_ticker", "side", "price"])
     return diff.groupBy("market_ticker").agg(count_rows().alias("mismatches"))
+
+
+@query("e11_price_scenarios", with_views(("signals", "candles", "outcomes"), f"select s.scenario, count(*) as rows, count(*) filter (v>0) as positive_candidates, {q6_sql('avg(v)', 5)} as mean_net_edge, {q6_sql('min(v)', 5)} as min_net_edge, {q6_sql('max(v)', 5)} as max_net_edge from (select unnest([row('yes', yes_edge), row('no', no_edge)]) as r from edges) x, lateral (select r[1] as scenario, r[2] as v) s group by 1", EDGES))
+def price_scenarios(spark: SparkSession, sf: str) -> DataFrame:
+    out = evaluate.price_scenarios(_edges(spark, sf), {"yes": "yes_edge_after_cost", "no": "no_edge_after_cost"})
+    return out.select("scenario", "rows", "positive_candidates", *[q6(F.col(c), 5).alias(c) for c in ("mean_net_edge", "min_net_edge", "max_net_edge")])

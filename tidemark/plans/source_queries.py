@@ -11,7 +11,7 @@ from ..functions import clocks, encode, numeric, text
 from ..session import ensure_checkpoint_dir
 from ..sources import json_products, tables, text_products
 from . import shapes
-from .model_queries import cdf_sql
+from .model_queries import cdf_sql, crps_sql
 from .registry import query
 from .shapes import q6, q6_sql, stamp, stamp_sql, table, with_views
 
@@ -414,3 +414,14 @@ def series_type(spark: SparkSession, sf: str) -> DataFrame:
     ticker = shapes.pick(["KXTEMPNY", "KXHIGHNY", "KXLOWTNY", "KXRAIN"], k % 4)
     climate = text.is_temperature_series(F.when(k % 2 == 0, "Climate and Weather").otherwise("x"), F.array(F.lit("y")), F.lit("t"), ticker)
     return table(spark, sf, "customer").select("c_custkey", climate.alias("temperature"), text.series_type(ticker).alias("kind"))
+
+
+@query("f13_gaussian_crps", f"select event_id, {q6_sql(crps_sql('40e0', 'value', '15e0'), 7)} as crps from events")
+def gaussian_crps(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").select("event_id", q6(numeric.gaussian_crps(F.lit(40.0), F.col("value"), F.lit(15.0)), 7).alias("crps"))
+
+
+@query("f16_great_circle", f"select c_custkey, {q6_sql('2*6371.0088e0*asin(sqrt(pow(sin(radians(33.5e0-(c_custkey%60))/2),2)+cos(radians(c_custkey%60))*cos(radians(33.5e0))*pow(sin(radians(-112.0e0-(c_custkey%90))/2),2)))', 4)} as km from customer")
+def great_circle(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("c_custkey")
+    return table(spark, sf, "customer").select("c_custkey", q6(numeric.haversine_km(k % 60, k % 90, F.lit(33.5), F.lit(-112.0)), 4).alias("km"))
