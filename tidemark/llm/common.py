@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,11 +37,13 @@ class Memo(dict):
     Hits are plain dictionary lookups, so ``map(memo.__getitem__, words)`` runs without Python calls.
     """
 
-    def __init__(self, compute: Callable[[Any], Any], limit: int = 300_000) -> None:
+    def __init__(self, compute: Callable[[Any], Any], limit: int = 300_000, longest: int = 64) -> None:
         super().__init__()
-        self.compute, self.limit, self.older = compute, limit, {}
+        self.compute, self.limit, self.longest, self.older = compute, limit, longest, {}
 
     def __missing__(self, key: Any) -> Any:
+        if len(key) > self.longest:  # rare and large
+            return self.compute(key)
         value = self.older.get(key)
         if value is None:
             value = self.compute(key)
@@ -53,3 +55,21 @@ class Memo(dict):
             self.older = dict(self)
             self.clear()
         self[key] = value
+
+
+def pieces(text: str, size: int = 200_000) -> Iterator[str]:
+    """``text`` in order, cut only before a single space between a letter and a letter, about every ``size`` characters.
+
+    No tokenizer here joins anything across such a place, so a very long text needs no more memory than a piece.
+    """
+    start, at = 0, size
+    while len(text) - start > size:
+        at = text.find(" ", at)
+        if at < 0 or at + 1 >= len(text):
+            break
+        if text[at - 1].isalpha() and text[at + 1].isalpha():
+            yield text[start:at]
+            start, at = at, at + size
+        else:
+            at += 1
+    yield text[start:]
