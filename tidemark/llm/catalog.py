@@ -1,6 +1,6 @@
 """All registered queries of the corpus operators."""
 
-from . import contamination_queries, dedup_queries, quality_queries, token_queries, url_queries  # noqa: F401
+from . import contamination_queries, dedup_queries, quality_queries, substring_queries, token_queries, url_queries  # noqa: F401
 from .registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]
