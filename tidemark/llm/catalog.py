@@ -1,6 +1,6 @@
 """All registered queries of the corpus operators."""
 
-from . import archive_queries, contamination_queries, dedup_queries, quality_queries, secret_queries, substring_queries, token_queries, url_queries  # noqa: F401
+from . import ann_queries, archive_queries, contamination_queries, dedup_queries, quality_queries, secret_queries, substring_queries, token_queries, url_queries  # noqa: F401
 from .registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]
