@@ -142,13 +142,21 @@ def secret_spans(docs: DataFrame, rate: float = 0.05, key: str = "doc_id", text:
     return spans.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "rank", "kind", "stop"))).alias("spans"))
 
 
-def scan_secrets(docs: DataFrame, rate: float = 0.05, key: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The ``keep`` columns of ``docs`` (the key by default) with ``secret_spans``, an array that is empty where there are none."""
+def scan_secrets(docs: DataFrame, rate: float = 0.05, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, secret_spans) per row; the array is empty where there are none."""
     spans = secret_spans(docs, rate, key, text)
-    kept = [F.col(name) for name in keep or [key]]
-    whole = docs.select(F.struct(*kept).alias("kept"), _row_key(key, text).alias("own"))
-    return (whole.join(spans, whole["own"] == spans["row"], "left")
-            .select("kept.*", F.coalesce("spans", F.array().cast(spans.schema["spans"].dataType)).alias("secret_spans")))
+    rows = docs.select(F.col(key), _row_key(key, text).alias("own"))
+    return rows.join(spans, rows["own"] == spans["row"], "left").select(
+        key, F.coalesce("spans", F.array().cast(spans.schema["spans"].dataType)).alias("secret_spans"))
+
+
+def mask_secrets(docs: DataFrame, into: str, rate: float = 0.05, key: str = "doc_id", text: str = "text", mask: str = "[secret]") -> DataFrame:
+    """``docs`` with a column ``into``: the text with its secret spans replaced by ``mask``."""
+    spans = secret_spans(docs, rate, key, text)
+    rows = docs.select(F.struct("*").alias("kept"), _row_key(key, text).alias("own"))
+    joined = rows.join(spans, rows["own"] == spans["row"], "left").withColumn("body", F.col(f"kept.{text}"))
+    masked = F.when(F.col("spans").isNull(), F.col("body")).otherwise(redact(F.col("body"), F.col("spans"), mask))
+    return joined.select("kept.*", masked.alias(into))
 
 
 def span_text(spans: Column) -> Column:
