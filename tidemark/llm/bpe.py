@@ -57,7 +57,7 @@ class Codec:
         for rank, merge in enumerate(spec["model"]["merges"]):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
             made = vocabulary[left + right]
-            if not max(born[vocabulary[left]], born[vocabulary[right]]) < rank:
+            if not max(born.get(vocabulary[left], rank), born.get(vocabulary[right], rank)) < rank:
                 raise ValueError("a merge comes before its parts, so ranks can't be applied in ascending order")
             born.setdefault(made, rank)
             self.pairs.append((vocabulary[left], vocabulary[right]))

@@ -84,7 +84,7 @@ def randomness(tokens: DataFrame) -> DataFrame:
     chi = -F.col("n")
     for g in range(SLICES):
         width = F.ceil((g + 1) * F.col("k") / SLICES) - F.ceil(g * F.col("k") / SLICES)
-        seen = F.size(F.filter("slices", F.lit(g).eqNullSafe))
+        seen = F.size(F.filter("slices", F.lit(g).eqNullSafe)).cast("double")
         chi = chi + seen * seen * F.col("k") / (F.col("n") * width)
     free = SLICES - 1
     z_chi = (F.pow(F.greatest(F.col("chi"), F.lit(0.0)) / free, F.lit(1 / 3)) - (1 - 2 / (9 * free))) / (2 / (9 * free)) ** 0.5
@@ -154,9 +154,10 @@ def mask_secrets(docs: DataFrame, into: str, rate: float = 0.05, key: str = "doc
     """``docs`` with a column ``into``: the text with its secret spans replaced by ``mask``."""
     spans = secret_spans(docs, rate, key, text)
     rows = docs.select(F.struct("*").alias("kept"), _row_key(key, text).alias("own"))
-    joined = rows.join(spans, rows["own"] == spans["row"], "left").withColumn("body", F.col(f"kept.{text}"))
+    joined = rows.join(spans, rows["own"] == spans["row"], "left").select("kept", "spans", F.col(f"kept.{text}").alias("body"))
     masked = F.when(F.col("spans").isNull(), F.col("body")).otherwise(redact(F.col("body"), F.col("spans"), mask))
-    return joined.select("kept.*", masked.alias(into))
+    # Only then the columns of docs: in one select, a column of theirs called body would be taken inside the lambdas.
+    return joined.select("kept", masked.alias("masked")).select("kept.*", F.col("masked").alias(into))
 
 
 def span_text(spans: Column) -> Column:
