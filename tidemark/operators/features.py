@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import clocks
+from ..functions import clocks, numeric
 from ..session import cut_lineage
 from .filters import REASON, all_reasons, first_reason, split
-from .timeline import Running, asof_join, asof_scan
+from .timeline import Running, asof_join, asof_scan, known_prefix
 
 # Latency scenarios a policy may define.
 SCENARIOS = ("optimistic", "base", "conservative", "highly_conservative")
@@ -116,25 +116,35 @@ def reconstruct_vintages(features: DataFrame, decisions: DataFrame, policies: Da
 
 # Look-backs of the temperature slopes, in minutes.
 SLOPE_MINUTES = (5, 15, 30, 60, 120)
+#: Stands for a missing station: no station is called this.
+ALL_STATIONS = "*"
 TARGET_SUMMARY = ("forecast_mean", "forecast_std", "forecast_min", "forecast_max")
 
 
-def observation_features(contracts: DataFrame, observations: DataFrame, station: str = "station",
-                         minutes: Sequence[int] = SLOPE_MINUTES) -> DataFrame:
+def _just_after(instant: Column) -> Column:
+    """The next microsecond: limits of ``known_prefix`` exclude the instant itself."""
+    return F.timestamp_micros(F.unix_micros(instant.cast("timestamp")) + 1)
+
+
+def _newest_before(asks: DataFrame, observations: DataFrame, station: str, limit: Column, name: str) -> DataFrame:
+    """Adds ``name``: struct (t, r, v) of the newest observation before ``limit`` whose receipt is not after ``decision_ts``."""
+    point = F.struct(F.col("valid_utc").alias("t"), F.col("receipt_utc").alias("r"), F.col("temperature_f").alias("v"))
+    return known_prefix(asks, observations, [station], limit, F.col("decision_ts"), F.col("valid_utc"), F.col("receipt_utc"), {name: Running("max", point)})
+
+
+def observation_features(contracts: DataFrame, observations: DataFrame, station: str = "station") -> DataFrame:
     """Observation features of each contract from its station's rows known at the decision.
 
-    A row counts when its time is at most the target and its receipt at most the decision. Rows are
-    looked up by the later of the two clocks against the earlier of the two limits when the target
-    is not before the decision, which the input must satisfy (``target_time_utc >= decision_ts``).
-    ``contracts`` needs market_ticker, station, decision_ts, target_time_utc; ``observations`` needs
+    A row counts when its time is at most the target and its receipt at most the decision. These are two orders, so the
+    rows are looked up with ``known_prefix``; the decision may be before or after the target, and receipts may come
+    in any order. ``contracts`` needs market_ticker, station, decision_ts, target_time_utc; ``observations`` needs
     station, valid_utc, receipt_utc, temperature_f.
     """
-    known = F.greatest(F.col("valid_utc"), F.col("receipt_utc"))
     value = F.col("temperature_f")
-    point = F.struct(F.col("valid_utc").alias("t"), value.alias("v"))
-    # Newest by valid time among the known rows: a running maximum of (valid, value).
-    state = asof_scan(
-        contracts, observations.where(value.isNotNull()), [station], F.col("decision_ts"), known, {
+    point = F.struct(F.col("valid_utc").alias("t"), F.col("receipt_utc").alias("r"), value.alias("v"))
+    state = known_prefix(
+        contracts, observations.where(value.isNotNull()), [station], _just_after(F.col("target_time_utc")), F.col("decision_ts"),
+        F.col("valid_utc"), F.col("receipt_utc"), {
             "observation_count": Running("sum", F.lit(1)),
             "running_max_temperature": Running("max", value),
             "running_min_temperature": Running("min", value),
@@ -146,25 +156,42 @@ def observation_features(contracts: DataFrame, observations: DataFrame, station:
         "temperature_range": F.col("running_max_temperature") - F.col("running_min_temperature"),
         "spatial_temperature_gradient_mean": F.when(
             F.col("observation_count") >= 2, F.col("temperature_sum") / F.col("observation_count")),
+        "spatial_temperature_gradient_range": F.when(
+            F.col("observation_count") >= 2, F.col("running_max_temperature") - F.col("running_min_temperature")),
     }).drop("latest", "temperature_sum")
 
 
 def slope_features(states: DataFrame, observations: DataFrame, station: str = "station",
                    minutes: Sequence[int] = SLOPE_MINUTES) -> DataFrame:
-    """Slopes back from the latest known observation: its value less the value k minutes before, over k."""
+    """Slopes back from the latest known observation: its value less the value k minutes before, over k.
+
+    The earlier value, too, must have been received by the decision.
+    """
     points = observations.where(F.col("temperature_f").isNotNull())
     states = cut_lineage(states)
     asks = states.where(F.col("latest_valid_utc").isNotNull()).select(
-        station, "latest_valid_utc", F.explode(F.array(*[F.lit(k) for k in minutes])).alias("__k")).distinct()
+        station, "decision_ts", "latest_valid_utc", F.explode(F.array(*[F.lit(k) for k in minutes])).alias("__k")).distinct()
     at = F.col("latest_valid_utc") - F.make_dt_interval(F.lit(0), F.lit(0), F.col("__k"))
-    found = asof_join(asks, points, [station], at, F.col("valid_utc"), {"__prior": F.col("temperature_f")}, [F.col("receipt_utc")])
-    wide = found.groupBy(station, "latest_valid_utc").agg(*[
-        F.max(F.when(F.col("__k") == k, F.col("__prior"))).alias(f"__prior_{k}") for k in minutes])
-    out = states.join(wide, [station, "latest_valid_utc"], "left")
+    found = _newest_before(asks, points, station, _just_after(at), "__prior")
+    wide = found.groupBy(station, "decision_ts", "latest_valid_utc").agg(*[
+        F.max(F.when(F.col("__k") == k, F.col("__prior.v"))).alias(f"__prior_{k}") for k in minutes])
+    out = states.join(wide, [station, "decision_ts", "latest_valid_utc"], "left")
     return out.select(*states.columns, *[
         ((F.col("temperature_latest") - F.col(f"__prior_{k}")) / k).alias(f"temperature_slope_{k}m") for k in minutes])
 
 
+def acceleration_feature(states: DataFrame, observations: DataFrame, station: str = "station") -> DataFrame:
+    """Second difference of the last three observed instants known at the decision, NULL where there are fewer."""
+    points = observations.where(F.col("temperature_f").isNotNull())
+    states = cut_lineage(states)
+    asks = states.where(F.col("latest_valid_utc").isNotNull()).select(station, "decision_ts", "latest_valid_utc").distinct()
+    one = cut_lineage(_newest_before(asks, points, station, F.col("latest_valid_utc"), "__one").where(F.col("__one").isNotNull()))
+    two = _newest_before(one, points, station, F.col("__one.t"), "__two")
+    found = two.select(station, "decision_ts", "latest_valid_utc", F.col("__one.v").alias("__v1"), F.col("__two.v").alias("__v2"))
+    out = states.join(found, [station, "decision_ts", "latest_valid_utc"], "left")
+    return out.select(*states.columns, (F.col("temperature_latest") - 2 * F.col("__v1") + F.col("__v2")).alias("temperature_slope_acceleration"))
+
+
 def forecast_summary(contracts: DataFrame, forecasts: DataFrame) -> DataFrame:
     """Spread of the forecasts that are about a contract's target and arrived by its decision."""
     value = F.col("value")
@@ -186,9 +213,19 @@ def forecast_summary(contracts: DataFrame, forecasts: DataFrame) -> DataFrame:
 
 def decision_features(contracts: DataFrame, observations: DataFrame, forecasts: DataFrame,
                       version: str = "pit-v1") -> tuple[DataFrame, DataFrame]:
-    """Accepted decision rows with a JSON payload, and rejected ones with one of six reasons."""
+    """Accepted decision rows with a JSON payload, and rejected ones with one of six reasons.
+
+    A contract without a station takes the rows of all stations; one with a station never takes another's. Contracts
+    with ``latitude`` and ``longitude`` also get the sun's geometry at the target.
+    """
     clocks.require_columns(
         contracts, ["market_ticker", "station", "decision_ts", "target_time_utc"], "contracts")
+    named = F.nullif(F.trim(F.col("station").cast("string")), F.lit(""))
+    contracts = contracts.withColumn("__given", F.col("station")).withColumn("station", F.coalesce(named, F.lit(ALL_STATIONS)))
+    asked = contracts.select("station").distinct()
+    # Only stations that some contract asks for, and the pool of all of them only if one has none.
+    pool = observations.withColumn("station", F.col("station").cast("string"))
+    observations = cut_lineage(pool.unionByName(pool.withColumn("station", F.lit(ALL_STATIONS))).join(asked, "station", "left_semi"))
     checked = contracts.withColumn("__bad", F.coalesce(
         F.col("market_ticker").isNull() | F.col("decision_ts").isNull() | F.col("target_time_utc").isNull(), F.lit(True)))
     first_obs = observations.groupBy("station").agg(
@@ -196,6 +233,7 @@ def decision_features(contracts: DataFrame, observations: DataFrame, forecasts:
     fc_any = forecasts.groupBy("target_time_utc").agg(F.count(F.lit(1)).alias("__target_rows"))
     out = checked.join(first_obs, "station", "left").join(fc_any, "target_time_utc", "left")
     out = slope_features(observation_features(cut_lineage(out), observations), observations)
+    out = acceleration_feature(out, observations)
     out = forecast_summary(cut_lineage(out), forecasts)
     has_obs = F.coalesce(F.col("observation_count"), F.lit(0)) > 0
     has_fc = F.col("forecast_count") > 0
@@ -204,7 +242,7 @@ def decision_features(contracts: DataFrame, observations: DataFrame, forecasts:
     none = ~has_obs & ~has_fc
     reason = first_reason(
         (F.col("__bad"), "invalid_decision_or_target"),
-        (none & F.col("__station_rows").isNull(), "missing_exact_settlement_station_observations"),
+        (none & F.col("__station_rows").isNull() & (F.col("station") != ALL_STATIONS), "missing_exact_settlement_station_observations"),
         (none & late_obs & late_fc, "late_observations_and_forecasts"),
         (none & late_obs, "late_observations"), (none & late_fc, "late_forecasts"),
         (none, "missing_observations_and_forecasts"),
@@ -216,14 +254,18 @@ def decision_features(contracts: DataFrame, observations: DataFrame, forecasts:
         "forecast_minus_observed_latest": F.col("forecast_mean") - F.col("temperature_latest"),
         "observation_count": F.coalesce(F.col("observation_count"), F.lit(0)).cast("long"),
     })
+    sun = []
+    if {"latitude", "longitude"} <= set(contracts.columns):
+        geometry = numeric.solar_position(F.col("target_time_utc"), F.col("latitude"), F.col("longitude"))
+        out, sun = out.withColumns(geometry), list(geometry)
     payload = sorted([
-        "observation_count", "running_max_temperature", "running_min_temperature",
+        *sun, "spatial_temperature_gradient_range", "temperature_slope_acceleration", "observation_count", "running_max_temperature", "running_min_temperature",
         "temperature_latest", "temperature_range", "spatial_temperature_gradient_mean",
         "forecast_count", "forecast_mean", "forecast_std", "forecast_min", "forecast_max",
         "forecast_minus_observed_latest", *[f"temperature_slope_{k}m" for k in SLOPE_MINUTES],
     ])
-    out = out.withColumn("features_json", F.to_json(F.struct(*payload))).drop(
-        "__bad", "__first_valid", "__station_rows", "__target_rows")
+    out = out.withColumn("features_json", F.to_json(F.struct(*payload))).withColumn("station", F.col("__given")).drop(
+        "__bad", "__first_valid", "__station_rows", "__target_rows", "__given")
     return split(out)
 
 

@@ -110,10 +110,11 @@ def within_radius(stations: DataFrame, cities: DataFrame, radius_km: float,
     """Stations within a radius of each city.
 
     Cities are put into every latitude-longitude cell the radius can reach, so the join is on cells
-    and no station meets a city that is far away. Cells are taken up to 85 degrees of latitude.
+    and no station meets a city that is far away. A circle that touches a pole reaches every longitude.
     """
     reach_lat = radius_km / 111.0
-    reach_lon = F.lit(reach_lat) / F.cos(F.radians(F.least(F.abs("city_lat") + F.lit(reach_lat), F.lit(85.0))))
+    widest = F.degrees(F.asin(F.least(F.lit(1.0), F.sin(F.radians(F.lit(reach_lat))) / F.cos(F.radians("city_lat")))))
+    reach_lon = F.when(F.abs("city_lat") + F.lit(reach_lat) < 90.0, widest).otherwise(F.lit(180.0))
 
     def cells(centre: Column, reach: Column) -> Column:
         return F.explode(F.sequence(

@@ -128,36 +128,38 @@ def allocate_event(candidates: DataFrame, bankroll: float, max_loss_fraction: fl
     return out.withColumn("allocation_dollars", F.when(over, F.col("contracts") * net).otherwise(F.col("allocation_dollars"))).drop("__total")
 
 
-def _draws(n: DataFrame, simulations: int, block: int, seed: int) -> DataFrame:
-    """(sim, slot, t): circular moving blocks whose starts come from an integer mix, the same on every run."""
-    sims = n.sparkSession.range(simulations).select(F.col("id").alias("sim"))
-    starts = sims.withColumn("n", n.select("n").scalar()).withColumn(
+def _draws(n: DataFrame, simulations: int, block: int, seed: int, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, sim, slot, t): circular moving blocks whose starts come from an integer mix, the same on every run.
+
+    ``n`` has one row per series: its keys and its length ``n``.
+    """
+    starts = n.withColumn("sim", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(simulations - 1).cast("long")))).withColumn(
         "block", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / block) - 1)))
     mixed = (F.col("sim") * 7919 + F.col("block") * 104729 + F.lit(seed) * 15485863 + 12345) * 69069 % 2147483647
     starts = starts.withColumn("start", mixed * 48271 % 2147483647 % F.col("n"))
     slots = starts.withColumn("offset", F.explode(F.sequence(F.lit(0), F.lit(block - 1))))
     return slots.select(
-        "sim", (F.col("block") * block + F.col("offset")).alias("slot"), ((F.col("start") + F.col("offset")) % F.col("n")).alias("t"), "n"
+        *keys, "sim", (F.col("block") * block + F.col("offset")).alias("slot"), ((F.col("start") + F.col("offset")) % F.col("n")).alias("t"), "n"
     ).where(F.col("slot") < F.col("n"))
 
 
-def block_bootstrap(returns: DataFrame, simulations: int = 1000, block_size: int = 5, seed: int = 0) -> DataFrame:
-    """Terminal return and drawdown tails of one return series by moving-block resampling.
+def block_bootstrap(returns: DataFrame, simulations: int = 1000, block_size: int = 5, seed: int = 0, key: str = "strategy") -> DataFrame:
+    """Terminal return and drawdown tails of every strategy's return series by moving-block resampling.
 
-    ``returns`` has t (0 upwards) and value, one row per period, so a path is as long as the calendar.
+    ``returns`` has the key, t (0 upwards per key) and value, one row per period, so a path is as long as the calendar.
     """
-    n = returns.agg(F.count(F.lit(1)).alias("n"))
-    paths = _draws(n, simulations, block_size, seed).join(returns.select("t", "value"), "t")
-    ends = paths.groupBy("sim").agg((F.exp(F.sum(F.log1p("value"))) - 1).alias("terminal"))
-    order = Window.partitionBy("sim").orderBy("slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    n = returns.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    paths = _draws(n, simulations, block_size, seed, [key]).join(returns.select(key, "t", "value"), [key, "t"])
+    ends = paths.groupBy(key, "sim").agg((F.exp(F.sum(F.log1p("value"))) - 1).alias("terminal"))
+    order = Window.partitionBy(key, "sim").orderBy("slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     level = paths.withColumn("__level", F.sum(F.log1p("value")).over(order))
     level = level.withColumn("__peak", F.greatest(F.max("__level").over(order), F.lit(0.0)))
-    falls = level.groupBy("sim").agg(F.max(F.lit(1.0) - F.exp(F.col("__level") - F.col("__peak"))).alias("drawdown"))
-    sims = cut_lineage(ends.join(falls, "sim").withColumn("all", F.lit(0)))
-    terminal = floor_index_quantiles(sims, ["all"], "terminal", {"terminal_return_p05": 0.05, "terminal_return_median": 0.5})
-    drop = floor_index_quantiles(sims, ["all"], "drawdown", {"max_drawdown_p95": 0.95}).drop("group_rows")
-    loss = sims.groupBy("all").agg(F.avg((F.col("terminal") < 0).cast("double")).alias("probability_of_loss"))
-    return terminal.join(drop, "all").join(loss, "all").drop("all").withColumnRenamed("group_rows", "simulations")
+    falls = level.groupBy(key, "sim").agg(F.max(F.lit(1.0) - F.exp(F.col("__level") - F.col("__peak"))).alias("drawdown"))
+    sims = cut_lineage(ends.join(falls, [key, "sim"]))
+    terminal = floor_index_quantiles(sims, [key], "terminal", {"terminal_return_p05": 0.05, "terminal_return_median": 0.5})
+    drop = floor_index_quantiles(sims, [key], "drawdown", {"max_drawdown_p95": 0.95}).drop("group_rows")
+    loss = sims.groupBy(key).agg(F.avg((F.col("terminal") < 0).cast("double")).alias("probability_of_loss"))
+    return terminal.join(drop, key).join(loss, key).withColumnRenamed("group_rows", "simulations")
 
 
 def reality_check(returns: DataFrame, simulations: int = 2000, block_size: int = 5, seed: int = 0) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .timeline import Running, asof_scan, running_scan
+from .timeline import Running, asof_scan, row_numbers, running_scan
 
 SLOTS = 1024
 
@@ -83,22 +83,22 @@ def floor_index_quantiles(df: DataFrame, keys: Sequence[str], value: str,
 
 
 def asof_medians(states: DataFrame, items: DataFrame, on: Sequence[str], state_time: str,
-                 item_time: str, value: str, *, quantum: float = 0.01, digit: int = 64,
-                 levels: int = 3, segment: str = "day") -> DataFrame:
+                 item_time: str, value: str, *, digit: int = 64, segment: str = "day") -> DataFrame:
     """Median of all items of the key released at or before each state's instant.
 
-    ``states`` is distinct on (``on``, ``state_time``). The wanted ranks are found digit by digit:
-    each level asks, for every child of the value range found so far, how many items had been
-    released by then, and steps into the child that holds the rank. Values are ordered on a grid of
-    ``quantum``, which must separate them (reports carry at most two decimals); the value returned
-    is the item's own. A value beyond ``quantum * digit ** levels / 2`` fails the job.
+    ``states`` is distinct on (``on``, ``state_time``). The distinct values of a key are numbered in order; the wanted
+    ranks are then found digit by digit over these numbers: each level asks, for every child of the range found so far,
+    how many items had been released by then, and steps into the child that holds the rank. Values may be of any size
+    and as close as doubles can be.
     """
-    half = digit ** levels // 2
-    grid = F.round(F.col(value) / F.lit(quantum)).cast("long") + half
-    in_range = F.when(
-        F.assert_true(grid.between(0, digit ** levels - 1), F.lit("value outside the rank grid")).isNull(), grid)
-    facts = items.where(F.col(value).isNotNull() & F.col(item_time).isNotNull()).select(
-        *on, item_time, in_range.alias("__grid"), value)
+    facts = items.where(F.col(value).isNotNull() & F.col(item_time).isNotNull()).select(*on, item_time, value)
+    numbered = cut_lineage(row_numbers(
+        facts.select(*on, value).distinct(), on, [value], F.floor(F.signum(value) * F.log2(1 + F.abs(value)) * 64), "__number"))
+    facts = facts.join(numbered, [*on, value]).select(*on, item_time, value, (F.col("__number") - 1).alias("__grid"))
+    largest = numbered.agg(F.max("__number")).first()[0] or 1
+    levels = 1
+    while digit ** levels < largest:
+        levels += 1
     totals = asof_scan(
         states.select(*on, state_time), facts, on, F.col(state_time), F.col(item_time),
         {"__total": Running("sum", F.lit(1))}, segment=segment).where(F.col("__total") > 0)

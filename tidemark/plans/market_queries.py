@@ -84,25 +84,28 @@ def event_allocation(spark: SparkSession, sf: str) -> DataFrame:
     return out.groupBy("event_ticker").agg(count_rows().alias("contracts_count"), q6(F.sum("contracts"), 3).alias("contracts"))
 
 
-def draws_sql(count: str, sims: int, block: int) -> str:
-    return f"""nn as (select {count} as n), dr as (select s.i as sim, b.i*{block}+o.i as slot, ((((s.i*7919+b.i*104729+12345)*69069%2147483647)*48271%2147483647)%n+o.i)%n as t from nn, range({sims}) s(i), range(cast(ceil(n/{block}e0) as bigint)) b(i), range({block}) o(i) where b.i*{block}+o.i<n)"""
+def draws_sql(view: str, sims: int, block: int) -> str:
+    return f"""nn as (select strategy, count(*) as n from {view} group by 1), dr as (select nn.strategy, s.i as sim, b.i*{block}+o.i as slot, ((((s.i*7919+b.i*104729+12345)*69069%2147483647)*48271%2147483647)%n+o.i)%n as t from nn, range({sims}) s(i), unnest(range(cast(ceil(n/{block}e0) as bigint))) b(i), range({block}) o(i) where b.i*{block}+o.i<n)"""
 
 
-@query("x06_block_bootstrap", with_views(("returns",), f""", {draws_sql("(select count(*) from returns where strategy='A')", 60, 5)},
- p as (select sim, slot, ln(1+value) as l from dr join (select t, value from returns where strategy='A') using (t)), c as (select sim, slot, sum(l) over (partition by sim order by slot) as lv from p), k as (select *, greatest(max(lv) over (partition by sim order by slot),0) as pk from c),
- e as (select sim, exp(sum(l))-1 as term from p group by 1), d as (select sim, max(1-exp(lv-pk)) as dd from k group by 1), r as (select e.sim, term, dd, row_number() over (order by term) as rt, row_number() over (order by dd) as rd from e join d using (sim))
- select count(*) as simulations, {q6_sql('max(term) filter (rt=floor(0.05e0*59)+1)', 7)} as p05, {q6_sql('max(term) filter (rt=floor(0.5e0*59)+1)', 7)} as p50, {q6_sql('max(dd) filter (rd=floor(0.95e0*59)+1)', 7)} as dd95, {q6_sql('avg(case when term<0 then 1e0 else 0e0 end)', 5)} as loss from r"""))
+#: Draws of the two resampling reports.
+BOOTSTRAPS, CHECK_DRAWS = 1000, 2000
+
+
+@query("x06_block_bootstrap", with_views(("returns",), f""", {draws_sql("returns", BOOTSTRAPS, 5)},
+ p as (select strategy, sim, slot, ln(1+value) as l from dr join returns using (strategy, t)), c as (select *, sum(l) over (partition by strategy, sim order by slot) as lv from p), k as (select *, greatest(max(lv) over (partition by strategy, sim order by slot),0) as pk from c),
+ e as (select strategy, sim, exp(sum(l))-1 as term from p group by 1,2), d as (select strategy, sim, max(1-exp(lv-pk)) as dd from k group by 1,2), r as (select e.strategy, e.sim, term, dd, row_number() over (partition by e.strategy order by term) as rt, row_number() over (partition by e.strategy order by dd) as rd from e join d using (strategy, sim))
+ select strategy, count(*) as simulations, {q6_sql(f'max(term) filter (rt=floor(0.05e0*{BOOTSTRAPS - 1})+1)', 7)} as p05, {q6_sql(f'max(term) filter (rt=floor(0.5e0*{BOOTSTRAPS - 1})+1)', 7)} as p50, {q6_sql(f'max(dd) filter (rd=floor(0.95e0*{BOOTSTRAPS - 1})+1)', 7)} as dd95, {q6_sql('avg(case when term<0 then 1e0 else 0e0 end)', 5)} as loss from r group by 1"""))
 def block_bootstrap(spark: SparkSession, sf: str) -> DataFrame:
-    r = shapes.returns(spark, sf).where(F.col("strategy") == "A")
-    out = market.block_bootstrap(r, 60, 5)
-    return out.select("simulations", q6(F.col("terminal_return_p05"), 7).alias("p05"), q6(F.col("terminal_return_median"), 7).alias("p50"), q6(F.col("max_drawdown_p95"), 7).alias("dd95"), q6(F.col("probability_of_loss"), 5).alias("loss"))
+    out = market.block_bootstrap(shapes.returns(spark, sf), BOOTSTRAPS, 5)
+    return out.select("strategy", "simulations", q6(F.col("terminal_return_p05"), 7).alias("p05"), q6(F.col("terminal_return_median"), 7).alias("p50"), q6(F.col("max_drawdown_p95"), 7).alias("dd95"), q6(F.col("probability_of_loss"), 5).alias("loss"))
 
 
-@query("x07_reality_check", with_views(("returns",), f""", {draws_sql("(select count(*) from returns where strategy='A')", 60, 5)},
- ob as (select strategy, avg(value) as m, avg(value)/stddev_samp(value)*sqrt(count(*)) as s from returns group by 1), rs as (select sim, r.strategy, avg(value-m)/stddev_samp(value-m)*sqrt(count(*)) as s from dr join returns r using (t) join ob using (strategy) group by 1,2), pk as (select sim, max(s) as s from rs group by 1)
+@query("x07_reality_check", with_views(("common_returns",), f""", {draws_sql("(select * from common_returns where strategy='A')", CHECK_DRAWS, 5)},
+ ob as (select strategy, avg(value) as m, avg(value)/stddev_samp(value)*sqrt(count(*)) as s from common_returns group by 1), rs as (select sim, r.strategy, avg(value-m)/stddev_samp(value-m)*sqrt(count(*)) as s from (select sim, t from dr) dr join common_returns r using (t) join ob using (strategy) group by 1,2), pk as (select sim, max(s) as s from rs group by 1)
  select (select arg_max(strategy, s) from ob) as best_strategy, {q6_sql('(select max(s) from ob)', 5)} as best_stat, {q6_sql('avg(case when s>=(select max(s) from ob) then 1e0 else 0e0 end)', 5)} as p_value from pk"""))
 def reality_check(spark: SparkSession, sf: str) -> DataFrame:
-    out = market.reality_check(shapes.returns(spark, sf), 60, 5)
+    out = market.reality_check(shapes.common_returns(spark, sf), CHECK_DRAWS, 5)
     return out.select("best_strategy", q6(F.col("best_stat"), 5).alias("best_stat"), q6(F.col("p_value"), 5).alias("p_value"))
 
 

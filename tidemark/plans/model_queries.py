@@ -186,20 +186,19 @@ def ensemble_point_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("j12_threshold_edges", with_views(("members",), f"""
- , mo as (select city, date_trunc('month', forecast_run_time) as run, member_id, arg_max(value, row(valid_time, l_orderkey, l_partkey, l_suppkey, value)) as value from members group by 1,2,3),
+ , mo as (select city, forecast_run_time as run, member_id, arg_max(value, row(valid_time, l_orderkey, l_partkey, l_suppkey, value)) as value from members group by 1,2,3),
  f as (select city, run, avg(case when value>=20e0 then 1e0 else 0e0 end) as p20, avg(case when value>=30e0 then 1e0 else 0e0 end) as p30, avg(case when value>=40e0 then 1e0 else 0e0 end) as p40 from mo group by 1,2),
  g as (select city, run, u.t, case u.t when 20 then p20 when 30 then p30 else p40 end as p from f, (values (20),(30),(40)) u(t)),
  mk as (select c_custkey, 'c' || (c_custkey%50) as city, 20+10*(c_custkey%4) as t, (c_custkey%97)/100e0 as price from customer)
- select c_custkey as market, {stamp_sql('cast(run as timestamp)')} as run, {q6_sql('p-price')} as edge from mk join g using (city, t)"""))
+ select c_custkey as market, count(*) as runs, {q6_sql('avg(p-price)')} as mean_edge, {q6_sql('max(p-price)')} as best_edge from mk join g using (city, t) group by 1"""))
 def threshold_edges(spark: SparkSession, sf: str) -> DataFrame:
-    monthly = shapes.members(spark, sf).withColumn("forecast_run_time", F.date_trunc("month", "forecast_run_time"))
-    f = features.ensemble_features(monthly, ["city", "forecast_run_time"], THRESHOLDS, member_order()).withColumn("valid_time", F.col("forecast_run_time"))
+    f = features.ensemble_features(shapes.members(spark, sf), ["city", "forecast_run_time"], THRESHOLDS, member_order()).withColumn("valid_time", F.col("forecast_run_time"))
     k = F.col("c_custkey")
     markets = table(spark, sf, "customer").select(
         k.alias("market"), F.concat(F.lit("C"), (k % 50).cast("string")).alias("city"), (k % 4 * 10 + 20).cast("double").alias("threshold"),
         (k % 97 / F.lit(100.0)).alias("market_probability"))
     out = features.threshold_edges(f, markets, THRESHOLDS)
-    return out.select("market", stamp(F.col("forecast_run_time")).alias("run"), q6(F.col("edge")).alias("edge"))
+    return out.groupBy("market").agg(count_rows().alias("runs"), q6(F.avg("edge")).alias("mean_edge"), q6(F.max("edge")).alias("best_edge"))
 
 
 # ---------------------------------------------------------------- bucket probabilities
@@ -442,9 +441,9 @@ def market_schedule(spark: SparkSession, sf: str) -> DataFrame:
 def feature_contracts(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("event_id")
     return shapes.obs(spark, sf).select(
-        k.alias("market_ticker"), F.when(k % 50 == 0, F.col("station") + 100000).otherwise(F.col("station")).alias("station"),
+        k.alias("market_ticker"), F.when(k % 50 == 0, F.col("station") + 100000).when(k % 997 == 3, F.lit(None)).otherwise(F.col("station")).alias("station"),
         minutes(F.col("valid_utc"), F.when(k % 7 == 0, -4320).otherwise(20)).alias("decision_ts"),
-        clocks.shift_hours(F.date_trunc("hour", "valid_utc"), F.lit(2)).alias("target_time_utc"))
+        clocks.shift_hours(F.date_trunc("hour", "valid_utc"), F.when(k % 11 == 0, -30).otherwise(2)).alias("target_time_utc"))
 
 
 def target_forecasts(spark: SparkSession, sf: str) -> DataFrame:
@@ -452,14 +451,14 @@ def target_forecasts(spark: SparkSession, sf: str) -> DataFrame:
         clocks.shift_hours(F.date_trunc("hour", "valid_utc"), F.lit(2)).alias("target_time_utc"), F.col("valid_utc").alias("source_receipt_time"), F.col("dwpf").alias("value"))
 
 
-CONTRACTS = ("ct", """select event_id as market_ticker, case when event_id%50=0 then station+100000 else station end as station, valid_utc + to_minutes(case when event_id%7=0 then -4320 else 20 end) as dts, date_trunc('hour', valid_utc) + interval 2 hour as target from obs""")
-CONTRACT_OBS = ("co", "select market_ticker, count(*) as n, max(tmpf) as mx, min(tmpf) as mn, avg(tmpf) as av, max(row(valid_utc, tmpf))[2] as latest from ct join obs o on o.station=ct.station and o.receipt_utc<=dts and o.valid_utc<=target group by 1")
+CONTRACTS = ("ct", """select event_id as market_ticker, case when event_id%50=0 then station+100000 when event_id%997=3 then null else station end as station, valid_utc + to_minutes(case when event_id%7=0 then -4320 else 20 end) as dts, date_trunc('hour', valid_utc) + to_hours(case when event_id%11=0 then -30 else 2 end) as target from obs""")
+CONTRACT_OBS = ("co", "select market_ticker, count(*) as n, max(tmpf) as mx, min(tmpf) as mn, avg(tmpf) as av, max(row(valid_utc, receipt_utc, tmpf))[3] as latest from ct join late_rows o on (o.station=ct.station or ct.station is null) and o.receipt_utc<=dts and o.valid_utc<=target group by 1")
 CONTRACT_FC = ("cf", "select market_ticker, count(*) as n, avg(o.dwpf) as av, stddev_pop(o.dwpf) as sd, min(o.dwpf) as mn, max(o.dwpf) as mx from ct join obs o on date_trunc('hour', o.valid_utc) + interval 2 hour=ct.target and o.valid_utc<=dts group by 1")
 
 
 @query("m03_decision_features", with_views(("obs",), f"""
  select market_ticker, coalesce(co.n,0) as observation_count, {q6_sql('coalesce(co.mx,-999)')} as running_max, {q6_sql('coalesce(co.latest,-999)')} as latest, {q6_sql('coalesce(case when co.n>=2 then co.av end,-999)', 4)} as spatial_mean,
- coalesce(cf.n,0) as forecast_count, {q6_sql('coalesce(cf.av,-999)', 4)} as forecast_mean, {q6_sql('coalesce(cf.sd,-999)', 4)} as forecast_std from ct left join co using (market_ticker) left join cf using (market_ticker) where co.n>0 or cf.n>0""", CONTRACTS, CONTRACT_OBS, CONTRACT_FC))
+ coalesce(cf.n,0) as forecast_count, {q6_sql('coalesce(cf.av,-999)', 4)} as forecast_mean, {q6_sql('coalesce(cf.sd,-999)', 4)} as forecast_std from ct left join co using (market_ticker) left join cf using (market_ticker) where co.n>0 or cf.n>0""", state_queries.LATE_ROWS, CONTRACTS, CONTRACT_OBS, CONTRACT_FC))
 def decision_features(spark: SparkSession, sf: str) -> DataFrame:
     good, _ = features.decision_features(feature_contracts(spark, sf), state_queries.temperature_rows(spark, sf), target_forecasts(spark, sf))
     none = F.lit(-999.0)
@@ -470,9 +469,11 @@ def decision_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("j19_decision_join_reasons", with_views(("obs",), """
- , s as (select station, min(valid_utc) as first from obs group by 1)
- select case when s.station is null then 'missing_exact_settlement_station_observations' when s.first<=target then 'late_observations_and_forecasts' else 'late_forecasts' end as reason, count(*) as n
- from ct left join co using (market_ticker) left join cf using (market_ticker) left join s using (station) where co.n is null and cf.n is null group by 1""", CONTRACTS, CONTRACT_OBS, CONTRACT_FC))
+ , s as (select station, min(valid_utc) as first from obs group by 1 union all select null, min(valid_utc) from obs),
+ tf as (select distinct date_trunc('hour', valid_utc) + interval 2 hour as t from obs)
+ select case when s.first is null then 'missing_exact_settlement_station_observations' when s.first<=target and tf.t is not null then 'late_observations_and_forecasts'
+  when s.first<=target then 'late_observations' when tf.t is not null then 'late_forecasts' else 'missing_observations_and_forecasts' end as reason, count(*) as n
+ from ct left join co using (market_ticker) left join cf using (market_ticker) left join s on s.station is not distinct from ct.station left join tf on tf.t=ct.target where co.n is null and cf.n is null group by 1""", state_queries.LATE_ROWS, CONTRACTS, CONTRACT_OBS, CONTRACT_FC))
 def decision_join_reasons(spark: SparkSession, sf: str) -> DataFrame:
     _, bad = features.decision_features(feature_contracts(spark, sf), state_queries.temperature_rows(spark, sf), target_forecasts(spark, sf))
     return bad.groupBy("reason").agg(count_rows().alias("n"))

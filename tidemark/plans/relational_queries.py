@@ -266,16 +266,16 @@ def spatial_neighbours(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("j15_event_metadata_lookup", """
- select o_orderkey, c_custkey, n_name, r_name, l.items from orders left join customer on o_custkey=c_custkey left join nation on c_nationkey=n_nationkey left join region on n_regionkey=r_regionkey
- left join (select l_orderkey, count(*) as items from lineitem group by 1) l on l_orderkey=o_orderkey where l.items is not null""")
+ select o_orderkey, c_custkey, n_name, r_name, coalesce(l.items, 0) as items from orders left join customer on o_custkey=c_custkey left join nation on c_nationkey=n_nationkey left join region on n_regionkey=r_regionkey
+ left join (select l_orderkey, count(*) as items from lineitem group by 1) l on l_orderkey=o_orderkey""")
 def event_metadata_lookup(spark: SparkSession, sf: str) -> DataFrame:
     items = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(count_rows().alias("items"))
     return (
         table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
         .join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
-        .join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left").where(F.col("items").isNotNull())
-        .select("o_orderkey", "c_custkey", "n_name", "r_name", "items"))
+        .join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        .select("o_orderkey", "c_custkey", "n_name", "r_name", F.coalesce("items", F.lit(0)).cast("long").alias("items")))
 
 
 @query("j16_table_reconciliation", """

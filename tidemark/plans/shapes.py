@@ -376,25 +376,27 @@ BOOK = """select event_id, ts as received_ts, user_id as market_ticker, user_id%
 
 
 def returns(spark: SparkSession, sf: str) -> DataFrame:
-    """Daily mean returns of three strategies on the days all three traded, numbered from 0."""
-    li = table(spark, sf, "lineitem")
-    daily = li.groupBy(F.to_date("l_shipdate").alias("day")).pivot("l_returnflag", ["A", "N", "R"]).agg(
-        F.avg((F.col("l_discount") - F.lit(0.05)) / 10))
-    days = daily.where(F.col("A").isNotNull() & F.col("N").isNotNull() & F.col("R").isNotNull())
-    numbered = (
-        timeline.row_numbers(days.withColumn("part", F.lit(1)), ["part"], ["day"], F.trunc("day", "year"), "position"))
-    return numbered.select(
-        (F.col("position") - 1).alias("t"), F.explode(F.create_map(
-            F.lit("A"), F.col("A"), F.lit("N"), F.col("N"), F.lit("R"), F.col("R"),
-        )).alias("strategy", "value"),
-    )
+    """Daily mean returns of three strategies, each numbered from 0 over its own days."""
+    daily = table(spark, sf, "lineitem").groupBy(F.col("l_returnflag").alias("strategy"), F.to_date("l_shipdate").alias("day")).agg(
+        F.avg((F.col("l_discount") - F.lit(0.05)) / 10).alias("value"))
+    numbered = timeline.row_numbers(daily, ["strategy"], ["day"], F.trunc("day", "year"), "position")
+    return numbered.select((F.col("position") - 1).alias("t"), "day", "strategy", "value")
+
+
+RETURNS = """select row_number() over (partition by strategy order by day)-1 as t, day, strategy, value from (
+ select l_returnflag as strategy, cast(l_shipdate as date) as day, avg((l_discount-0.05e0)/10) as value from lineitem group by 1,2)"""
+
+
+def common_returns(spark: SparkSession, sf: str) -> DataFrame:
+    """The same on the days that all three traded, as a comparison of strategies needs them."""
+    daily = returns(spark, sf)
+    shared = daily.groupBy("day").agg(F.count(F.lit(1)).alias("n")).where("n = 3").select("day")
+    numbered = timeline.row_numbers(daily.join(shared, "day").drop("t"), ["strategy"], ["day"], F.trunc("day", "year"), "position")
+    return numbered.select((F.col("position") - 1).alias("t"), "strategy", "value")
 
 
-RETURNS = """select t, u.strategy, case u.strategy when 'A' then a when 'N' then n else r end as value from (
- select row_number() over (order by day)-1 as t, a, n, r from (
-  select cast(l_shipdate as date) as day, avg((l_discount-0.05e0)/10) filter (l_returnflag='A') as a,
-  avg((l_discount-0.05e0)/10) filter (l_returnflag='N') as n, avg((l_discount-0.05e0)/10) filter (l_returnflag='R') as r
-  from lineitem group by 1) where a is not null and n is not null and r is not null), (values ('A'),('N'),('R')) u(strategy)"""
+COMMON_RETURNS = """select row_number() over (partition by strategy order by day)-1 as t, strategy, value from (
+ select *, count(*) over (partition by day) as n from returns) where n=3"""
 
 
 VIEWS = {
@@ -412,6 +414,7 @@ VIEWS = {
     "outcomes": (OUTCOMES, ()),
     "book": (BOOK, ()),
     "returns": (RETURNS, ()),
+    "common_returns": (COMMON_RETURNS, ("returns",)),
 }
 
 

@@ -279,11 +279,10 @@ def standard_window(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "orders").select("o_orderkey", stamp(clocks.standard_window_start(F.to_date("o_orderdate"), -(F.col("o_orderkey") % 2 + 7))).alias("window_start"))
 
 
-@query("f05_ticker_date", "select o_orderkey, case when o_orderkey%7=0 then 'none' when year(o_orderdate)<2000 then cast(cast(o_orderdate as date) + interval 100 year as date)::varchar else cast(o_orderdate as date)::varchar end as d from orders where not (month(o_orderdate)=2 and day(o_orderdate)=29)")
+@query("f05_ticker_date", "select o_orderkey, case when o_orderkey%7=0 then 'none' when year(o_orderdate)<2000 then cast(cast(o_orderdate as date) + interval 100 year as date)::varchar else cast(o_orderdate as date)::varchar end as d from orders")
 def ticker_date(spark: SparkSession, sf: str) -> DataFrame:
     tick = F.when(F.col("o_orderkey") % 7 == 0, "KX-26XXX10").otherwise(F.concat(F.lit("KX-"), F.upper(F.date_format("o_orderdate", "yyMMMdd"))))
-    o = table(spark, sf, "orders").where(~((F.month("o_orderdate") == 2) & (F.day("o_orderdate") == 29)))
-    return o.select("o_orderkey", F.coalesce(clocks.ticker_date(tick).cast("string"), F.lit("none")).alias("d"))
+    return table(spark, sf, "orders").select("o_orderkey", F.coalesce(clocks.ticker_date(tick).cast("string"), F.lit("none")).alias("d"))
 
 
 @query("f06_bucket_text", "select o_orderkey, case o_orderkey%4 when 0 then cast(o_orderkey%90 as double) when 1 then -1e0 when 2 then cast(o_orderkey%90 as double) else -1e0 end as lo, case o_orderkey%4 when 0 then cast(o_orderkey%90+1 as double) when 1 then cast(o_orderkey%90 as double) when 2 then -1e0 else cast(o_orderkey%90 as double) end as hi from orders")

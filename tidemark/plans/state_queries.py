@@ -175,23 +175,41 @@ def slope_contracts(spark: SparkSession, sf: str) -> DataFrame:
     o = shapes.obs(spark, sf)
     return o.select(
         F.col("event_id").alias("market_ticker"), "station", shapes.minutes(F.col("valid_utc"), F.lit(20)).alias("decision_ts"),
-        clocks.shift_hours(F.date_trunc("hour", "valid_utc"), F.lit(2)).alias("target_time_utc"))
+        clocks.shift_hours(F.date_trunc("hour", "valid_utc"), F.when(F.col("event_id") % 9 == 0, -30).otherwise(2)).alias("target_time_utc"))
 
 
 def temperature_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return shapes.obs(spark, sf).select("station", "valid_utc", "receipt_utc", F.col("tmpf").alias("temperature_f"))
+    """Every thirteenth reading arrives three days late."""
+    late = F.when(F.col("event_id") % 13 == 0, 4320).otherwise(0)
+    return shapes.obs(spark, sf).select("station", "valid_utc", shapes.minutes(F.col("receipt_utc"), late).alias("receipt_utc"), F.col("tmpf").alias("temperature_f"))
+
+
+#: The same readings for the checks, and what the contracts of this query ask of them.
+LATE_ROWS = ("late_rows", "select station, valid_utc, receipt_utc + to_minutes(case when event_id%13=0 then 4320 else 0 end) as receipt_utc, tmpf from obs")
+SLOPE_ASKS = ("asks", """select event_id as market_ticker, station, valid_utc + interval 20 minute as dts,
+ date_trunc('hour', valid_utc) + to_hours(case when event_id%9=0 then -30 else 2 end) as target from obs""")
+
+
+def slope_prior_sql(minutes: int) -> str:
+    return f"select market_ticker, max(row(o.valid_utc, o.receipt_utc, o.tmpf))[3] as v from l join late_rows o on o.station=l.station and o.receipt_utc<=l.dts and o.valid_utc<=l.lt - interval {minutes} minute group by 1"
 
 
 @query("w04_slopes_at_decision", with_views(("obs",), f"""
- , c as (select event_id as market_ticker, station, valid_utc + interval 20 minute as dts from obs),
- k as (select c.market_ticker, max(row(o.valid_utc, o.tmpf)) as latest, c.station from c join obs o on o.station=c.station and o.receipt_utc<=c.dts group by 1,3),
- l as (select market_ticker, station, latest[1] as lt, latest[2] as lv from k)
- select market_ticker, lv as temperature_latest, {q6_sql('(lv-a.tmpf)/60')} as slope_60m, {q6_sql('(lv-b.tmpf)/120')} as slope_120m
- from l asof left join obs a on l.station=a.station and l.lt - interval 60 minute>=a.valid_utc asof left join obs b on l.station=b.station and l.lt - interval 120 minute>=b.valid_utc"""))
+ , l as (select market_ticker, c.station, dts, max(row(o.valid_utc, o.receipt_utc, o.tmpf))[1] as lt, max(row(o.valid_utc, o.receipt_utc, o.tmpf))[3] as lv
+   from asks c join late_rows o on o.station=c.station and o.receipt_utc<=c.dts and o.valid_utc<=c.target group by 1,2,3),
+ a as ({slope_prior_sql(60)}), b as ({slope_prior_sql(120)}),
+ p as (select market_ticker, o.valid_utc as t, o.tmpf as v, row_number() over (partition by market_ticker order by o.valid_utc desc, o.receipt_utc desc) as rn
+   from l join (select station, valid_utc, max(row(receipt_utc, tmpf))[1] as receipt_utc, max(row(receipt_utc, tmpf))[2] as tmpf from late_rows group by 1,2) o on o.station=l.station and o.receipt_utc<=l.dts and o.valid_utc<l.lt)
+ select l.market_ticker, lv as temperature_latest, {q6_sql('(lv-a.v)/60')} as slope_60m, {q6_sql('(lv-b.v)/120')} as slope_120m,
+  {q6_sql('lv - 2*p1.v + p2.v', 4)} as acceleration
+ from l left join a using (market_ticker) left join b using (market_ticker) left join p p1 on p1.market_ticker=l.market_ticker and p1.rn=1 left join p p2 on p2.market_ticker=l.market_ticker and p2.rn=2""",
+ LATE_ROWS, SLOPE_ASKS))
 def slopes_at_decision(spark: SparkSession, sf: str) -> DataFrame:
     from ..operators import features
 
     points = temperature_rows(spark, sf)
     seen = features.observation_features(slope_contracts(spark, sf), points)
     out = features.slope_features(seen, points, minutes=(60, 120)).where(F.col("temperature_latest").isNotNull())
-    return out.select("market_ticker", "temperature_latest", q6(F.col("temperature_slope_60m")).alias("slope_60m"), q6(F.col("temperature_slope_120m")).alias("slope_120m"))
+    out = features.acceleration_feature(out, points)
+    return out.select("market_ticker", "temperature_latest", q6(F.col("temperature_slope_60m")).alias("slope_60m"), q6(F.col("temperature_slope_120m")).alias("slope_120m"),
+                      q6(F.col("temperature_slope_acceleration"), 4).alias("acceleration"))

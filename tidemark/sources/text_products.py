@@ -69,7 +69,7 @@ def station_lines(lines: DataFrame) -> DataFrame:
     out = lines.where(F.size(p) >= 6).select(
         F.get(p, F.lit(0)).alias("station_id"), F.get(p, F.lit(1)).try_cast("double").alias("lat"), F.get(p, F.lit(2)).try_cast("double").alias("lon"),
         F.get(p, F.lit(3)).try_cast("double").alias("elevation_m"), F.get(p, F.lit(4)).alias("state"),
-        F.array_join(F.slice(p, 6, 1000), " ").alias("name"))
+        F.array_join(F.slice(p, F.lit(6), F.size(p)), " ").alias("name"))
     return out.where(F.col("lat").isNotNull() & F.col("lon").isNotNull() & F.col("elevation_m").isNotNull())
 
 
