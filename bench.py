@@ -8,7 +8,7 @@ import sys
 import time
 
 from tidemark.plans import catalog
-from tidemark.session import build_session
+from tidemark.session import build_session, intermediates
 
 HEADLINE = (
     "j06_feature_vintage", "j05_asof_latest", "j08_label_after_decision", "a03_interpolated_quantiles", "a13_fallback_levels",
@@ -30,7 +30,8 @@ def main() -> None:
     timings: dict[str, float] = {}
     for name in HEADLINE:
         start = time.perf_counter()
-        catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        with intermediates(spark):
+            catalog.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         timings[name] = round(time.perf_counter() - start, 3)
         print(f"{name} {timings[name]}", file=sys.stderr)
     scale = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")

@@ -18,12 +18,13 @@ from .timeline import Running, running_scan, time_segment
 ARRIVAL = ["received_ts", "event_id"]
 
 
-def sequence_books(messages: DataFrame) -> DataFrame:
+def sequence_books(messages: DataFrame, oldest: DataFrame | None = None) -> DataFrame:
     """Accepted frames with their book's snapshot number and quarantine flag.
 
     Stale frames are dropped. A gap taints every known book of the session until that book's next
     snapshot, and frames met while tainted are ignored, except the snapshot that heals. Connection
-    epochs must rise with time.
+    epochs must rise with time. ``oldest`` (market_ticker, first_epoch) tells the first session of each
+    book when ``messages`` has only some sessions.
     """
     health = sequence_health(messages).where(~F.col("stale"))
     at = F.struct("received_ts", "event_id")
@@ -37,7 +38,8 @@ def sequence_books(messages: DataFrame) -> DataFrame:
             "last_snapshot": Running("last", F.when(snapshot, at)), "snapshot_no": Running("sum", snapshot.cast("int")),
             "first_frame": Running("min", at)},
         time_segment("received_ts"))
-    oldest = health.groupBy("market_ticker").agg(F.min("connection_epoch").alias("first_epoch"))
+    if oldest is None:
+        oldest = health.groupBy("market_ticker").agg(F.min("connection_epoch").alias("first_epoch"))
     books = books.join(oldest, "market_ticker")
     healed = F.coalesce(F.col("last_snapshot") >= F.col("last_gap"), F.lit(False))
     # A gap taints the books that exist by then; a reconnect taints the books of earlier sessions.

@@ -40,9 +40,11 @@ def with_availability(features: DataFrame, policies: DataFrame, scenario: str =
     }).withColumns({name: clocks.clock(features, name) for name in FEATURE_CLOCKS})
     wanted = policies.where(F.col("scenario") == scenario).select("policy", "seconds")
     typed = typed.withColumns({
-        "__p0": F.concat_ws("/", "source", "feature_name"), "__p1": F.col("source"), "__p2": F.lit("*"),
+        "__p0": F.concat_ws("/", "source", "feature_name"), "__p1": F.col("source"),
+        # A join on a constant would be a nested loop; the policy for all sources is one number.
+        "__s2": wanted.where(F.col("policy") == "*").agg(F.max("seconds").alias("seconds")).scalar(),
     })
-    for level in range(3):
+    for level in range(2):
         renamed = wanted.select(
             F.col("policy").alias(f"__p{level}"), F.col("seconds").alias(f"__s{level}"))
         typed = typed.join(renamed, f"__p{level}", "left")

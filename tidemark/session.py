@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import re
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,7 +38,11 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared checkpoint folder; only a session without one gets a local folder."""
+    """The shared checkpoint folder of the session.
+
+    Without one, a session on this machine alone gets a temporary folder that goes with the process; on a cluster each
+    executor would write such a folder to its own disk, so there its absence is an error.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     current = spark.sparkContext.getCheckpointDir()
     if configured:
@@ -41,17 +50,39 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             spark.sparkContext.setCheckpointDir(configured)
         return configured
     if current is None:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tidemark-checkpoint-")
+        atexit.register(shutil.rmtree, current, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(current)
     return current
 
 
+_WRITTEN: list[str] = []
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back.
 
     Operators that read an intermediate result from several branches use it, so that a chain of them
-    neither recomputes nor regrows its plan, and a lost executor only re-reads files.
+    neither recomputes nor regrows its plan, and a lost executor only re-reads files. The write happens
+    when the plan is built; ``intermediates`` removes the files.
     """
     folder = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/tidemark-{uuid.uuid4().hex}"
     df.write.parquet(folder)
+    _WRITTEN.append(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+@contextlib.contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Removes what ``cut_lineage`` wrote inside the block once its results have been used or stored."""
+    start = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        for folder in _WRITTEN[start:]:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        del _WRITTEN[start:]

@@ -1,22 +1,22 @@
 """Structured Streaming jobs over a directory of JSON lines.
 
 Late data never changes an earlier decision: streams only append, and decisions read the appended
-rows through the two-clock filters. Watermarks bound state, nothing else.
+rows through the two-clock filters. No watermark is used, so no frame is too late to be kept.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions import clocks, encode
-from ..operators import filters
+from ..operators import book, filters
+from ..operators.state import sequence_health
 from ..operators.timeline import keep_latest
+from ..session import cut_lineage
 from ..sources.json_products import unwrap_messages
 from ..sources.tables import path_exists
 
@@ -35,9 +35,21 @@ def raw_frames(lines: DataFrame) -> DataFrame:
     return out.withColumn("exchange_ts", exchange).withColumn("message_type", F.coalesce(F.get_json_object("message_json", "$.type"), F.lit("unknown")))
 
 
-def distinct_frames(frames: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Drop repeats of a frame that arrive within the watermark."""
-    return frames.withWatermark("received_at", delay).dropDuplicatesWithinWatermark(["frame_sha"])
+def append_distinct(frames: DataFrame, path: str, checkpoint: str) -> None:
+    """Append every frame whose hash the table does not hold yet, however late it comes.
+
+    The table is laid out by the first two digits of the hash, so a batch reads only the parts its own hashes fall into. A
+    replayed batch finds its rows there already.
+    """
+    def each(batch: DataFrame, batch_id: int) -> None:
+        fresh = batch.dropDuplicates(["frame_sha"]).withColumn("part", F.substring("frame_sha", 1, 2))
+        if path_exists(batch.sparkSession, path):
+            parts = [row["part"] for row in fresh.select("part").distinct().collect()]  # 256 at most
+            held = batch.sparkSession.read.schema(fresh.schema).parquet(path).where(F.col("part").isin(parts))
+            fresh = cut_lineage(fresh.join(held.select("part", "frame_sha"), ["part", "frame_sha"], "left_anti").select(*fresh.columns))
+        fresh.write.mode("append").partitionBy("part").parquet(path)
+
+    run_available(frames, each, checkpoint)
 
 
 def append_table(frames: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()) -> StreamingQuery:
@@ -47,61 +59,32 @@ def append_table(frames: DataFrame, path: str, checkpoint: str, partition_by: Se
     return writer.trigger(availableNow=True).start()
 
 
-HEALTH = "sid long, market_ticker string, seq long, event string, best_yes int, best_no int, quarantined boolean"
-BOOKS = "payload string"
-
-
-def _step(state: dict, row) -> dict:
-    """Apply one frame to the books of a subscription and say what happened."""
-    last, books = state["last"], state["books"]
-    event = "applied"
-    if last is not None and row.seq <= last:
-        return {"event": "stale", "book": books.get(row.market_ticker)}
-    if last is not None and row.seq > last + 1:
-        event = "gap"
-        for known in books.values():
-            known["q"] = True
-    state["last"] = int(row.seq)
-    book = books.setdefault(row.market_ticker, {"yes": {}, "no": {}, "q": event == "gap"})
-    if row.type == "orderbook_snapshot":
-        for side, text in (("yes", row.yes), ("no", row.no)):
-            book[side] = {str(int(p)): float(q) for p, q in json.loads(text or "[]") if float(q) > 0}
-        book["q"] = False
-    elif not book["q"]:
-        if row.side not in ("yes", "no"):
-            raise ValueError(f"unknown order-book side: {row.side!r}")
-        level = book[row.side]
-        price = str(int(row.price))
-        level[price] = level.get(price, 0.0) + float(row.delta)
-        if level[price] <= 0:
-            level.pop(price)
-    return {"event": event, "book": book}
-
-
-def _fold_books(key: tuple, frames: Iterator, state: GroupState) -> Iterator:
-    import pandas as pd
-
-    held = json.loads(state.get[0]) if state.exists else {"last": None, "books": {}}
-    batch = pd.concat(list(frames)).sort_values(["received_ts", "event_id"])
-    out = []
-    for row in batch.itertuples(index=False):
-        seen = _step(held, row)
-        book = seen["book"] or {"yes": {}, "no": {}, "q": True}
-        best = {side: max(map(int, book[side]), default=-1) for side in ("yes", "no")}
-        out.append((int(key[1]), row.market_ticker, int(row.seq), seen["event"], best["yes"], best["no"], bool(book["q"])))
-    state.update((json.dumps(held),))
-    yield pd.DataFrame(out, columns=["sid", "market_ticker", "seq", "event", "best_yes", "best_no", "quarantined"])
-
-
-def live_books(frames: DataFrame) -> DataFrame:
-    """Books and sequence events per subscription, in order, with quarantine after a gap.
-
-    Order matters within a subscription, so its state has one owner; a trigger's file limit bounds
-    what one call sees. Columns: connection_epoch, sid, event_id, received_ts, market_ticker, seq,
-    type, side, price, delta, and yes and no as JSON lists of [price, quantity].
+def follow_books(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Keep ``path/frames``, ``path/health`` and ``path/books`` up to date with a stream of book frames.
+
+    Each batch stores its frames and then judges anew the connection sessions it touches, from the stored frames and by
+    the order of receipt, with the segmented scans of ``book``. So neither the order of files nor of batches matters,
+    and a subscription that carries most frames is spread over its hours. A reconnect ends a session, which bounds what
+    a batch has to read. ``health`` has every frame with its event (applied, gap or stale), ``books`` the
+    accepted frames with their quarantine flag.
     """
-    return frames.groupBy("connection_epoch", "sid").applyInPandasWithState(
-        _fold_books, HEALTH, BOOKS, "append", GroupStateTimeout.NoTimeout)
+    def each(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{path}/frames/__batch={batch_id}")
+        sessions = batch.select("connection_epoch").distinct()
+        store = spark.read.schema(batch.schema).option("basePath", f"{path}/frames").parquet(f"{path}/frames")
+        touched = cut_lineage(store.select(*batch.columns).dropDuplicates(["connection_epoch", "sid", "event_id"]).join(sessions, "connection_epoch", "left_semi"))
+        event = F.when(F.col("stale"), "stale").when(F.col("accepted_gap"), "gap").otherwise("applied")
+        replace_parts(sequence_health(touched).select(*touched.columns, event.alias("event")), f"{path}/health", "connection_epoch")
+        oldest = store.groupBy("market_ticker").agg(F.min("connection_epoch").alias("first_epoch"))
+        replace_parts(book.sequence_books(touched, oldest), f"{path}/books", "connection_epoch")
+
+    run_available(stream, each, checkpoint)
+
+
+def replace_parts(rows: DataFrame, path: str, part: str) -> None:
+    """Overwrite the partitions of a table that ``rows`` has, and no others."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
 
 
 def run_available(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str) -> None:
@@ -110,39 +93,65 @@ def run_available(stream: DataFrame, each: Callable[[DataFrame, int], None], che
     query.awaitTermination()
 
 
+#: Parts of a keyed table; a batch reads and writes the parts its keys fall into.
+PARTS = 64
+
+
+def key_part(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(PARTS)).cast("int")
+
+
+def _parts_of(batch: DataFrame) -> list[int]:
+    return [row["part"] for row in batch.select("part").distinct().collect()]  # PARTS at most
+
+
 def ingest_new(stream: DataFrame, path: str, checkpoint: str, key: str = "record_id") -> None:
     """Append only rows whose id is not in the table yet; a replayed batch adds nothing."""
     def each(batch: DataFrame, batch_id: int) -> None:
-        fresh = keep_latest(batch, [key], [F.lit(0)], earliest=True)
-        if path_exists(batch.sparkSession, path):
-            done = batch.sparkSession.read.parquet(path).where(F.col("__batch") != batch_id).select(key)
-            fresh = fresh.join(done, key, "left_anti")
-        target = f"{path}/__batch={batch_id}"
-        fresh.write.mode("overwrite").parquet(target)
+        spark = batch.sparkSession
+        fresh = keep_latest(batch, [key], [F.lit(0)], earliest=True).withColumn("part", key_part([key]))
+        if path_exists(spark, path):
+            held = spark.read.schema(fresh.schema).parquet(path).where(F.col("part").isin(_parts_of(fresh)))
+            fresh = cut_lineage(fresh.join(held.select("part", key), ["part", key], "left_anti").select(*fresh.columns))
+        fresh.write.mode("append").partitionBy("part").parquet(path)
 
     run_available(stream, each, checkpoint)
 
 
+def _last_version(spark: SparkSession, path: str) -> int:
+    """Number of the newest version that was written to its end; 0 when there is none."""
+    if not path_exists(spark, f"{path}/version=*/_SUCCESS"):
+        return 0
+    last = spark.read.parquet(path).agg(F.max("version")).first()[0]
+    while not path_exists(spark, f"{path}/version={last}/_SUCCESS"):
+        last -= 1
+    return last
+
+
 def upsert(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], receipt: Column, newest: bool) -> None:
     """Keep one row per key: the earliest receipt, or the newest one.
 
-    Each batch writes the next version of the table, so that a failed batch leaves the last one whole.
+    A batch merges the parts its keys fall into with their current rows and writes them as the next version. Versions
+    count on from what is stored, so a lost checkpoint replays into the same result; an unfinished version is written over.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
-        rows = batch
-        previous = f"{path}/version={batch_id - 1}"
-        if batch_id > 0 and path_exists(batch.sparkSession, previous):
-            rows = batch.sparkSession.read.schema(batch.schema).parquet(previous).unionByName(batch)
-        keep_latest(rows, keys, [receipt], earliest=not newest).write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        spark = batch.sparkSession
+        rows = batch.withColumn("part", key_part(keys))
+        last = _last_version(spark, path)
+        if last:
+            held = latest_version(spark, path).where(F.col("part").isin(_parts_of(rows)))
+            rows = rows.unionByName(held)
+        merged = keep_latest(rows, [*keys, "part"], [receipt], earliest=not newest)
+        merged.write.mode("overwrite").partitionBy("part").parquet(f"{path}/version={last + 1}")
 
     run_available(stream, each, checkpoint)
 
 
 def latest_version(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the newest version of an upserted table."""
-    versions = spark.read.parquet(path)
-    newest = versions.select(F.max("version")).scalar()
-    return versions.where(F.col("version") == newest).drop("version")
+    """Current rows of an upserted table, with their ``part``: of each part those of its newest finished version."""
+    versions = spark.read.parquet(path).where(F.col("version") <= _last_version(spark, path))
+    newest = versions.groupBy("part").agg(F.max("version").alias("version"))
+    return versions.join(newest, ["part", "version"], "left_semi").drop("version")
 
 
 def asof_view(bronze: DataFrame, decision: Column, issue: str, receipt: str) -> DataFrame:
