@@ -106,10 +106,18 @@ def provenance_indexes(spark: SparkSession, sf: str) -> DataFrame:
     return bad.groupBy("kind", "reason").agg(count_rows().alias("n"))
 
 
-@query("q08_label_sanity", with_views(("labels_daily",), f"select city, count(*) as rows, count(*) as unique_dates, 0::bigint as duplicate_dates, cast(min(date) as varchar) as first_date, {q6_sql('max(tmax_f)')} as tmax_top, 0::bigint as tmax_lt_tmin from labels_daily group by 1"))
+@query("q08_label_sanity", with_views(("labels_daily",), f"""
+ , l as (select city, date, case when station%4=1 and day(date)%3=0 then tmin_f-1 else tmax_f end as tmax_f, tmin_f from labels_daily union all select city, date, null, tmin_f from labels_daily where day(date)%5=0)
+ select city, count(*) as rows, count(distinct date) as unique_dates, count(*)-count(distinct date) as duplicate_dates, cast(min(date) as varchar) as first_date, {q6_sql('max(tmax_f)')} as tmax_top,
+  count(*) filter (tmax_f<tmin_f) as tmax_lt_tmin, count(*) filter (tmax_f is null) as missing_tmax from l group by 1"""))
 def label_sanity(spark: SparkSession, sf: str) -> DataFrame:
-    out = quality.label_sanity(shapes.labels_daily(spark, sf))
-    return out.select("city", "rows", "unique_dates", "duplicate_dates", F.col("first_date").cast("string").alias("first_date"), q6(F.col("tmax_top")).alias("tmax_top"), "tmax_lt_tmin")
+    """Labels with faults put in: crossed extremes, second rows of a day, missing highs."""
+    good = shapes.labels_daily(spark, sf)
+    crossed = (F.col("station") % 4 == 1) & (F.dayofmonth("date") % 3 == 0)
+    bad = good.withColumn("tmax_f", F.when(crossed, F.col("tmin_f") - 1).otherwise(F.col("tmax_f")))
+    second = good.where(F.dayofmonth("date") % 5 == 0).withColumn("tmax_f", F.lit(None).cast("double"))
+    out = quality.label_sanity(bad.unionByName(second))
+    return out.select("city", "rows", "unique_dates", "duplicate_dates", F.col("first_date").cast("string").alias("first_date"), q6(F.col("tmax_top")).alias("tmax_top"), "tmax_lt_tmin", "missing_tmax")
 
 
 @query("q08_observation_sanity", with_views(("obs",), f"select station, count(*) as obs, {q6_sql('count(*)*1e0/count(distinct local_date)', 4)} as obs_per_day, count(*) filter (cast((valid_utc at time zone 'UTC') at time zone 'America/Phoenix' as date)<>local_date) as local_date_mismatch from obs group by 1"))

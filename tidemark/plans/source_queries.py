@@ -337,18 +337,33 @@ def normal_cdf(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_id", q6(numeric.gaussian_cdf(F.col("value"), F.lit(40.0), F.lit(15.0)), 9).alias("p"))
 
 
-@query("f12_normal_quantile", "select o_orderkey, (o_orderkey%999+1)/1000e0 as p from orders")
+#: The normal CDF by its power series, independent of the library's rational form.
+SERIES_CDF = """0.5e0 + sign(z)*exp(-z*z/2)/sqrt(2*pi())*list_sum(list_transform(range(0, 70), lambda k: exp((2*k+1)*ln(abs(z)) - (lgamma(2*k+2) - k*ln(2) - lgamma(k+1)))))"""
+
+
+@query("f12_normal_quantile", f"""
+ with recursive b as (select (k+1)/1000e0 as p, -4e0 as lo, 4.1e0 as hi, 0 as i from range(999) t(k)
+  union all select p, case when f<p then z else lo end, case when f<p then hi else z end, i+1 from (select *, {SERIES_CDF} as f from (select *, (lo+hi)/2 as z from b where i<48)))
+ select o_orderkey, {q6_sql('(lo+hi)/2', 7)} as z from orders join b on p=(o_orderkey%999+1)/1000e0 where i=48""")
 def normal_quantile(spark: SparkSession, sf: str) -> DataFrame:
     p = (F.col("o_orderkey") % 999 + 1) / F.lit(1000.0)
-    rows = table(spark, sf, "orders").select("o_orderkey", numeric.norm_quantile(p).alias("z"))
-    return rows.select("o_orderkey", (F.round(numeric.norm_cdf(F.col("z")) * 1000) / F.lit(1000.0)).alias("p"))
+    return table(spark, sf, "orders").select("o_orderkey", q6(numeric.norm_quantile(p), 7).alias("z"))
+
 
+PHOENIX = (33.4278, -112.0036)
 
-@query("f14_solar_day", "select distinct cast(o_orderdate as date)::varchar as day from orders")
+
+@query("f14_solar_day", f"""
+ with d as (select distinct cast(o_orderdate as date) as d from orders), g as (select d, (dayofyear(d)-1)*2*pi()/365 as g from d),
+ s as (select d, 229.18*(0.000075+0.001868*cos(g)-0.032077*sin(g)-0.014615*cos(2*g)-0.040849*sin(2*g)) as eq,
+  0.006918-0.399912*cos(g)+0.070257*sin(g)-0.006758*cos(2*g)+0.000907*sin(2*g)-0.002697*cos(3*g)+0.00148*sin(3*g) as dec from g),
+ h as (select d, 720-4*({PHOENIX[1]})-eq as noon, degrees(acos(cos(radians(90.833))/(cos(radians({PHOENIX[0]}))*cos(dec))-tan(radians({PHOENIX[0]}))*tan(dec))) as ha from s)
+ select d::varchar as day, {q6_sql('noon', 4)} as noon, {q6_sql('noon-4*ha', 4)} as sunrise, {q6_sql('noon+4*ha', 4)} as sunset, {q6_sql('8*ha', 4)} as daylength from h""")
 def solar_day(spark: SparkSession, sf: str) -> DataFrame:
     days = table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("d")).distinct()
-    sun = numeric.solar_day(F.col("d"), F.lit(33.4278), F.lit(-112.0036))
-    return days.where(sun["daylength_min"].between(300, 1000) & (sun["sunrise_min"] < sun["sunset_min"])).select(F.col("d").cast("string").alias("day"))
+    sun = numeric.solar_day(F.col("d"), F.lit(PHOENIX[0]), F.lit(PHOENIX[1]))
+    return days.select(F.col("d").cast("string").alias("day"), q6(sun["noon_min"], 4).alias("noon"), q6(sun["sunrise_min"], 4).alias("sunrise"),
+                       q6(sun["sunset_min"], 4).alias("sunset"), q6(sun["daylength_min"], 4).alias("daylength"))
 
 
 @query("f15_solar_position", f"select event_id, {q6_sql('degrees(asin(sin(radians(33e0))*sin(radians(23.44e0)*sin(radians((dayofyear(ts)+284)*360e0/365e0)))+cos(radians(33e0))*cos(radians(23.44e0)*sin(radians((dayofyear(ts)+284)*360e0/365e0)))*cos(radians(15*(hour(ts)+minute(ts)/60e0+second(ts)/3600e0-112e0/15e0-12)))))', 5)} as elevation from events")
@@ -357,10 +372,13 @@ def solar_position(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_id", q6(s["solar_elevation_deg"], 5).alias("elevation"))
 
 
-@query("f17_scan_angles", "select c_custkey, abs(c_custkey%60-30)<>99 as finite from customer")
+@query("f17_scan_angles", f"""
+ with p as (select c_custkey, radians(c_custkey%60-30e0) as phi, radians((c_custkey%50-150e0)-(-137e0)) as d, 6378137e0 as a, 6356752.31414e0 as b from customer),
+ r as (select *, a*b/sqrt(b*b*cos(phi)*cos(phi)+a*a*sin(phi)*sin(phi)) as r, 35786023e0+a as h from p)
+ select c_custkey, {q6_sql('atan((r*cos(phi)*sin(d))/(h-r*cos(phi)*cos(d)))', 9)} as x, {q6_sql('atan(r*sin(phi)/sqrt(pow(h-r*cos(phi)*cos(d),2)+pow(r*cos(phi)*sin(d),2)))', 9)} as y from r""")
 def scan_angles(spark: SparkSession, sf: str) -> DataFrame:
     x, y = numeric.scan_angles((F.col("c_custkey") % 60 - 30).cast("double"), (F.col("c_custkey") % 50 - 150).cast("double"), -137.0, 6378137.0, 6356752.31414, 35786023.0)
-    return table(spark, sf, "customer").select("c_custkey", (F.abs(x) + F.abs(y) < 0.4).alias("finite"))
+    return table(spark, sf, "customer").select("c_custkey", q6(x, 9).alias("x"), q6(y, 9).alias("y"))
 
 
 @query("f18_lead_bucket", "select o_orderkey, cast(round_even((o_orderkey%100)/6e0,0)*6 as int) as bucket, strftime(o_orderdate,'%m') as month from orders")
@@ -374,10 +392,12 @@ def content_key(spark: SparkSession, sf: str) -> DataFrame:
     return o.select("o_orderkey", encode.content_key(encode.canonical_json(["s", "k"])).alias("key"))
 
 
-@query("f20_split_ids", "select o_orderkey, 3::int as ids from orders")
+@query("f20_split_ids", """select o_orderkey, array_to_string(list_filter([case when o_orderkey%2=0 then 'a' end, o_orderkey::varchar, case when o_orderkey%3=0 then 'c d' end, case when o_orderkey%5=0 then o_orderstatus end], lambda x: x is not null), '/') as ids from orders""")
 def split_ids(spark: SparkSession, sf: str) -> DataFrame:
-    raw = F.concat(F.lit(" a;"), F.col("o_orderkey").cast("string"), F.lit(" ,|, c ; "))
-    return table(spark, sf, "orders").select("o_orderkey", F.size(encode.split_ids(raw)).alias("ids"))
+    k = F.col("o_orderkey")
+    raw = F.concat(F.when(k % 2 == 0, F.lit(" a;")).otherwise(" ,"), k.cast("string"), F.lit(" ,|, "), F.when(k % 3 == 0, F.lit("c d ; ")).otherwise(""),
+                   F.when(k % 5 == 0, F.concat(F.lit("|"), F.col("o_orderstatus"))).otherwise(";;"))
+    return table(spark, sf, "orders").select("o_orderkey", F.array_join(encode.split_ids(raw), "/").alias("ids"))
 
 
 @query("f21_exchange_time", f"select event_id, case when event_id%4=3 then 'none' else {stamp_sql('make_timestamp(case when event_id%4=1 then (epoch_us(ts)//1000000)*1000000 else (epoch_us(ts)//1000)*1000 end)')} end as t from events")

@@ -152,9 +152,18 @@ def bucket_gaps(spark: SparkSession, sf: str) -> DataFrame:
     return state.bucket_gaps(rows).select("event_ticker", "markets", "duplicate_tickers", "overlaps", "gaps")
 
 
-@query("w14_state_monotone", with_views(("obs",), "select station, count(*) as rows, count(distinct local_date) as station_days, 0::bigint as high_mismatch, 0::bigint as low_mismatch, 0::bigint as high_not_monotone, 0::bigint as low_not_monotone from obs group by 1"))
+@query("w14_state_monotone", with_views(("obs",), f"""
+ , s as (select *, max(tmpf) {SO_FAR} as mx, min(tmpf) {SO_FAR} as mn from obs), f as (select *, mx - case when event_id%17=0 then 5e0 else 0e0 end as hi, mn + case when event_id%19=0 then 3e0 else 0e0 end as lo from s),
+ p as (select *, lag(hi) over ({DAY}) as ph, lag(lo) over ({DAY}) as pl from f)
+ select station, count(*) as rows, count(distinct local_date) as station_days, count(*) filter (abs(hi-mx)>1e-6) as high_mismatch, count(*) filter (abs(lo-mn)>1e-6) as low_mismatch,
+  count(*) filter (hi+1e-6<ph) as high_not_monotone, count(*) filter (lo-1e-6>pl) as low_not_monotone from p group by 1"""))
 def state_monotone(spark: SparkSession, sf: str) -> DataFrame:
-    return state.check_state(state.running_extremes(observations(spark, sf)))
+    """States with faults put in: every seventeenth high is too low, every nineteenth low too high."""
+    k = F.col("event_id")
+    states = state.running_extremes(observations(spark, sf))
+    return state.check_state(states.withColumns({
+        "observed_high_so_far_f": F.col("observed_high_so_far_f") - F.when(k % 17 == 0, 5.0).otherwise(0.0),
+        "observed_low_so_far_f": F.col("observed_low_so_far_f") + F.when(k % 19 == 0, 3.0).otherwise(0.0)}))
 
 
 @query("w15_first_last_revision", f"select o_custkey, count(*) as revisions, arg_min(o_totalprice, row(o_orderdate, o_totalprice)) as first_value, arg_max(o_totalprice, row(o_orderdate, o_totalprice)) as last_value from orders group by 1")
