@@ -7,7 +7,9 @@ cells met twice or more become bitmaps. A second pass emits only windows whose m
 or more; these are grouped exactly by 128-bit hashes, so no repeat is lost and none is made up.
 
 Windows with the same minimiser form runs. Runs are compared first: where a run as a whole occurs in a document with a
-smaller key, its windows are settled; only the windows of each run's first document are grouped one by one.
+smaller key, its windows are settled. A window can only equal one of another run if both runs have the same minimiser, so
+windows are grouped one by one only for minimisers that occur with different runs, and only in each run's first document;
+a third pass emits just those.
 
 Defined results: null and empty texts have no words; texts below ``size`` words lose nothing; repeated rows of one key are
 one document and don't remove each other; rows with a null key stay whole and remove nothing.
@@ -133,6 +135,11 @@ def sketch_repeats(bodies: DataFrame, size: int, width: int) -> list[np.ndarray]
             yield from flush()
 
     cells = bodies.mapInArrow(count, "cell long, n int").groupBy("cell").agg(F.sum("n").alias("n")).where(F.col("n") >= 2)
+    return _bitmaps(cells, width)
+
+
+def _bitmaps(cells: DataFrame, width: int) -> list[np.ndarray]:
+    """Per sketch row the bitmap of its cells; ``cell`` holds the cell times ``ROWS`` plus the row."""
     bit = F.floor(F.col("cell") / ROWS).cast("long") + 1  # Spark numbers bits from 1
     rows = (cells.select((F.col("cell") % ROWS).alias("row"), bit.alias("bit"))
             .groupBy("row", F.bitmap_bucket_number("bit").alias("bucket"))
@@ -144,6 +151,17 @@ def sketch_repeats(bodies: DataFrame, size: int, width: int) -> list[np.ndarray]
     return maps
 
 
+def _member_maps(minimisers: DataFrame, width: int) -> list[np.ndarray]:
+    """Bitmaps that hold every ``m`` of a table (and, by chance, a few others)."""
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column(0).to_numpy().view(np.uint64)
+            for row in range(ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array(_cells(values, row, width) * ROWS + row)], ["cell"])
+
+    return _bitmaps(minimisers.select("m").mapInArrow(cells, "cell long"), width)
+
+
 def _estimated_repeated(minimisers: np.ndarray, maps: list[np.ndarray], width: int) -> np.ndarray:
     good = np.ones(minimisers.size, bool)
     for row, bits in enumerate(maps):
@@ -152,13 +170,16 @@ def _estimated_repeated(minimisers: np.ndarray, maps: list[np.ndarray], width: i
     return good
 
 
-def _candidate_runs(bodies: DataFrame, size: int, width: int, maps: list[np.ndarray]) -> DataFrame:
-    """(doc, start, n, r1, r2, h1, h2): runs of windows estimated repeated; h1 and h2 hold the hashes of their windows."""
+def _runs(bodies: DataFrame, size: int, width: int, maps: list[np.ndarray], windows: bool) -> DataFrame:
+    """(doc, start, n, m, r1, r2, h1, h2): runs of windows whose minimiser m the bitmaps hold.
+
+    r1 and r2 are hashes of a run's words, h1 and h2 those of its windows, empty unless ``windows`` is set.
+    """
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _word_hashes()
         for batch in batches:
-            owner, first, length, spans, windows = [], [], [], ([], []), ([], [])
+            owner, first, length, least, spans, inner = [], [], [], [], ([], []), ([], [])
             for at_row, body in enumerate(batch.column(1).to_pylist()):
                 for at, lanes, minimisers in _parts(body, hashes, size):
                     edges = np.flatnonzero(np.concatenate(([True], minimisers[1:] != minimisers[:-1], [True])))
@@ -172,20 +193,24 @@ def _candidate_runs(bodies: DataFrame, size: int, width: int, maps: list[np.ndar
                     owner.append(np.full(start.size, at_row))
                     first.append(start + at)
                     length.append(counts)
+                    least.append(minimisers[start])
                     for lane in (0, 1):
                         sums = _rolling(lanes, lane)
                         spans[lane].append(_span(sums, lane, start, stop + size - 1))
-                        windows[lane].append(_span(sums, lane, inside, inside + size))
+                        if windows:
+                            inner[lane].append(_span(sums, lane, inside, inside + size))
             if owner:
                 counts = np.concatenate(length)
-                offsets = pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32))
+                offsets = pa.array((np.concatenate(([0], np.cumsum(counts))) if windows else np.zeros(counts.size + 1)).astype(np.int32))
+                held = [np.concatenate(w) if windows else np.empty(0, np.uint64) for w in inner]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(np.concatenate(owner))), pa.array(np.concatenate(first).astype(np.int32)), pa.array(counts.astype(np.int32)),
-                     *(pa.array(np.concatenate(s).view(np.int64)) for s in spans),
-                     *(pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(w).view(np.int64))) for w in windows)],
-                    ["doc", "start", "n", "r1", "r2", "h1", "h2"])
+                     pa.array(np.concatenate(least).view(np.int64)), *(pa.array(np.concatenate(s).view(np.int64)) for s in spans),
+                     *(pa.ListArray.from_arrays(offsets, pa.array(w.view(np.int64))) for w in held)],
+                    ["doc", "start", "n", "m", "r1", "r2", "h1", "h2"])
 
-    return bodies.mapInArrow(runs, f"doc {bodies.schema['doc_id'].dataType.simpleString()}, start int, n int, r1 long, r2 long, h1 array<long>, h2 array<long>")
+    kind = bodies.schema["doc_id"].dataType.simpleString()
+    return bodies.mapInArrow(runs, f"doc {kind}, start int, n int, m long, r1 long, r2 long, h1 array<long>, h2 array<long>")
 
 
 def repeated_spans(docs: DataFrame, size: int = 50, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -196,14 +221,18 @@ def repeated_spans(docs: DataFrame, size: int = 50, key: str = "doc_id", text: s
     while width < min(MOST_CELLS, chars // 8):  # about 130 bytes of text bring one minimiser
         width *= 2
     maps = sketch_repeats(bodies, size, width)
-    runs = cut_lineage(_candidate_runs(bodies, size, width, maps))
-    first = runs.groupBy("r1", "r2", "n").agg(F.min("doc").alias("least"))
-    judged = runs.join(first, ["r1", "r2", "n"])
-    whole = judged.where(F.col("doc") > F.col("least")).select("doc", F.col("start").alias("from"), (F.col("start") + F.col("n") + size - 1).alias("to"))
-    windows = cut_lineage(
-        judged.where(F.col("doc") == F.col("least")).select("doc", "start", F.posexplode(F.arrays_zip("h1", "h2")).alias("i", "h"))
-        .select("doc", (F.col("start") + F.col("i")).alias("from"), F.col("h.h1").alias("h1"), F.col("h.h2").alias("h2")))
-    # Most windows of first documents occur there alone; only hashes of several documents go into the join.
+    content = ["m", "r1", "r2", "n"]
+    runs = cut_lineage(_runs(bodies, size, width, maps, windows=False).drop("h1", "h2"))
+    first = cut_lineage(runs.groupBy(*content).agg(F.min("doc").alias("least"), F.max("doc").alias("most")))
+    whole = (runs.join(first.where(F.col("most") > F.col("least")).drop("most"), content).where(F.col("doc") > F.col("least"))
+             .select("doc", F.col("start").alias("from"), (F.col("start") + F.col("n") + size - 1).alias("to")))
+    # Minimisers of different runs in different documents: only there can single windows still be equal.
+    mixed = (first.groupBy("m").agg(F.count(F.lit(1)).alias("kinds"), F.min("least").alias("low"), F.max("most").alias("high"))
+             .where((F.col("kinds") > 1) & (F.col("high") > F.col("low"))).select("m"))
+    leading = first.join(mixed, "m", "left_semi").drop("most")
+    opened = (_runs(bodies, size, width, _member_maps(mixed, width), windows=True).join(leading, content).where(F.col("doc") == F.col("least")))
+    windows = cut_lineage(opened.select("doc", "start", F.posexplode(F.arrays_zip("h1", "h2")).alias("i", "h"))
+                          .select("doc", (F.col("start") + F.col("i")).alias("from"), F.col("h.h1").alias("h1"), F.col("h.h2").alias("h2")))
     shared = windows.groupBy("h1", "h2").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where(F.col("most") > F.col("least"))
     single = windows.join(shared, ["h1", "h2"]).where(F.col("doc") > F.col("least")).select("doc", "from", (F.col("from") + size).alias("to"))
     return whole.unionAll(single).groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("from", "to"))).alias("spans"))
