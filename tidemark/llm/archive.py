@@ -31,8 +31,8 @@ ARC_FIELDS = {
     1: "URL IP-address Archive-date Content-type Archive-length",
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
-#: Fast compression: archives are written once and read once here.
-GZIP = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+#: Archives are gzipped as a whole at the codec's default level.
+GZIP = {"compression": "gzip"}
 #: Arrow batches that leave a parser hold about this many payload bytes.
 BATCH_BYTES = 8 << 20
 
