@@ -2,7 +2,8 @@
 
 ``build_index`` reads the corpus once and stores the positions of the terms that the test items use. A token is
 stored only where a test window could lie around it: among some ``size + slop`` consecutive tokens there are ``size``
-test terms. The filter is a bitmap of term hashes of fixed size, so its false positives only store a little more.
+test terms, and with no slop every two adjacent ones are adjacent in some test window as well. The filters are bitmaps
+of hashes of fixed size, so their false positives only store a little more.
 ``exact_hits`` starts from the rarest term of each window, subtracts offsets to get (document, shift) candidates, and
 meets the other terms of the window on exact position; ``proximity_hits`` lets every term be up to ``slop`` words away
 from its place.
@@ -59,10 +60,11 @@ def item_windows(items: DataFrame, size: int = 13, key: str = "item_id") -> Data
                          .alias("offset", "term")).select("item_id", "first", "length", "term", (F.col("first") + F.col("offset")).alias("place"))
 
 
-def _bitmaps(windows: DataFrame, size: int) -> list[tuple[int, bytes]]:
-    """(window length, bitmap of term hashes) for whole windows and for the short items; two bitmaps of fixed size."""
+def _bitmaps(windows: DataFrame, size: int, value: str) -> dict[bool, tuple[int, bytes]]:
+    """(least window length, bitmap of the hashes of ``value``) for whole windows (False) and for short items (True)."""
     # Spark numbers the bits of a bitmap, and the bitmaps, from 1.
-    hashed = (windows.select((F.col("length") < size).alias("short"), "length", (F.xxhash64("term").bitwiseAND(BITMAP_BITS - 1) + 1).alias("bit"))
+    hashed = (windows.where(F.col(value).isNotNull())
+              .select((F.col("length") < size).alias("short"), "length", (F.xxhash64(value).bitwiseAND(BITMAP_BITS - 1) + 1).alias("bit"))
               .withColumn("bucket", F.bitmap_bucket_number("bit")))
     rows = (hashed.groupBy("short", "bucket")
             .agg(F.min("length").alias("length"), F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect())
@@ -72,7 +74,20 @@ def _bitmaps(windows: DataFrame, size: int) -> list[tuple[int, bytes]]:
         at = (row["bucket"] - 1) * len(row["bits"])
         bits[at:at + len(row["bits"])] = row["bits"]
         found[row["short"]] = (min(length, row["length"]), bits)
-    return [(length, bytes(bits)) for length, bits in found.values()]
+    return {short: (length, bytes(bits)) for short, (length, bits) in found.items()}
+
+
+def _filters(windows: DataFrame, size: int) -> list[tuple[int, bytes, bytes]]:
+    """Per class of windows: least length, bitmap of terms, bitmap of adjacent terms."""
+    following = F.lead("term").over(Window.partitionBy("item_id", "first").orderBy("place"))
+    terms = _bitmaps(windows, size, "term")
+    pairs = _bitmaps(windows.withColumn("pair", F.concat("term", F.lit(b" "), following)), size, "pair")
+    return [(length, bits, pairs.get(short, (0, bytes(BITMAP_BITS // 8)))[1]) for short, (length, bits) in terms.items()]
+
+
+def _member(bits: np.ndarray, value: bytes) -> bool:
+    bit = xxhash.xxh64_intdigest(value, 42) & (BITMAP_BITS - 1)
+    return bool(bits[bit >> 3] >> (bit & 7) & 1)
 
 
 def _possible(member: np.ndarray, length: int, slop: int) -> np.ndarray:
@@ -104,26 +119,36 @@ class PositionalIndex:
 def build_index(docs: DataFrame, items: DataFrame, size: int = 13, slop: int = 0, key: str = "doc_id", item_key: str = "item_id") -> PositionalIndex:
     """One pass over the corpus; the stored index grows with what the corpus shares with the test terms."""
     windows = cut_lineage(item_windows(items, size, item_key))
-    filters = _bitmaps(windows, size)
+    filters = _filters(windows, size)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmaps = [(length, np.frombuffer(bits, np.uint8)) for length, bits in filters]
-
-        def kinds(word: bytes) -> int:
-            bit = xxhash.xxh64_intdigest(word, 42) & (BITMAP_BITS - 1)
-            return sum(1 << i for i, (_, bits) in enumerate(bitmaps) if bits[bit >> 3] >> (bit & 7) & 1)
+        classes = [(length, *(np.frombuffer(bits, np.uint8) for bits in both)) for length, *both in filters]
+        # Bit i of a word's or a pair's kind says whether class i has it.
+        kind_of = Memo(lambda word: sum(_member(terms, word) << i for i, (_, terms, _) in enumerate(classes))).__getitem__
+        pair_kind = Memo(lambda pair: sum(_member(pairs, pair) << i for i, (_, _, pairs) in enumerate(classes)), limit=100_000).__getitem__
+
+        def stored(words: list[bytes]) -> np.ndarray:
+            keep = np.zeros(len(words), bool)
+            if not classes:
+                return keep
+            kind = np.fromiter(map(kind_of, words), np.uint8, len(words))
+            for i, (length, _, _) in enumerate(classes):
+                good = _possible((kind >> i & 1).astype(bool), length, slop)
+                if slop == 0 and length > 1 and good.any():
+                    linked = np.zeros(len(words) - 1, bool)
+                    near = np.flatnonzero(good[:-1] & good[1:])
+                    linked[near] = [pair_kind(words[j] + b" " + words[j + 1]) >> i & 1 for j in near.tolist()]
+                    linked = _possible(linked, length - 1, 0)
+                    good = np.append(linked, False) | np.insert(linked, 0, False)
+                keep |= good
+            return keep
 
-        kind_of = Memo(kinds).__getitem__
         for batch in batches:
             counts, terms, places = [], [], []
             for body in batch.column(1).to_pylist():
                 words = words_of(body)
                 counts.append(len(words))
-                keep = np.zeros(len(words), bool)
-                if bitmaps:
-                    kind = np.fromiter(map(kind_of, words), np.uint8, len(words))
-                    for i, (length, _) in enumerate(bitmaps):
-                        keep |= _possible((kind >> i & 1).astype(bool), length, slop)
+                keep = stored(words)
                 at = np.flatnonzero(keep).tolist()
                 places.append(at)
                 terms.append([words[i] for i in at])
