@@ -109,7 +109,7 @@ def _possible(member: np.ndarray, length: int, slop: int) -> np.ndarray:
 
 @dataclass
 class PositionalIndex:
-    """``docs``: (doc, doc_id, n_words); ``postings``: (term, doc, pos); ``windows``: the test side."""
+    """``docs``: (doc, doc_id, digest, n_words) with the XXH64 of the text; ``postings``: (term, doc, pos); ``windows``: the test side."""
 
     docs: DataFrame
     postings: DataFrame
@@ -144,24 +144,25 @@ def build_index(docs: DataFrame, items: DataFrame, size: int = 13, slop: int = 0
             return keep
 
         for batch in batches:
-            counts, terms, places = [], [], []
+            counts, digests, terms, places = [], [], [], []
             for body in batch.column(1).to_pylist():
                 words = words_of(body)
                 counts.append(len(words))
+                digests.append(xxhash.xxh64_intdigest(body, 42))
                 keep = stored(words)
                 at = np.flatnonzero(keep).tolist()
                 places.append(at)
                 terms.append([words[i] for i in at])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(terms, pa.list_(pa.binary())), pa.array(places, pa.list_(pa.int32()))],
-                ["doc_id", "n_words", "terms", "places"])
+                [batch.column(0), pa.array(np.array(digests, np.uint64).view(np.int64)), pa.array(counts, pa.int64()), pa.array(terms, pa.list_(pa.binary())), pa.array(places, pa.list_(pa.int32()))],
+                ["doc_id", "digest", "n_words", "terms", "places"])
 
     kind = docs.schema[key].dataType.simpleString()
-    stored = cut_lineage(text_bytes(docs, key).mapInArrow(post, f"doc_id {kind}, n_words long, terms array<binary>, places array<int>")
+    stored = cut_lineage(text_bytes(docs, key).mapInArrow(post, f"doc_id {kind}, digest long, n_words long, terms array<binary>, places array<int>")
                          .withColumn("doc", F.monotonically_increasing_id()))
     postings = (stored.where(F.size("places") > 0).select("doc", F.explode(F.arrays_zip("terms", "places")).alias("p"))
                 .select("doc", F.col("p.terms").alias("term"), F.col("p.places").alias("pos")))
-    return PositionalIndex(stored.select("doc", "doc_id", "n_words"), postings, windows)
+    return PositionalIndex(stored.select("doc", "doc_id", "digest", "n_words"), postings, windows)
 
 
 def _rarest_first(index: PositionalIndex) -> DataFrame:
@@ -218,7 +219,7 @@ def proximity_hits(index: PositionalIndex, slop: int) -> DataFrame:
 
 
 def contamination(index: PositionalIndex, hits: DataFrame, share: int = 20) -> DataFrame:
-    """(doc_id, n_words, n_hit, items, contaminated): words of each document inside any hit, and the items met."""
+    """(doc_id, digest, n_words, n_hit, items, contaminated): words of each document inside any hit, and the items met."""
     hits = cut_lineage(hits)
     covered = (hits.groupBy("doc", "start").agg(F.max("length").alias("length"))
                .select("doc", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)).alias("pos"))
@@ -227,5 +228,5 @@ def contamination(index: PositionalIndex, hits: DataFrame, share: int = 20) -> D
              .groupBy("doc").agg(F.array_sort(F.collect_list("item")).alias("items")))
     joined = index.docs.join(covered, "doc", "left").join(items, "doc", "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    return joined.select("doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+    return joined.select("doc_id", "digest", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"),
                          ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"))
