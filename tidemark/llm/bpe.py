@@ -11,7 +11,6 @@ fail when they are decoded.
 
 from __future__ import annotations
 
-import functools
 import heapq
 import json
 from array import array
@@ -24,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, pieces
+from .common import Memo, pieces, worker_cache
 
 #: Fixed value: the public split pattern of this family of vocabularies.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -155,10 +154,9 @@ class Codec:
         return b"".join(map(self.spelled.__getitem__, ids)).decode("utf-8", "replace")
 
 
-@functools.lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     """One codec per worker, so that tasks of a worker share its cache."""
-    return Codec(path)
+    return worker_cache(("bpe", path), lambda: Codec(path))
 
 
 def encode_texts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -73,3 +73,17 @@ def pieces(text: str, size: int = 200_000) -> Iterator[str]:
         else:
             at += 1
     yield text[start:]
+
+
+_HELD: dict[Any, Any] = {}
+
+
+def worker_cache(name: Any, build: Callable[[], Any] = lambda: None) -> Any:
+    """What ``build`` made for ``name`` in this Python worker; tasks of one operator share it.
+
+    Workers outlive a stage. Asking for another name drops what the worker held, so one cache at a time takes memory.
+    """
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = build()
+    return _HELD[name]

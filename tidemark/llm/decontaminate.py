@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import Memo, text_bytes
+from .common import Memo, text_bytes, worker_cache
 
 #: Bits of a term bitmap (2 MB), whatever the size of the benchmark.
 BITMAP_BITS = 1 << 24
@@ -122,6 +122,7 @@ def build_index(docs: DataFrame, items: DataFrame, size: int = 13, slop: int = 0
     filters = _filters(windows, size)
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("decontaminate")
         classes = [(length, *(np.frombuffer(bits, np.uint8) for bits in both)) for length, *both in filters]
         # Bit i of a word's or a pair's kind says whether class i has it.
         kind_of = Memo(lambda word: sum(_member(terms, word) << i for i, (_, terms, _) in enumerate(classes))).__getitem__

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo
+from .common import Memo, worker_cache
 
 
 @dataclass(frozen=True)
@@ -114,22 +114,18 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), k
     return np.frombuffer(found[0]["outputs"], np.float32) if found else np.zeros(settings.buckets, np.float32)
 
 
-_SCORERS: dict[tuple, Memo] = {}
-
-
 def _scorer(outputs: bytes, settings: Settings) -> Memo:
     """Per worker: word -> sum of its features' outputs (real part) and their number (imaginary part)."""
-    name = (xxhash.xxh3_128_digest(outputs), settings)
-    if name not in _SCORERS:
-        _SCORERS.clear()
+    def build() -> Memo:
         table = np.frombuffer(outputs, np.float32).astype(float).tolist()
 
         def word(w: bytes) -> complex:
             buckets = word_features(w, settings)
             return complex(sum([table[b] for b in buckets]), len(buckets))
 
-        _SCORERS[name] = Memo(word)
-    return _SCORERS[name]
+        return Memo(word)
+
+    return worker_cache(("quality", xxhash.xxh3_128_digest(outputs), settings), build)
 
 
 def quality_score(text: Column, outputs: np.ndarray, settings: Settings = Settings()) -> Column:

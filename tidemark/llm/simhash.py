@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import text_bytes
+from .common import text_bytes, worker_cache
 from .components import connected_components
 
 
@@ -53,6 +53,7 @@ def fingerprints(docs: DataFrame, size: int = 4, key: str = "doc_id", text: str
     """(doc_id, fp): the fingerprint of every whole text, as a signed 64-bit integer."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("simhash")
         for batch in batches:
             found = np.array([fingerprint(body, size) for body in batch.column(1).to_pylist()], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])

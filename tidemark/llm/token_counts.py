@@ -10,7 +10,6 @@ have 0 tokens; rows stay one for one, repeated rows included; columns other than
 
 from __future__ import annotations
 
-import functools
 import heapq
 import re
 from collections.abc import Iterator
@@ -19,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, pieces
+from .common import Memo, pieces, worker_cache
 
 SPACE = "▁"
 #: A run of spaces with the word behind it, a word at the start of a line, a line end.
@@ -78,10 +77,9 @@ class MergeCounter:
         return sum(sum(map(known, WORD.findall(part))) for part in pieces(text))
 
 
-@functools.lru_cache(maxsize=2)
 def merge_counter(path: str) -> MergeCounter:
     """One counter per worker, so that tasks of a worker share its cache."""
-    return MergeCounter(path)
+    return worker_cache(("tokens", path), lambda: MergeCounter(path))
 
 
 def token_count(text: Column, path: str) -> Column:
