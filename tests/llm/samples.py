@@ -109,3 +109,9 @@ def base_spans(text):
 
 def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+def shingles(text, size=5):
+    folded = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", folded)
+    return {tuple(words[i:i + size]) for i in range(max(len(words) - size + 1, 1))} if words else set()

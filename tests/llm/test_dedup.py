@@ -1,8 +1,10 @@
+import random
+
 from pyspark.sql import functions as F
 
 import numpy as np
 
-from tidemark.llm import simhash, substrings
+from tidemark.llm import shingles, simhash, substrings
 from tidemark.llm.components import connected_components
 
 from . import samples
@@ -105,3 +107,33 @@ def test_vantage_bounds_lose_no_neighbour():
     seen = set(zip(row.tolist(), leaf.tolist()))
     assert all((i, int(h)) in seen for i, h in enumerate(homes))
     assert len(seen) < 3000 * 64 / 2
+
+
+def test_near_duplicate_stage_by_whole_shingle_sets(spark, monkeypatch):
+    """Edited copies around the threshold, a group of copies behind one passage, against all pairs."""
+    import corpus_pipeline
+
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    pairs, passage = [], [word() for _ in range(40)]
+    for base in range(12):
+        words = [word() for _ in range(200)]
+        for copy in range(4):  # up to eight words apart from the base: similarities from 0.6 to 1
+            edited = list(words)
+            for at in rng.sample(range(200), 2 * copy + base % 3):
+                edited[at] = word()
+            pairs.append((len(pairs), " ".join(edited)))
+    for other in range(90):  # mostly the passage, at all distances from each other
+        own = [word() for _ in range(other % 7)]
+        pairs.append((len(pairs), " ".join(passage + own if other % 2 else own + passage)))
+    pairs += [(900, "same"), (901, "SAME"), (None, "same"), (902, None), (903, "")]
+    sets = {i: samples.shingles(t) for i, t in pairs if i is not None}
+    near = lambda a, b: sets[a] == sets[b] or 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) > 0
+    first = samples.components(sorted(sets), near)
+    expected = {i for i in first if first[i] == i} | {None}
+    assert 2 * len(expected) < len(pairs) and any(first[i] == i for i in range(48) if i % 4)
+    monkeypatch.setattr(shingles, "STARS", 1)
+    kept = corpus_pipeline.near_duplicate_stage(spark, table(spark, pairs), "")
+    assert {r["doc_id"] for r in kept.select("doc_id").collect()} == expected
+    prints = {i: samples.fingerprint(t) for i, t in pairs if i is not None}
+    assert any(near(a, b) and bin(prints[a] ^ prints[b]).count("1") > 4 for a in range(48) for b in range(a))
