@@ -71,6 +71,22 @@ def test_contamination_matches_brute_force(spark):
     assert {r["doc_id"]: r["items"] for r in got}[50] == ["1", "10"]
 
 
+def test_contamination_with_two_texts_under_one_id(spark):
+    """Question and answer of one id keep their windows apart."""
+    question, answer = ITEMS[0][1], " ".join(f"answer{i} of{i}" for i in range(9))
+    both = [(1, question), (1, answer), (1, question), (2, "two three"), (2, answer + " and more")]
+    items = spark.createDataFrame(both, "item_id long, text string")
+    pairs = passages() + [(70, "see " + answer), (71, "a " + question + " b " + answer + " and more"), (72, "two three")]
+    index = decontaminate.build_index(table(spark, pairs), items)
+    got = decontaminate.contamination(index, decontaminate.exact_hits(index)).collect()
+    want = sorted((repr(i), *samples.contaminated(t, both)) for i, t in pairs)
+    assert sorted((repr(r["doc_id"]), r["n_words"], r["n_hit"], r["items"]) for r in got) == want
+    assert {r["doc_id"]: r["items"] for r in got}[70] == ["1", "2"]
+    index = decontaminate.build_index(table(spark, pairs), items, slop=4)
+    near = decontaminate.proximity_hits(index, 2).join(index.docs, "doc").select("doc_id").distinct()
+    assert {50, 70, 71, 72} <= {r["doc_id"] for r in near.collect()}
+
+
 def test_contamination_of_empty_tables(spark):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     docs = table(spark, samples.messy())

@@ -9,8 +9,8 @@ meets the other terms of the window on exact position; ``proximity_hits`` lets e
 from its place.
 
 Defined results: null and empty texts have no words; an item without words has no window; an item of fewer words than
-``size`` is one window; repeated items count by their id, repeated document rows are separate rows of the index; a
-null item id takes no part. Columns other than key and text are not looked at.
+``size`` is one window; items count by their id, under which each text has windows of its own; repeated
+document rows are separate rows of the index; a null item id takes no part. Columns other than key and text are not looked at.
 """
 
 from __future__ import annotations
@@ -40,9 +40,10 @@ def words_of(body: bytes) -> list[bytes]:
 
 
 def item_windows(items: DataFrame, size: int = 13, key: str = "item_id") -> DataFrame:
-    """(item_id, first, length, term, place): the terms of every window of every item.
+    """(item, item_id, first, length, term, place): the terms of every window of every item.
 
-    ``first`` is the window's place in its item, ``place`` the term's.
+    ``item`` numbers the distinct (item_id, text) rows, so that two texts under one id keep their windows
+    apart; ``first`` is the window's place in its item, ``place`` the term's.
     """
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,12 +53,13 @@ def item_windows(items: DataFrame, size: int = 13, key: str = "item_id") -> Data
 
     kind = items.schema[key].dataType.simpleString()
     words = (text_bytes(items.where(F.col(key).isNotNull()), key).dropDuplicates()
-             .mapInArrow(split, f"item_id {kind}, words array<binary>").where(F.size("words") > 0))
+             .mapInArrow(split, f"item_id {kind}, words array<binary>").where(F.size("words") > 0)
+             .withColumn("item", F.monotonically_increasing_id()))
     length = F.least(F.size("words"), F.lit(size))
-    starts = words.select("item_id", "words", length.alias("length"),
+    starts = words.select("item", "item_id", "words", length.alias("length"),
                           F.explode(F.sequence(F.lit(0), F.size("words") - length)).alias("first"))
-    return starts.select("item_id", "first", "length", F.posexplode(F.slice("words", F.col("first") + 1, F.col("length")))
-                         .alias("offset", "term")).select("item_id", "first", "length", "term", (F.col("first") + F.col("offset")).alias("place"))
+    return starts.select("item", "item_id", "first", "length", F.posexplode(F.slice("words", F.col("first") + 1, F.col("length")))
+                         .alias("offset", "term")).select("item", "item_id", "first", "length", "term", (F.col("first") + F.col("offset")).alias("place"))
 
 
 def _bitmaps(windows: DataFrame, size: int, value: str) -> dict[bool, tuple[int, bytes]]:
@@ -79,7 +81,7 @@ def _bitmaps(windows: DataFrame, size: int, value: str) -> dict[bool, tuple[int,
 
 def _filters(windows: DataFrame, size: int) -> list[tuple[int, bytes, bytes]]:
     """Per class of windows: least length, bitmap of terms, bitmap of adjacent terms."""
-    following = F.lead("term").over(Window.partitionBy("item_id", "first").orderBy("place"))
+    following = F.lead("term").over(Window.partitionBy("item", "first").orderBy("place"))
     terms = _bitmaps(windows, size, "term")
     pairs = _bitmaps(windows.withColumn("pair", F.concat("term", F.lit(b" "), following)), size, "pair")
     return [(length, bits, pairs.get(short, (0, bytes(BITMAP_BITS // 8)))[1]) for short, (length, bits) in terms.items()]
@@ -170,7 +172,7 @@ def _rarest_first(index: PositionalIndex) -> DataFrame:
     """Windows whose terms all occur, with ``turn`` 1 for the rarest term of each; ties go to the earlier place."""
     often = index.postings.groupBy("term").agg(F.count(F.lit(1)).alias("often"))
     known = index.windows.join(often, "term")
-    window = Window.partitionBy("item_id", "first")
+    window = Window.partitionBy("item", "first")
     return (known.withColumn("present", F.count(F.lit(1)).over(window)).where(F.col("present") == F.col("length"))
             .withColumn("turn", F.row_number().over(window.orderBy("often", "place"))))
 
@@ -181,23 +183,23 @@ def exact_hits(index: PositionalIndex) -> DataFrame:
     The lists of the two rarest terms of a window are intersected first; what survives meets the remaining terms.
     """
     terms = cut_lineage(_rarest_first(index))
-    lead = terms.where(F.col("turn") == 1).select("item_id", "first", "length", "term", "place")
-    found = (lead.join(index.postings, "term").select("item_id", "first", "length", "doc", (F.col("pos") - F.col("place")).alias("shift")))
-    second = terms.where(F.col("turn") == 2).select("item_id", "first", "term", "place")
-    paired = (found.where(F.col("length") > 1).join(second, ["item_id", "first"])
+    lead = terms.where(F.col("turn") == 1).select("item", "item_id", "first", "length", "term", "place")
+    found = (lead.join(index.postings, "term").select("item", "item_id", "first", "length", "doc", (F.col("pos") - F.col("place")).alias("shift")))
+    second = terms.where(F.col("turn") == 2).select("item", "first", "term", "place")
+    paired = (found.where(F.col("length") > 1).join(second, ["item", "first"])
               .withColumn("pos", F.col("shift") + F.col("place")).join(index.postings, ["term", "doc", "pos"], "left_semi"))
     found = paired.select(*found.columns).unionAll(found.where(F.col("length") == 1))
     # Windows of one alignment overlap; their words are met once, as (item, document, shift, place).
-    alignments = found.groupBy("item_id", "doc", "shift").agg(F.min("first").alias("low"), F.max(F.col("first") + F.col("length")).alias("high"))
-    words = index.windows.select("item_id", "place", "term").distinct()
-    met = (alignments.join(words, "item_id").where((F.col("place") >= F.col("low")) & (F.col("place") < F.col("high")))
-           .select("item_id", "doc", "shift", "place", "term", (F.col("place") + F.col("shift")).alias("pos"))
+    alignments = found.groupBy("item", "doc", "shift").agg(F.min("first").alias("low"), F.max(F.col("first") + F.col("length")).alias("high"))
+    words = index.windows.select("item", "place", "term").distinct()
+    met = (alignments.join(words, "item").where((F.col("place") >= F.col("low")) & (F.col("place") < F.col("high")))
+           .select("item", "doc", "shift", "place", "term", (F.col("place") + F.col("shift")).alias("pos"))
            .join(index.postings, ["term", "doc", "pos"], "left_semi"))
     # Runs of met places: a window occurs where its whole length lies in one run.
-    line = Window.partitionBy("item_id", "doc", "shift").orderBy("place")
+    line = Window.partitionBy("item", "doc", "shift").orderBy("place")
     runs = (met.withColumn("run", F.col("place") - F.row_number().over(line))
-            .groupBy("item_id", "doc", "shift", "run").agg(F.min("place").alias("from"), (F.max("place") + 1).alias("to")))
-    return (found.distinct().join(runs, ["item_id", "doc", "shift"])
+            .groupBy("item", "doc", "shift", "run").agg(F.min("place").alias("from"), (F.max("place") + 1).alias("to")))
+    return (found.distinct().join(runs, ["item", "doc", "shift"])
             .where((F.col("first") >= F.col("from")) & (F.col("first") + F.col("length") <= F.col("to")))
             .select("item_id", "doc", "first", "length", (F.col("first") + F.col("shift")).alias("start")))
 
@@ -209,12 +211,12 @@ def proximity_hits(index: PositionalIndex, slop: int) -> DataFrame:
     """
     terms = cut_lineage(_rarest_first(index))
     lead = (terms.where(F.col("turn") == 1).join(index.postings, "term")
-            .select("item_id", "first", "length", "doc", (F.col("pos") - F.col("place")).alias("shift")))
-    others = terms.select("item_id", "first", "term", "place")
-    near = (lead.join(others, ["item_id", "first"]).join(index.postings, ["term", "doc"])
+            .select("item", "item_id", "first", "length", "doc", (F.col("pos") - F.col("place")).alias("shift")))
+    others = terms.select("item", "first", "term", "place")
+    near = (lead.join(others, ["item", "first"]).join(index.postings, ["term", "doc"])
             .where(F.abs(F.col("pos") - F.col("place") - F.col("shift")) <= slop))
-    return (near.select("item_id", "first", "length", "doc", "shift", "place").distinct()
-            .groupBy("item_id", "doc", "first", "length", "shift").agg(F.count(F.lit(1)).alias("met"))
+    return (near.select("item", "item_id", "first", "length", "doc", "shift", "place").distinct()
+            .groupBy("item", "item_id", "doc", "first", "length", "shift").agg(F.count(F.lit(1)).alias("met"))
             .where(F.col("met") == F.col("length"))
             .select("item_id", "doc", "first", "length", (F.col("first") + F.col("shift")).alias("start")))
 
