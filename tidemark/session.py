@@ -71,7 +71,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     folder = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/tidemark-{uuid.uuid4().hex}"
     df.write.parquet(folder)
     _WRITTEN.append(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    written = df.sparkSession.read.schema(df.schema).parquet(folder)
+    written.tidemark_folder = folder
+    return written
+
+
+def _remove(spark: SparkSession, folders: list[str]) -> None:
+    jvm = spark.sparkContext._jvm
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _WRITTEN.remove(folder)
+
+
+def release(*frames: DataFrame) -> None:
+    """Removes the files of results of ``cut_lineage`` that nothing reads any more, before the whole work is done."""
+    for frame in frames:
+        _remove(frame.sparkSession, [frame.tidemark_folder])
 
 
 @contextlib.contextmanager
@@ -81,8 +97,4 @@ def intermediates(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        jvm = spark.sparkContext._jvm
-        for folder in _WRITTEN[start:]:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-        del _WRITTEN[start:]
+        _remove(spark, _WRITTEN[start:])
