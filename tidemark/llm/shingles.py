@@ -1,18 +1,25 @@
-"""Near copies by the Jaccard similarity of whole shingle sets, found without misses.
+"""Near copies by the Jaccard similarity of whole shingle sets: SimHash links first, then all that they can't reach.
 
-Two sets of similarity 4/5 share at least four fifths of the larger one, so in any fixed order of all shingles each has
-a shared one among its first ``n - ceil(4n/5) + 1``. Only these prefixes are stored. The order puts shingles that are
-common in a hash sample of the documents last, so a passage of many documents is in few prefixes; it decides the
-cost, never the result. Documents of equal sets are one node from the start.
+Documents of equal sets are one node from the start. The vantage-point trees of ``simhash`` link nodes whose fingerprints over the same
+shingles are within 4 bits; they tie most copies together before anything wide moves. Edits of up to a fifth of the shingles change
+more bits than a tree can prune by (13 of 64 were seen), so a prefix filter finds the rest, without misses: two sets of
+similarity 4/5 share at least four fifths of the larger one, so in any fixed order of all shingles each has a shared one among
+its first ``n - ceil(4n/5) + 1``. The order puts shingles that are common in a hash sample of the documents last, so a passage
+of many documents is in few prefixes; it decides the cost, never the result.
 
-Candidates meet in rounds, and every link is confirmed on the whole sets. In a star round each node meets one centre,
-drawn anew by hash, of each of its prefix shingles; that joins groups of copies with one row per node and shingle. In
+Only prefix shingles of two or more nodes are posted. To know them, each task sends 40 bits of every prefix shingle with
+at most two of its nodes, packed into binary rows; what any two nodes share goes into a bitmap that grows with it up to
+``MOST_BITS``. A bitmap too full lets more postings through and never fewer.
+
+Candidates meet in rounds, and every link is confirmed on the whole sets, those of the SimHash links too. In a star round each node meets
+one centre, drawn anew by hash, of each of its prefix shingles; that joins groups of copies with one row per node and shingle. In
 the last round all pairs that share a prefix shingle and are still in different components meet; for frequent shingles
-they are first thinned by parity bits that bound how many shingles two sets differ in.
+they are first thinned by parity bits. Pairs are judged by their sizes, then by parity bits in proportion to the sets, which bound how
+many shingles two sets differ in, and only then by their sets, of which each node has one row. A round's files go when it is over.
 
 Defined results: words are divided by ASCII white space and A-Z are a-z; a text of fewer words than a shingle is one
 shingle; null and empty texts have the empty set and are copies of each other; a row without a key is nobody's copy.
-Shingles and sets are told by 64-bit hashes.
+Shingles and sets are told by 64-bit hashes, shingles of two sets in the last comparison by 48 bits of them.
 """
 
 from __future__ import annotations
@@ -26,18 +33,22 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, release
+from . import simhash
 from .common import text_bytes, worker_cache
 from .components import connected_components
 
-#: Bits of the bitmap of wanted texts (2 MB), whatever the size of the corpus.
-BITMAP_BITS = 1 << 24
+#: Bits of a bitmap at most (16 MB). It starts with ``FILL`` bits for each value that it holds.
+MOST_BITS, FILL = 1 << 27, 32
 #: Star rounds before the last one. More of them leave fewer pairs to it; the result is the same.
 STARS = 2
+#: Parity bits of a set: two for each shingle, between these bounds.
+LEAST_PARITY, MOST_PARITY = 1 << 10, 1 << 15
+_LOW40 = np.uint64((1 << 40) - 1)
 
 
-def shingle_set(body: bytes, size: int = 5) -> np.ndarray:
-    """Sorted distinct hashes of the shingles of a text."""
+def shingle_hashes(body: bytes, size: int = 5) -> np.ndarray:
+    """Hashes of the shingles of a text, in order, with repeats."""
     words = body.lower().split()
     if not words:
         return np.zeros(0, np.uint64)
@@ -45,8 +56,17 @@ def shingle_set(body: bytes, size: int = 5) -> np.ndarray:
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = max(len(words) - size + 1, 1)
-    found = {digest(joined[a:b]) for a, b in zip(starts[:n].tolist(), ends[-n:].tolist())}
-    return np.sort(np.fromiter(found, np.uint64, len(found)))
+    return np.array([digest(joined[a:b]) for a, b in zip(starts[:n].tolist(), ends[-n:].tolist())], np.uint64)
+
+
+def shingle_set(body: bytes, size: int = 5) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of a text."""
+    return np.unique(shingle_hashes(body, size))
+
+
+def row_id(key: object, body: bytes) -> int:
+    """Tells a row by its key and text."""
+    return xxhash.xxh64_intdigest(body, xxhash.xxh64_intdigest(str(key).encode()))
 
 
 def prefix(hashes: np.ndarray, common: np.ndarray, often: np.ndarray) -> np.ndarray:
@@ -61,16 +81,40 @@ def prefix(hashes: np.ndarray, common: np.ndarray, often: np.ndarray) -> np.ndar
     return hashes[np.lexsort((hashes, rank))[: n - (4 * n + 4) // 5 + 1]]
 
 
-def parity(hashes: np.ndarray) -> np.ndarray:
-    """For each of 1,024 classes of hashes, if the set has an odd number of it: two sets differ in as many elements as in bits, or more."""
-    odd = np.bincount((hashes & np.uint64(1023)).astype(np.int64), minlength=1024) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+def parity(hashes: np.ndarray) -> bytes:
+    """For each class of hashes, by their low bits, if the set has an odd number of it: two sets differ in as many elements as in bits, or more."""
+    bits = min(max(1 << (2 * hashes.size - 1).bit_length() if hashes.size else 0, LEAST_PARITY), MOST_PARITY)
+    odd = np.bincount((hashes & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def _folded(bits: bytes, width: int) -> np.ndarray:
+    """Parity bits by fewer classes, ``width`` bytes of them."""
+    return np.bitwise_xor.reduce(np.frombuffer(bits, np.uint8).reshape(-1, width), axis=0)
+
+
+def _differ(a: bytes, b: bytes) -> int:
+    """How many elements two sets differ in, at least."""
+    width = min(len(a), len(b))
+    return int(np.bitwise_count(_folded(a, width) ^ _folded(b, width)).sum())
+
+
+def _bitmap(hashed: DataFrame, column: str) -> bytes:
+    """A bitmap of the low bits of a column of longs; its size is a power of two."""
+    bits = min(MOST_BITS, max(1 << 15, 1 << (FILL * max(hashed.count(), 1) - 1).bit_length()))
+    bit = F.col(column).bitwiseAND(bits - 1) + 1
+    rows = (hashed.select(F.bitmap_bucket_number(bit).alias("bucket"), F.bitmap_bit_position(bit).alias("at"))
+            .groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("bits")).collect())
+    held = bytearray(bits // 8)
+    for row in rows:
+        at = (row["bucket"] - 1) * len(row["bits"])
+        held[at:at + len(row["bits"])] = row["bits"]
+    return bytes(held)
 
 
-def _lists(values: list[np.ndarray]) -> pa.Array:
-    ends = np.cumsum([0] + [v.size for v in values]).astype(np.int32)
-    flat = np.concatenate(values) if values else np.zeros(0, np.uint64)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
+def _among(bits: bytes, values: np.ndarray) -> np.ndarray:
+    held, at = np.frombuffer(bits, np.uint8), values.view(np.uint64) & np.uint64(8 * len(bits) - 1)
+    return (held[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
 def _common(docs: DataFrame, size: int, key: str, text: str, rows: int = 4096, least: int = 4, limit: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
@@ -92,56 +136,140 @@ def _common(docs: DataFrame, size: int, key: str, text: str, rows: int = 4096, l
 
 
 def marks(docs: DataFrame, size: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, digest, node, n, parity, prefix): XXH64 of the text, hash and size of its shingle set, parity bits and prefix."""
-    common, often = _common(docs, size, key, text)
+    """(doc_id, row, digest, node, n, fp, parity): XXH64 of the text, hash and size of its shingle set, SimHash fingerprint and parity bits."""
 
     def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cache("shingles")
         for batch in batches:
-            bodies = batch.column(1).to_pylist()
-            sets = [shingle_set(body, size) for body in bodies]
-            digests = np.array([xxhash.xxh64_intdigest(body, 42) for body in bodies], np.uint64).view(np.int64)
-            nodes = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(digests), pa.array(nodes), pa.array([s.size for s in sets], pa.int64()),
-                 _lists([parity(s) for s in sets]), _lists([prefix(s, common, often) for s in sets])],
-                ["doc_id", "digest", "node", "n", "parity", "prefix"])
+            found = []
+            for name, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                hashes = shingle_hashes(body, size)
+                held = np.unique(hashes)
+                found.append((row_id(name, body), xxhash.xxh64_intdigest(body, 42), xxhash.xxh64_intdigest(held.tobytes()), held.size, simhash.print_of(hashes), parity(held)))
+            row, digest, node, n, fp, bits = zip(*found) if found else [()] * 6
+            longs = [pa.array(np.array(c, np.uint64).view(np.int64)) for c in (row, digest, node, n, fp)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *longs, pa.array(bits, pa.binary())], ["doc_id", "row", "digest", "node", "n", "fp", "parity"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return text_bytes(docs, key, text).mapInArrow(marked, f"doc_id {kind}, digest long, node long, n long, parity array<long>, prefix array<long>")
+    return text_bytes(docs, key, text).mapInArrow(marked, f"doc_id {kind}, row long, digest long, node long, n long, fp long, parity binary")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, size: int, key: str, text: str) -> DataFrame:
-    """(node, shingles) of the texts whose digest is in ``wanted``, and of a few others."""
-    bit = F.col("digest").bitwiseAND(BITMAP_BITS - 1) + 1
-    rows = (wanted.select(F.bitmap_bucket_number(bit).alias("bucket"), F.bitmap_bit_position(bit).alias("at"))
-            .groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("bits")).collect())
-    bits = bytearray(BITMAP_BITS // 8)
-    for row in rows:
-        at = (row["bucket"] - 1) * len(row["bits"])
-        bits[at:at + len(row["bits"])] = row["bits"]
-    held = bytes(bits)
+def _packed(hashes: np.ndarray, nodes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The smallest and the largest node of each hash, once where they are equal."""
+    order = np.argsort(hashes, kind="stable")
+    hashes, nodes = hashes[order], nodes[order]
+    first = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
+    low, high = np.minimum.reduceat(nodes, first), np.maximum.reduceat(nodes, first)
+    two = low != high
+    return np.concatenate((hashes[first], hashes[first][two])), np.concatenate((low, high[two]))
+
+
+def _shared(docs: DataFrame, postings: int, common: np.ndarray, often: np.ndarray, size: int, key: str, text: str,
+            bucket_rows: int = 1 << 21, flush: int = 1 << 19) -> DataFrame:
+    """(hash): the low 40 bits of the prefix shingles that two or more nodes have."""
+    buckets = max(1, -(-postings // bucket_rows))
+
+    def five(values: np.ndarray) -> np.ndarray:
+        return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+
+    def sent(hashes: list[np.ndarray], nodes: list[np.ndarray]) -> pa.RecordBatch:
+        hashes, nodes = _packed(np.concatenate(hashes) & _LOW40, np.concatenate(nodes))
+        rows = np.hstack((five(hashes), five(nodes)))
+        bucket = hashes % np.uint64(buckets)
+        order = np.argsort(bucket, kind="stable")
+        ends = np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(range(buckets), pa.int64()), pa.array([rows[order[a:b]].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary())], ["bucket", "packed"])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cache("shingles")
+        hashes, nodes, held = [], [], 0
         for batch in batches:
-            sets = []
             for body in batch.column(1).to_pylist():
-                at = xxhash.xxh64_intdigest(body, 42) & (BITMAP_BITS - 1)
-                if held[at >> 3] >> (at & 7) & 1:
-                    sets.append(shingle_set(body, size))
+                whole = shingle_set(body, size)
+                first = prefix(whole, common, often)
+                hashes.append(first)
+                nodes.append(np.full(first.size, xxhash.xxh64_intdigest(whole.tobytes()), np.uint64) & _LOW40)
+                held += first.size
+                if held >= flush:
+                    yield sent(hashes, nodes)
+                    hashes, nodes, held = [], [], 0
+        if held:
+            yield sent(hashes, nodes)
+
+    def several(group: pd.DataFrame) -> pd.DataFrame:
+        rows = np.frombuffer(b"".join(group["packed"]), np.uint8).reshape(-1, 10)
+        wide = np.zeros((2, len(rows), 8), np.uint8)
+        wide[0, :, :5], wide[1, :, :5] = rows[:, :5], rows[:, 5:]
+        hashes, _ = _packed(wide[0].view("<u8").ravel(), wide[1].view("<u8").ravel())
+        found, times = np.unique(hashes, return_counts=True)
+        return pd.DataFrame({"hash": found[times > 1].astype(np.int64)})
+
+    packed = text_bytes(docs, key, text).mapInArrow(split, "bucket long, packed binary").where(F.length("packed") > 0)
+    return packed.groupBy("bucket").applyInPandas(several, "hash long")
+
+
+def _postings(docs: DataFrame, shared: bytes, common: np.ndarray, often: np.ndarray, size: int, key: str, text: str) -> DataFrame:
+    """(shingle, node) of the prefix shingles in the bitmap ``shared``."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("shingles")
+        for batch in batches:
+            hashes, nodes = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+            for body in batch.column(1).to_pylist():
+                whole = shingle_set(body, size)
+                first = prefix(whole, common, often)
+                first = first[_among(shared, first & _LOW40)]
+                hashes.append(first)
+                nodes.append(np.full(first.size, xxhash.xxh64_intdigest(whole.tobytes()), np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).view(np.int64)) for c in (hashes, nodes)], ["shingle", "node"])
+
+    return text_bytes(docs, key, text).mapInArrow(split, "shingle long, node long").distinct()
+
+
+def _sets(docs: DataFrame, wanted: DataFrame, size: int, key: str, text: str) -> DataFrame:
+    """(node, shingles) of the rows whose id is in ``wanted``, and of a few others: 48 bits of each shingle, packed."""
+    bits = _bitmap(wanted, "row")
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("shingles")
+        for batch in batches:
+            names, bodies = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            rows = np.array([row_id(name, body) for name, body in zip(names, bodies)], np.uint64)
+            sets = [shingle_set(bodies[i], size) for i in np.flatnonzero(_among(bits, rows)).tolist()]
             nodes = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(nodes), _lists(sets)], ["node", "shingles"])
+            packed = [np.ascontiguousarray(s.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]).tobytes() for s in sets]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(packed, pa.binary())], ["node", "shingles"])
+
+    return text_bytes(docs, key, text).mapInArrow(split, "node long, shingles binary")
 
-    return text_bytes(docs, key, text).mapInArrow(split, "node long, shingles array<long>")
 
+def _alike(a: bytes, b: bytes) -> bool:
+    """If two packed sets have a similarity of at least 4/5."""
+    x, y = (np.frombuffer(s, np.dtype("V6")) for s in (a, b))
+    wide = [np.zeros((v.size, 8), np.uint8) for v in (x, y)]
+    for out, v in zip(wide, (x, y)):
+        out[:, :6] = v.view(np.uint8).reshape(-1, 6)
+    both = np.intersect1d(wide[0].view("<u8").ravel(), wide[1].view("<u8").ravel()).size
+    return both * 9 >= (x.size + y.size) * 4  # both / (x + y - both) >= 4/5
 
-def _all_pairs(open_: DataFrame, sizes: DataFrame, reps: DataFrame, small: int = 64, block_rows: int = 4096) -> DataFrame:
-    """(a, b): pairs of one shingle in different components that may be near.
+
+def _kept_pairs(pairs: DataFrame, test, a: str, b: str) -> DataFrame:
+    """(a, b) of the rows whose two binary columns pass ``test``."""
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = [test(x, y) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return pairs.select("a", "b", a, b).mapInArrow(judged, "a long, b long")
+
+
+def _all_pairs(rows: DataFrame, reps: DataFrame, small: int = 64, block_rows: int = 4096) -> DataFrame:
+    """(a, b): pairs of one shingle in different components that may be near; ``rows`` has (shingle, node, part, many).
 
     The nodes of a frequent shingle meet block by block, and only pairs whose parity bits allow the similarity leave.
     """
-    rows = open_.select("shingle", "node", "part").join(sizes, "shingle")
     few = rows.where(F.col("many") <= small)
     one = few.select("shingle", F.col("node").alias("a"), F.col("part").alias("part_a"))
     two = few.select("shingle", F.col("node").alias("b"), F.col("part").alias("part_b"))
@@ -153,7 +281,7 @@ def _all_pairs(open_: DataFrame, sizes: DataFrame, reps: DataFrame, small: int =
         "shingle", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "node", "part", "n", "parity")
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
-        bits = np.stack(group["parity"].to_list()).view(np.uint64)
+        bits = np.stack([_folded(held, LEAST_PARITY // 8) for held in group["parity"]]).view(np.uint64)
         own, node, part, n = (group[c].to_numpy() for c in ("own", "node", "part", "n"))
         left, right = np.flatnonzero(own == group["p"].iat[0]), np.flatnonzero(own == group["q"].iat[0])
         a, b = [], []
@@ -170,61 +298,86 @@ def _all_pairs(open_: DataFrame, sizes: DataFrame, reps: DataFrame, small: int =
     return pairs.unionAll(paired.groupBy("shingle", "p", "q").applyInPandas(meet, "a long, b long"))
 
 
-def near_links(docs: DataFrame, marked: DataFrame, size: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_links(docs: DataFrame, marked: DataFrame, size: int = 5, bits: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(a, b): pairs of nodes of similarity at least 4/5, enough of them to connect all."""
-    postings = marked.select("node", F.explode("prefix").alias("shingle"))
-    met = postings.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high")
-    shared = cut_lineage(postings.join(met.select("shingle"), "shingle").distinct())
-    nodes = shared.select("node").distinct()
-    # One text stands for all of a node.
-    reps = cut_lineage(marked.groupBy("node").agg(F.min("digest").alias("digest"), F.max("n").alias("n"), F.first("parity").alias("parity")).join(nodes, "node", "left_semi"))
+    # One row stands for all of a node.
+    reps = cut_lineage(marked.groupBy("node").agg(F.min("row").alias("row"), F.max("n").alias("n"), F.first("fp").alias("fp"), F.first("parity").alias("parity")))
+    sizes, wide = reps.select("node", "row", "n"), reps.select("node", "parity")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        both = reps.select("node", "digest", "n", "parity")
-        differ = F.aggregate(F.zip_with("parity_a", "parity_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
-        near = cut_lineage(pairs.join(both.toDF("a", "digest_a", "n_a", "parity_a"), "a").join(both.toDF("b", "digest_b", "n_b", "parity_b"), "b")
-                           .where((F.least("n_a", "n_b") * 5 >= F.greatest("n_a", "n_b") * 4) & (differ * 9 <= F.col("n_a") + F.col("n_b")))
-                           .drop("parity_a", "parity_b"))
-        wanted = near.select(F.col("a").alias("node"), F.col("digest_a").alias("digest")).union(near.select("b", "digest_b")).distinct()
-        # Only the texts of these pairs are cut again. Two digests may share a bit, and a text may be repeated.
-        sets = cut_lineage(_sets(docs, wanted, size, key, text)).dropDuplicates(["node"])
-        whole = near.join(sets.toDF("a", "of_a"), "a").join(sets.toDF("b", "of_b"), "b")
-        # Similarity is both / (n_a + n_b - both).
-        return whole.where(F.size(F.array_intersect("of_a", "of_b")) * 9 >= (F.col("n_a") + F.col("n_b")) * 4).select("a", "b")
-
-    links, parts, dry = None, shared.withColumn("part", F.col("node")), False
+        sized = (pairs.distinct().join(sizes.toDF("a", "row_a", "n_a"), "a").join(sizes.toDF("b", "row_b", "n_b"), "b")
+                 .where(F.least("n_a", "n_b") * 5 >= F.greatest("n_a", "n_b") * 4))
+        bounded = sized.join(wide.toDF("a", "bits_a"), "a").join(wide.toDF("b", "bits_b"), "b")
+
+        def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                most = [(x + y) // 9 for x, y in zip(batch.column("n_a").to_pylist(), batch.column("n_b").to_pylist())]
+                good = [_differ(x, y) <= m for x, y, m in zip(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist(), most)]
+                yield batch.select(["a", "b", "row_a", "row_b"]).filter(pa.array(good, pa.bool_()))
+
+        near = cut_lineage(bounded.mapInArrow(judged, "a long, b long, row_a long, row_b long"))
+        sets = cut_lineage(_sets(docs, near.select(F.col("row_a").alias("row")).union(near.select("row_b")).distinct(), size, key, text))
+        whole = near.select("a", "b").join(sets.toDF("a", "of_a"), "a").join(sets.toDF("b", "of_b"), "b")
+        # A repeated row, or a bit shared by two rows, may give a set twice.
+        found = cut_lineage(_kept_pairs(whole, _alike, "of_a", "of_b").distinct())
+        release(near, sets)
+        return found
+
+    # Equal fingerprints meet the smallest of their nodes, near ones the trees.
+    prints = cut_lineage(reps.groupBy("fp").agg(F.min("node").alias("id")))
+    same = reps.join(prints, "fp").where("node <> id").select(F.least("node", "id").alias("a"), F.greatest("node", "id").alias("b"))
+    close = simhash.near_links(prints, bits).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    links = confirmed(same.unionAll(close))
+    release(prints)
+
+    common, often = _common(docs, size, key, text)
+    postings = marked.agg(F.sum(F.col("n") - F.ceil(F.col("n") * 4 / 5) + 1)).first()[0] or 0
+    held = cut_lineage(_shared(docs, postings, common, often, size, key, text))
+    posted = cut_lineage(_postings(docs, _bitmap(held, "hash"), common, often, size, key, text))
+    release(held)
+
+    open_, dry = posted, False
     for turn in range(STARS + 1):
         if dry and turn < STARS:
             continue
+        if not dry:
+            named = connected_components(links)
+        parts = open_.select("shingle", "node").join(named, "node", "left").select("shingle", "node", F.coalesce("component", "node").alias("part"))
         ends = parts.groupBy("shingle").agg(F.min("part").alias("from"), F.max("part").alias("to"),
                                             F.min_by(F.struct("node", "part"), F.xxhash64("node", F.lit(turn))).alias("centre"),
                                             F.count(F.lit(1)).alias("many")).where("from <> to")
-        open_ = cut_lineage(parts.join(ends.select("shingle", "centre"), "shingle"))
+        before, open_ = open_, cut_lineage(parts.join(ends.select("shingle", "centre", "many"), "shingle"))
+        release(before)
         if turn < STARS:
             pairs = open_.where("part <> centre.part").select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b"))
         else:
-            pairs = _all_pairs(open_, ends.select("shingle", "many"), reps)
-        found = cut_lineage(confirmed(pairs.distinct()))
-        links = found if links is None else links.unionAll(found)
-        dry = found.isEmpty()
-        if turn < STARS and not dry:
-            named = connected_components(links)
-            parts = open_.select("shingle", "node").join(named, "node", "left").select("shingle", "node", F.coalesce("component", "node").alias("part"))
+            pairs = _all_pairs(open_.select("shingle", "node", "part", "many"), reps)
+        found = confirmed(pairs)
+        links, dry = links.unionAll(found), found.isEmpty()
+    release(open_, reps)
     return links
 
 
-def keep_one(docs: DataFrame, size: int = 5, key: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, size: int = 5, bits: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` without the documents that a chain of near copies links to a document of a smaller key. Rows without a key stay.
 
     A row is told by its key and text: of the texts of one key, only those with an earlier copy go.
     """
     keyed = docs.where(F.col(key).isNotNull())
     marked = cut_lineage(marks(keyed, size, key, text))
-    parts = connected_components(near_links(keyed, marked, size, key, text))
-    rows = marked.select("doc_id", "digest", "node").join(parts, "node", "left").select("doc_id", "digest", F.coalesce("component", "node").alias("part"))
-    rows = cut_lineage(rows.distinct())
+    parts = connected_components(near_links(keyed, marked, size, bits, key, text))
+    rows = marked.select("doc_id", "digest", "node").join(parts, "node", "left").select("doc_id", "digest", F.coalesce("component", "node").alias("part")).distinct()
     kept = rows.groupBy("part").agg(F.min(F.struct("doc_id", "digest")).alias("kept"))
-    gone = (rows.join(kept, "part").where(F.struct("doc_id", "digest") > F.col("kept"))
-            .select(F.col("doc_id").alias("__gone"), F.col("digest").alias("__digest")))
+    # Names that no column of ``docs`` has.
+    names = [f"{'_'.join(docs.columns)}_{n}" for n in ("key", "digest")]
+    gone = cut_lineage(rows.join(kept, "part").where(F.struct("doc_id", "digest") > F.col("kept")).select("doc_id", "digest").toDF(*names))
+    held = _bitmap(gone.select(names[1]), names[1])
+
+    @F.pandas_udf("boolean")
+    def suspect(digests: pd.Series) -> pd.Series:
+        return pd.Series(_among(held, digests.to_numpy(np.int64)))
+
+    # Only rows whose text may have to go are shuffled.
     digest = F.xxhash64(F.coalesce(docs[text].cast("binary"), F.lit(b"")))
-    return docs.join(gone, (docs[key] == F.col("__gone")) & (digest == F.col("__digest")), "left_anti")
+    doubtful = docs.where(suspect(digest)).join(gone, (docs[key] == F.col(names[0])) & (digest == F.col(names[1])), "left_anti")
+    return docs.where(~suspect(digest)).unionAll(doubtful)

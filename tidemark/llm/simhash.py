@@ -49,6 +49,14 @@ def fingerprint(body: bytes, size: int = 4, seed: int = 42, block: int = 65_536)
     return int(bits.view("<u8")[0])
 
 
+def print_of(hashes: np.ndarray, block: int = 65_536) -> int:
+    """The fingerprint of shingle hashes that have been counted already; without any it is zero."""
+    votes = np.zeros(64, np.int64)
+    for at in range(0, hashes.size, block):
+        votes += np.unpackbits(hashes[at:at + block].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(votes * 2 > hashes.size, bitorder="little").view("<u8")[0])
+
+
 def fingerprints(docs: DataFrame, size: int = 4, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fp): the fingerprint of every whole text, as a signed 64-bit integer."""
 
