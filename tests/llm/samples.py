@@ -66,7 +66,7 @@ def bench_words(text):
 
 
 def contaminated(text, items, size=13):
-    """(n_words, n_hit, items) of one text."""
+    """(n_words, n_hit, n_items, items) of one text; an item without an id counts and has no name."""
     words, hit, found = bench_words(text), set(), set()
     for item, said in items:
         theirs = bench_words(said)
@@ -75,8 +75,8 @@ def contaminated(text, items, size=13):
         for i in range(len(words) - n + 1):
             if n and tuple(words[i:i + n]) in windows:
                 hit.update(range(i, i + n))
-                found.add(str(item))
-    return len(words), len(hit), sorted(found)
+                found.add(item)
+    return len(words), len(hit), len(found), sorted(str(item) for item in found if item is not None)
 
 
 def without_repeats(pairs, size=50):

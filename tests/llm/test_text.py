@@ -1,7 +1,11 @@
+import math
+
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
 import tokenizers
+import xxhash
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontaminate, quality, secrets, token_counts
@@ -63,9 +67,9 @@ def test_contamination_matches_brute_force(spark):
     pairs = passages()
     index = decontaminate.build_index(table(spark, pairs), items)
     got = decontaminate.contamination(index, decontaminate.exact_hits(index)).collect()
-    named = [(i, t) for i, t in ITEMS if i is not None]
-    want = sorted((repr(i), *samples.contaminated(t, named)) for i, t in pairs)
-    assert sorted((repr(r["doc_id"]), r["n_words"], r["n_hit"], r["items"]) for r in got) == want
+    want = sorted((repr(i), *samples.contaminated(t, ITEMS)) for i, t in pairs)
+    assert sorted((repr(r["doc_id"]), r["n_words"], r["n_hit"], r["n_items"], r["items"]) for r in got) == want
+    assert any(r["doc_id"] == 12 and r["n_hit"] == r["n_items"] == 1 and r["items"] == [] and r["contaminated"] for r in got)
     flags = {r["doc_id"]: r["contaminated"] for r in got}
     assert flags[50] and flags[52] and not flags[53] and not flags[57] and flags[54]
     assert {r["doc_id"]: r["items"] for r in got}[50] == ["1", "10"]
@@ -80,7 +84,7 @@ def test_contamination_with_two_texts_under_one_id(spark):
     index = decontaminate.build_index(table(spark, pairs), items)
     got = decontaminate.contamination(index, decontaminate.exact_hits(index)).collect()
     want = sorted((repr(i), *samples.contaminated(t, both)) for i, t in pairs)
-    assert sorted((repr(r["doc_id"]), r["n_words"], r["n_hit"], r["items"]) for r in got) == want
+    assert sorted((repr(r["doc_id"]), r["n_words"], r["n_hit"], r["n_items"], r["items"]) for r in got) == want
     assert {r["doc_id"]: r["items"] for r in got}[70] == ["1", "2"]
     index = decontaminate.build_index(table(spark, pairs), items, slop=4)
     near = decontaminate.proximity_hits(index, 2).join(index.docs, "doc").select("doc_id").distinct()
@@ -135,6 +139,57 @@ def test_secret_spans(spark):
     assert secrets.scan_secrets(docs.limit(0)).count() == 0
 
 
+def battery(token):
+    """(encoding, p) of one token by plain Python."""
+    bare = token.replace("-", "+").replace("_", "/").rstrip("=")
+    digits, lower, upper = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    if set(bare) <= set(digits + "abcdef") or set(bare) <= set(digits + "ABCDEF"):
+        name, letters, bare = "hex", digits + "abcdef", bare.lower()
+    elif set(bare) <= set(digits + lower) or set(bare) <= set(digits + upper):
+        name, letters, bare = "alnum", digits + lower, bare.lower()
+    else:
+        name, letters = "base64", digits + lower + upper + "+/"
+    x, k, n = [letters.index(c) for c in bare], len(letters), len(bare)
+    tail = lambda z: 0.5 * math.erfc(max(-8, min(8, z)) / math.sqrt(2))
+    chi = 0.0
+    for g in range(8):
+        width = len([i for i in range(k) if i * 8 // k == g])
+        expected = n * width / k
+        chi += (len([v for v in x if v * 8 // k == g]) - expected) ** 2 / expected
+    z = ((max(chi, 0) / 7) ** (1 / 3) - (1 - 2 / 63)) / math.sqrt(2 / 63)
+    up = [v * 2 >= k for v in x]
+    turns, ups = 1 + sum(a != b for a, b in zip(up, up[1:])), sum(up)
+    expected = 1 + 2 * ups * (n - ups) / n
+    spread = (expected - 1) * (expected - 2) / (n - 1)
+    mean = sum(x) / n
+    square = sum((v - mean) ** 2 for v in x)
+    runs = 2 * tail(abs(turns - expected) / math.sqrt(spread)) if spread > 0 else 0.0
+    serial = 2 * tail(abs(sum((a - mean) * (b - mean) for a, b in zip(x, x[1:])) / square + 1 / n) * math.sqrt(n)) if square > 0 else 0.0
+    ps = sorted((tail(z), runs, serial))
+    return name, min(3 * ps[0], 1.5 * ps[1], ps[2], 1.0)
+
+
+def test_battery_matches_plain_python(spark):
+    import random
+    rng = random.Random(3)
+    letters = ["0123456789abcdef", "0123456789abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcXYZ019+/", "ab", "e"]
+    tokens = random_tokens(20) + ["".join(rng.choice(some) for _ in range(n)) for some in letters for n in (20, 33, 70)] + ["a-b_c" * 9 + "=="]
+    got = {r["token"]: (r["encoding"], r["p"]) for r in secrets.randomness(spark.createDataFrame([(t,) for t in tokens], "token string")).collect()}
+    for token in tokens:
+        name, p = battery(token)
+        assert got[token][0] == name and got[token][1] == pytest.approx(p, abs=1e-9)
+
+
+def test_a_lone_token_is_judged_by_itself(spark):
+    """The same verdict alone and beside others; words of letters only don't pass by themselves."""
+    keys = [k for k in random_tokens(30, seed=4) if battery(k)[1] >= 0.2]
+    for few in (keys[:1], keys[:4]):
+        docs = table(spark, [(i, f"see {key} there") for i, key in enumerate(few)])
+        assert all([(s["start"], s["stop"]) for s in r["secret_spans"]] == [(4, 44)] for r in secrets.scan_secrets(docs).collect())
+    plain = table(spark, [(1, "averyveryverylongwordofplainletters"), (2, "one/path/of/several/folders/and/a/name"), (3, "SomeCamelCaseIdentifierOfAProgram")])
+    assert all(not r["secret_spans"] for r in secrets.scan_secrets(plain).collect())
+
+
 LABELS = "doc_id long, quality int, toxic int"
 
 
@@ -167,8 +222,46 @@ def test_quality_without_labels(spark):
     assert docs.limit(0).select(quality.quality_score(F.col("text"), outputs)).count() == 0
 
 
-def test_repeated_words_are_one_feature():
-    assert quality.repeats([b"a", b"a", b"b", b"b", b"b"]) == 3 and quality.repeats([]) == 0
+def test_one_step_follows_the_gradient():
+    """Small steps against the slope of the log loss taken by differences."""
+    rng = np.random.default_rng(2)
+    vectors, output = rng.normal(size=(9, 4)), rng.normal(size=(4, 2))
+    buckets, shares = np.array([1, 4, 7]), np.array([0.5, 0.3, 0.2])
+
+    def loss(v, o):
+        logits = shares @ v[buckets] @ o
+        return -2.0 * (logits[1] - np.log(np.exp(logits).sum()))
+
+    after_v, after_o = vectors.copy(), output.copy()
+    quality.descend(after_v, after_o, buckets, shares, 1, 1e-3, 2.0)
+    tiny = 1e-6
+    for place in np.ndindex(output.shape):
+        moved = output.copy()
+        moved[place] += tiny
+        assert (output - after_o)[place] / 1e-3 == pytest.approx((loss(vectors, moved) - loss(vectors, output)) / tiny, rel=1e-3, abs=1e-6)
+    for place in np.ndindex(vectors.shape):
+        moved = vectors.copy()
+        moved[place] += tiny
+        # Vectors move by len(buckets) times their slope: the mean is undone.
+        assert (vectors - after_v)[place] / 1e-3 == pytest.approx(3 * (loss(moved, output) - loss(vectors, output)) / tiny, rel=1e-3, abs=1e-6)
+
+
+def test_scores_equal_the_mean_of_the_features(spark):
+    """Repeated rows, a very long text, odd characters, and labels with extra columns and repeats."""
+    docs, labels = labelled(spark)
+    pairs = samples.messy(words=20_000) + [(5, "the town"), (5, "the town")]
+    more = labels.withColumn("text", F.lit("clash")).withColumn("body", F.lit(1)).withColumn("k", F.lit(2)).withColumn("y", F.lit(0))
+    outputs = quality.train(docs.unionAll(docs), more.unionAll(more))
+    settings = quality.Settings()
+    got = {r["text"]: r["score"] for r in table(spark, pairs).select("text", quality.quality_score(F.col("text"), outputs).alias("score")).collect()}
+    for text, score in got.items():
+        words = (text or "").encode().split()
+        hashed = [xxhash.xxh3_64_intdigest(w) for w in words]
+        mixed = [a * 0x9E3779B97F4A7C15 % 2**64 ^ b >> 1 for a, b in zip(hashed, hashed[1:])]
+        grams = [xxhash.xxh3_64_intdigest(m[i:i + n]) for w in words for m in [b"<" + w + b">"] for n in settings.grams for i in range(len(m) - n + 1)]
+        kinds = [[0] + [1 + h % (settings.buckets - 1) for h in hashed]] + [[1 + h % (settings.buckets - 1) for h in some] for some in (mixed, grams) if some]
+        logit = sum(sum(float(outputs[b]) for b in kind) / len(kind) for kind in kinds) / len(kinds)
+        assert score == pytest.approx(1 / (1 + np.exp(-logit)), rel=1e-9)
 
 
 def test_unordered_merges_are_refused(tmp_path):

@@ -10,7 +10,7 @@ from its place.
 
 Defined results: null and empty texts have no words; an item without words has no window; an item of fewer words than
 ``size`` is one window; items count by their id, under which each text has windows of its own; repeated
-document rows are separate rows of the index; a null item id takes no part. Columns other than key and text are not looked at.
+document rows are separate rows of the index; an item without an id has windows like any other and counts as one item, which has no name to list. Columns other than key and text are not looked at.
 """
 
 from __future__ import annotations
@@ -52,7 +52,7 @@ def item_windows(items: DataFrame, size: int = 13, key: str = "item_id") -> Data
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.list_(pa.binary()))], ["item_id", "words"])
 
     kind = items.schema[key].dataType.simpleString()
-    words = (text_bytes(items.where(F.col(key).isNotNull()), key).dropDuplicates()
+    words = (text_bytes(items, key).dropDuplicates()
              .mapInArrow(split, f"item_id {kind}, words array<binary>").where(F.size("words") > 0)
              .withColumn("item", F.monotonically_increasing_id()))
     length = F.least(F.size("words"), F.lit(size))
@@ -222,14 +222,14 @@ def proximity_hits(index: PositionalIndex, slop: int) -> DataFrame:
 
 
 def contamination(index: PositionalIndex, hits: DataFrame, share: int = 20) -> DataFrame:
-    """(doc_id, digest, n_words, n_hit, items, contaminated): words of each document inside any hit, and the items met."""
+    """(doc_id, digest, n_words, n_hit, n_items, items, contaminated): words of each document inside any hit, and the items met."""
     hits = cut_lineage(hits)
     covered = (hits.groupBy("doc", "start").agg(F.max("length").alias("length"))
                .select("doc", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)).alias("pos"))
                .distinct().groupBy("doc").agg(F.count(F.lit(1)).alias("n_hit")))
     items = (hits.select("doc", F.col("item_id").cast("string").alias("item")).distinct()
-             .groupBy("doc").agg(F.array_sort(F.collect_list("item")).alias("items")))
+             .groupBy("doc").agg(F.count(F.lit(1)).alias("n_items"), F.array_sort(F.collect_list("item")).alias("items")))
     joined = index.docs.join(covered, "doc", "left").join(items, "doc", "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    return joined.select("doc_id", "digest", "n_words", n_hit.alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+    return joined.select("doc_id", "digest", "n_words", n_hit.alias("n_hit"), F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), F.coalesce("items", F.array().cast("array<string>")).alias("items"),
                          ((n_hit > 0) & (n_hit * share >= F.col("n_words"))).alias("contaminated"))

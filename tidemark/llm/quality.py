@@ -1,21 +1,20 @@
 """Quality classifier with supervised subword embeddings.
 
-Each word of a text and its character n-grams are hashed to rows of a table of learned vectors; two rows are fixed: one
-for every text, and one for each word bigram that says the same word twice, whichever word it is.
-A document is the mean of its vectors, a linear layer with softmax gives the two classes, and both are trained by
-stochastic gradient descent in numpy. Because the layer is linear, scoring adds up one number per word: the
-difference of the two class outputs over the word's features. Whole texts are read in training and scoring.
+Words, pairs of neighbouring words and the character n-grams of words are hashed to rows of a table of learned vectors; one row
+stands for a word that every text has. Each of the three kinds is averaged over the text, so that the many n-grams don't drown the words, and
+the mean of the averages is the document's vector. A linear layer with softmax gives the two classes, and both are trained by
+stochastic gradient descent in numpy; examples of the rarer class weigh more. Because the layer is linear, scoring needs one number per
+feature: the difference of its two class outputs. Whole texts are read in training and scoring.
 
 Training uses at most about ``max_rows`` labelled rows, chosen by a hash of their key, in one task; everything else runs
-over all rows. Defined results: null and empty texts have only the constant feature; labels that are null or belong to no
-document are ignored; of several labels of a document the highest counts; without any usable label every score is 0.5.
+over all rows. Defined results: null and empty texts have only that constant word; labels that are null or belong to no
+document are ignored; of several labels of a document the highest counts; a labelled document that is repeated is as many examples;
+without any usable label every score is 0.5.
 Neither language, source nor key is a feature; other columns are not looked at.
 """
 
 from __future__ import annotations
 
-import itertools
-import operator
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,40 +29,64 @@ from pyspark.sql import functions as F
 from .common import Memo, worker_cache
 
 
+#: Length of a gradient, and the factor that undoes the mean, at most.
+LONGEST, STEEPEST = 10.0, 10.0
+
+
 @dataclass(frozen=True)
 class Settings:
     """Sizes and steps of the model. ``grams``: lengths in bytes of the character n-grams of ``<word>``."""
 
-    buckets: int = 1 << 17
+    buckets: int = 1 << 19
     width: int = 16
-    grams: tuple[int, ...] = (2, 3, 4)
-    epochs: int = 8
+    grams: tuple[int, ...] = (2, 4)
+    epochs: int = 5
     rate: float = 0.5
-    max_rows: int = 4000
+    #: Weight of an example of the rarer class at most.
+    most_weight: float = 5.0
+    max_rows: int = 8000
     seed: int = 7
 
 
-def word_features(word: bytes, settings: Settings) -> list[int]:
-    """Buckets of a word and of its n-grams."""
+def gram_buckets(word: bytes, settings: Settings) -> list[int]:
+    """Buckets of the character n-grams of a word."""
     marked = b"<" + word + b">"
-    grams = [marked[i:i + n] for n in settings.grams for i in range(len(marked) - n + 1)]
-    return [2 + xxhash.xxh3_64_intdigest(g) % (settings.buckets - 2) for g in [marked, *grams]]
+    return [1 + xxhash.xxh3_64_intdigest(marked[i:i + n]) % (settings.buckets - 1) for n in settings.grams for i in range(len(marked) - n + 1)]
 
 
-def repeats(words: list[bytes]) -> int:
-    """Word bigrams that say the same word twice."""
-    return sum(map(operator.eq, words, itertools.islice(words, 1, None)))
+def word_buckets(words: list[bytes], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of words, after the constant one, and of pairs of neighbouring words."""
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    pairs = (hashes[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (hashes[1:] >> np.uint64(1))
+    words, pairs = ((v % np.uint64(settings.buckets - 1)).astype(np.int64) + 1 for v in (hashes, pairs))
+    return np.concatenate(([0], words)), pairs
 
 
-def _example(body: bytes, features: Memo) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct features of a text and their shares; bucket 0 is the constant feature, bucket 1 a repeated word."""
+def example(body: bytes, settings: Settings, grams: Memo) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct features of a text and their shares."""
     words = body.split()
-    totals = Counter({0: 1, 1: repeats(words)})
-    for word, times in Counter(words).items():
-        for bucket in features[word]:
-            totals[bucket] += times
-    buckets, counts = np.array(list(totals), np.int64), np.array(list(totals.values()), float)
-    return buckets, (counts / counts.sum()).astype(np.float32)
+    counted = Counter(words)
+    parts = [*word_buckets(words, settings), np.array([bucket for word, times in counted.items() for bucket in grams[word] * times], np.int64)]
+    parts = [p for p in parts if p.size]
+    buckets, at = np.unique(np.concatenate(parts), return_inverse=True)
+    shares = np.bincount(at, np.concatenate([np.full(p.size, 1 / (p.size * len(parts))) for p in parts]))
+    return buckets, shares.astype(np.float32)
+
+
+def descend(vectors: np.ndarray, output: np.ndarray, buckets: np.ndarray, shares: np.ndarray, label: int, rate: float, weight: float = 1.0) -> None:
+    """One step of gradient descent on the log loss of one example, in place."""
+    hidden = shares @ vectors[buckets]
+    logits = hidden @ output
+    chances = np.exp(logits - logits.max())
+    error = chances / chances.sum()
+    error[label] -= 1
+    error *= weight
+    back = output @ error
+    # Both gradients have a bounded length.
+    output -= rate * np.outer(hidden, error) / max(1.0, np.linalg.norm(hidden) * np.linalg.norm(error) / LONGEST)
+    back /= max(1.0, np.linalg.norm(back) / LONGEST)
+    # The mean spreads the gradient by the features' shares; undoing the mean keeps long texts learning.
+    vectors[buckets] -= (rate * np.minimum(shares * min(len(buckets), 100), STEEPEST))[:, None] * back
 
 
 def fit(bodies: list[bytes], labels: list[int], settings: Settings) -> np.ndarray:
@@ -71,23 +94,16 @@ def fit(bodies: list[bytes], labels: list[int], settings: Settings) -> np.ndarra
     random = np.random.default_rng(settings.seed)
     vectors = random.uniform(-1 / settings.width, 1 / settings.width, (settings.buckets, settings.width)).astype(np.float32)
     output = np.zeros((settings.width, 2), np.float32)
-    features = Memo(lambda w: word_features(w, settings), limit=100_000)
-    examples = [_example(body, features) for body in bodies]
+    grams = Memo(lambda w: gram_buckets(w, settings), limit=100_000)
+    examples = [example(body, settings, grams) for body in bodies]
+    there = np.bincount(labels, minlength=2)
+    weights = np.clip(there.max() / np.maximum(there, 1), 1, settings.most_weight).tolist()
     steps, step = settings.epochs * len(examples), 0
     for _ in range(settings.epochs):
         for at in random.permutation(len(examples)):
-            buckets, shares = examples[at]
             rate = settings.rate * (1 - step / steps)
             step += 1
-            hidden = shares @ vectors[buckets]
-            logits = hidden @ output
-            chances = np.exp(logits - logits.max())
-            error = chances / chances.sum()
-            error[labels[at]] -= 1
-            back = output @ error
-            output -= rate * np.outer(hidden, error)
-            # The mean spreads the gradient by the features' shares; undoing the mean keeps long texts learning.
-            vectors[buckets] -= (rate * shares * min(len(buckets), 100))[:, None] * back
+            descend(vectors, output, *examples[at], labels[at], rate, weights[labels[at]])
     return (vectors @ (output[:, 1] - output[:, 0])).astype(np.float32)
 
 
@@ -114,16 +130,17 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), k
     return np.frombuffer(found[0]["outputs"], np.float32) if found else np.zeros(settings.buckets, np.float32)
 
 
-def _scorer(outputs: bytes, settings: Settings) -> Memo:
-    """Per worker: word -> sum of its features' outputs (real part) and their number (imaginary part)."""
-    def build() -> Memo:
-        table = np.frombuffer(outputs, np.float32).astype(float).tolist()
+def _scorer(outputs: bytes, settings: Settings) -> tuple[np.ndarray, Memo]:
+    """Per worker: the outputs, and word -> sum of its n-grams' outputs (real part) and their number (imaginary part)."""
+    def build() -> tuple[np.ndarray, Memo]:
+        table = np.frombuffer(outputs, np.float32)
+        numbers = table.astype(float).tolist()
 
         def word(w: bytes) -> complex:
-            buckets = word_features(w, settings)
-            return complex(sum([table[b] for b in buckets]), len(buckets))
+            buckets = gram_buckets(w, settings)
+            return complex(sum([numbers[b] for b in buckets]), len(buckets))
 
-        return Memo(word)
+        return table, Memo(word)
 
     return worker_cache(("quality", xxhash.xxh3_128_digest(outputs), settings), build)
 
@@ -134,15 +151,18 @@ def quality_score(text: Column, outputs: np.ndarray, settings: Settings = Settin
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words = _scorer(packed, settings).__getitem__
-        constant, again = np.frombuffer(packed, np.float32)[:2].tolist()
+        table, grams = _scorer(packed, settings)
+        grams = grams.__getitem__
 
-        def total(body: bytes) -> complex:
-            said = body.split()
-            return sum(map(words, said), complex(constant, 1) + repeats(said) * complex(again, 1))
+        def logit(body: bytes) -> float:
+            words = body.split()
+            means = [float(table[buckets].mean(dtype=np.float64)) for buckets in word_buckets(words, settings) if buckets.size]
+            spelled = sum(map(grams, words), 0j)
+            if spelled.imag:
+                means.append(spelled.real / spelled.imag)
+            return sum(means) / len(means)
 
         for bodies in batches:
-            sums = np.array([total(body) for body in bodies], dtype=complex)
-            yield pd.Series(1 / (1 + np.exp(-sums.real / sums.imag)))
+            yield pd.Series((1 + np.tanh(np.array([logit(body) for body in bodies], dtype=float) / 2)) / 2)
 
     return score(F.coalesce(text.cast("binary"), F.lit(b"")))

@@ -4,9 +4,11 @@ A pattern's matches and the text between them come from ``regexp_extract_all`` a
 their lengths give the places, in code points. Candidates of the battery are runs of 20 or more token characters.
 Each distinct token is tested once: its encoding is inferred (hex, lower or upper alphanumeric, base64), and chi-squared
 uniformity over eight slices of that alphabet, the runs test around its middle and the lag-1 serial correlation give
-three p-values of being random, combined by Simes' rule. Tokens are then judged per stratum of encoding and length: p-values of random
+three p-values of being random, combined by Simes' rule. A token is accepted by itself if its p-value reaches a threshold that halves with
+every ``HALVING`` symbols beyond ``LONE`` (the longer a token that is not random, the surer the tests tell), whatever else the corpus
+holds. Further tokens are accepted per stratum of encoding and length: p-values of random
 tokens are uniform, so twice the number above one half estimates how many are random; the threshold is the lowest at which
-the others among the accepted, beyond sampling noise, stay below the false-discovery rate. All tokens of the corpus count.
+the others among the accepted, beyond sampling noise, stay below the false-discovery rate. All tokens of the corpus count; this only adds.
 
 Defined results: null and empty texts have no spans; repeated rows get the same spans each; a span of the battery that
 lies inside a span of a fixed pattern is not added. Columns other than the key and the text are not looked at.
@@ -18,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import norm_cdf
+from ..session import cut_lineage
 
 #: The contract's patterns by kind, in the order in which spans of one start are listed.
 #: ``least`` is the length that group ``group`` of a match must have; shorter matches are dropped after matching.
@@ -34,6 +37,8 @@ _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHI
 ALPHABETS = (("hex", r"^([0-9a-f]+|[0-9A-F]+)$", _DIGITS + "abcdef"), ("alnum", r"^([0-9a-z]+|[0-9A-Z]+)$", _DIGITS + _LOWER),
              ("base64", r".", _DIGITS + _LOWER + _UPPER + "+/"))
 SLICES, BINS = 8, 100
+#: A token of ``LONE`` symbols is accepted by itself from p = 1/2 on, one of ``HALVING`` more from 1/4 on, and so on down to ``LEAST_P``.
+LONE, HALVING, LEAST_P = 24, 8, 0.02
 
 
 def _row_key(key: str, text: str) -> Column:
@@ -110,7 +115,7 @@ def randomness(tokens: DataFrame) -> DataFrame:
 
 
 def accepted_tokens(tokens: DataFrame, rate: float = 0.05) -> DataFrame:
-    """Distinct tokens judged random: in their stratum (encoding, doubling length) the false-discovery rate stays below ``rate``."""
+    """Distinct tokens judged random: by themselves, or in their stratum (encoding, doubling length), whose false-discovery rate stays below ``rate``."""
     tested = (randomness(tokens.select("token").distinct())
               .withColumn("stratum", F.concat_ws(":", "encoding", F.floor(F.log2(F.length("token")))))
               .withColumn("bin", F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).cast("int")))
@@ -124,12 +129,14 @@ def accepted_tokens(tokens: DataFrame, rate: float = 0.05) -> DataFrame:
     limits = (bins.withColumn("kept", F.sum("n").over(above)).withColumn("upper", upper)
               .where((F.col("bin") >= 1) & (F.greatest(excess, F.lit(0.0)) <= rate * kept))
               .groupBy("stratum").agg(F.min("bin").alias("limit")))
-    return tested.join(limits, "stratum").where(F.col("bin") >= F.col("limit")).select("token")
+    alone = F.greatest(F.lit(LEAST_P), F.pow(F.lit(0.5), 1 + (F.length("token") - LONE) / HALVING))
+    lone = (F.length("token") >= LONE) & (F.col("p") >= alone)
+    return tested.join(limits, "stratum", "left").where(lone | (F.col("bin") >= F.col("limit"))).select("token")
 
 
 def secret_spans(docs: DataFrame, rate: float = 0.05, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(row, spans): per distinct (key, text) its spans (start, rank, kind, stop) in order; ``row`` is ``row_key``."""
-    matches = pattern_matches(docs, key, text)
+    matches = cut_lineage(pattern_matches(docs, key, text))
     fixed = matches.where(F.col("kind") != "random").drop("token")
     candidates = matches.where(F.col("kind") == "random")
     added = candidates.join(accepted_tokens(candidates, rate), "token").select(*fixed.columns)
