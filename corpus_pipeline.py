@@ -1,7 +1,8 @@
 """The corpus pipeline: ``documents`` through five stages, each written as Parquet and read again by the next.
 
 1. quality: documents that the subword classifier scores below 0.3 go; it is trained on the labels beside the documents.
-2. near_duplicates: of documents linked by a Jaccard similarity of five-word shingle sets of at least 0.8 the one with the smallest id stays.
+2. near_duplicates: SimHash trees and a prefix filter find documents whose five-word shingle sets have a Jaccard similarity of at least 0.8;
+   of those linked the one with the smallest id stays.
 3. decontamination: documents with a twentieth or more of their words inside benchmark passages go.
 4. secrets: spans of secrets are replaced by a mask; ``n_chars`` follows the text.
 5. tokens: the ids of every remaining text, whose decoded form must be the text.
@@ -56,9 +57,8 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded): the decoded text is what the ids stand for."""
     prepare(spark)
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    encoded = bpe.encode_texts(docs, path)
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", bpe.decode_ids(F.col("ids"), path).alias("decoded"))
+    encoded = bpe.encode_texts(docs, public_tokenizers.path("byte_bpe_50k.json"), decoded=True)
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 
 STAGES = [

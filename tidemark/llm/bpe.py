@@ -159,8 +159,11 @@ def codec(path: str) -> Codec:
     return worker_cache(("bpe", path), lambda: Codec(path))
 
 
-def encode_texts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, ids) per row of ``docs``; ``path`` is where each worker finds the vocabulary."""
+def encode_texts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", decoded: bool = False) -> DataFrame:
+    """(key, ids) per row of ``docs``; ``path`` is where each worker finds the vocabulary.
+
+    With ``decoded`` the text that the ids stand for comes along, made by the same worker with the same caches.
+    """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)
@@ -168,10 +171,13 @@ def encode_texts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
             rows = coder.encode(batch.column(1).to_pylist())
             offsets = np.cumsum([0, *map(len, rows)], dtype=np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows) if rows else np.empty(0, np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], [key, "ids"])
+            columns = [batch.column(0), ids]
+            if decoded:
+                columns.append(pa.array([coder.decode(row.tolist()) for row in rows], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, [key, "ids", "decoded"][:len(columns)])
 
     wanted = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return wanted.mapInArrow(encode, f"`{key}` {docs.schema[key].dataType.simpleString()}, ids array<int>")
+    return wanted.mapInArrow(encode, f"`{key}` {docs.schema[key].dataType.simpleString()}, ids array<int>" + (", decoded string" if decoded else ""))
 
 
 def decode_ids(ids: Column, path: str) -> Column:
