@@ -67,6 +67,37 @@ def test_known_prefix_with_late_clocks(spark):
         assert ((row.n or 0), row.s or 0) == (len(seen), sum(seen))
 
 
+def test_two_clocks_with_one_late_receipt_for_all(spark):
+    """Receipts in order, against the order, and all labels received on one late date."""
+    rng = random.Random(6)
+    day0 = dt.date(2025, 1, 1)
+    for received in (lambda i: i, lambda i: 400 - i, lambda i: 500, lambda i: rng.randrange(0, 500, 7)):
+        labels = [("ab"[i % 2], day0 + dt.timedelta(days=i // 3), START + dt.timedelta(days=received(i)), float(rng.randrange(50))) for i in range(150)]
+        labels += [("a", None, START, 1.0), ("a", day0, None, 1.0), (None, day0, START, 1.0)]
+        asks = [(i, rng.choice(["a", "b", "c", None]), rng.choice([None] + [day0 + dt.timedelta(days=d) for d in range(60)]),
+                 START + dt.timedelta(days=rng.randrange(-5, 520))) for i in range(60)]
+        l = spark.createDataFrame(asks, "id int, c string, target date, decision timestamp")
+        r = spark.createDataFrame(labels, "c string, day date, av timestamp, v double")
+        got = timeline.known_prefix(l, r, ["c"], F.col("target"), F.col("decision"), F.col("day"), F.col("av"), {
+            "n": Running("sum", F.lit(1)), "low": Running("min", F.col("v")), "newest": Running("last", F.col("v"), [F.col("av")])})
+        got = timeline.known_latest(got, r, ["c"], F.col("target"), F.col("decision"), F.col("day"), F.col("av"), F.struct("day", "av", "v"), 4, "tail").collect()
+        assert len(got) == 60
+        for row in got:
+            _, c, target, decision = asks[row.id]
+            seen = sorted((d, av, v) for cc, d, av, v in labels if c and cc == c and d and av and target and d < target and av <= decision)
+            assert (row.n or 0) == len(seen)
+            assert row.low == min((v for *_, v in seen), default=None) and row.newest == (seen[-1][2] if seen else None)
+            assert [tuple(x) for x in row.tail or []] == seen[-4:]
+
+
+def test_facts_are_copied_log_many_times(spark):
+    """Whatever the dates and receipts are, a row is copied into about half of the levels and an ask into as many ranges as it has bits."""
+    r = spark.range(1000).select(F.lit("k").alias("c"), F.timestamp_seconds(F.col("id") * 86400 * 300).alias("a"), F.timestamp_seconds(-F.col("id")).alias("b"))
+    l = r.select("c", "a", F.timestamp_seconds(F.lit(0)).alias("b"))
+    asked, facts = timeline._dyadic(l, r, ["c"], F.col("a"), F.col("b"), F.col("a"), F.col("b"), {}, "year")
+    assert facts.count() <= 6 * 1000 and asked.count() == 6 * 1000  # 1,000 has six bits
+
+
 def test_quantiles_and_asof_medians(spark):
     data = rows(7, 400)
     df = spark.createDataFrame([(k, v) for k, _, v in data], "k string, v double")

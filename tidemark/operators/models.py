@@ -14,7 +14,7 @@ from .filters import REASON, first_reason, split
 from .joins import expand_buckets, label_both_extremes
 from .quantiles import asof_medians, interpolated_quantiles
 from .state import bucket_gaps
-from .timeline import Running, asof_join, asof_scan, keep_latest, known_prefix, overlap_chunks, row_numbers
+from .timeline import Running, asof_join, asof_scan, keep_latest, known_latest, known_prefix, overlap_chunks, row_numbers
 
 MIN_TRAINING = 5
 MIN_SIGMA = 0.01
@@ -53,11 +53,11 @@ def climatology(schedule: DataFrame, labels: DataFrame) -> tuple[DataFrame, Data
     facts = label_sides(labels).withColumn("__month", F.month("date"))
     v = F.col("value")
     out = known_prefix(
-        asks, facts, ["city", "temp_type"], F.col("outcome_local_date"), F.col("decision_time_utc"),
+        asks, facts, ["city", "temp_type", "__month"], F.col("outcome_local_date"), F.col("decision_time_utc"),
         F.col("date"), F.col("label_available_ts"), {
             "training_rows": Running("sum", F.lit(1)), "__sum": Running("sum", v), "__square": Running("sum", v * v),
             "__min": Running("min", v), "__max": Running("max", v),
-        }, within=["__month"])
+        })
     mean = F.col("__sum") / F.col("training_rows")
     spread = F.sqrt(F.greatest(F.col("__square") / F.col("training_rows") - mean * mean, F.lit(0.0)))
     out = out.withColumns({
@@ -74,18 +74,11 @@ def persistence(schedule: DataFrame, labels: DataFrame, window: int = 30) -> tup
     usable, bad = _checked_schedule(schedule)
     keep = max(1, window)
     keys = ["city", "temp_type"]
-    facts = label_sides(labels)
     point = F.struct("date", "label_available_ts", "value")
-    numbered = row_numbers(facts, keys, ["date", "label_available_ts", "value"], F.trunc("date", "year"), "__no")
-    spread = overlap_chunks(numbered, "__no", max(512, keep), keep - 1)
-    trailing = Window.partitionBy(*keys, "chunk").orderBy("__no").rowsBetween(-(keep - 1), Window.currentRow)
-    listed = spread.withColumn("__list", F.collect_list(point).over(trailing)).where("own").drop("chunk", "own")
-    out = known_prefix(
-        usable, listed, keys, F.col("outcome_local_date"), F.col("decision_time_utc"), F.col("date"),
-        F.col("label_available_ts"), {"__prefix": Running("last", F.col("__list"), [F.col("__v___prefix")])}, tail=point)
-    empty_list = F.array().cast(out.schema["tail"].dataType)
-    merged = F.concat(F.coalesce("__prefix", empty_list), F.coalesce("tail", empty_list))
-    recent = F.transform(F.slice(merged, F.greatest(F.size(merged) - (keep - 1), F.lit(1)), keep), lambda s: s["value"])
+    out = known_latest(
+        usable, label_sides(labels), keys, F.col("outcome_local_date"), F.col("decision_time_utc"), F.col("date"),
+        F.col("label_available_ts"), point, keep, "__last")
+    recent = F.transform(F.coalesce("__last", F.array().cast(out.schema["__last"].dataType)), lambda s: s["value"])
     out = out.withColumn("__recent", recent).withColumn("training_rows", F.size("__recent").cast("long"))
     mean = F.aggregate("__recent", F.lit(0.0), lambda a, x: a + x) / F.col("training_rows")
     out = out.withColumn("__mean", mean)
@@ -95,7 +88,7 @@ def persistence(schedule: DataFrame, labels: DataFrame, window: int = 30) -> tup
         F.col("training_rows") > 1, F.nullif(F.sqrt(square / (F.col("training_rows") - 1)), F.lit(0.0)))
     ).withColumn("mean_f", F.try_element_at("__recent", F.lit(-1))).withColumn(
         REASON, first_reason((F.col("training_rows") == 0, "no_prior_available_label"))
-    ).drop("__prefix", "tail", "__recent", "__mean")
+    ).drop("__last", "__recent", "__mean")
     good, empty = split(out)
     return (_forecast_columns(good, "persistence", f"last_value_v1_window{window}"),
             bad.unionByName(empty.select(*schedule.columns, REASON)))

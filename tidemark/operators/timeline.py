@@ -15,8 +15,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
-
 SEGMENT = "__segment"
 INSTANT = "__instant"
 WANTED = "__wanted"
@@ -218,78 +216,103 @@ def overlap_chunks(df: DataFrame, number: str, size: int, back: int) -> DataFram
     return df.withColumn("chunk", F.explode(spread)).withColumn("own", F.col("chunk") == home)
 
 
-def known_prefix(left: DataFrame, right: DataFrame, on: Sequence[str], axis: Column, clock: Column,
-                 right_axis: Column, right_clock: Column, values: Mapping[str, Running], *,
-                 within: Sequence[str] = (), cell: str = "day", segment: str = "year",
-                 tail: Column | None = None) -> DataFrame:
-    """Running values over right rows that are both before an axis limit and already published.
+SLOT = "__slot"
 
-    A right row counts when ``right_axis < axis`` and ``right_clock <= clock``: two orders at once,
-    which one scan cannot follow. Per key, the rows are settled up to the largest axis point whose
-    own and earlier clocks have all passed; that prefix is read with as-of lookups. The few rows
-    between the settled point and the limit are found by an equi join on axis cells and filtered
-    exactly, so late or out-of-order clocks cost time but never change the answer.
-
-    ``within`` are further equality keys of the values (say, the month) that do not take part in
-    settling. ``tail`` also collects that expression over the unsettled rows as column ``tail``.
-    The values must be sum, max or min, or ``last`` together with ``tail``.
+
+def _dyadic(left: DataFrame, right: DataFrame, keys: Sequence[str], axis: Column, clock: Column, right_axis: Column,
+            right_clock: Column, payload: Mapping[str, Column], segment: str) -> tuple[DataFrame, DataFrame]:
+    """Asks and facts spread over dyadic ranges of receipts, so that the second clock becomes one more key.
+
+    Per key the distinct receipts are numbered from 0. A fact of number x lies in the range ``x >> level`` of each level; what an ask may use,
+    the first r receipts, is the union of one range for every bit set in r. Those ranges all have even numbers and end within
+    the receipts there are, so a fact is copied into about half of the levels and an ask into as many ranges as r has bits.
+    Returns asks (keys, __axis, __clock, slot) and facts (keys, __a, slot, payload).
     """
-    keys, inner = list(on), list(within)
-    units = {"day": 86_400_000_000, "hour": 3_600_000_000}[cell]
-    facts = right.select(
-        *keys, *inner, right_axis.alias("__a"), right_clock.alias("__c"),
-        *[spec.value.alias(f"__v_{name}") for name, spec in values.items()],
-        *([tail.alias("__tail")] if tail is not None else []),
-    ).where(F.col("__a").isNotNull() & F.col("__c").isNotNull())
-    asks = left.select(*keys, *inner, axis.alias("__axis"), clock.alias("__clock")).distinct()
-    chain = running_scan(
-        facts.groupBy(*keys, "__a").agg(F.max("__c").alias("__late")), keys, ["__a"],
-        {"__settled": Running("max", F.col("__late"))}, F.date_trunc(segment, F.col("__a")),
-    )
-    cut = asof_scan(asks, chain, keys, F.col("__clock"), F.col("__settled"),
-                    {"__p": Running("max", F.col("__a"))}, segment=segment)
-    # Only points strictly before the limit count, and none when nothing has settled.
-    step = F.timestamp_micros(F.unix_micros(F.col("__axis").cast("timestamp")) - 1)
-    point = F.when(F.col("__p").isNotNull(), F.least(F.col("__p").cast("timestamp"), step))
-    cut = cut_lineage(cut.withColumn("__point", point))
-    prefix = cut_lineage(asof_scan(
-        cut, facts, [*keys, *inner], F.col("__point"), F.col("__a").cast("timestamp"),
-        {name: Running(spec.kind, F.col(f"__v_{name}"), spec.tie) for name, spec in values.items()},
-        segment=segment,
-    ))
-
-    def cells(instant: Column) -> Column:
-        return F.floor(F.unix_micros(instant.cast("timestamp")) / units)
-
-    first = facts.groupBy(*keys).agg(F.min("__a").alias("__first"))
-    opened = prefix.join(first, keys, "left")
-    start = F.coalesce(F.col("__p"), F.col("__first"))
-    low, high = cells(start), cells(step)
-    opened = opened.select(*keys, *inner, "__axis", "__clock", "__p", F.explode(
-        F.when(low <= high, F.sequence(low, high))).alias("__cell"))
-    celled = facts.withColumn("__cell", cells(F.col("__a")))
-    hits = opened.join(celled, [*keys, *inner, "__cell"]).where(
-        (F.col("__c") <= F.col("__clock")) & (F.col("__a") < F.col("__axis"))
-        & (F.col("__p").isNull() | (F.col("__a") > F.col("__p"))))
-    unit = [*keys, *inner, "__axis", "__clock"]
-    folded = hits.groupBy(*unit).agg(
-        *[_windowed(spec.kind, F.col(f"__v_{name}")).alias(f"__t_{name}")
-          for name, spec in values.items() if spec.kind != "last"],
-        *([F.array_sort(F.collect_list("__tail")).alias("tail")] if tail is not None else []),
-        F.count(F.lit(1)).alias("__n"),
-    )
-    merged = prefix.join(folded, unit, "left").select(
-        *unit,
-        *[(F.col(name) if spec.kind == "last" else _combined(spec.kind, F.col(name), F.col(f"__t_{name}"))).alias(name)
-          for name, spec in values.items()],
-        *(["tail"] if tail is not None else []),
-    )
-    renamed = merged
-    for key in [*keys, *inner]:
-        renamed = renamed.withColumnRenamed(key, f"__on_{key}")
+    facts = right.select(*keys, right_axis.cast("timestamp").alias("__a"), right_clock.cast("timestamp").alias("__c"),
+                         *[value.alias(name) for name, value in payload.items()])
+    for name in [*keys, "__a", "__c"]:
+        facts = facts.where(F.col(name).isNotNull())
+    asks = left.select(*keys, axis.alias("__axis"), clock.alias("__clock")).distinct()
+    # One line of receipts and asking instants numbers the ones and tells the others how many came before.
+    clocks = asks.select(*keys, F.col("__clock").cast("timestamp").alias("__c")).dropna()
+    line = facts.select(*keys, "__c", F.lit(1).alias("__own")).unionAll(clocks.select(*keys, "__c", F.lit(0))).groupBy(*keys, "__c").agg(F.max("__own").alias("__own"))
+    numbered = running_scan(line, keys, ["__c"], {"__x": Running("sum", F.col("__own"))}, F.date_trunc(segment, F.col("__c"))).withColumn("__x", F.col("__x").cast("long"))
+    there = numbered.groupBy(*keys).agg(F.max("__x").alias("__there"))
+    reach = asks.withColumn("__c", F.col("__clock").cast("timestamp")).join(numbered.select(*keys, "__c", F.col("__x").alias("__reach")), [*keys, "__c"])
+
+    def slot(level: Column, number: Column) -> Column:
+        return (level.cast("long") * F.lit(1 << 56) + number).alias(SLOT)
+
+    levels = F.sequence(F.lit(0), F.floor(F.log2(F.col("__reach"))).cast("int"))
+    wanted = F.filter(levels, lambda n: F.call_function("shiftright", F.col("__reach"), n) % 2 == 1)
+    asked = (reach.where(F.col("__reach") > 0).select(*asks.columns, "__reach", F.explode(wanted).alias("__level"))
+             .select(*asks.columns, slot(F.col("__level"), F.call_function("shiftright", F.col("__reach"), F.col("__level")) - 1)))
+
+    placed = facts.join(numbered.drop("__own"), [*keys, "__c"]).join(there, keys)
+    all_levels = F.sequence(F.lit(0), F.floor(F.log2(F.col("__there"))).cast("int"))
+    number = lambda n: F.call_function("shiftright", F.col("__x") - 1, n)
+    kept = F.filter(all_levels, lambda n: (number(n) % 2 == 0) & (F.call_function("shiftleft", number(n) + 1, n) <= F.col("__there")))
+    spread = (placed.select(*keys, "__a", "__x", *payload, F.explode(kept).alias("__level"))
+              .select(*keys, "__a", slot(F.col("__level"), number(F.col("__level"))), *payload))
+    return asked, spread
+
+
+def _rejoined(left: DataFrame, answers: DataFrame, keys: Sequence[str], axis: Column, clock: Column, names: Sequence[str]) -> DataFrame:
+    """``left`` with the answer of its (keys, axis, clock)."""
+    renamed = answers.select(*[F.col(key).alias(f"__on_{key}") for key in keys], "__axis", "__clock", *names)
     asked = left.withColumn("__ask_axis", axis).withColumn("__ask_clock", clock)
     match = (F.col("__ask_axis") == F.col("__axis")) & (F.col("__ask_clock") == F.col("__clock"))
-    for key in [*keys, *inner]:
+    for key in keys:
         match = match & (F.col(key) == F.col(f"__on_{key}"))
-    return asked.join(renamed, match, "left").select(
-        *left.columns, *values, *(["tail"] if tail is not None else []))
+    return asked.join(renamed, match, "left").select(*left.columns, *names)
+
+
+def known_prefix(left: DataFrame, right: DataFrame, on: Sequence[str], axis: Column, clock: Column,
+                 right_axis: Column, right_clock: Column, values: Mapping[str, Running], *, segment: str = "year") -> DataFrame:
+    """Running values over right rows that are both before an axis limit and already published.
+
+    A right row counts when ``right_axis < axis`` and ``right_clock <= clock``: two orders at once,
+    which one scan cannot follow. Receipts are cut into dyadic ranges (``_dyadic``); within a range every row has been received, so one
+    as-of lookup along the axis answers it, and the answers of an ask's ranges are merged. Rows are copied
+    log-many times whatever the order in which they were received; nothing is laid out by the calendar.
+    Of rows of one axis point, ``last`` takes the greatest ``tie``, then the greatest value.
+    """
+    keys = list(on)
+
+    def merged(kind: str, value: Column) -> Column:
+        return _windowed("max" if kind == "last" else kind, value)
+
+    payload = {}
+    for name, spec in values.items():
+        ranked = F.struct(right_axis.cast("timestamp").alias("a"), *[t.alias(f"t{i}") for i, t in enumerate(spec.tie)], spec.value.alias("v"))
+        payload[name] = F.when(spec.value.isNotNull(), ranked) if spec.kind == "last" else spec.value
+    asked, facts = _dyadic(left, right, keys, axis, clock, right_axis, right_clock, payload, segment)
+    found = asof_scan(asked, facts, [*keys, SLOT], F.col("__axis").cast("timestamp"), F.col("__a"),
+                      {name: Running("max" if spec.kind == "last" else spec.kind, F.col(name)) for name, spec in values.items()},
+                      inclusive=False, segment=segment)
+    answers = found.groupBy(*keys, "__axis", "__clock").agg(*[merged(spec.kind, F.col(name)).alias(name) for name, spec in values.items()])
+    answers = answers.select(*keys, "__axis", "__clock", *[
+        (F.col(name).getField("v") if spec.kind == "last" else F.col(name)).alias(name) for name, spec in values.items()])
+    return _rejoined(left, answers, keys, axis, clock, list(values))
+
+
+def known_latest(left: DataFrame, right: DataFrame, on: Sequence[str], axis: Column, clock: Column, right_axis: Column,
+                 right_clock: Column, item: Column, keep: int, name: str, *, segment: str = "year") -> DataFrame:
+    """The last ``keep`` items, in order, of the right rows that ``known_prefix`` would count, as array ``name`` (NULL without any).
+
+    Items are ordered by themselves, so their first field must be the right axis. In every range each row carries the items up to it, at most
+    ``keep`` of them; an ask merges one such list per range.
+    """
+    keys = list(on)
+    asked, facts = _dyadic(left, right, keys, axis, clock, right_axis, right_clock, {"__item": item}, segment)
+    inner = [*keys, SLOT]
+    numbered = row_numbers(facts, inner, ["__item"], F.date_trunc(segment, F.col("__a")), "__no")
+    spread = overlap_chunks(numbered, "__no", max(512, keep), keep - 1)
+    trailing = Window.partitionBy(*inner, "chunk").orderBy("__no").rowsBetween(-(keep - 1), Window.currentRow)
+    listed = spread.withColumn("__list", F.collect_list("__item").over(trailing)).where("own")
+    found = asof_scan(asked, listed, inner, F.col("__axis").cast("timestamp"), F.col("__a"),
+                      {"__list": Running("last", F.col("__list"), [F.col("__no")])}, inclusive=False, segment=segment)
+    whole = F.array_sort(F.flatten(F.collect_list("__list")))
+    answers = found.groupBy(*keys, "__axis", "__clock").agg(whole.alias("__all")).select(
+        *keys, "__axis", "__clock", F.slice("__all", F.greatest(F.size("__all") - (keep - 1), F.lit(1)), keep).alias(name))
+    return _rejoined(left, answers, keys, axis, clock, [name])

@@ -280,7 +280,7 @@ def event_metadata_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("j16_table_reconciliation", """
  with a as (select l_returnflag as side, l_linenumber as price, sum(l_quantity) as q from lineitem where l_linestatus='O' group by 1,2),
- b as (select l_returnflag as side, l_linenumber as price, sum(l_quantity) as q from lineitem where l_linestatus='F' and l_returnflag<>'N' group by 1,2)
+ b as (select l_returnflag as side, l_linenumber as price, sum(l_quantity) as q from lineitem where l_linestatus='F' group by 1,2)
  select coalesce(a.side,b.side) as side, coalesce(a.price,b.price) as price, coalesce(a.q,0) as left_qty, coalesce(b.q,0) as right_qty from a full join b on a.side=b.side and a.price=b.price where abs(coalesce(a.q,0)-coalesce(b.q,0))>1e-9""")
 def table_reconciliation(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem")
@@ -289,7 +289,7 @@ def table_reconciliation(spark: SparkSession, sf: str) -> DataFrame:
         return rows.groupBy(F.col("l_returnflag").alias("side"), F.col("l_linenumber").alias("price")).agg(F.sum("l_quantity").alias("qty"))
 
     return joins.reconcile_levels(
-        levels(li.where(F.col("l_linestatus") == "O")), levels(li.where((F.col("l_linestatus") == "F") & (F.col("l_returnflag") != "N"))))
+        levels(li.where(F.col("l_linestatus") == "O")), levels(li.where(F.col("l_linestatus") == "F")))
 
 
 # ---------------------------------------------------------------- aggregates
@@ -500,25 +500,28 @@ def earliest_per_group(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("o_custkey", "o_orderkey", stamp(F.col("o_orderdate")).alias("first_open"))
 
 
-@query("u01_union_by_name", "select ticker, min(price) as price from (select cast(o_custkey as varchar) as ticker, o_totalprice as price from orders where o_orderstatus='O' union all select 'id' || o_orderkey, o_totalprice from orders where o_orderstatus='P') group by 1")
+@query("u01_union_by_name", "select ticker, min(price) as price from (select cast(o_custkey as varchar) as ticker, o_totalprice as price from orders where o_orderstatus='O' union all select 'id' || o_orderkey, o_totalprice from orders where o_orderstatus<>'O') group by 1")
 def union_by_name(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders")
     a = o.where(F.col("o_orderstatus") == "O").select(F.col("o_custkey").cast("string").alias("ticker"), F.col("o_totalprice").alias("price"))
-    b = o.where(F.col("o_orderstatus") == "P").select(F.concat(F.lit("id"), F.col("o_orderkey").cast("string")).alias("id"), F.col("o_totalprice").alias("price"))
+    b = o.where(F.col("o_orderstatus") != "O").select(F.concat(F.lit("id"), F.col("o_orderkey").cast("string")).alias("id"), F.col("o_totalprice").alias("price"))
     both = a.unionByName(b, allowMissingColumns=True).withColumn("ticker", F.coalesce("ticker", "id")).drop("id")
     return joins.first_by_key(both, ["ticker"], [F.col("price")])
 
 
-@query("u02_key_overlap", "with a as (select distinct l_partkey as k from lineitem where l_returnflag='A'), b as (select distinct l_partkey as k from lineitem where l_returnflag='R') select count(*) filter (a.k is not null and b.k is not null) as matching, count(*) filter (b.k is null) as left_only, count(*) filter (a.k is null) as right_only from a full join b on a.k=b.k")
+@query("u02_key_overlap", "with a as (select distinct l_partkey as k from lineitem where l_returnflag='A'), b as (select distinct l_partkey as k from lineitem where l_returnflag<>'A') select count(*) filter (a.k is not null and b.k is not null) as matching, count(*) filter (b.k is null) as left_only, count(*) filter (a.k is null) as right_only from a full join b on a.k=b.k")
 def key_overlap(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem")
-    return joins.key_overlap(li.where(F.col("l_returnflag") == "A"), li.where(F.col("l_returnflag") == "R"), ["l_partkey"])
+    return joins.key_overlap(li.where(F.col("l_returnflag") == "A"), li.where(F.col("l_returnflag") != "A"), ["l_partkey"])
 
 
-@query("u03_required_minus_observed", "select p_partkey from part where p_partkey not in (select l_partkey from lineitem where l_returnflag='N' and l_linestatus='F' and l_linenumber=7)")
+@query("u03_required_minus_observed", """
+ select o_orderkey, n as line from orders, unnest(range(1, 8)) t(n) where not exists (select 1 from lineitem where l_orderkey=o_orderkey and l_linenumber=n)""")
 def required_minus_observed(spark: SparkSession, sf: str) -> DataFrame:
-    seen = table(spark, sf, "lineitem").where((F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "F") & (F.col("l_linenumber") == 7))
-    return table(spark, sf, "part").select("p_partkey").join(seen.select(F.col("l_partkey").alias("p_partkey")), "p_partkey", "left_anti")
+    """Of the lines one to seven of every order, those that are not there."""
+    required = table(spark, sf, "orders").select("o_orderkey", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(7).cast("long"))).alias("line"))
+    seen = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_linenumber").cast("long").alias("line"))
+    return required.join(seen, ["o_orderkey", "line"], "left_anti")
 
 
 @query("u04_pending_keys", "select o_orderkey from orders where o_orderkey not in (select l_orderkey from lineitem)")
