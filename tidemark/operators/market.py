@@ -201,7 +201,11 @@ def ledger_records(fills: DataFrame, manifest_path: str) -> DataFrame:
 
 
 def append_ledger(existing: DataFrame, records: DataFrame, manifests: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Valid records with unseen ids, and the refused ones with a reason."""
+    """Valid records with unseen ids, and the refused ones with a reason.
+
+    ``incomplete``: no id or market; ``unknown_type``: no known record type; ``no_manifest``, ``manifest_unknown``: a trading record without a
+    manifest, or with one that is not listed; ``repeated_id``: the id is in the ledger already or comes twice.
+    """
     copies = records.groupBy("record_id").agg(F.count(F.lit(1)).alias("__n"))
     seen = existing.select("record_id").distinct().withColumn("__seen", F.lit(True))
     wide = records.join(copies, "record_id").join(seen, "record_id", "left")
@@ -211,11 +215,11 @@ def append_ledger(existing: DataFrame, records: DataFrame, manifests: DataFrame
         wide = wide.withColumn("__known", F.lit(True))
     trading = F.col("record_type").isin("prediction", "would_have_order", "simulated_fill")
     out = wide.withColumn(REASON, first_reason(
-        (clocks.first_text(F.col("record_id")).isNull() | F.col("market_ticker").isNull(), "missing field"),
-        (~F.coalesce(F.col("record_type").isin(*RECORD_TYPES), F.lit(False)), "invalid record_type"),
-        (trading & clocks.first_text(F.col("manifest_path")).isNull(), "manifest_path required for trading records"),
-        (F.col("__known").isNull(), "manifest_path does not reference a known manifest"),
-        (F.col("__seen"), "duplicate ledger record_id"), (F.col("__n") > 1, "duplicate ledger record_id"),
+        (clocks.first_text(F.col("record_id")).isNull() | F.col("market_ticker").isNull(), "incomplete"),
+        (~F.coalesce(F.col("record_type").isin(*RECORD_TYPES), F.lit(False)), "unknown_type"),
+        (trading & clocks.first_text(F.col("manifest_path")).isNull(), "no_manifest"),
+        (F.col("__known").isNull(), "manifest_unknown"),
+        (F.col("__seen"), "repeated_id"), (F.col("__n") > 1, "repeated_id"),
     )).drop("__n", "__seen", "__known")
     return split(out.select(*records.columns, REASON))
 

@@ -120,16 +120,18 @@ MANIFEST_FIELDS = (
 
 
 def validate_manifests(manifests: DataFrame, contracts: DataFrame, source_index: DataFrame, observation_index: DataFrame) -> DataFrame:
-    """Errors of each prediction manifest.
+    """Error codes of each prediction manifest.
 
+    ``no_X``: field X is missing or empty; ``prediction_range``: no probability; ``commit_form``: neither a hash nor HEAD;
+    ``contract_unknown``, ``rules_differ``, ``target_differs``: judged by the contract's row; ``unindexed_X``, ``late_X``: an id of kind X.
     Ids are exploded and looked up in their index (id, receipt_time); a missing id or a receipt after
     the decision is an error. ``manifest_id`` identifies the row, the id columns are arrays.
     """
     def lookup(column: str, index: DataFrame, label: str) -> DataFrame:
         ids = manifests.select("manifest_id", F.col("decision_ts").alias("__d"), F.explode(column).alias("id"))
         found = ids.join(index.select("id", "receipt_time", F.lit(True).alias("__hit")), "id", "left")
-        error = F.when(F.col("__hit").isNull(), F.lit(f"{label} not found in index")).when(
-            F.col("receipt_time") > F.col("__d"), F.lit(f"{label} receipt time is after decision_ts"))
+        error = F.when(F.col("__hit").isNull(), F.lit(f"unindexed_{label}")).when(
+            F.col("receipt_time") > F.col("__d"), F.lit(f"late_{label}"))
         return found.groupBy("manifest_id").agg(F.array_sort(F.collect_set(error)).alias(f"__{column}"))
 
     terms = contracts.select("market_ticker", F.col("rules_hash").alias("__rules"), F.col("target_time_utc").alias("__target"), F.lit(True).alias("__contract"))
@@ -137,16 +139,16 @@ def validate_manifests(manifests: DataFrame, contracts: DataFrame, source_index:
     wide = wide.join(lookup("source_run_ids", source_index, "source_run_id"), "manifest_id", "left")
     wide = wide.join(lookup("observation_ids", observation_index, "observation_id"), "manifest_id", "left")
     lists = ("source_run_ids", "observation_ids")
-    missing = [(F.col(c).isNull() | (F.size(c) <= 0), f"missing or empty {c}") if c in lists
-               else (clocks.first_text(F.col(c).cast("string")).isNull(), f"missing or empty {c}") for c in MANIFEST_FIELDS]
+    missing = [(F.col(c).isNull() | (F.size(c) <= 0), f"no_{c}") if c in lists
+               else (clocks.first_text(F.col(c).cast("string")).isNull(), f"no_{c}") for c in MANIFEST_FIELDS]
     known = F.col("__contract").isNotNull()
     own = all_reasons(
         *missing,
-        (~F.coalesce(clocks.finite(F.col("prediction")).between(0.0, 1.0), F.lit(False)), "prediction must be a finite probability in [0,1]"),
-        (~F.coalesce(F.col("code_commit").rlike("^([0-9a-f]{7,40}|HEAD)$"), F.lit(False)), "code_commit must be a git commit hash or HEAD"),
-        (~known, "no contract row for market_ticker"),
-        (known & ~F.coalesce(F.col("rules_hash") == F.col("__rules"), F.lit(False)), "rules_hash does not match contract row"),
-        (known & ~F.coalesce(F.col("target_time_utc") == F.col("__target"), F.lit(False)), "target_time_utc does not match contract row"))
+        (~F.coalesce(clocks.finite(F.col("prediction")).between(0.0, 1.0), F.lit(False)), "prediction_range"),
+        (~F.coalesce(F.col("code_commit").rlike("^([0-9a-f]{7,40}|HEAD)$"), F.lit(False)), "commit_form"),
+        (~known, "contract_unknown"),
+        (known & ~F.coalesce(F.col("rules_hash") == F.col("__rules"), F.lit(False)), "rules_differ"),
+        (known & ~F.coalesce(F.col("target_time_utc") == F.col("__target"), F.lit(False)), "target_differs"))
     empty = F.array().cast("array<string>")
     return wide.select("manifest_id", F.concat(own, F.coalesce("__source_run_ids", empty), F.coalesce("__observation_ids", empty)).alias("errors"))
 

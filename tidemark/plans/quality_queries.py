@@ -76,8 +76,8 @@ def label_consistency(spark: SparkSession, sf: str) -> DataFrame:
     return quality.label_gate(rows)
 
 
-@query("q06_manifest_validation", """with m as (select o_orderkey as k, o_custkey as c, list_filter([case when o_orderkey%10=0 then 'missing or empty rules_hash' end, case when o_orderkey%14=0 then 'prediction must be a finite probability in [0,1]' end, case when o_orderkey%11=0 then 'code_commit must be a git commit hash or HEAD' end,
- case when o_orderkey%10=0 then 'rules_hash does not match contract row' end, case when o_custkey%3=0 then 'source_run_id not found in index' end, case when o_custkey%3=1 and o_custkey%2=0 then 'source_run_id receipt time is after decision_ts' end], lambda x: x is not null) as e from orders) select array_to_string(e,';') as errors, count(*) as n from m group by 1""")
+@query("q06_manifest_validation", """with m as (select o_orderkey as k, o_custkey as c, list_filter([case when o_orderkey%10=0 then 'no_rules_hash' end, case when o_orderkey%14=0 then 'prediction_range' end, case when o_orderkey%11=0 then 'commit_form' end,
+ case when o_orderkey%10=0 then 'rules_differ' end, case when o_custkey%3=0 then 'unindexed_source_run_id' end, case when o_custkey%3=1 and o_custkey%2=0 then 'late_source_run_id' end], lambda x: x is not null) as e from orders) select array_to_string(e,';') as errors, count(*) as n from m group by 1""")
 def manifest_validation(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("o_orderkey")
     o = table(spark, sf, "orders")
