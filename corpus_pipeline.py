@@ -49,8 +49,9 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     names = docs.columns
     masked = secrets.mask_secrets(docs, OWN)
-    length = F.when(F.col(OWN).eqNullSafe(F.col("text")), F.col("n_chars")).otherwise(F.length(OWN)).cast(docs.schema["n_chars"].dataType)
-    changed = {"text": F.col(OWN), "n_chars": length}
+    changed = {"text": F.col(OWN)}
+    if "n_chars" in names:
+        changed["n_chars"] = F.when(F.col(OWN).eqNullSafe(F.col("text")), F.col("n_chars")).otherwise(F.length(OWN)).cast(docs.schema["n_chars"].dataType)
     return masked.select(*[changed[n].alias(n) if n in changed else F.col(n) for n in names])
 
 
