@@ -140,7 +140,7 @@ def _scorer(outputs: bytes, settings: Settings) -> tuple[np.ndarray, Memo]:
             buckets = gram_buckets(w, settings)
             return complex(sum([numbers[b] for b in buckets]), len(buckets))
 
-        return table, Memo(word)
+        return table, Memo(word, limit=100_000)
 
     return worker_cache(("quality", xxhash.xxh3_128_digest(outputs), settings), build)
 

@@ -165,7 +165,7 @@ def _packed(hashes: np.ndarray, nodes: np.ndarray) -> Iterator[tuple[np.ndarray,
 
 
 def _shared(docs: DataFrame, postings: int, common: np.ndarray, often: np.ndarray, size: int, key: str, text: str,
-            bucket_rows: int = 1 << 21, flush: int = 1 << 19) -> DataFrame:
+            bucket_rows: int = 1 << 18, flush: int = 1 << 18) -> DataFrame:
     """(hash): the low 40 bits of the prefix shingles that two or more nodes have."""
     buckets = max(1, -(-postings // bucket_rows))
 
@@ -285,8 +285,8 @@ def _all_pairs(rows: DataFrame, reps: DataFrame, small: int = 64, block_rows: in
         own, node, part, n = (group[c].to_numpy() for c in ("own", "node", "part", "n"))
         left, right = np.flatnonzero(own == group["p"].iat[0]), np.flatnonzero(own == group["q"].iat[0])
         a, b = [], []
-        for at in range(0, left.size, 64):
-            i = left[at:at + 64]
+        for at in range(0, left.size, 16):
+            i = left[at:at + 16]
             differ = np.bitwise_count(bits[i][:, None] ^ bits[right][None]).sum(axis=2, dtype=np.int64)
             x, y = np.nonzero((differ * 9 <= n[i][:, None] + n[right][None]) & (part[i][:, None] != part[right][None]))
             a.append(node[i[x]])
