@@ -111,6 +111,37 @@ def test_quantiles_and_asof_medians(spark):
         assert row.median == statistics.median([v for k, u, v in data if k == row.k and u <= row.t])
 
 
+def test_order_statistics_descend_over_bits(spark):
+    """One far value, infinities, both zeros, ties, NULL keys and values: the ranks are those of the sorted values."""
+    rng = random.Random(5)
+    data = [("near", rng.random()) for _ in range(500)] + [("near", 1e12), ("near", None)]
+    data += [("wide", rng.choice([-1, 1]) * 10.0 ** rng.randrange(-300, 300)) for _ in range(200)]
+    data += [("wide", v) for v in (float("inf"), float("-inf"), 0.0, -0.0, 5e-324, -5e-324)]
+    data += [(None, v) for v in (2.0, 2.0, 1.0)] + [("one", -7.5), ("empty", None)]
+    df = spark.createDataFrame(data, "k string, v double")
+    ranks = {"low": F.lit(1), "third": F.floor(F.col("group_rows") / 3) + 1, "high": F.col("group_rows"), "beyond": F.col("group_rows") + 1}
+    got = {r.k: r for r in quantiles.order_statistics(df, ["k"], "v", ranks).collect()}
+    groups = {}
+    for k, v in data:
+        if v is not None:
+            groups.setdefault(k, []).append(v)
+    assert set(got) == set(groups)
+    for k, values in groups.items():
+        values.sort()
+        n = len(values)
+        assert (got[k].group_rows, got[k].low, got[k].third, got[k].high, got[k].beyond) == (n, values[0], values[n // 3], values[-1], None)
+    bare = quantiles.order_statistics(df, ["k"], "v", {}).collect()
+    assert {r.k: r.group_rows for r in bare} == {k: len(v) for k, v in groups.items()}
+    assert quantiles.interpolated_quantiles(df.limit(0), ["k"], "v", {"q": 0.5}).count() == 0
+
+
+def test_ordered_bits_follow_the_order_of_doubles(spark):
+    values = [float("-inf"), -1e12, -1.0, -5e-324, 0.0, 5e-324, 0.1, 1.0, 1e12, float("inf"), float("nan")]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    bits = [r.b % (1 << 64) for r in df.select(quantiles.ordered_bits(F.col("v")).alias("b")).collect()]
+    assert bits == sorted(bits) and len(set(bits)) == len(bits)
+
+
 def test_overlap_chunks_keep_every_row_once(spark):
     df = spark.range(1, 101).select(F.col("id").alias("n"))
     out = timeline.overlap_chunks(df, "n", 10, 3)

@@ -1,59 +1,87 @@
 """Exact order statistics of groups of any size.
 
-``percentile`` keeps all distinct values of a group in one task. Here equal values are counted
-first, the value range of each group is cut into slots, and the ranks are read off a running count
-that is carried from slot to slot, so that no task holds more than one slot of one group.
+``percentile`` keeps all distinct values of a group in one task. Here equal values are counted first; the wanted ranks
+of all groups are then found together by descending over the order-preserving bits of the values, sixteen at a time.
+A level counts the children of the nodes that hold a wanted rank, so no window has more than 65,536 rows, however many
+values a group has and wherever they lie.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .timeline import Running, asof_scan, row_numbers, running_scan
-
-SLOTS = 1024
-
-
-def _ranked_values(df: DataFrame, keys: Sequence[str], value: str, slots: int) -> DataFrame:
-    """Distinct values with the first and last 1-based rank each takes in its group."""
-    counts = cut_lineage(
-        df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("__v"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-    )
-    bounds = counts.groupBy(*keys).agg(
-        F.min("__v").alias("__lo"), F.max("__v").alias("__hi"), F.sum("__n").alias("group_rows")
-    )
-    spread = counts.join(bounds, list(keys))
-    width = F.col("__hi") - F.col("__lo")
-    slot = F.when(width > 0, F.floor((F.col("__v") - F.col("__lo")) / width * (slots - 1))).otherwise(0)
-    out = running_scan(spread, keys, ["__v"], {"__upto": Running("sum", F.col("__n"))}, slot)
-    return out.withColumn("__from", F.col("__upto") - F.col("__n") + 1)
-
-
-def order_statistics(df: DataFrame, keys: Sequence[str], value: str,
-                     ranks: dict[str, Column], slots: int = SLOTS) -> DataFrame:
-    """Values at 1-based ranks. Each rank is a Column over ``group_rows``; one row per group."""
-    ranked = _ranked_values(df, keys, value, slots)
-    picks = [
-        F.max(F.when(F.col("__from").__le__(rank) & (F.col("__upto") >= rank), F.col("__v"))).alias(name)
-        for name, rank in ranks.items()
-    ]
-    return ranked.groupBy(*keys).agg(F.max("group_rows").alias("group_rows"), *picks)
+from .timeline import Running, asof_scan, row_numbers
+
+DIGIT_BITS = 16
+
+
+def ordered_bits(value: Column) -> Column:
+    """The 64 bits of a double as a long whose unsigned order is the order of the doubles, NaN last; 0.0 and -0.0 are equal."""
+    bits = F.reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value + F.lit(0.0)).cast("long")
+    return F.when(value.isNull(), F.lit(None)).when(bits >= 0, bits.bitwiseXOR(F.lit(-(1 << 63)))).otherwise(F.bitwise_not(bits))
+
+
+def _descend(counts: DataFrame, asked: DataFrame | None, keys: Sequence[str], ranks: dict[str, Column], shift: int) -> DataFrame:
+    """One level: the children of the nodes asked for (None: the whole group) that hold wanted ranks.
+
+    ``asked`` and the result have a node, the ranks wanted inside it as (name, rank) and the size of the group.
+    """
+    child = F.shiftrightunsigned("__bits", shift)
+    if asked is None:
+        part = counts.withColumns({"__node": F.lit(0).cast("long"), "__asked": F.lit(None), "group_rows": F.lit(None)})
+    else:
+        named = asked.select(*[F.col(k).alias(f"__key_{k}") for k in keys], "__node", "__asked", "group_rows")
+        same = [F.col(k).eqNullSafe(F.col(f"__key_{k}")) for k in keys]
+        # Not every group need be small enough to broadcast: the choice is Spark's, and skewed nodes are split by it.
+        part = counts.withColumn("__own", F.shiftrightunsigned("__bits", shift + DIGIT_BITS)).join(
+            named, [*same, F.col("__own") == F.col("__node")])
+    counted = part.groupBy(*keys, "__node", child.alias("__child")).agg(
+        F.sum("__n").alias("__n"), F.max("__v").alias("__v"), F.first("__asked").alias("__asked"), F.first("group_rows").alias("group_rows"))
+    node = Window.partitionBy(*keys, "__node")
+    upto = F.sum("__n").over(node.orderBy("__child").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    counted = counted.withColumn("__upto", upto)
+    if asked is None:
+        wanted = F.array(*[F.struct(F.lit(n).alias("name"), r.cast("long").alias("rank")) for n, r in ranks.items()])
+        counted = counted.withColumn("group_rows", F.sum("__n").over(node)).withColumn("__asked", wanted)
+    before = F.col("__upto") - F.col("__n")
+    inside = F.transform(
+        F.filter("__asked", lambda a: (a["rank"] > before) & (a["rank"] <= F.col("__upto"))),
+        lambda a: F.struct(a["name"].alias("name"), (a["rank"] - before).alias("rank")))
+    held = counted.select(*keys, F.col("__child").alias("__node"), inside.alias("__asked"), "group_rows", "__v")
+    return held.where(F.size("__asked") > 0)
+
+
+def order_statistics(df: DataFrame, keys: Sequence[str], value: str, ranks: dict[str, Column]) -> DataFrame:
+    """Values, as doubles, at 1-based ranks. Each rank is a Column over ``group_rows``; one row per group.
+
+    NULL values take no part, NaN is the largest value, a rank outside the group has no value, and NULL is a key like
+    any other. A group without values has no row.
+    """
+    values = df.where(F.col(value).isNotNull()).select(*keys, (F.col(value).cast("double") + F.lit(0.0)).alias("__v"))
+    counts = values.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n"))
+    counts = cut_lineage(counts.withColumn("__bits", ordered_bits(F.col("__v"))))
+    # A first node is never empty of ranks where only the size of the group is wanted.
+    wanted = {"__size": F.lit(1), **ranks}
+    found = None
+    for shift in range(64 - DIGIT_BITS, -1, -DIGIT_BITS):
+        found = _descend(counts, found, keys, wanted, shift)
+    picks = [F.max(F.when(F.exists("__asked", lambda a: a["name"] == name), F.col("__v"))).alias(name) for name in ranks]
+    return found.groupBy(*keys).agg(F.max("group_rows").alias("group_rows"), *picks)
 
 
 def interpolated_quantiles(df: DataFrame, keys: Sequence[str], value: str,
-                           quantiles: dict[str, float], slots: int = SLOTS) -> DataFrame:
+                           quantiles: dict[str, float]) -> DataFrame:
     """Linear interpolation at position (n-1)·q, the ``percentile`` rule."""
     ranks = {}
     for name, q in quantiles.items():
         position = (F.col("group_rows") - 1) * F.lit(float(q))
         ranks[f"__lo_{name}"] = F.floor(position) + 1
         ranks[f"__hi_{name}"] = F.ceil(position) + 1
-    found = order_statistics(df, keys, value, ranks, slots)
+    found = order_statistics(df, keys, value, ranks)
     out = []
     for name, q in quantiles.items():
         position = (F.col("group_rows") - 1) * F.lit(float(q))
@@ -63,23 +91,23 @@ def interpolated_quantiles(df: DataFrame, keys: Sequence[str], value: str,
 
 
 def nearest_rank_quantiles(df: DataFrame, keys: Sequence[str], value: str,
-                           quantiles: dict[str, float], slots: int = SLOTS) -> DataFrame:
+                           quantiles: dict[str, float]) -> DataFrame:
     """Value at index ceil(q·n)-1."""
     ranks = {
         name: F.greatest(F.ceil(F.col("group_rows") * F.lit(float(q))), F.lit(1))
         for name, q in quantiles.items()
     }
-    return order_statistics(df, keys, value, ranks, slots)
+    return order_statistics(df, keys, value, ranks)
 
 
 def floor_index_quantiles(df: DataFrame, keys: Sequence[str], value: str,
-                          quantiles: dict[str, float], slots: int = SLOTS) -> DataFrame:
+                          quantiles: dict[str, float]) -> DataFrame:
     """Value at index int(q·(n-1))."""
     ranks = {
         name: F.floor((F.col("group_rows") - 1) * F.lit(float(q))) + 1
         for name, q in quantiles.items()
     }
-    return order_statistics(df, keys, value, ranks, slots)
+    return order_statistics(df, keys, value, ranks)
 
 
 def asof_medians(states: DataFrame, items: DataFrame, on: Sequence[str], state_time: str,
