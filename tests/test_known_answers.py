@@ -6,7 +6,7 @@ import math
 from pyspark.sql import functions as F
 
 from tests.conftest import ts
-from tidemark.operators import book, calibration, evaluate, features, joins, market, models, state
+from tidemark.operators import book, calibration, evaluate, features, joins, market, models, quality, state
 
 FEATURES = ("city string, contract string, target_time_utc string, feature_name string, source string, source_event_time string, issue_time string, "
             "valid_time string, revision string, available_at string, availability_reference_time string, retrieved_at string, value string, provenance string")
@@ -178,6 +178,22 @@ def test_calibration_is_monotone_and_helps(spark):
     assert values == sorted(values) and all(math.isfinite(v) for v in values)
 
 
+def test_forecast_runs_and_manifest_names(spark):
+    t = ts("2026-01-01T00:00Z")
+    hour = dt.timedelta(hours=1)
+    rows = [("m", "NYC", t, t + 6 * hour, 6.0, t + hour, "a"), ("m", "NYC", t, t + 6 * hour, 6.0, t + hour, "a"),
+            ("m", "LA", t, t + 7 * hour, 6.0, t - hour, "a"), ("m", "LA", t, t + 6 * hour, 6.0, t, "b"), (None, None, t, None, None, None, None),
+            (None, None, t, t, None, None, None), (None, None, None, t, 1.0, t, None)]
+    schema = "model string, city string, initialization_time timestamp, valid_time timestamp, lead_hours double, ingested_at timestamp, sha256 string"
+    got = quality.forecast_run_audit(spark.createDataFrame(rows, schema)).first()
+    assert tuple(got) == (7, 4, 3, 1, 3, 1)
+    assert tuple(quality.forecast_run_audit(spark.createDataFrame([], schema)).first()) == (0,) * 6
+    m = spark.createDataFrame([("x", 1, "a"), (None, 1, "b"), ("y", 1, "a"), ("z", None, None)], "name string, c int, s string")
+    m = m.withColumn("name", F.when(F.col("name").isin("y", "z"), quality.manifest_key(["s", "c"])).otherwise(F.col("name")))
+    assert tuple(quality.manifest_name_gate(m, ["c", "s"], "name").first()) == (4, 2, 1)
+    assert tuple(quality.manifest_name_gate(m.limit(0), ["c", "s"], "name").first()) == (0, 0, 0)
+
+
 def test_robustness_delays(spark):
     base = ts("2026-01-01T00:00Z")
     cols = "prediction double, outcome int, decision_time_utc timestamp, source_receipt_time timestamp, nwp_receipt_time timestamp, observation_age_minutes double, threshold_distance_f double, spread double, volume double, quote_jump double"

@@ -56,13 +56,22 @@ def range_gate(df: DataFrame, variable: str = "variable", value: str = "value",
     return df.groupBy(variable).agg(F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("invalid"))
 
 
-def forecast_rules(df: DataFrame) -> DataFrame:
-    """Order of clocks and lead of forecast rows, in one status row."""
-    lead = (F.unix_micros("valid_time") - F.unix_micros("initialization_time")) / F.lit(3.6e9)
-    return df.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("valid_time") < F.col("initialization_time")).alias("valid_before_init"),
-        F.count_if(F.abs(lead - F.col("lead_hours")) > 1e-6).alias("lead_mismatch"),
-        F.count_if(F.col("ingested_at") < F.col("initialization_time")).alias("ingest_before_init"))
+def forecast_run_audit(runs: DataFrame) -> DataFrame:
+    """Run keys, clocks and lead of forecast rows, in one status row.
+
+    A run key is (model, city, initialization_time, lead_hours), NULL being a value like any other. A row whose clocks are
+    missing counts as a lead mismatch, a missing lead does not; a conflict is a run key with more than one content hash.
+    """
+    init, valid = F.col("initialization_time"), F.col("valid_time")
+    off = F.abs((F.unix_micros(valid) - F.unix_micros(init)) / F.lit(3.6e9) - F.col("lead_hours")) > 0.01
+    sha = F.coalesce("sha256", F.lit(""))
+    keyed = runs.groupBy("model", "city", "initialization_time", "lead_hours").agg(
+        F.count(F.lit(1)).alias("n"), (F.min(sha) != F.max(sha)).alias("conflict"),
+        F.count_if(valid.isNull() | init.isNull() | off).alias("off"), F.count_if(F.col("ingested_at") < init).alias("early"))
+    return keyed.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("unique_run_keys"),
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_run_keys"), F.count_if("conflict").alias("conflicting_run_keys"),
+        F.coalesce(F.sum("off"), F.lit(0)).alias("valid_ne_init_plus_lead"), F.coalesce(F.sum("early"), F.lit(0)).alias("ingested_before_initialization"))
 
 
 def file_gate(manifest: DataFrame, files: DataFrame, as_of: Column) -> DataFrame:
@@ -157,6 +166,16 @@ def manifest_key(columns: Sequence[str]) -> Column:
     return encode.content_key(encode.canonical_json(columns))
 
 
+def manifest_name_gate(manifests: DataFrame, content: Sequence[str], name: str) -> DataFrame:
+    """Manifests whose name is not the key of their content, and copies of one content, in one status row."""
+    keyed = manifests.select(F.col(name).alias("__name"), manifest_key(content).alias("__key"))
+    named = keyed.groupBy("__key").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~F.col("__name").eqNullSafe(F.col("__key"))).alias("off"))
+    return named.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.sum("off"), F.lit(0)).alias("name_mismatch"),
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_manifests"))
+
+
 def provenance_indexes(forecasts: DataFrame, observations: DataFrame, stations: Sequence | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Source and observation indexes with the first receipt per identity, and rejections.
 

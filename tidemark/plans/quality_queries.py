@@ -95,6 +95,14 @@ def manifest_validation(spark: SparkSession, sf: str) -> DataFrame:
     return out.groupBy(F.array_join("errors", ";").alias("errors")).agg(count_rows().alias("n"))
 
 
+@query("q06_manifest_names", """with m as (select o_orderkey as k, substr(sha256('{"c":' || o_custkey || ',"s":"' || o_orderstatus || '"}'),1,16) as key from orders)
+ select count(*) as rows, count(*) filter (k%13=0) as name_mismatch, count(*)-count(distinct key) as duplicate_manifests from m""")
+def manifest_names(spark: SparkSession, sf: str) -> DataFrame:
+    m = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("c"), F.col("o_orderstatus").alias("s"))
+    key = quality.manifest_key(["c", "s"])
+    return quality.manifest_name_gate(m.withColumn("name", F.when(F.col("o_orderkey") % 13 == 0, F.lit("stale")).otherwise(key)), ["c", "s"], "name")
+
+
 @query("q07_provenance_indexes", with_views(("obs",), "select 'observation' as kind, case when station%4=0 then 'non_target_station' else 'missing_raw_path' end as reason, count(*) as n from obs where station%4=0 or event_id%21=0 group by 1,2 union all select 'source', 'missing_raw_sha256', count(*) from lineitem where l_partkey%17=0"))
 def provenance_indexes(spark: SparkSession, sf: str) -> DataFrame:
     o = shapes.obs(spark, sf)
@@ -141,6 +149,14 @@ def completeness(spark: SparkSession, sf: str) -> DataFrame:
     return quality.completeness(p, need)
 
 
+@query("q10_completeness_by_brand", """with need as (select distinct p_brand as model, 'F' || i as field from part, range(1,51) r(i)), have as (select distinct p_brand as model, 'F' || p_size as field from part)
+ select n.model, count(*) as required_fields, count(h.field) as observed_fields, coalesce(string_agg(case when h.field is null then n.field end, '|' order by n.field), '') as missing_fields from need n left join have h on n.model=h.model and n.field=h.field group by 1""")
+def completeness_by_brand(spark: SparkSession, sf: str) -> DataFrame:
+    p = table(spark, sf, "part").select(F.col("p_brand").alias("model"), F.concat(F.lit("F"), F.col("p_size").cast("string")).alias("field"))
+    need = p.select("model").distinct().withColumn("field", F.explode(F.transform(F.sequence(F.lit(1), F.lit(50)), lambda i: F.concat(F.lit("F"), i.cast("string")))))
+    return quality.completeness(p, need)
+
+
 @query("q11_example_join", with_views(("labels_daily", "buckets"), """
  , b as (select city, outcome_local_date as date, array_to_string(list_slice(list_sort(list(market_ticker)),1,3),'|') as tickers from buckets where temp_type='high' group by 1,2), r as (select *, row_number() over (partition by city order by date desc) as rn from labels_daily)
  select r.city, cast(r.date as varchar) as date, tickers from r left join b on r.city=b.city and r.date=b.date where rn<=12"""))
@@ -160,6 +176,22 @@ def quote_audit(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quote_audit(o, ["bid", "ask"], table(spark, sf, "orders").agg(count_rows().alias("expected_rows")))
 
 
+@query("q12_quote_audit_cases", """with a as (select 'finite' as quotes, count(*) as rows, 0::bigint as non_finite, (select sum(n)::bigint from (select count(*) as n from lineitem group by l_orderkey)) as expected_rows from lineitem
+ union all select 'untaxed', count(*), count(*) filter (l_tax=0), (select count(*) from lineitem) from lineitem union all select 'short', count(*), 0, (select count(*) from orders) from lineitem) select *, rows=expected_rows and non_finite=0 as pass from a""")
+def quote_audit_cases(spark: SparkSession, sf: str) -> DataFrame:
+    line = table(spark, sf, "lineitem")
+    quotes = line.select(F.col("l_extendedprice").alias("bid"), F.when(F.col("l_tax") == 0, F.lit(float("nan"))).otherwise(F.col("l_tax")).alias("ask"))
+    per_order = line.groupBy("l_orderkey").agg(count_rows().alias("n")).agg(F.sum("n").alias("expected_rows"))
+    cases = {
+        "finite": (["bid"], per_order), "untaxed": (["bid", "ask"], line.agg(count_rows().alias("expected_rows"))),
+        "short": (["bid"], table(spark, sf, "orders").agg(count_rows().alias("expected_rows")))}
+    out = None
+    for name, (fields, expected) in cases.items():
+        audit = quality.quote_audit(quotes, fields, expected).withColumn("quotes", F.lit(name))
+        out = audit if out is None else out.unionByName(audit)
+    return out
+
+
 # ---------------------------------------------------------------- streams
 
 def _lines_dir(spark: SparkSession, sf: str) -> str:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clocks, numeric
-from ..operators import aggregates, filters, joins, quantiles, timeline
+from ..operators import aggregates, filters, joins, quality, quantiles, timeline
 from ..operators.timeline import Running
 from . import shapes
 from .registry import query
@@ -469,6 +469,22 @@ def conflicting_runs(spark: SparkSession, sf: str) -> DataFrame:
     return aggregates.conflicting_keys(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey"])
 
 
+@query("a20_forecast_runs", """with r as (select l_suppkey%3 as model, l_partkey%20 as city, date_trunc('day', l_shipdate) as init, l_quantity as lead, l_partkey%101=0 or l_orderkey%17=0 as off, l_orderkey%29=0 as early, l_linestatus as sha from lineitem),
+ k as (select model, city, init, lead, count(*) as n, count(distinct sha)>1 as conflict from r group by 1,2,3,4) select (select count(*) from r) as rows, count(*) as unique_run_keys, sum(n-1)::bigint as duplicate_run_keys, count(*) filter (conflict) as conflicting_run_keys,
+ (select count(*) filter (off) from r) as valid_ne_init_plus_lead, (select count(*) filter (early) from r) as ingested_before_initialization from k""")
+def forecast_runs(spark: SparkSession, sf: str) -> DataFrame:
+    line = table(spark, sf, "lineitem").withColumn("init", F.date_trunc("day", F.col("l_shipdate").cast("timestamp")))
+    order, lead = F.col("l_orderkey"), F.col("l_quantity")
+
+    def later(hours: Column) -> Column:
+        return F.timestamp_micros(F.unix_micros("init") + (hours * F.lit(3.6e9)).cast("long"))
+
+    return quality.forecast_run_audit(line.select(
+        (F.col("l_suppkey") % 3).alias("model"), (F.col("l_partkey") % 20).alias("city"), F.col("init").alias("initialization_time"), lead.alias("lead_hours"),
+        F.when(F.col("l_partkey") % 101 != 0, later(F.when(order % 17 == 0, lead + 1).otherwise(lead))).alias("valid_time"),
+        later(F.when(order % 29 == 0, F.lit(-1)).otherwise(F.lit(3))).alias("ingested_at"), F.col("l_linestatus").alias("sha256")))
+
+
 # ---------------------------------------------------------------- sorts and sets
 
 @query("t01_total_sort", "select o_custkey, o_orderkey from orders order by o_custkey, o_orderdate, o_orderkey")
