@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import random
 
 from pyspark.sql import functions as F
 
@@ -194,6 +195,28 @@ def test_forecast_runs_and_manifest_names(spark):
     assert tuple(quality.manifest_name_gate(m.limit(0), ["c", "s"], "name").first()) == (0, 0, 0)
 
 
+def test_isotonic_blocks_do_not_depend_on_the_size_of_tasks(spark):
+    """Falling, rising and level stretches with ties, against pooling in one list."""
+    rng = random.Random(3)
+    data = [(rng.randrange(1, 200) / 200, int(rng.random() < (0.5 + 0.4 * math.sin(i)))) for i in range(300)]
+    data += [(0.3, 0)] * 20 + [(0.3, 1)] * 20 + [(None, 1), (0.5, None), (1.5, 1), (math.nan, 0)]
+    counts = {}
+    for p, y in data:
+        if p is not None and y is not None and 0 <= p <= 1:
+            counts[p, y] = counts.get((p, y), 0) + 1
+    want = []
+    for (p, y), n in sorted(counts.items()):
+        want.append([p, p, float(y * n), float(n)])
+        while len(want) > 1 and want[-2][2] / want[-2][3] >= want[-1][2] / want[-1][3]:
+            low, high, total, weight = want.pop()
+            want[-1] = [want[-1][0], high, want[-1][2] + total, want[-1][3] + weight]
+    rows = spark.createDataFrame(data, "prediction double, outcome int")
+    for task_blocks in (4, 10_000):
+        got = sorted(tuple(r) for r in calibration.fit_isotonic(rows, task_blocks=task_blocks).collect())
+        assert got == sorted((low, high, total / weight) for low, high, total, weight in want)
+    assert calibration.fit_isotonic(rows.limit(0)).count() == 0
+
+
 def test_robustness_delays(spark):
     base = ts("2026-01-01T00:00Z")
     cols = "prediction double, outcome int, decision_time_utc timestamp, source_receipt_time timestamp, nwp_receipt_time timestamp, observation_age_minutes double, threshold_distance_f double, spread double, volume double, quote_jump double"

@@ -5,9 +5,11 @@ from __future__ import annotations
 import math
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage, release
+
 EPS = 1e-6
 CLAMP = 35.0
 LIMIT = 20.0
@@ -153,23 +155,56 @@ def _pool_batches(batches):
     yield pd.DataFrame(pairs, columns=["low", "high", "total", "weight"])
 
 
-def fit_isotonic(rows: DataFrame, probability: str = "prediction", outcome: str = "outcome") -> DataFrame:
+BLOCK_SCHEMA = "low double, high double, total double, weight double"
+#: Blocks that one task pools; a few bytes each.
+TASK_BLOCKS = 200_000
+
+
+def _block_order() -> list[Column]:
+    # Means order blocks that share a bound, as outcomes ordered the rows they come from.
+    return [F.col("low"), F.col("high"), F.col("total") / F.col("weight")]
+
+
+def _pool_ranges(blocks: DataFrame, ranges: int) -> tuple[DataFrame, int, bool]:
+    """Blocks pooled within so many ranges, their number, and whether a block's mean is not above that of the one before."""
+    def ranged(df: DataFrame) -> DataFrame:
+        dealt = df.repartition(1) if ranges == 1 else df.repartitionByRange(ranges, *_block_order())
+        return dealt.sortWithinPartitions(*_block_order())
+
+    pooled = cut_lineage(ranged(blocks).mapInPandas(_pool_batches, BLOCK_SCHEMA))
+    number = pooled.count()
+    if ranges == 1:
+        return pooled, number, False
+    # Inside a range no mean falls, so only neighbours at the ends of ranges, two blocks a range, have to be looked at.
+    # A range is one written file, or several that follow each other.
+    block = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(_block_order())], "total", "weight")
+    ends = pooled.groupBy(F.input_file_name()).agg(F.min(block).alias("first"), F.max(block).alias("last"))
+    order = Window.orderBy("first")
+    earlier = F.lag("last").over(order)
+    fall = earlier["total"] * F.col("first.weight") >= F.col("first.total") * earlier["weight"]
+    return pooled, number, ends.select(fall.alias("fall")).where("fall").count() > 0
+
+
+def fit_isotonic(rows: DataFrame, probability: str = "prediction", outcome: str = "outcome", task_blocks: int = TASK_BLOCKS) -> DataFrame:
     """Blocks (low, high, value) of the rising step function closest to the outcomes.
 
-    Distinct (p, outcome) pairs are counted, each range of p pools its own, and the surviving blocks
-    are pooled once more. Rising means of 0/1 outcomes are distinct fractions whose denominators add
-    up to the row count, so the survivors of N rows number at most on the order of N to the 2/3.
+    Distinct (p, outcome) pairs are counted and each range of p pools its own. Blocks may be pooled in any order with
+    one result, so the survivors are dealt into ranges anew, with other bounds, until no mean falls from one range to the
+    next. No task pools more than about ``task_blocks`` blocks; where no more survive, one task ends the work.
     """
     p, y = F.col(probability).cast("double"), F.col(outcome).cast("double")
     usable = rows.where(p.between(0.0, 1.0) & y.isin(0.0, 1.0))
     pairs = usable.groupBy(_bounded(p).alias("low"), y.alias("__y")).agg(F.count(F.lit(1)).cast("double").alias("weight"))
     pairs = pairs.select("low", F.col("low").alias("high"), (F.col("__y") * F.col("weight")).alias("total"), "weight", "__y")
-    schema = "low double, high double, total double, weight double"
     ranged = pairs.repartitionByRange("low", "__y").sortWithinPartitions("low", "__y").select("low", "high", "total", "weight")
-    partial = ranged.mapInPandas(_pool_batches, schema)
-    # Means of the partial blocks order rows that share a bound, as outcomes did before.
-    merged = partial.repartition(1).sortWithinPartitions("low", "high", F.col("total") / F.col("weight")).mapInPandas(_pool_batches, schema)
-    return merged.select("low", "high", (F.col("total") / F.col("weight")).alias("value"))
+    blocks = cut_lineage(ranged.mapInPandas(_pool_batches, BLOCK_SCHEMA))
+    number, falls, turn = blocks.count(), True, 0
+    while falls:
+        ranges = 1 if number <= task_blocks else -(-number // task_blocks) + 1 + turn % 2
+        pooled, number, falls = _pool_ranges(blocks, ranges)
+        release(blocks)
+        blocks, turn = pooled, turn + 1
+    return blocks.select("low", "high", (F.col("total") / F.col("weight")).alias("value"))
 
 
 def apply_isotonic(rows: DataFrame, blocks: DataFrame, probability: str = "prediction", output: str = "calibrated") -> DataFrame:
@@ -184,8 +219,6 @@ def apply_isotonic(rows: DataFrame, blocks: DataFrame, probability: str = "predi
     grid = spark.range(slots + 1).select(F.col("id").cast("int").alias("__slot"))
     placed = ordered.withColumn("__slot", F.least(F.floor(F.col("high") * slots), F.lit(slots)).cast("int"))
     own = placed.groupBy("__slot").agg(F.array_sort(F.collect_list(F.struct("high", "value"))).alias("__own"))
-    from pyspark.sql import Window
-
     after = Window.orderBy("__slot").rowsBetween(1, Window.unboundedFollowing)
     upto = Window.orderBy("__slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     table = grid.join(own, "__slot", "left").withColumn(
