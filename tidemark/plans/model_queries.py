@@ -322,21 +322,44 @@ def calibration_rows(spark: SparkSession, sf: str) -> DataFrame:
                     ((k * 31 % 97 + k * 17 % 61) > 78).cast("int").alias("outcome"))
 
 
-@query("m15_platt_calibration")
+BOUNDED_P = "least(1-1e-6, greatest(1e-6, prediction))"
+CALIBRATION = f"""with recursive r as (select o_orderkey as id, (o_orderkey*31%97)/97e0 as prediction, case when o_orderkey*31%97+o_orderkey*17%61>78 then 1 else 0 end as outcome from orders),
+ c as (select {BOUNDED_P} as p, outcome as y, count(*)::double as n, sum(outcome)::double as s from r group by 1,2)"""
+# Forty plain Newton steps; the objective is convex, so the fit that halves its steps ends at the same parameters.
+PLATT_SQL = f"""{CALIBRATION}, w(it,a,b) as (select 0, 1e0, 0e0 union all
+ select it+1, a-(h11*g0-h01*g1)/(h00*h11-h01*h01), b-(h00*g1-h01*g0)/(h00*h11-h01*h01) from (
+  select it, a, b, sum((q*n-s)*f)+1e-3*(a-1) as g0, sum(q*n-s)+1e-3*b as g1, sum(n*q*(1-q)*f*f)+1e-3 as h00, sum(n*q*(1-q)*f) as h01, sum(n*q*(1-q))+1e-3 as h11
+  from (select it, a, b, n, s, ln(p/(1-p)) as f, 1/(1+exp(-(a*ln(p/(1-p))+b))) as q from w, c where it<40) group by it, a, b))
+ select id, outcome, {q6_sql(f"1/(1+exp(-(greatest(0e0,a)*ln({BOUNDED_P}/(1-{BOUNDED_P}))+b)))", 5)} as calibrated from r, w where it=40"""
+BETA_SQL = f"""{CALIBRATION}, w(it,a,b,d) as (select 0, 1e0, -1e0, 0e0 union all
+ select it+1, a-(g1*(h22*h33-h23*h23)-h12*(g2*h33-h23*g3)+h13*(g2*h23-h22*g3))/det, b-(h11*(g2*h33-h23*g3)-g1*(h12*h33-h23*h13)+h13*(h12*g3-g2*h13))/det,
+  d-(h11*(h22*g3-g2*h23)-h12*(h12*g3-g2*h13)+g1*(h12*h23-h22*h13))/det from (
+  select *, h11*(h22*h33-h23*h23)-h12*(h12*h33-h23*h13)+h13*(h12*h23-h22*h13) as det from (
+  select it, a, b, d, sum((q*n-s)*u)+1e-3*(a-1) as g1, sum((q*n-s)*v)+1e-3*(b+1) as g2, sum(q*n-s)+1e-3*d as g3, sum(k*u*u)+1e-3 as h11, sum(k*u*v) as h12, sum(k*u) as h13, sum(k*v*v)+1e-3 as h22, sum(k*v) as h23, sum(k)+1e-3 as h33
+  from (select *, n*q*(1-q) as k from (select it, a, b, d, n, s, ln(p) as u, ln(1-p) as v, 1/(1+exp(-(a*ln(p)+b*ln(1-p)+d))) as q from w, c where it<40)) group by it, a, b, d)))
+ select id, outcome, {q6_sql(f"1/(1+exp(-(greatest(0e0,a)*ln({BOUNDED_P})+least(0e0,b)*ln(1-{BOUNDED_P})+d)))", 5)} as calibrated from r, w where it=40"""
+# The largest over all starts of the smallest mean over all ends; rows take the value of the first pair at their probability.
+ISOTONIC_SQL = f"""{CALIBRATION}, t as (select *, row_number() over o as i, sum(n) over o as un, sum(s) over o as us from c window o as (order by p, y)),
+ g as (select a.i as a, b.i as i, min((b.us-a.us+a.s)/(b.un-a.un+a.n)) over (partition by a.i order by b.i desc) as low from t a join t b on a.i<=b.i),
+ v as (select i, max(low) as value from g group by i), f as (select p, min_by(value, t.i) as value from t join v on t.i=v.i group by p)
+ select id, outcome, {q6_sql('value', 6)} as calibrated from r join f on f.p={BOUNDED_P}"""
+
+
+@query("m15_platt_calibration", PLATT_SQL)
 def platt(spark: SparkSession, sf: str) -> DataFrame:
     rows = calibration_rows(spark, sf)
     model = calibration.fit_platt(rows)
     return rows.select("id", "outcome", q6(calibration.apply_platt(F.col("prediction"), model), 5).alias("calibrated"))
 
 
-@query("m15_beta_calibration")
+@query("m15_beta_calibration", BETA_SQL)
 def beta(spark: SparkSession, sf: str) -> DataFrame:
     rows = calibration_rows(spark, sf)
     model = calibration.fit_beta(rows)
     return rows.select("id", "outcome", q6(calibration.apply_beta(F.col("prediction"), model), 5).alias("calibrated"))
 
 
-@query("m16_isotonic_calibration")
+@query("m16_isotonic_calibration", ISOTONIC_SQL)
 def isotonic(spark: SparkSession, sf: str) -> DataFrame:
     rows = calibration_rows(spark, sf)
     blocks = calibration.fit_isotonic(rows)
