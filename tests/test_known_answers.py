@@ -7,7 +7,7 @@ import random
 from pyspark.sql import functions as F
 
 from tests.conftest import ts
-from tidemark.operators import book, calibration, evaluate, features, joins, market, models, quality, state
+from tidemark.operators import book, calibration, evaluate, features, joins, market, models, quality, state, units
 
 FEATURES = ("city string, contract string, target_time_utc string, feature_name string, source string, source_event_time string, issue_time string, "
             "valid_time string, revision string, available_at string, availability_reference_time string, retrieved_at string, value string, provenance string")
@@ -217,6 +217,22 @@ def test_isotonic_blocks_do_not_depend_on_the_size_of_tasks(spark):
     assert calibration.fit_isotonic(rows.limit(0)).count() == 0
 
 
+def test_point_variables_and_speeds(spark):
+    rows = [("a", "2t", None, 273.15), ("a", "t", 850, 273.15), ("a", "t", 300, None), ("a", "gh", 500, 5.0), ("a", "hgt", 0, 6.0), ("a", "sp", 0, 101325.0),
+            ("a", "10u", 10, 3.0), ("a", "10v", 10, 4.0), ("b", "10u", 10, 3.0), ("b", "10v", 10, 4.0), ("b", "10si", 10, 9.0),
+            ("c", "u", 850, 6.0), ("c", "v", 850, 8.0), ("c", "v", 700, 1.0), (None, "10u", 10, 3.0), ("a", "zz", 0, 1.0), ("a", None, 0, 1.0)]
+    df = units.point_variables(spark.createDataFrame(rows, "k string, code string, level int, value double"))
+    got = sorted((r.k or "", r.variable, r.unit, r.value if r.value is None else round(r.value, 6)) for r in units.add_speeds(df, ["k"]).collect())
+    mph = 2.2369362920544
+    want = [("a", "temperature_2m", "F", 32.0), ("a", "temperature_850hpa", "F", 32.0), ("a", "temperature_pressure_level", "F", None),
+            ("a", "geopotential_height_500hpa", "gpm", 5.0), ("a", "geopotential_height_500hpa", "gpm", 6.0), ("a", "pressure_surface", "hPa", 1013.25),
+            ("a", "wind_u_10m", "mph", 3 * mph), ("a", "wind_v_10m", "mph", 4 * mph), ("a", "wind_speed_10m", "mph", 5 * mph),
+            ("b", "wind_u_10m", "mph", 3 * mph), ("b", "wind_v_10m", "mph", 4 * mph), ("b", "wind_speed_10m", "mph", 9 * mph),
+            ("c", "wind_u_850hpa", "mph", 6 * mph), ("c", "wind_v_850hpa", "mph", 8 * mph), ("c", "wind_v_pressure_level", "mph", mph),
+            ("c", "wind_850hpa", "mph", 10 * mph), ("", "wind_u_10m", "mph", 3 * mph)]
+    assert got == sorted((k, n, u, v if v is None else round(v, 6)) for k, n, u, v in want)
+
+
 def test_robustness_delays(spark):
     base = ts("2026-01-01T00:00Z")
     cols = "prediction double, outcome int, decision_time_utc timestamp, source_receipt_time timestamp, nwp_receipt_time timestamp, observation_age_minutes double, threshold_distance_f double, spread double, volume double, quote_jump double"

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clocks, encode, numeric, text
+from ..operators import units
 from ..session import ensure_checkpoint_dir
 from ..sources import json_products, tables, text_products
 from . import shapes
@@ -327,6 +328,24 @@ def unit_conversion(spark: SparkSession, sf: str) -> DataFrame:
     return li.join(F.broadcast(units), "code").groupBy("l_orderkey", "l_linenumber").agg(count_rows().alias("n"), q6(F.sum(F.col("l_extendedprice") * F.col("scale") + F.col("shift")), 2).alias("total"))
 
 
+POINT_CODES = ["2t", "10u", "10v", "u", "v", "t", "gh", "zz"]
+
+
+@query("f10_point_variables", f"""with r as (select l_suppkey as k, date_trunc('month', l_shipdate) as m, ['2t','10u','10v','u','v','t','gh','zz'][l_partkey%8+1] as code, [0,500,700,850][l_linenumber%4+1] as level, l_extendedprice as x from lineitem),
+ d as (select k, m, case when code='2t' then 'temperature_2m' when code in ('10u','10v') then 'wind_' || code[3] || '_10m' when code in ('u','v') then 'wind_' || code || case when level=850 then '_850hpa' else '_pressure_level' end
+  when code='gh' then 'geopotential_height_' || case when level=500 then '500hpa' else 'pressure_level' end else 'temperature_' || case when level in (700,850,925) then level || 'hpa' else 'pressure_level' end end as variable,
+  case when code in ('2t','t') then 'F' when code='gh' then 'gpm' else 'mph' end as unit, case when code in ('2t','t') then (x-273.15e0)*9/5+32 when code='gh' then x else x*2.2369362920544e0 end as value from r where code<>'zz'),
+ p as (select max(value) filter (variable='wind_u_10m') as u, max(value) filter (variable='wind_v_10m') as v, max(value) filter (variable='wind_u_850hpa') as u8, max(value) filter (variable='wind_v_850hpa') as v8 from d group by k, m),
+ a as (select variable, unit, value from d union all select 'wind_speed_10m', 'mph', sqrt(u*u+v*v) from p where u is not null and v is not null union all select 'wind_850hpa', 'mph', sqrt(u8*u8+v8*v8) from p where u8 is not null and v8 is not null)
+ select variable, unit, count(*) as n, {q6_sql('avg(value)', 3)} as mean from a group by 1,2""")
+def point_variables(spark: SparkSession, sf: str) -> DataFrame:
+    points = table(spark, sf, "lineitem").select(
+        F.col("l_suppkey").alias("k"), F.date_trunc("month", "l_shipdate").alias("m"), shapes.pick(POINT_CODES, F.col("l_partkey") % 8).alias("code"),
+        shapes.pick(["0", "500", "700", "850"], F.col("l_linenumber") % 4).cast("int").alias("level"), F.col("l_extendedprice").alias("value"))
+    out = units.add_speeds(units.point_variables(points), ["k", "m"])
+    return out.groupBy("variable", "unit").agg(count_rows().alias("n"), q6(F.avg("value"), 3).alias("mean"))
+
+
 @query("f11_whole_degree", "select event_id, cast(case when value-50>=0 then floor(value-50+0.5e0) else ceil(value-50-0.5e0) end as bigint) as degree from events")
 def whole_degree(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events").select("event_id", numeric.whole_degree(F.col("value") - 50).alias("degree"))
