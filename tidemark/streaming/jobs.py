@@ -16,7 +16,7 @@ from ..functions import clocks, encode
 from ..operators import book, filters
 from ..operators.state import sequence_health
 from ..operators.timeline import keep_latest
-from ..session import cut_lineage
+from ..session import cut_lineage, release
 from ..sources.json_products import unwrap_messages
 from ..sources.tables import path_exists
 
@@ -118,40 +118,30 @@ def ingest_new(stream: DataFrame, path: str, checkpoint: str, key: str = "record
     run_available(stream, each, checkpoint)
 
 
-def _last_version(spark: SparkSession, path: str) -> int:
-    """Number of the newest version that was written to its end; 0 when there is none."""
-    if not path_exists(spark, f"{path}/version=*/_SUCCESS"):
-        return 0
-    last = spark.read.parquet(path).agg(F.max("version")).first()[0]
-    while not path_exists(spark, f"{path}/version={last}/_SUCCESS"):
-        last -= 1
-    return last
-
-
 def upsert(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], receipt: Column, newest: bool) -> None:
     """Keep one row per key: the earliest receipt, or the newest one.
 
-    A batch merges the parts its keys fall into with their current rows and writes them as the next version. Versions
-    count on from what is stored, so a lost checkpoint replays into the same result; an unfinished version is written over.
+    A batch merges the parts its keys fall into with their current rows and overwrites those parts. A replayed batch, or a
+    lost checkpoint, gives the same rows. A lost executor is harmless, since parts are swapped when all tasks have ended;
+    a driver that dies during that swap can leave a part out, which then takes a replay of the source to fill.
     """
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = batch.withColumn("part", key_part(keys))
-        last = _last_version(spark, path)
-        if last:
-            held = latest_version(spark, path).where(F.col("part").isin(_parts_of(rows)))
+        if path_exists(spark, path):
+            held = spark.read.schema(rows.schema).parquet(path).where(F.col("part").isin(_parts_of(rows)))
             rows = rows.unionByName(held)
-        merged = keep_latest(rows, [*keys, "part"], [receipt], earliest=not newest)
-        merged.write.mode("overwrite").partitionBy("part").parquet(f"{path}/version={last + 1}")
+        # The rows held are read to their end before their files are replaced.
+        merged = cut_lineage(keep_latest(rows, [*keys, "part"], [receipt], earliest=not newest))
+        replace_parts(merged, path, "part")
+        release(merged)
 
     run_available(stream, each, checkpoint)
 
 
 def latest_version(spark: SparkSession, path: str) -> DataFrame:
-    """Current rows of an upserted table, with their ``part``: of each part those of its newest finished version."""
-    versions = spark.read.parquet(path).where(F.col("version") <= _last_version(spark, path))
-    newest = versions.groupBy("part").agg(F.max("version").alias("version"))
-    return versions.join(newest, ["part", "version"], "left_semi").drop("version")
+    """Current rows of an upserted table, with their ``part``."""
+    return spark.read.parquet(path)
 
 
 def asof_view(bronze: DataFrame, decision: Column, issue: str, receipt: str) -> DataFrame:
