@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import features, joins, quantiles
@@ -62,3 +65,53 @@ def test_medians_of_a_growing_pool_are_exact(spark):
     import statistics
     name = [c for c in got[1].asDict() if "median" in c][0]
     assert {d: r[name] for d, r in got.items()} == {i + 1: statistics.median(values[:i + 1]) for i in range(7)}
+
+
+def test_decision_payload_carries_quantiles_covariates_and_lineage(spark):
+    at, target = ts("2026-07-01T12:30Z"), ts("2026-07-01T14:00Z")
+    # A column of the contracts may be called like a covariate; the last ask is too early for any forecast.
+    asks = spark.createDataFrame([("m", "a", at, target, "x"), ("early", "a", ts("2026-07-01T11:30Z"), target, "y")], ASKS + ", cape string")
+    observations = spark.createDataFrame(
+        [("a", ts("2026-07-01T11:00Z"), ts("2026-07-01T11:01Z"), 70.0, "5", "s1"), ("a", ts("2026-07-01T11:00Z"), ts("2026-07-01T11:09Z"), 70.0, "5", "s1"),
+         ("a", ts("2026-07-01T12:00Z"), ts("2026-07-01T12:01Z"), None, "7.5", "s2"), ("a", ts("2026-07-01T12:10Z"), ts("2026-07-01T12:11Z"), 74.0, "NaN", "s3"),
+         ("a", ts("2026-07-01T12:20Z"), ts("2026-07-01T12:50Z"), 99.0, "9", "late")],
+        "station string, valid_utc timestamp, receipt_utc timestamp, temperature_f double, cape string, raw_sha256 string")
+    values = [3.0, 1.0, None, 8.0, float("nan"), 2.0, 1e12]
+    run = ts("2026-07-01T06:00Z")
+    forecasts = spark.createDataFrame(
+        [(target, ts(f"2026-07-01T12:0{i}Z"), v, "gfs", run if i != 1 else None) for i, v in enumerate(values)] + [(target, ts("2026-07-01T12:31Z"), 5.0, "gfs", ts("2026-07-01T12:00Z"))],
+        "target_time_utc timestamp, source_receipt_time timestamp, value double, model string, initialization_time_utc timestamp")
+    good, bad = features.decision_features(asks, observations, forecasts)
+    rows_of = {r["market_ticker"]: r for r in good.collect()}
+    row, early = rows_of["m"], json.loads(rows_of["early"]["features_json"])
+    got = json.loads(row["features_json"])
+    import numpy
+    held = [v for v in values if v is not None and v == v]
+    for name, q in (("q10", 0.1), ("q50", 0.5), ("q90", 0.9)):
+        assert got[f"forecast_{name}"] == pytest.approx(numpy.quantile(held, q))
+    assert got["forecast_iqr"] == pytest.approx(numpy.quantile(held, 0.75) - numpy.quantile(held, 0.25))
+    assert (got["forecast_count"], got["forecast_member_count"], got["observation_count"]) == (7, 5, 4)
+    # The newest row has no finite cape, the row before it is not asked.
+    assert "cape" not in got and got["temperature_f"] == got["temperature_latest"] == 74.0 and row["cape"] == "x"
+    assert (row["observation_ids"], row["source_run_ids"]) == (3, 1) and row["observation_digest"] > 0 and bad.count() == 0
+    assert early["cape"] == 5.0 and early["forecast_count"] == 0 and "forecast_q50" not in early and "forecast_member_count" not in early
+
+
+def test_quantiles_of_a_growing_pool(spark):
+    import random
+
+    import numpy
+    rng = random.Random(3)
+    start = ts("2026-07-01T00:00Z")
+    data = [("hot", start + dt.timedelta(minutes=rng.randrange(5000)), rng.choice([0.0, -0.0, 1.5, rng.random(), -1e9 * rng.random(), 1e300])) for _ in range(300)]
+    items = spark.createDataFrame(data + [("hot", None, 1.0), ("hot", start, None), ("hot", start, float("nan"))], "k string, u timestamp, v double")
+    asks = [start + dt.timedelta(minutes=m) for m in (-5, 0, 40, 2500, 9000)]
+    states = spark.createDataFrame([(k, a) for a in asks for k in ("hot", "none")], "k string, t timestamp")
+    found = {r.t: r for r in quantiles.asof_quantiles(states, items, ["k"], "t", "u", "v", {"a": 0.0, "b": 0.37, "c": 1.0}).collect()}
+    for a in asks:
+        known = [v for _, u, v in data if u <= a]
+        assert (a in {t.replace(tzinfo=a.tzinfo) for t in found}) == bool(known)
+    for t, r in found.items():
+        known = [v for _, u, v in data if u <= t.replace(tzinfo=start.tzinfo)]
+        assert r.group_rows == len(known)
+        assert [r.a, r.b, r.c] == pytest.approx([numpy.quantile(known, q) for q in (0.0, 0.37, 1.0)])

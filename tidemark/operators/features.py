@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import clocks, numeric
 from ..session import cut_lineage
 from .filters import REASON, all_reasons, first_reason, split
+from .quantiles import asof_quantiles
 from .timeline import Running, asof_join, asof_scan, known_prefix
 
 # Latency scenarios a policy may define.
@@ -120,6 +121,16 @@ def reconstruct_vintages(features: DataFrame, decisions: DataFrame, policies: Da
 SLOPE_MINUTES = (5, 15, 30, 60, 120)
 #: Stands for a missing station: no station is called this.
 ALL_STATIONS = "*"
+# Columns of the newest known observation that are passed on where they hold a finite number.
+COVARIATES = (
+    "pressure_msl", "pressure_hpa", "dewpoint_f", "dew_point_f", "wind_speed_10m", "wind_direction_10m", "wind_gusts_10m",
+    "cloud_cover", "cloud_cover_low", "cloud_cover_mid", "cloud_cover_high", "shortwave_radiation", "direct_radiation",
+    "diffuse_radiation", "cape", "cin", "temperature_925hpa", "temperature_850hpa", "temperature_700hpa", "wind_850hpa",
+    "geopotential_height_500hpa", "temperature_c", "temperature_f", "dewpoint_c", "wind_speed_kt",
+)
+# The quantiles of the forecasts known at a decision.
+FORECAST_QUANTILES = {"forecast_q10": 0.10, "__q25": 0.25, "forecast_q50": 0.50, "__q75": 0.75, "forecast_q90": 0.90}
+FORECAST_SPREAD = ("forecast_iqr", "forecast_q10", "forecast_q50", "forecast_q90", "forecast_member_count")
 TARGET_SUMMARY = ("forecast_mean", "forecast_std", "forecast_min", "forecast_max")
 
 
@@ -134,33 +145,81 @@ def _newest_before(asks: DataFrame, observations: DataFrame, station: str, limit
     return known_prefix(asks, observations, [station], limit, F.col("decision_ts"), F.col("valid_utc"), F.col("receipt_utc"), {name: Running("max", point)})
 
 
+def finite(value: Column) -> Column:
+    """A number as double; NULL where it is missing, no number or not finite."""
+    number = value.try_cast("double")
+    return F.when(~F.isnan(number) & (F.abs(number) < F.lit(float("inf"))), number)
+
+
 def observation_features(contracts: DataFrame, observations: DataFrame, station: str = "station") -> DataFrame:
     """Observation features of each contract from its station's rows known at the decision.
 
     A row counts when its time is at most the target and its receipt at most the decision. These are two orders, so the
     rows are looked up with ``known_prefix``; the decision may be before or after the target, and receipts may come
     in any order. ``contracts`` needs market_ticker, station, decision_ts, target_time_utc; ``observations`` needs
-    station, valid_utc, receipt_utc, temperature_f.
+    station, valid_utc, receipt_utc, temperature_f. Rows without a temperature count as rows but give no temperature.
+    ``covariates`` is a struct of those ``COVARIATES`` the observations have, of the newest row (then latest receipt).
     """
-    value = F.col("temperature_f")
+    value = finite(F.col("temperature_f"))
     point = F.struct(F.col("valid_utc").alias("t"), F.col("receipt_utc").alias("r"), value.alias("v"))
+    # A contract's own columns may be named like a covariate, so these travel in one struct.
+    there = [finite(F.col(c)).alias(c) for c in COVARIATES if c in observations.columns]
+    row = F.struct(F.col("valid_utc").alias("t"), F.col("receipt_utc").alias("r"), F.struct(*there).alias("covariates"))
     state = known_prefix(
-        contracts, observations.where(value.isNotNull()), [station], _just_after(F.col("target_time_utc")), F.col("decision_ts"),
+        contracts, observations, [station], _just_after(F.col("target_time_utc")), F.col("decision_ts"),
         F.col("valid_utc"), F.col("receipt_utc"), {
             "observation_count": Running("sum", F.lit(1)),
+            "__values": Running("sum", F.when(value.isNotNull(), 1)),
             "running_max_temperature": Running("max", value),
             "running_min_temperature": Running("min", value),
             "temperature_sum": Running("sum", value),
-            "latest": Running("max", point),
+            "latest": Running("max", F.when(value.isNotNull(), point)),
+            "__row": Running("max", row),
         })
     return state.withColumns({
-        "temperature_latest": F.col("latest.v"), "latest_valid_utc": F.col("latest.t"),
+        "temperature_latest": F.col("latest.v"), "latest_valid_utc": F.col("latest.t"), "covariates": F.col("__row.covariates"),
         "temperature_range": F.col("running_max_temperature") - F.col("running_min_temperature"),
-        "spatial_temperature_gradient_mean": F.when(
-            F.col("observation_count") >= 2, F.col("temperature_sum") / F.col("observation_count")),
+        "spatial_temperature_gradient_mean": F.when(F.col("__values") >= 2, F.col("temperature_sum") / F.col("__values")),
         "spatial_temperature_gradient_range": F.when(
-            F.col("observation_count") >= 2, F.col("running_max_temperature") - F.col("running_min_temperature")),
-    }).drop("latest", "temperature_sum")
+            F.col("__values") >= 2, F.col("running_max_temperature") - F.col("running_min_temperature")),
+    }).drop("latest", "temperature_sum", "__values", "__row")
+
+
+def _id_number(parts: Sequence[Column]) -> Column:
+    """The first 32 bits of the MD5 of an identity; missing parts are empty."""
+    text = F.concat_ws(":", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
+def observation_lineage(contracts: DataFrame, observations: DataFrame, station: str = "station") -> DataFrame:
+    """Adds ``observation_ids`` (distinct identities used) and ``observation_digest`` (sum of their numbers).
+
+    The identity of a row is its source station (``source_station``, else the station), time and ``raw_sha256``. A decision uses its station's
+    whole history, so lists of identities would grow with the square of the input; the count and the sum tell two sets of
+    inputs apart at the cost of one more lookup. An identity counts from its first receipt.
+    """
+    source = F.col("source_station") if "source_station" in observations.columns else F.col(station)
+    first = observations.groupBy(station, source.alias("__source"), "valid_utc", "raw_sha256").agg(F.min("receipt_utc").alias("receipt_utc"))
+    out = known_prefix(
+        contracts, first, [station], _just_after(F.col("target_time_utc")), F.col("decision_ts"), F.col("valid_utc"), F.col("receipt_utc"), {
+            "observation_ids": Running("sum", F.lit(1)),
+            "observation_digest": Running("sum", _id_number([F.col("__source"), F.unix_micros("valid_utc"), F.col("raw_sha256")]))})
+    return out.withColumns({n: F.coalesce(F.col(n), F.lit(0)).cast("long") for n in ("observation_ids", "observation_digest")})
+
+
+def run_lineage(contracts: DataFrame, forecasts: DataFrame) -> DataFrame:
+    """Adds ``source_run_ids`` and ``source_run_digest`` of the runs behind the forecasts of a contract's target.
+
+    A run is named by model, city, initialization_time_utc and sha256, as far as the forecasts have them; one without an
+    initialisation has no name. It counts from its first receipt. See ``observation_lineage`` for why there is no list.
+    """
+    names = [c for c in ("model", "city", "initialization_time_utc", "sha256") if c in forecasts.columns]
+    parts = [F.unix_micros(F.col(c).cast("timestamp")) if c == "initialization_time_utc" else F.col(c) for c in names]
+    first = forecasts.where(F.col("initialization_time_utc").isNotNull()).groupBy("target_time_utc", *names).agg(
+        F.min("source_receipt_time").alias("source_receipt_time"))
+    out = asof_scan(contracts, first, ["target_time_utc"], F.col("decision_ts"), F.col("source_receipt_time"), {
+        "source_run_ids": Running("sum", F.lit(1)), "source_run_digest": Running("sum", _id_number(parts))})
+    return out.withColumns({n: F.coalesce(F.col(n), F.lit(0)).cast("long") for n in ("source_run_ids", "source_run_digest")})
 
 
 def slope_features(states: DataFrame, observations: DataFrame, station: str = "station",
@@ -195,22 +254,33 @@ def acceleration_feature(states: DataFrame, observations: DataFrame, station: st
 
 
 def forecast_summary(contracts: DataFrame, forecasts: DataFrame) -> DataFrame:
-    """Spread of the forecasts that are about a contract's target and arrived by its decision."""
-    value = F.col("value")
-    out = asof_scan(
-        contracts, forecasts.where(value.isNotNull()), ["target_time_utc"], F.col("decision_ts"),
-        F.col("source_receipt_time"), {
-            "__n": Running("sum", F.lit(1)), "__sum": Running("sum", value),
-            "__square": Running("sum", value * value),
+    """Spread and quantiles of the forecasts that are about a contract's target and arrived by its decision.
+
+    ``forecast_count`` counts rows, ``forecast_member_count`` those with a finite value. Between two receipts the pool of a target does not
+    change, so its quantiles are found once per receipt.
+    """
+    value = finite(F.col("value"))
+    target, receipt = ["target_time_utc"], "source_receipt_time"
+    out = cut_lineage(asof_scan(
+        contracts, forecasts, target, F.col("decision_ts"), F.col(receipt), {
+            "__rows": Running("sum", F.lit(1)), "__n": Running("sum", F.when(value.isNotNull(), 1)), "__sum": Running("sum", value),
+            "__square": Running("sum", value * value), "__release": Running("max", F.when(value.isNotNull(), F.col(receipt))),
             "forecast_min": Running("min", value), "forecast_max": Running("max", value),
-        })
+        }))
+    states = out.where(F.col("__release").isNotNull()).select(*target, "__release").distinct()
+    items = forecasts.select(*target, receipt, value.alias("__value"))
+    found = asof_quantiles(states, items, target, "__release", receipt, "__value", FORECAST_QUANTILES)
+    out = out.join(found.drop("group_rows"), [*target, "__release"], "left")
     mean = F.col("__sum") / F.col("__n")
     spread = F.sqrt(F.greatest(F.col("__square") / F.col("__n") - mean * mean, F.lit(0.0)))
-    return out.withColumns({
+    out = out.withColumns({
         "forecast_mean": mean,
         "forecast_std": F.when(F.col("forecast_min") == F.col("forecast_max"), 0.0).when(F.col("__n") > 0, spread),
-        "forecast_count": F.coalesce(F.col("__n"), F.lit(0)).cast("long"),
-    }).drop("__n", "__sum", "__square")
+        "forecast_count": F.coalesce(F.col("__rows"), F.lit(0)).cast("long"),
+        "forecast_member_count": F.col("__n").cast("long"),
+        "forecast_iqr": F.col("__q75") - F.col("__q25"),
+    })
+    return out.select(*contracts.columns, "forecast_min", "forecast_max", "forecast_mean", "forecast_std", "forecast_count", *FORECAST_SPREAD)
 
 
 def decision_features(contracts: DataFrame, observations: DataFrame, forecasts: DataFrame,
@@ -218,7 +288,8 @@ def decision_features(contracts: DataFrame, observations: DataFrame, forecasts:
     """Accepted decision rows with a JSON payload, and rejected ones with one of six reasons.
 
     A contract without a station takes the rows of all stations; one with a station never takes another's. Contracts
-    with ``latitude`` and ``longitude`` also get the sun's geometry at the target.
+    with ``latitude`` and ``longitude`` also get the sun's geometry at the target. Observations with ``raw_sha256`` and forecasts
+    with ``initialization_time_utc`` also give counts and digests of the identities behind a row.
     """
     clocks.require_columns(
         contracts, ["market_ticker", "station", "decision_ts", "target_time_utc"], "contracts")
@@ -226,7 +297,7 @@ def decision_features(contracts: DataFrame, observations: DataFrame, forecasts:
     contracts = contracts.withColumn("__given", F.col("station")).withColumn("station", F.coalesce(named, F.lit(ALL_STATIONS)))
     asked = contracts.select("station").distinct()
     # Only stations that some contract asks for, and the pool of all of them only if one has none.
-    pool = observations.withColumn("station", F.col("station").cast("string"))
+    pool = observations.withColumn("station", F.col("station").cast("string")).withColumn("source_station", F.col("station"))
     observations = cut_lineage(pool.unionByName(pool.withColumn("station", F.lit(ALL_STATIONS))).join(asked, "station", "left_semi"))
     checked = contracts.withColumn("__bad", F.coalesce(
         F.col("market_ticker").isNull() | F.col("decision_ts").isNull() | F.col("target_time_utc").isNull(), F.lit(True)))
@@ -237,6 +308,10 @@ def decision_features(contracts: DataFrame, observations: DataFrame, forecasts:
     out = slope_features(observation_features(cut_lineage(out), observations), observations)
     out = acceleration_feature(out, observations)
     out = forecast_summary(cut_lineage(out), forecasts)
+    if "raw_sha256" in observations.columns:
+        out = observation_lineage(cut_lineage(out), observations)
+    if "initialization_time_utc" in forecasts.columns:
+        out = run_lineage(out, forecasts)
     has_obs = F.coalesce(F.col("observation_count"), F.lit(0)) > 0
     has_fc = F.col("forecast_count") > 0
     late_obs = F.coalesce(F.col("__first_valid") <= F.col("target_time_utc"), F.lit(False))
@@ -263,11 +338,13 @@ def decision_features(contracts: DataFrame, observations: DataFrame, forecasts:
     payload = sorted([
         *sun, "spatial_temperature_gradient_range", "temperature_slope_acceleration", "observation_count", "running_max_temperature", "running_min_temperature",
         "temperature_latest", "temperature_range", "spatial_temperature_gradient_mean",
-        "forecast_count", "forecast_mean", "forecast_std", "forecast_min", "forecast_max",
+        "forecast_count", "forecast_mean", "forecast_std", "forecast_min", "forecast_max", *FORECAST_SPREAD,
         "forecast_minus_observed_latest", *[f"temperature_slope_{k}m" for k in SLOPE_MINUTES],
     ])
-    out = out.withColumn("features_json", F.to_json(F.struct(*payload))).withColumn("station", F.col("__given")).drop(
-        "__bad", "__first_valid", "__station_rows", "__target_rows", "__given")
+    covariates = [F.col("covariates").getField(c).alias(c) for c in COVARIATES if c in observations.columns]
+    fields = sorted([(c, F.col(c)) for c in payload] + list(zip([c for c in COVARIATES if c in observations.columns], covariates)), key=lambda f: f[0])
+    out = out.withColumn("features_json", F.to_json(F.struct(*[c for _, c in fields]))).withColumn("station", F.col("__given")).drop(
+        "__bad", "__first_valid", "__station_rows", "__target_rows", "__given", "covariates")
     return split(out)
 
 

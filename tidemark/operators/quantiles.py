@@ -110,46 +110,77 @@ def floor_index_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     return order_statistics(df, keys, value, ranks)
 
 
-def asof_medians(states: DataFrame, items: DataFrame, on: Sequence[str], state_time: str,
-                 item_time: str, value: str, *, digit: int = 64, segment: str = "day") -> DataFrame:
-    """Median of all items of the key released at or before each state's instant.
-
-    ``states`` is distinct on (``on``, ``state_time``). The distinct values of a key are numbered in order; the wanted
-    ranks are then found digit by digit over these numbers: each level asks, for every child of the range found so far,
-    how many items had been released by then, and steps into the child that holds the rank. Values may be of any size
-    and as close as doubles can be.
+def asof_order_statistics(states: DataFrame, items: DataFrame, on: Sequence[str], state_time: str, item_time: str,
+                          value: str, ranks: dict[str, Column], *, digit: int = 16, segment: str = "day") -> DataFrame:
+    """Values at 1-based ranks among all items of the key released at or before each state's instant.
+
+    ``states`` is distinct on (``on``, ``state_time``); each rank is a Column over ``group_rows``, the size of the pool by then.
+    The distinct values of a key are numbered in order; the wanted ranks are then found digit by digit over these
+    numbers. One as-of lookup a level returns how many items of each child of the node found so far had been released, as ``digit``
+    running counts, so a wanted rank is one ask a level. Values may be of any size and as close as doubles can be.
+    NULL and NaN values and items without a release take no part; a state without items has no row; a rank outside the pool is NULL.
     """
-    facts = items.where(F.col(value).isNotNull() & F.col(item_time).isNotNull()).select(*on, item_time, value)
+    number = F.col(value).cast("double") + F.lit(0.0)
+    facts = items.where(number.isNotNull() & ~F.isnan(number) & F.col(item_time).isNotNull()).groupBy(
+        *on, item_time, number.alias("__v")).agg(F.count(F.lit(1)).alias("__w"))
     numbered = cut_lineage(row_numbers(
-        facts.select(*on, value).distinct(), on, [value], F.floor(F.signum(value) * F.log2(1 + F.abs(value)) * 64), "__number"))
-    facts = facts.join(numbered, [*on, value]).select(*on, item_time, value, (F.col("__number") - 1).alias("__grid"))
+        facts.select(*on, "__v").distinct(), on, ["__v"], F.floor(F.signum("__v") * F.log2(1 + F.abs("__v")) * 64), "__number"))
+    facts = cut_lineage(facts.join(numbered, [*on, "__v"]).select(*on, item_time, "__w", (F.col("__number") - 1).alias("__grid")))
     largest = numbered.agg(F.max("__number")).first()[0] or 1
     levels = 1
     while digit ** levels < largest:
         levels += 1
     totals = asof_scan(
         states.select(*on, state_time), facts, on, F.col(state_time), F.col(item_time),
-        {"__total": Running("sum", F.lit(1))}, segment=segment).where(F.col("__total") > 0)
-    ranks = F.explode(F.array_distinct(F.array(
-        F.floor((F.col("__total") + 1) / 2), F.floor(F.col("__total") / 2) + 1))).alias("__rank")
-    want = totals.select(*on, state_time, "__total", ranks).withColumn("__node", F.lit(0).cast("long"))
-    unit = [*on, state_time, "__total", "__rank", "__node"]
+        {"group_rows": Running("sum", F.col("__w"))}, segment=segment).where(F.col("group_rows") > 0)
+    asked = F.explode(F.array_distinct(F.array(*[r.cast("long") for r in ranks.values()]))).alias("__place")
+    want = totals.select(*on, state_time, "group_rows", asked).where(F.col("__place").between(1, F.col("group_rows"))).withColumns(
+        {"__rank": F.col("__place"), "__node": F.lit(0).cast("long")})
+    unit = [*on, state_time, "group_rows", "__place"]
     for level in range(levels):
         below = digit ** (levels - level - 1)
-        tree = facts.withColumn("__node", F.floor(F.col("__grid") / (below * digit))).withColumn(
-            "__child", (F.floor(F.col("__grid") / below) % digit).cast("int"))
-        asks = cut_lineage(want).withColumn("__child", F.explode(F.sequence(F.lit(0), F.lit(digit - 1))))
-        seen = asof_scan(asks, tree, [*on, "__node", "__child"], F.col(state_time), F.col(item_time),
-                         {"__n": Running("sum", F.lit(1)), "__own": Running("max", F.col(value))}, segment=segment)
-        # At most ``digit`` rows per wanted rank.
-        folded = seen.where(F.col("__n") > 0).groupBy(*unit).agg(
-            F.array_sort(F.collect_list(F.struct("__child", "__n", "__own"))).alias("__list"))
-        start = F.struct(F.lit(0).cast("long").alias("before"), F.lit(-1).alias("child"), F.lit(None).cast("double").alias("own"))
-        hit = F.aggregate("__list", start, lambda a, x: F.when(
-            (a["child"] < 0) & (a["before"] + x["__n"] >= F.col("__rank")),
-            F.struct(a["before"].alias("before"), x["__child"].alias("child"), x["__own"].alias("own"))
-        ).when(a["child"] < 0, F.struct((a["before"] + x["__n"]).alias("before"), a["child"].alias("child"), a["own"].alias("own"))).otherwise(a))
-        want = folded.withColumn("__hit", hit).select(
-            *on, state_time, "__total", (F.col("__rank") - F.col("__hit.before")).alias("__rank"),
-            (F.col("__node") * digit + F.col("__hit.child")).alias("__node"), F.col("__hit.own").alias("__exact"))
-    return want.groupBy(*on, state_time).agg(F.max("__total").alias("item_count"), F.avg("__exact").alias("median"))
+        child = F.floor(F.col("__grid") / below) % digit
+        tree = facts.withColumn("__node", F.floor(F.col("__grid") / (below * digit)))
+        seen = asof_scan(cut_lineage(want), tree, [*on, "__node"], F.col(state_time), F.col(item_time), {
+            f"__c{i}": Running("sum", F.when(child == i, F.col("__w"))) for i in range(digit)}, segment=segment)
+        counts = F.array(*[F.coalesce(F.col(f"__c{i}"), F.lit(0).cast("long")) for i in range(digit)])
+
+        def step(a: Column, n: Column) -> Column:
+            over = a["before"] + n >= F.col("__rank")
+            return F.when(a["found"], a).otherwise(F.struct(
+                F.when(over, a["before"]).otherwise(a["before"] + n).alias("before"),
+                F.when(over, a["child"]).otherwise(a["child"] + 1).alias("child"), over.alias("found")))
+
+        start = F.struct(F.lit(0).cast("long").alias("before"), F.lit(0).alias("child"), F.lit(False).alias("found"))
+        want = seen.withColumn("__hit", F.aggregate(counts, start, step)).select(
+            *unit, (F.col("__rank") - F.col("__hit.before")).alias("__rank"), (F.col("__node") * digit + F.col("__hit.child")).alias("__node"))
+    exact = want.join(numbered.withColumn("__node", F.col("__number") - 1), [*on, "__node"])
+    picks = [F.max(F.when(F.col("__place") == r.cast("long"), F.col("__v"))).alias(name) for name, r in ranks.items()]
+    return exact.groupBy(*on, state_time).agg(F.max("group_rows").alias("group_rows"), *picks)
+
+
+def asof_quantiles(states: DataFrame, items: DataFrame, on: Sequence[str], state_time: str, item_time: str,
+                   value: str, quantiles: dict[str, float], *, segment: str = "day") -> DataFrame:
+    """Linear interpolation at position (n-1)·q over the items released at or before each state's instant."""
+    ranks = {}
+    for name, q in quantiles.items():
+        position = (F.col("group_rows") - 1) * F.lit(float(q))
+        ranks[f"__lo_{name}"] = F.floor(position) + 1
+        ranks[f"__hi_{name}"] = F.ceil(position) + 1
+    found = asof_order_statistics(states, items, on, state_time, item_time, value, ranks, segment=segment)
+    out = []
+    for name, q in quantiles.items():
+        position = (F.col("group_rows") - 1) * F.lit(float(q))
+        low, high = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
+        # Equal ends are taken as they are, so that infinities give no NaN.
+        out.append(F.when(low == high, low).otherwise(low + (high - low) * (position - F.floor(position))).alias(name))
+    return found.select(*on, state_time, "group_rows", *out)
+
+
+def asof_medians(states: DataFrame, items: DataFrame, on: Sequence[str], state_time: str,
+                 item_time: str, value: str, *, segment: str = "day") -> DataFrame:
+    """Median of all items of the key released at or before each state's instant, see ``asof_order_statistics``."""
+    size = F.col("group_rows")
+    found = asof_order_statistics(states, items, on, state_time, item_time, value, {
+        "__lo": F.floor((size + 1) / 2), "__hi": F.floor(size / 2) + 1}, segment=segment)
+    return found.select(*on, state_time, size.alias("item_count"), ((F.col("__lo") + F.col("__hi")) / 2).alias("median"))

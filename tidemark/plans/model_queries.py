@@ -491,6 +491,43 @@ def decision_features(spark: SparkSession, sf: str) -> DataFrame:
         q6(F.coalesce("forecast_mean", none), 4).alias("forecast_mean"), q6(F.coalesce("forecast_std", none), 4).alias("forecast_std"))
 
 
+HEX = "('0x' || substr(md5({0}), 1, 8))::bigint"
+TRACED_OBS = ("traced_obs", f"""select station, valid_utc, receipt_utc + to_minutes(case when event_id%13=0 then 4320 else 0 end) as receipt_utc, sknt, case when event_id%5>0 then drct end as drct, tmpf,
+ {HEX.format("station || ':' || epoch_us(valid_utc) || ':' || (event_id%1000)")} as id from obs""")
+TRACED_FC = ("traced_fc", f"""select date_trunc('hour', valid_utc) + interval 2 hour as target, valid_utc as receipt, case when event_id%6>0 then dwpf end as value,
+ case when event_id%7>0 then {HEX.format("sky || ':' || 'c' || (station%3) || ':' || epoch_us(date_trunc('day', valid_utc)) || ':' || (case when event_id%4>0 then 'h' else '' end)")} end as id from obs""")
+
+
+@query("m03_decision_payload", with_views(("obs",), f"""
+ , o as (select market_ticker, count(*) as n, max(row(valid_utc, receipt_utc, drct, tmpf, sknt)) as latest, count(distinct id) as ids, sum(distinct id) as digest
+  from ct join traced_obs o on (o.station=ct.station or ct.station is null) and o.receipt_utc<=dts and o.valid_utc<=ct.target group by 1),
+ f as (select market_ticker, count(*) as n, count(value) as members, quantile_cont(value, 0.1) as q10, quantile_cont(value, 0.5) as q50, quantile_cont(value, 0.9) as q90, quantile_cont(value, 0.75)-quantile_cont(value, 0.25) as iqr,
+  count(distinct id) as ids, coalesce(sum(distinct id), 0) as digest from ct join traced_fc f on f.target=ct.target and receipt<=dts group by 1)
+ select market_ticker, coalesce(f.n,0) as forecast_count, coalesce(members,0) as members, {q6_sql('coalesce(q10,-999)', 5)} as q10, {q6_sql('coalesce(q50,-999)', 5)} as q50, {q6_sql('coalesce(q90,-999)', 5)} as q90, {q6_sql('coalesce(iqr,-999)', 5)} as iqr,
+ coalesce(latest[3],-1) as wind_direction, coalesce(latest[5],-1) as wind_speed, coalesce(o.ids,0) as observation_ids, coalesce(o.digest,0)::bigint as observation_digest, coalesce(f.ids,0) as source_run_ids, coalesce(f.digest,0)::bigint as source_run_digest
+ from ct left join o using (market_ticker) left join f using (market_ticker) where o.n>0 or f.n>0""", CONTRACTS, TRACED_OBS, TRACED_FC))
+def decision_payload(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("event_id")
+    seen = shapes.obs(spark, sf).select(
+        "station", "valid_utc", minutes(F.col("receipt_utc"), F.when(k % 13 == 0, 4320).otherwise(0)).alias("receipt_utc"), F.col("tmpf").alias("temperature_f"),
+        F.col("sknt").alias("wind_speed_kt"), F.when(k % 5 > 0, F.col("drct")).alias("wind_direction_10m"), (k % 1000).cast("string").alias("raw_sha256"))
+    ahead = shapes.obs(spark, sf).select(
+        clocks.shift_hours(F.date_trunc("hour", "valid_utc"), F.lit(2)).alias("target_time_utc"), F.col("valid_utc").alias("source_receipt_time"), F.when(k % 6 > 0, F.col("dwpf")).alias("value"),
+        F.col("sky").alias("model"), F.concat(F.lit("c"), (F.col("station") % 3).cast("string")).alias("city"),
+        F.when(k % 7 > 0, F.date_trunc("day", "valid_utc")).alias("initialization_time_utc"), F.when(k % 4 > 0, "h").alias("sha256"))
+    good, _ = features.decision_features(feature_contracts(spark, sf), seen, ahead)
+    none = F.lit(-999.0)
+
+    def read(name: str, otherwise: Column) -> Column:
+        return F.coalesce(F.get_json_object("features_json", f"$.{name}").cast("double"), otherwise)
+
+    return good.select(
+        "market_ticker", "forecast_count", read("forecast_member_count", F.lit(0.0)).cast("long").alias("members"),
+        *[q6(read(f"forecast_{n}", none), 5).alias(n) for n in ("q10", "q50", "q90", "iqr")],
+        read("wind_direction_10m", F.lit(-1.0)).alias("wind_direction"), read("wind_speed_kt", F.lit(-1.0)).alias("wind_speed"),
+        "observation_ids", "observation_digest", "source_run_ids", "source_run_digest")
+
+
 @query("j19_decision_join_reasons", with_views(("obs",), """
  , s as (select station, min(valid_utc) as first from obs group by 1 union all select null, min(valid_utc) from obs),
  tf as (select distinct date_trunc('hour', valid_utc) + interval 2 hour as t from obs)
