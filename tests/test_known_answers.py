@@ -4,6 +4,7 @@ import datetime as dt
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import ts
@@ -137,6 +138,50 @@ def test_top_of_book_and_depth(spark):
     assert fill.filled == 3.0 and abs(fill.gross_cost - (0.45 + 2 * 0.5)) < 1e-12
 
 
+def test_book_features_after_every_frame(spark):
+    rng = random.Random(11)
+    items, seq = [("E", 1, "snap", [(0, 2.0), (99, 1.0)], [(49, 1.0), (50, 2.0)]), ("E", 2, "delta", "no", 50, -5.0), ("E", 3, "delta", "yes", 99, -1.0),
+                  ("E", 4, "snap", [(30, 1.0), (30, 2.0)], []), ("E", 6, "delta", "yes", 31, 4.0), ("E", 6, "delta", "yes", 98, 9.0), ("E", 7, "snap", [], [])], 7
+    for _ in range(150):
+        seq += rng.choice([1] * 9 + [2])
+        side = rng.choice(["yes", "no"])
+        items.append((rng.choice("XY"), seq, "delta", side, rng.choice([0, 1, 48, 49, 50, 51, 98, 99]), float(rng.randrange(-4, 5))) if rng.random() < 0.9
+                     else (rng.choice("XY"), seq, "snap", [(rng.randrange(100), 2.0)], [(p, 1.0) for p in rng.sample(range(100), 3)]))
+    sequenced = book.sequence_books(frames(spark, *items))
+    closes = spark.createDataFrame([("E", ts("2026-07-01T01:00Z")), ("X", None)], "market_ticker string, close_ts timestamp")
+    for through in (True, False):
+        got = {r.event_id: r for r in book.book_features(sequenced, closes, through).collect()}
+        held, gaps, last, tainted = {}, 0, None, set()
+        for i, (ticker, number, kind, *rest) in enumerate(items):
+            if last is not None and number <= last:
+                assert i not in got
+                continue
+            ladders = held.setdefault(ticker, {"yes": {}, "no": {}})
+            if last is not None and number > last + 1:
+                gaps += 1
+                tainted |= set(held)
+            last = number
+            if kind == "snap":
+                tainted.discard(ticker)
+                for side, listed in zip(("yes", "no"), rest):
+                    ladders[side] = {p: sum(q for x, q in listed if x == p) for p, _ in listed}
+            elif through or ticker not in tainted:
+                side, price, change = rest
+                ladders[side][price] = ladders[side].get(price, 0.0) + change
+                if ladders[side][price] <= 0:
+                    del ladders[side][price]
+            r, yes, no = got[i], ladders["yes"], ladders["no"]
+            bid, ask = (max(yes) if yes else None), (100 - max(no) if no else None)
+            up, down = yes.get(bid, 0.0), (no[100 - ask] if no else 0.0)
+            assert (r.best_yes_bid_cents, r.best_yes_ask_cents, r.top_depth, r.sequence_gaps) == (bid, ask, up + down, gaps), (i, through)
+            assert r.quarantined == (ticker in tainted) and r.spread_cents == (ask - bid if yes and no else None)
+            assert r.imbalance == ((up - down) / (up + down) if up + down else None)
+            assert r.minutes_to_close == (60.0 - i if ticker == "E" else None)
+    bad = frames(spark, ("A", 1, "snap", [(100, 1.0)], []))
+    with pytest.raises(Exception, match="not a whole cent"):
+        book.book_features(book.sequence_books(bad)).collect()
+
+
 def test_next_bar_separation(spark):
     c = spark.createDataFrame([("M", ts("2026-01-01T00:00Z"), .48, None, None, .50), ("M", ts("2026-01-01T00:02Z"), None, .55, .70, .60)], "market_ticker string, end_period_ts timestamp, yes_bid_close double, yes_ask_open double, yes_ask_high double, yes_ask_close double")
     s = spark.createDataFrame([("M", ts("2026-01-01T00:01Z"), .8)], "market_ticker string, decision_time_utc timestamp, bucket_probability double")

@@ -49,8 +49,8 @@ def sequence_books(messages: DataFrame, oldest: DataFrame | None = None) -> Data
         "snapshot_no", F.col("snapshot_no").cast("long")).drop("first_frame", "first_epoch")
 
 
-def level_history(sequenced: DataFrame) -> DataFrame:
-    """Quantity of each level after every frame that touched it.
+def level_history(sequenced: DataFrame, through_gaps: bool = False) -> DataFrame:
+    """Quantity of each level after every frame that touched it. ``through_gaps`` applies deltas of quarantined frames too.
 
     Within one snapshot's reign a level is a running sum that is cut off at zero. With P the running
     sum, the cut sum is P less the smallest P so far where that is negative. ``snapshots`` carry
@@ -64,7 +64,7 @@ def level_history(sequenced: DataFrame) -> DataFrame:
             "connection_epoch", "market_ticker", "snapshot_no", *ARRIVAL, "side", "level.price", F.col("level.qty").alias("change")).where(F.col("change") > 0))
     known = F.lower("side").isin("yes", "no")
     good = F.assert_true(F.coalesce(known, F.lit(False)), F.lit("unknown order-book side")).isNull()
-    delta = sequenced.where((F.col("type") == "orderbook_delta") & ~F.col("quarantined")).where(good).select(
+    delta = sequenced.where((F.col("type") == "orderbook_delta") & (F.lit(through_gaps) | ~F.col("quarantined"))).where(good).select(
         "connection_epoch", "market_ticker", "snapshot_no", *ARRIVAL, F.lower("side").alias("side"), "price", F.col("delta").alias("change"))
     steps = cut_lineage(pieces[0].unionByName(pieces[1]).unionByName(delta))
     path = cut_lineage(running_scan(steps, keys, ARRIVAL, {"__p": Running("sum", F.col("change"))}, time_segment("received_ts")))
@@ -95,6 +95,64 @@ def top_of_book(levels: DataFrame, keys: Sequence[str] = ("market_ticker",)) ->
         (up + down).alias("top_depth"), ((up - down) / F.nullif(up + down, F.lit(0.0))).alias("imbalance"))
 
 
+#: Levels that fit one mask: sums of that many powers of two are exact in a long.
+MASK_BITS = 50
+
+
+def _best_level(low: Column, high: Column) -> Column:
+    """Greatest price whose bit is set in the masks of prices 0 to 49 and 50 to 99, NULL if none is."""
+    top = lambda mask: F.length(F.bin(mask)) - 1
+    return F.when(high > 0, top(high) + MASK_BITS).when(low > 0, top(low))
+
+
+def book_features(sequenced: DataFrame, closes: DataFrame | None = None, through_gaps: bool = True) -> DataFrame:
+    """Best bid and ask, spread, depth, imbalance and gaps so far after every accepted frame; minutes to ``closes`` (market_ticker, close_ts).
+
+    Each side of a book is a mask with a bit for every live price. A level that comes to life adds its bit and one that
+    dies takes it away, so the mask after any frame is a running sum and its highest bit is the best price; no ladder is gathered. The
+    quantity there is the last one of that level, one more scan. Prices are whole cents from 0 to 99, others fail the job. An
+    empty side has a NULL price and no depth. With ``through_gaps`` deltas met in quarantine count, without it the book
+    stays as it was before the gap; ``quarantined`` flags these frames either way.
+    """
+    book = ["connection_epoch", "market_ticker", "snapshot_no"]
+    level = [*book, "side", "price"]
+    hour = time_segment("received_ts")
+    inside = F.coalesce(F.col("price").between(0, 2 * MASK_BITS - 1) & (F.col("price") == F.floor("price")), F.lit(False))
+    checked = level_history(sequenced, through_gaps).where(F.assert_true(inside, F.lit("order-book price is not a whole cent from 0 to 99")).isNull())
+    # A snapshot may list a price twice; its quantities only add up, so the greatest is the last.
+    history = cut_lineage(checked.withColumn("price", F.col("price").cast("int")).groupBy(*level, *ARRIVAL).agg(F.max("qty").alias("qty")))
+    changes = running_scan(history, level, ARRIVAL, {"__before": Running("last", F.col("qty"), exclusive=True)}, hour)
+    flip = (F.col("qty") > 0).cast("long") - (F.coalesce("__before", F.lit(0.0)) > 0).cast("long")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("price") % MASK_BITS) * flip
+    masks = {f"__{side}_{part}": F.when((F.col("side") == side) & (F.floor(F.col("price") / MASK_BITS) == part), bit) for side in ("yes", "no") for part in (0, 1)}
+    frames = sequenced.select(*book, *ARRIVAL, F.struct("gap_count", "quarantined").alias("__frame"))
+    line = frames.unionByName(changes.select(*book, *ARRIVAL, *[m.alias(n) for n, m in masks.items()]), allowMissingColumns=True)
+    line = line.groupBy(*book, *ARRIVAL).agg(F.max("__frame").alias("__frame"), *[F.sum(n).alias(f"{n}_change") for n in masks])
+    states = running_scan(line, book, ARRIVAL, {n: Running("sum", F.coalesce(F.col(f"{n}_change"), F.lit(0).cast("long"))) for n in masks}, hour)
+    asked = states.select(*book, *ARRIVAL, "__frame", F.explode(F.array(*[
+        F.struct(F.lit(side).alias("side"), F.coalesce(_best_level(F.col(f"__{side}_0"), F.col(f"__{side}_1")), F.lit(-1)).alias("price")) for side in ("yes", "no")
+    ])).alias("__best")).select(*book, *ARRIVAL, "__frame", "__best.*", F.lit(1).alias("__ask"))
+    # A frame asks after its own changes.
+    both = history.withColumn("__ask", F.lit(0)).unionByName(asked, allowMissingColumns=True)
+    held = running_scan(both, level, [*ARRIVAL, "__ask"], {"__held": Running("last", F.col("qty"))}, hour).where(F.col("__ask") == 1)
+
+    def of(side: str) -> Column:
+        return F.max(F.when((F.col("side") == side) & (F.col("price") >= 0), F.struct("price", F.col("__held").alias("qty"))))
+
+    wide = held.groupBy(*book, *ARRIVAL).agg(F.max("__frame").alias("__frame"), of("yes").alias("y"), of("no").alias("n"))
+    bid, ask = F.col("y.price").cast("double"), F.lit(100.0) - F.col("n.price")
+    up, down = F.coalesce("y.qty", F.lit(0.0)), F.coalesce("n.qty", F.lit(0.0))
+    out = wide.select(
+        "connection_epoch", "market_ticker", *ARRIVAL, bid.alias("best_yes_bid_cents"), ask.alias("best_yes_ask_cents"), (ask - bid).alias("spread_cents"),
+        (up + down).alias("top_depth"), ((up - down) / F.nullif(up + down, F.lit(0.0))).alias("imbalance"),
+        F.coalesce("__frame.gap_count", F.lit(0)).cast("long").alias("sequence_gaps"), F.col("__frame.quarantined").alias("quarantined"))
+    if closes is None:
+        return out
+    close = closes.groupBy("market_ticker").agg(F.max("close_ts").alias("__close"))
+    minutes = (F.unix_micros("__close") - F.unix_micros("received_ts")) / F.lit(60e6)
+    return out.join(close, "market_ticker", "left").withColumn("minutes_to_close", minutes).drop("__close")
+
+
 def walk_depth(levels: DataFrame, quantity: float, fee_rate: float = 0.0) -> DataFrame:
     """Cost of buying YES from resting NO bids, best first. A book has at most 99 price levels a side."""
     asks = levels.where(F.col("side") == "no").groupBy("market_ticker", "price").agg(F.sum("qty").alias("qty"))

@@ -179,6 +179,26 @@ def top_of_book(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("market_ticker", F.coalesce("best_yes_bid_cents", F.lit(-1.0)).alias("bid"), F.coalesce("best_yes_ask_cents", F.lit(-1.0)).alias("ask"), "top_depth", q6(F.col("imbalance"), 5).alias("imbalance"))
 
 
+#: The same steps with deltas of quarantined frames applied, and every frame with the levels live after it.
+THROUGH_GAPS = [(n, text.replace(" and not quarantined", "")) for n, text in SEQUENCED if n != "lv"] + [
+    ("spans", "select *, coalesce(lead(pos) over (partition by market_ticker, sno, side, price order by pos), 9223372036854775807) as until from hist"),
+    ("seen", "select q.event_id, max(row(h.price, h.qty)) filter (h.side='yes') as y, max(row(h.price, h.qty)) filter (h.side='no') as n from sq q join spans h on h.market_ticker=q.market_ticker and h.sno=q.sno and h.pos<=q.pos and q.pos<h.until where h.qty>0 group by 1"),
+    ("cl", "select market_ticker, max(received_ts) + to_minutes(90) as close_ts from book where market_ticker%7>0 group by 1"),
+]
+
+
+@query("b03_book_features", with_views(("book",), f"""
+ , g as (select *, sum(case when gap then 1 else 0 end) over (order by pos) as gaps from sq), t as (select g.event_id, g.market_ticker, received_ts, gaps, quarantined, y, n, coalesce(y[2],0) as up, coalesce(n[2],0) as down from g left join seen using (event_id))
+ select event_id, t.market_ticker, coalesce(cast(y[1] as double),-1) as bid, coalesce(100e0-n[1],-1) as ask, coalesce(100e0-n[1]-y[1],-999) as spread, up+down as top_depth, {q6_sql('coalesce((up-down)/nullif(up+down,0),-9)', 5)} as imbalance, gaps::bigint as sequence_gaps, quarantined,
+ {q6_sql('coalesce((epoch_us(close_ts)-epoch_us(received_ts))/60e6,-1)', 4)} as minutes_to_close from t left join cl on cl.market_ticker=t.market_ticker""", *THROUGH_GAPS))
+def book_features(spark: SparkSession, sf: str) -> DataFrame:
+    closes = shapes.book_messages(spark, sf).where(F.col("market_ticker") % 7 > 0).groupBy("market_ticker").agg((F.max("received_ts") + F.expr("interval 90 minutes")).alias("close_ts"))
+    out = book.book_features(_sequenced(spark, sf), closes)
+    return out.select(
+        "event_id", "market_ticker", F.coalesce("best_yes_bid_cents", F.lit(-1.0)).alias("bid"), F.coalesce("best_yes_ask_cents", F.lit(-1.0)).alias("ask"), F.coalesce("spread_cents", F.lit(-999.0)).alias("spread"), "top_depth",
+        q6(F.coalesce("imbalance", F.lit(-9.0)), 5).alias("imbalance"), "sequence_gaps", "quarantined", q6(F.coalesce("minutes_to_close", F.lit(-1.0)), 4).alias("minutes_to_close"))
+
+
 @query("b04_depth_walk", with_views(("book",), f"""
  , w as (select *, coalesce(sum(qty) over (partition by market_ticker order by price desc rows between unbounded preceding and 1 preceding),0) as b from lv where side='no'), k as (select *, greatest(0, least(qty, 6-b)) as take from w)
  select market_ticker, sum(take) as filled, {q6_sql('sum(take*(100-price)/100e0)', 5)} as gross_cost, 6-sum(take) as remaining from k group by 1""", *SEQUENCED))
