@@ -182,6 +182,33 @@ def test_book_features_after_every_frame(spark):
         book.book_features(book.sequence_books(bad)).collect()
 
 
+def test_fills_at_decisions_walk_the_ladder_of_their_time(spark):
+    items = [("A", 1, "snap", [(40, 3.0)], [(55, 1.0), (50, 4.0), (50, 1.0), (3, 9.0)]), ("A", 2, "delta", "no", 55, -1.0), ("A", 3, "delta", "no", 60, 2.0),
+             ("A", 5, "delta", "no", 70, 8.0), ("A", 6, "snap", [], [(10, 1.0)]), ("A", 7, "snap", [(1, 1.0)], [])]
+    sequenced = book.sequence_books(frames(spark, *items))
+    start = ts("2026-07-01T00:00Z")
+    asks = [("before", "A", -1, 5.0), ("first", "A", 0, 7.0), ("gone", "A", 1, 7.0), ("better", "A", 2, 4.0), ("same", "A", 2, 100.0), ("tainted", "A", 3, 4.0),
+            ("healed", "A", 4, 4.0), ("empty", "A", 5, 4.0), ("none", "A", 2, None), ("negative", "A", 2, -3.0), ("other", "Z", 2, 1.0), ("unknown", None, 2, 1.0)]
+    # Columns of the decisions may be called like those of the books.
+    decisions = spark.createDataFrame(
+        [(i, t, start + dt.timedelta(minutes=m, seconds=1), q, "x") for i, t, m, q in asks], "decision_id string, market_ticker string, decision_ts timestamp, quantity double, side string")
+    got = {r.decision_id: r for r in book.fills_at(decisions, sequenced, 0.1).collect()}
+    best = [(60, 2.0), (50, 5.0), (3, 9.0)]
+    ladders = {"first": [(55, 1.0), (50, 5.0), (3, 9.0)], "gone": best[1:], "better": best, "same": best, "tainted": best, "healed": [(10, 1.0)], "none": best, "negative": best}
+    assert set(got) == {a[0] for a in asks}
+    for i, _, _, quantity in asks:
+        left, cost, fills = max(quantity or 0.0, 0.0), 0.0, 0
+        for price, held in ladders.get(i, []):
+            taken = min(left, held)
+            left, cost, fills = left - taken, cost + taken * (100 - price) / 100, fills + (taken > 0)
+        row = got[i]
+        assert (row.remaining, row.fills) == (left, fills) and abs(row.gross_cost - cost) < 1e-12 and abs(row.total_cost - 1.1 * cost) < 1e-12, i
+        assert row.filled + row.remaining == max(quantity or 0.0, 0.0)
+        assert row.quarantined == (None if i in ("before", "other", "unknown") else i == "tainted")
+    # Applied through the gap, the tainted ask meets the eight at 70.
+    assert {r.decision_id: r.fills for r in book.fills_at(decisions, sequenced, 0.1, True).collect()}["tainted"] == 1
+
+
 def test_next_bar_separation(spark):
     c = spark.createDataFrame([("M", ts("2026-01-01T00:00Z"), .48, None, None, .50), ("M", ts("2026-01-01T00:02Z"), None, .55, .70, .60)], "market_ticker string, end_period_ts timestamp, yes_bid_close double, yes_ask_open double, yes_ask_high double, yes_ask_close double")
     s = spark.createDataFrame([("M", ts("2026-01-01T00:01Z"), .8)], "market_ticker string, decision_time_utc timestamp, bucket_probability double")

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .state import latest_session, sequence_health
-from .timeline import Running, running_scan, time_segment
+from .timeline import Running, asof_join, running_scan, time_segment
 
 ARRIVAL = ["received_ts", "event_id"]
+BOOK = ["connection_epoch", "market_ticker", "snapshot_no"]
 
 
 def sequence_books(messages: DataFrame, oldest: DataFrame | None = None) -> DataFrame:
@@ -105,18 +106,21 @@ def _best_level(low: Column, high: Column) -> Column:
     return F.when(high > 0, top(high) + MASK_BITS).when(low > 0, top(low))
 
 
-def book_features(sequenced: DataFrame, closes: DataFrame | None = None, through_gaps: bool = True) -> DataFrame:
-    """Best bid and ask, spread, depth, imbalance and gaps so far after every accepted frame; minutes to ``closes`` (market_ticker, close_ts).
+def _held(history: DataFrame, asked: DataFrame) -> DataFrame:
+    """Adds ``__held`` to asks (level keys, ``ARRIVAL``): the quantity of the level after that frame."""
+    # A frame asks after its own changes.
+    both = history.withColumn("__ask", F.lit(0)).unionByName(asked.withColumn("__ask", F.lit(1)), allowMissingColumns=True)
+    return running_scan(both, [*BOOK, "side", "price"], [*ARRIVAL, "__ask"], {"__held": Running("last", F.col("qty"))}, time_segment("received_ts")).where(
+        F.col("__ask") == 1)
 
-    Each side of a book is a mask with a bit for every live price. A level that comes to life adds its bit and one that
-    dies takes it away, so the mask after any frame is a running sum and its highest bit is the best price; no ladder is gathered. The
-    quantity there is the last one of that level, one more scan. Prices are whole cents from 0 to 99, others fail the job. An
-    empty side has a NULL price and no depth. With ``through_gaps`` deltas met in quarantine count, without it the book
-    stays as it was before the gap; ``quarantined`` flags these frames either way.
+
+def book_masks(sequenced: DataFrame, through_gaps: bool) -> tuple[DataFrame, DataFrame]:
+    """Level history, and after every accepted frame the live prices of each side as two masks.
+
+    A level that comes to life adds its bit and one that dies takes it away, so the mask after any frame is a running sum; no ladder is
+    gathered. Prices are whole cents from 0 to 99, others fail the job. ``__frame`` has gap_count and quarantined.
     """
-    book = ["connection_epoch", "market_ticker", "snapshot_no"]
-    level = [*book, "side", "price"]
-    hour = time_segment("received_ts")
+    level, hour = [*BOOK, "side", "price"], time_segment("received_ts")
     inside = F.coalesce(F.col("price").between(0, 2 * MASK_BITS - 1) & (F.col("price") == F.floor("price")), F.lit(False))
     checked = level_history(sequenced, through_gaps).where(F.assert_true(inside, F.lit("order-book price is not a whole cent from 0 to 99")).isNull())
     # A snapshot may list a price twice; its quantities only add up, so the greatest is the last.
@@ -125,21 +129,30 @@ def book_features(sequenced: DataFrame, closes: DataFrame | None = None, through
     flip = (F.col("qty") > 0).cast("long") - (F.coalesce("__before", F.lit(0.0)) > 0).cast("long")
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("price") % MASK_BITS) * flip
     masks = {f"__{side}_{part}": F.when((F.col("side") == side) & (F.floor(F.col("price") / MASK_BITS) == part), bit) for side in ("yes", "no") for part in (0, 1)}
-    frames = sequenced.select(*book, *ARRIVAL, F.struct("gap_count", "quarantined").alias("__frame"))
-    line = frames.unionByName(changes.select(*book, *ARRIVAL, *[m.alias(n) for n, m in masks.items()]), allowMissingColumns=True)
-    line = line.groupBy(*book, *ARRIVAL).agg(F.max("__frame").alias("__frame"), *[F.sum(n).alias(f"{n}_change") for n in masks])
-    states = running_scan(line, book, ARRIVAL, {n: Running("sum", F.coalesce(F.col(f"{n}_change"), F.lit(0).cast("long"))) for n in masks}, hour)
-    asked = states.select(*book, *ARRIVAL, "__frame", F.explode(F.array(*[
+    frames = sequenced.select(*BOOK, *ARRIVAL, F.struct("gap_count", "quarantined").alias("__frame"))
+    line = frames.unionByName(changes.select(*BOOK, *ARRIVAL, *[m.alias(n) for n, m in masks.items()]), allowMissingColumns=True)
+    line = line.groupBy(*BOOK, *ARRIVAL).agg(F.max("__frame").alias("__frame"), *[F.sum(n).alias(f"{n}_change") for n in masks])
+    states = running_scan(line, BOOK, ARRIVAL, {n: Running("sum", F.coalesce(F.col(f"{n}_change"), F.lit(0).cast("long"))) for n in masks}, hour)
+    return history, states.select(*BOOK, *ARRIVAL, "__frame", *masks)
+
+
+def book_features(sequenced: DataFrame, closes: DataFrame | None = None, through_gaps: bool = True) -> DataFrame:
+    """Best bid and ask, spread, depth, imbalance and gaps so far after every accepted frame; minutes to ``closes`` (market_ticker, close_ts).
+
+    The best price is the highest bit of a side's mask (``book_masks``), the quantity there the last one of that level, one more
+    scan. An empty side has a NULL price and no depth. With ``through_gaps`` deltas met in quarantine count, without it the book
+    stays as it was before the gap; ``quarantined`` flags these frames either way.
+    """
+    history, states = book_masks(sequenced, through_gaps)
+    asked = states.select(*BOOK, *ARRIVAL, "__frame", F.explode(F.array(*[
         F.struct(F.lit(side).alias("side"), F.coalesce(_best_level(F.col(f"__{side}_0"), F.col(f"__{side}_1")), F.lit(-1)).alias("price")) for side in ("yes", "no")
-    ])).alias("__best")).select(*book, *ARRIVAL, "__frame", "__best.*", F.lit(1).alias("__ask"))
-    # A frame asks after its own changes.
-    both = history.withColumn("__ask", F.lit(0)).unionByName(asked, allowMissingColumns=True)
-    held = running_scan(both, level, [*ARRIVAL, "__ask"], {"__held": Running("last", F.col("qty"))}, hour).where(F.col("__ask") == 1)
+    ])).alias("__best")).select(*BOOK, *ARRIVAL, "__frame", "__best.*")
+    held = _held(history, asked)
 
     def of(side: str) -> Column:
         return F.max(F.when((F.col("side") == side) & (F.col("price") >= 0), F.struct("price", F.col("__held").alias("qty"))))
 
-    wide = held.groupBy(*book, *ARRIVAL).agg(F.max("__frame").alias("__frame"), of("yes").alias("y"), of("no").alias("n"))
+    wide = held.groupBy(*BOOK, *ARRIVAL).agg(F.max("__frame").alias("__frame"), of("yes").alias("y"), of("no").alias("n"))
     bid, ask = F.col("y.price").cast("double"), F.lit(100.0) - F.col("n.price")
     up, down = F.coalesce("y.qty", F.lit(0.0)), F.coalesce("n.qty", F.lit(0.0))
     out = wide.select(
@@ -153,6 +166,48 @@ def book_features(sequenced: DataFrame, closes: DataFrame | None = None, through
     return out.join(close, "market_ticker", "left").withColumn("minutes_to_close", minutes).drop("__close")
 
 
+def fills_at(decisions: DataFrame, sequenced: DataFrame, fee_rate: float = 0.0, through_gaps: bool = False) -> DataFrame:
+    """Cost of buying ``quantity`` YES from the resting NO bids known at each decision, best first.
+
+    ``decisions`` has decision_id (unique), market_ticker, decision_ts and quantity. Its book is that of the last accepted frame
+    received by then: the mask of that frame names the live prices, at most 100, and one scan finds their quantities. Decisions after the
+    same frame share its ladder. Without a book, and for a quantity that is NULL or not positive, nothing is filled; ``quarantined`` is NULL
+    where there is no book.
+    """
+    history, states = book_masks(sequenced, through_gaps)
+    place = {n: F.col(n) for n in ("connection_epoch", "snapshot_no", *ARRIVAL, "__no_0", "__no_1")} | {"quarantined": F.col("__frame.quarantined")}
+    renamed = {n if n == "quarantined" else f"__at_{n}": c for n, c in place.items()}
+    asked = decisions.select("decision_id", "market_ticker", "decision_ts", F.col("quantity").cast("double").alias("quantity"))
+    asked = cut_lineage(asof_join(
+        asked, states, ["market_ticker"], F.col("decision_ts"), F.col("received_ts"), renamed, [F.col("connection_epoch"), F.col("event_id")]))
+    spot = [*BOOK, *ARRIVAL]
+    at = [F.col(n if n == "market_ticker" else f"__at_{n}").alias(n) for n in spot]
+    bit = lambda p: F.when(p < MASK_BITS, F.call_function("shiftright", F.col("__at___no_0"), p)).otherwise(
+        F.call_function("shiftright", F.col("__at___no_1"), p - MASK_BITS)) % 2 == 1
+    prices = F.filter(F.sequence(F.lit(0), F.lit(2 * MASK_BITS - 1)), bit)
+    levels = asked.where(F.col("__at_event_id").isNotNull()).select(*at, F.lit("no").alias("side"), F.explode(prices).alias("price")).distinct()
+    entry = F.struct((F.lit(100) - F.col("price")).alias("cents"), F.col("__held").alias("qty"))
+    ladders = _held(history, levels).groupBy(*spot).agg(F.array_sort(F.collect_list(entry)).alias("__ladder"))
+    ladders = ladders.select(*[F.col(n).alias(f"__on_{n}") for n in spot], "__ladder")
+    match = F.col("market_ticker") == F.col("__on_market_ticker")
+    for n in spot:
+        if n != "market_ticker":
+            match = match & (F.col(f"__at_{n}") == F.col(f"__on_{n}"))
+    wanted = F.greatest(F.coalesce("quantity", F.lit(0.0)), F.lit(0.0))
+    start = F.struct(wanted.alias("left"), F.lit(0.0).alias("cost"), F.lit(0).cast("long").alias("fills"))
+
+    def take(a: Column, x: Column) -> Column:
+        got = F.least(a["left"], x["qty"])
+        return F.struct((a["left"] - got).alias("left"), (a["cost"] + got * x["cents"] / 100).alias("cost"), (a["fills"] + (got > 0).cast("long")).alias("fills"))
+
+    empty = F.array().cast("array<struct<cents:int,qty:double>>")
+    walked = asked.join(ladders, match, "left").withColumn("__walk", F.aggregate(F.coalesce("__ladder", empty), start, take))
+    cost = F.col("__walk.cost")
+    return walked.select(
+        "decision_id", "market_ticker", "decision_ts", "quantity", "quarantined", (wanted - F.col("__walk.left")).alias("filled"), cost.alias("gross_cost"),
+        F.col("__walk.fills").alias("fills"), F.col("__walk.left").alias("remaining"), (cost * F.lit(fee_rate)).alias("fees"), (cost * F.lit(1.0 + fee_rate)).alias("total_cost"))
+
+
 def walk_depth(levels: DataFrame, quantity: float, fee_rate: float = 0.0) -> DataFrame:
     """Cost of buying YES from resting NO bids, best first. A book has at most 99 price levels a side."""
     asks = levels.where(F.col("side") == "no").groupBy("market_ticker", "price").agg(F.sum("qty").alias("qty"))

@@ -207,6 +207,29 @@ def depth_walk(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("market_ticker", "filled", q6(F.col("gross_cost"), 5).alias("gross_cost"), "remaining")
 
 
+FILLS_AT = [
+    ("spans", "select *, coalesce(lead(pos) over (partition by market_ticker, sno, side, price order by pos), 9223372036854775807) as until from hist"),
+    ("dec", "select event_id as decision_id, market_ticker, received_ts + to_minutes(case when event_id%8=0 then -100000 else 7 end) as dts, cast(event_id%9 as double) as quantity from book"),
+    ("dpos", "select decision_id, max(pos) as pos from dec join sq on sq.market_ticker=dec.market_ticker and sq.received_ts<=dts group by 1"),
+    ("dladder", """select p.decision_id, quantity, h.price, h.qty, quantity - coalesce(sum(h.qty) over (partition by p.decision_id order by h.price desc rows between unbounded preceding and 1 preceding), 0) as need
+ from dpos p join sq on sq.pos=p.pos join dec on dec.decision_id=p.decision_id join spans h on h.market_ticker=sq.market_ticker and h.sno=sq.sno and h.pos<=p.pos and p.pos<h.until where h.side='no' and h.qty>0"""),
+    ("dfill", "select decision_id, sum(greatest(0, least(qty, need))) as filled, sum(greatest(0, least(qty, need))*(100-price)/100e0) as gross, count(*) filter (least(qty, need)>0) as fills from dladder group by 1"),
+]
+
+
+@query("b04_fills_at_decisions", with_views(("book",), f"""
+ select dec.decision_id, coalesce(sq.quarantined::int, -1) as quarantined, coalesce(filled,0) as filled, {q6_sql('coalesce(gross,0)', 5)} as gross_cost, coalesce(fills,0) as fills, quantity-coalesce(filled,0) as remaining, {q6_sql('coalesce(gross,0)*1.02e0', 5)} as total_cost
+ from dec left join dpos using (decision_id) left join sq on sq.pos=dpos.pos left join dfill using (decision_id)""", *[x for x in SEQUENCED if x[0] != "lv"], *FILLS_AT))
+def fills_at_decisions(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("event_id")
+    decisions = shapes.book_messages(spark, sf).select(
+        k.alias("decision_id"), "market_ticker", shapes.minutes(F.col("received_ts"), F.when(k % 8 == 0, -100000).otherwise(7)).alias("decision_ts"), (k % 9).cast("double").alias("quantity"))
+    out = book.fills_at(decisions, _sequenced(spark, sf), 0.02)
+    return out.select(
+        "decision_id", F.coalesce(F.col("quarantined").cast("int"), F.lit(-1)).alias("quarantined"), "filled", q6(F.col("gross_cost"), 5).alias("gross_cost"), "fills", "remaining",
+        q6(F.col("total_cost"), 5).alias("total_cost"))
+
+
 @query("b05_capture_audit", with_views(("book",), f"""
  , h as (select *, lag(seq) over (partition by sid order by received_ts, event_id) as p from book)
  select count(*) as session_rows, count(*) filter (type='orderbook_snapshot') as snapshot_count, count(*) filter (seq>p+1) as sequence_gaps, count(*) filter (seq<=p) as sequence_resets, count(distinct market_ticker) as ticker_count, {stamp_sql('min(received_ts)')} as first_received, 0::bigint as ignored_prior_session_rows from h"""))
