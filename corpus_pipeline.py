@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import archive, bpe, decontaminate, quality, secrets, shingles
-from tidemark.llm.common import prepare, table
+from tidemark.llm.common import prepare, table, without_rows
 from tidemark.llm.quality_queries import THRESHOLD, held_out
 
 #: No column of a table is called this.
@@ -41,9 +41,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     index = decontaminate.build_index(docs, table(spark, sf_dir, "benchmark"), size=13)
     judged = decontaminate.contamination(index, decontaminate.exact_hits(index), share=20)
     # A row is told by its id and text, so that rows without an id are judged one by one.
-    gone = judged.where("contaminated").select(F.col("doc_id").alias(OWN), F.col("digest").alias(f"{OWN}_digest")).distinct()
-    text = F.xxhash64(F.coalesce(docs["text"].cast("binary"), F.lit(b"")))
-    return docs.join(gone, docs["doc_id"].eqNullSafe(F.col(OWN)) & (text == F.col(f"{OWN}_digest")), "left_anti")
+    return without_rows(docs, judged.where("contaminated").select("doc_id", "digest"))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,8 +3,10 @@ import random
 from pyspark.sql import functions as F
 
 import numpy as np
+import pandas as pd
 
 from tidemark.llm import shingles, simhash, substrings
+from tidemark.llm.common import without_rows
 from tidemark.llm.components import connected_components
 
 from . import samples
@@ -137,3 +139,61 @@ def test_near_duplicate_stage_by_whole_shingle_sets(spark, monkeypatch):
     assert {r["doc_id"] for r in kept.select("doc_id").collect()} == expected
     prints = {i: samples.fingerprint(t) for i, t in pairs if i is not None}
     assert any(near(a, b) and bin(prints[a] ^ prints[b]).count("1") > 4 for a in range(48) for b in range(a))
+
+
+def crowd(rng, rows=240, size=90):
+    """Sets around one base, at all distances from each other."""
+    base, sets = rng.integers(0, 1 << 62, size).tolist(), []
+    for _ in range(rows):
+        changed = set(rng.choice(size, rng.integers(0, 16), replace=False).tolist())
+        sets.append(np.unique(np.array([rng.integers(0, 1 << 62) if i in changed else h for i, h in enumerate(base)], np.uint64) >> np.uint64(16)))
+    return sets
+
+
+def test_blocks_of_a_frequent_shingle_report_no_pairs():
+    sets = crowd(np.random.default_rng(8))
+    n = len(sets)
+    packed = [np.ascontiguousarray(s.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]).tobytes() for s in sets]
+    rows = pd.DataFrame({"shingle": 1, "p": 0, "q": 0, "own": 0, "node": range(n), "part": range(n), "n": [s.size for s in sets], "place": 0,
+                         "parity": [shingles.parity(s) for s in sets], "shingles": packed})
+    near = lambda a, b: shingles._near(sets[a], sets[b])
+    pairs = sum(near(a, b) for a in range(n) for b in range(a))
+    expected = samples.components(list(range(n)), near)
+    met = shingles._meet(rows.drop(columns="shingles"))
+    assert len(met) <= n < pairs
+    links = shingles._tie(met.merge(rows[["node", "shingles"]], on="node"))
+    assert len(links) == n - len(set(expected.values())) and all(near(a, b) for a, b in zip(links["a"], links["b"]))
+    linked = {frozenset(x) for x in zip(links["a"].tolist(), links["b"].tolist())}
+    assert samples.components(list(range(n)), lambda a, b: frozenset((a, b)) in linked) == expected
+    # Two blocks meet only each other, and equal parts not at all.
+    halves = rows.assign(own=rows["node"] % 2, q=1)
+    links = shingles._tie(halves)
+    assert len(links) and all(a % 2 != b % 2 for a, b in zip(links["a"], links["b"]))
+    assert shingles._meet(rows.drop(columns="shingles").assign(part=7)).empty
+
+
+def test_near_duplicates_of_frequent_shingles_in_blocks(spark, monkeypatch):
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    base, pairs = [word() for _ in range(150)], []
+    for i in range(60):
+        edited = base[: rng.randrange(115, 151)]
+        for at in rng.sample(range(len(edited)), rng.randrange(4)):
+            edited[at] = word()
+        pairs.append((i, " ".join(edited)))
+    sets = {i: samples.shingles(t) for i, t in pairs}
+    first = samples.components(sorted(sets), lambda a, b: 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]))
+    for name, value in (("SMALL", 3), ("BLOCK_ROWS", 16), ("STARS", 0)):
+        monkeypatch.setattr(shingles, name, value)
+    kept = shingles.keep_one(table(spark, pairs))
+    assert {r["doc_id"] for r in kept.select("doc_id").collect()} == {i for i in first if first[i] == i}
+
+
+def test_rows_go_by_key_and_text(spark):
+    """Rows of one key with other texts stay, null keys and texts are told apart, repeated rows go together."""
+    pairs = [(1, "a"), (1, "b"), (1, "a"), (None, "a"), (None, None), (2, None), (2, "a"), (3, "")]
+    docs = table(spark, pairs)
+    gone = docs.where("text = 'a' and (doc_id = 1 or doc_id is null) or doc_id = 3").select("doc_id", F.xxhash64(F.col("text").cast("binary")).alias("digest"))
+    kept = without_rows(docs, gone)
+    assert sorted(map(repr, ((r["doc_id"], r["text"]) for r in kept.collect()))) == sorted(map(repr, [(1, "b"), (None, None), (2, None), (2, "a")]))
+    assert kept.columns == docs.columns

@@ -5,15 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 #: Rows and bytes of one Arrow batch. Texts are long, so Spark's default of 10,000 rows would hold far too much.
 BATCH_SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
 }
 
+#: Bits of a bitmap at most (16 MB). It starts with ``FILL`` bits for each value that it holds.
+MOST_BITS, FILL = 1 << 27, 32
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Bound the Arrow batches of ``spark`` for tables that hold whole texts."""
@@ -31,6 +38,44 @@ def text_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     return docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("body"))
 
 
+def bitmap(hashed: DataFrame, column: str) -> bytes:
+    """A bitmap of the low bits of a column of longs; its size is a power of two."""
+    bits = min(MOST_BITS, max(1 << 15, 1 << (FILL * max(hashed.count(), 1) - 1).bit_length()))
+    bit = F.col(column).bitwiseAND(bits - 1) + 1
+    rows = (hashed.select(F.bitmap_bucket_number(bit).alias("bucket"), F.bitmap_bit_position(bit).alias("at"))
+            .groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("bits")).collect())
+    held = bytearray(bits // 8)
+    for row in rows:
+        at = (row["bucket"] - 1) * len(row["bits"])
+        held[at:at + len(row["bits"])] = row["bits"]
+    return bytes(held)
+
+
+def among(bits: bytes, values: np.ndarray) -> np.ndarray:
+    """Which values have their bit in a bitmap."""
+    held, at = np.frombuffer(bits, np.uint8), values.view(np.uint64) & np.uint64(8 * len(bits) - 1)
+    return (held[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def without_rows(docs: DataFrame, gone: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without the rows whose key, null included, and XXH64 of the text are a row of ``gone``.
+
+    Only rows whose text may have to go are shuffled.
+    """
+    # Names that no column of ``docs`` has.
+    names = [f"{'_'.join(docs.columns)}_{n}" for n in ("key", "digest")]
+    gone = cut_lineage(gone.toDF(*names).distinct())
+    held = bitmap(gone.select(names[1]), names[1])
+
+    @F.pandas_udf("boolean")
+    def suspect(digests: pd.Series) -> pd.Series:
+        return pd.Series(among(held, digests.to_numpy(np.int64)))
+
+    digest = F.xxhash64(F.coalesce(docs[text].cast("binary"), F.lit(b"")))
+    doubtful = docs.where(suspect(digest)).join(gone, docs[key].eqNullSafe(F.col(names[0])) & (digest == F.col(names[1])), "left_anti")
+    return docs.where(~suspect(digest)).unionAll(doubtful)
+
+
 class Memo(dict):
     """A bounded cache of ``compute(key)`` in two generations: recent keys stay when the older half goes.
 

@@ -16,6 +16,9 @@ lies inside a span of a fixed pattern is not added. Columns other than the key a
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -160,11 +163,15 @@ def scan_secrets(docs: DataFrame, rate: float = 0.05, key: str = "doc_id", text:
 def mask_secrets(docs: DataFrame, into: str, rate: float = 0.05, key: str = "doc_id", text: str = "text", mask: str = "[secret]") -> DataFrame:
     """``docs`` with a column ``into``: the text with its secret spans replaced by ``mask``."""
     spans = secret_spans(docs, rate, key, text)
-    rows = docs.select(F.struct("*").alias("kept"), _row_key(key, text).alias("own"))
+    # Rows in which no pattern matches have no span and are not shuffled.
+    body = F.coalesce(F.col(text), F.lit(""))
+    matched = reduce(or_, [body.rlike(pattern) for _, pattern, _, _ in KINDS])
+    rows = docs.where(matched).select(F.struct("*").alias("kept"), _row_key(key, text).alias("own"))
     joined = rows.join(spans, rows["own"] == spans["row"], "left").select("kept", "spans", F.col(f"kept.{text}").alias("body"))
     masked = F.when(F.col("spans").isNull(), F.col("body")).otherwise(redact(F.col("body"), F.col("spans"), mask))
     # Only then the columns of docs: in one select, a column of theirs called body would be taken inside the lambdas.
-    return joined.select("kept", masked.alias("masked")).select("kept.*", F.col("masked").alias(into))
+    changed = joined.select("kept", masked.alias("masked")).select("kept.*", F.col("masked").alias(into))
+    return docs.where(~matched).select("*", F.col(text).alias(into)).unionAll(changed)
 
 
 def span_text(spans: Column) -> Column:
