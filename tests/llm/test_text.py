@@ -273,3 +273,23 @@ def test_unordered_merges_are_refused(tmp_path):
     broken.write_text(json.dumps(spec))
     with pytest.raises(ValueError):
         bpe.Codec(str(broken))
+
+
+def test_masking_shuffles_only_rows_with_a_match(spark):
+    token = "password=" + "q7Xk2Lm9" * 2
+    pairs = [(1, "plain"), (1, "plain"), (2, f"a {token} b"), (None, token), (3, None), (4, ""), (5, "token: x")]
+    masked = secrets.mask_secrets(table(spark, pairs), "masked")
+    want = [(i, t, t and t.replace(token, "[secret]")) for i, t in pairs]
+    assert sorted(map(repr, (tuple(r) for r in masked.select("doc_id", "text", "masked").collect()))) == sorted(map(repr, want))
+    assert "Union" in masked._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_words_of_the_older_half_are_not_merged_again():
+    coder, library, merged = bpe.Codec(BYTES), tokenizers.Tokenizer.from_file(BYTES), []
+    merge = coder.encode_words
+    coder.encode_words = lambda words: merged.extend(words) or merge(words)
+    coder.known.limit = 10
+    texts = ["one two three four five six", "seven eight nine ten eleven", "one two three four five six", "nul \0 and \0\0 bytes\0", "", "aaaaaaaaaaaaaaa" * 9]
+    for text in texts:
+        assert coder.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+    assert merged.count(" two") == merged.count(" five") == 1

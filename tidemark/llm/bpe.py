@@ -61,56 +61,65 @@ class Codec:
             born.setdefault(made, rank)
             self.pairs.append((vocabulary[left], vocabulary[right]))
             self.made.append(made)
-        self.rank = {pair: rank for rank, pair in enumerate(self.pairs)}
+        # Ranks by one part of the pair, so that a merge looks up its neighbours alone.
+        self.following: dict[int, dict[int, int]] = defaultdict(dict)
+        self.preceding: dict[int, dict[int, int]] = defaultdict(dict)
+        for rank, (left, right) in enumerate(self.pairs):
+            self.following[left][right] = self.preceding[right][left] = rank
+        self.following, self.preceding = dict(self.following), dict(self.preceding)
+        self.of_byte = np.array(self.first, np.int64)
+        self.of_bytes = np.array([self.following.get(a, {}).get(b, -1) for a in self.first for b in self.first], np.int64)
         self.split = regex.compile(SPLIT).findall
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.known = Memo(lambda word: self.encode_words([word])[0])
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """The ids of each word, packed as 32-bit integers."""
-        symbols, after, before, starts = [], [], [], []
-        first = self.first
-        for word in words:
-            start = len(symbols)
-            starts.append(start)
-            symbols.extend([first[b] for b in word.encode("utf-8")])
-            size = len(symbols)
-            after.extend(range(start + 1, size + 1))
-            before.extend(range(start - 1, size - 1))
-            if size > start:
-                after[size - 1] = before[start] = -1
-        index, rank_of = defaultdict(list), self.rank
-        for i, j in enumerate(after):
-            if j >= 0:
-                rank = rank_of.get((symbols[i], symbols[j]))
-                if rank is not None:
-                    index[rank].append(i)
-        active = list(index)
-        heapq.heapify(active)
+        if not words:
+            return []
+        bodies = [word.encode("utf-8") for word in words]
+        stops = np.cumsum([len(body) + 1 for body in bodies]) - 1
+        data = np.frombuffer(b"\0".join(bodies) + b"\0", np.uint8).astype(np.int64)
+        start = self.of_byte[data]
+        start[stops] = -1  # no symbol: it ends a word, and is in no pair
+        ranks = self.of_bytes[data[:-1] * 256 + data[1:]]
+        ranks[stops[:-1]] = ranks[stops[stops > 0] - 1] = -1
+        found = np.flatnonzero(ranks >= 0)
+        found = found[np.argsort(ranks[found], kind="stable")]
+        active, cuts = np.unique(ranks[found], return_index=True)
+        active = active.tolist()  # in order, so a heap
+        index = dict(zip(active, map(np.ndarray.tolist, np.split(found, cuts[1:]))))
+        symbols, size = start.tolist(), start.size
+        after, before = list(range(1, size + 1)), list(range(-1, size - 1))
+        none: dict[int, int] = {}
         while active:
             rank = heapq.heappop(active)
             (left, right), made = self.pairs[rank], self.made[rank]
+            next_rank, last_rank = self.following.get(made, none).get, self.preceding.get(made, none).get
             for i in sorted(index.pop(rank)):
-                j = after[i]
-                if j < 0 or symbols[i] != left or symbols[j] != right:
+                if symbols[i] != left or symbols[j := after[i]] != right:
                     continue  # this occurrence has gone into an earlier merge
                 symbols[i], symbols[j] = made, -1
                 k = after[i] = after[j]
+                before[k] = i
                 h = before[i]
-                if k >= 0:
-                    before[k] = i
-                    self._note(index, active, (made, symbols[k]), i)
-                if h >= 0:
-                    self._note(index, active, (symbols[h], made), h)
-        stops = [*starts[1:], len(symbols)]
-        return [array("i", [s for s in symbols[a:b] if s >= 0]).tobytes() for a, b in zip(starts, stops)]
-
-    def _note(self, index: dict, active: list, pair: tuple[int, int], at: int) -> None:
-        rank = self.rank.get(pair)
-        if rank is not None:
-            if rank not in index:
-                heapq.heappush(active, rank)
-            index[rank].append(at)
+                if (new := next_rank(symbols[k])) is not None:
+                    if new in index:
+                        index[new].append(i)
+                    else:
+                        index[new] = [i]
+                        heapq.heappush(active, new)
+                if (new := last_rank(symbols[h])) is not None:
+                    if new in index:
+                        index[new].append(h)
+                    else:
+                        index[new] = [h]
+                        heapq.heappush(active, new)
+        merged = np.array(symbols, np.int32)
+        kept = merged >= 0
+        ends = (np.cumsum(kept)[stops] * 4).tolist()
+        packed = merged[kept].tobytes()
+        return [packed[a:b] for a, b in zip([0, *ends[:-1]], ends)]
 
     def _words(self, text: str) -> Iterator[list[str] | int]:
         """Lists of words, and the ids of special tokens between them."""
@@ -127,7 +136,9 @@ class Codec:
         known = self.known
 
         def settle() -> None:
-            fresh = list({w for parts, _ in waiting for p in parts if not isinstance(p, int) for w in p if w not in known})
+            words = set().union(*(p for parts, _ in waiting for p in parts if not isinstance(p, int)))
+            older = known.older
+            fresh = [w for w in words if w not in known and w not in older]
             now = {}
             for word, ids in zip(fresh, self.encode_words(fresh)):
                 if len(word) > known.longest:
