@@ -293,3 +293,33 @@ def test_words_of_the_older_half_are_not_merged_again():
     for text in texts:
         assert coder.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
     assert merged.count(" two") == merged.count(" five") == 1
+
+
+def test_each_gram_is_hashed_once(monkeypatch):
+    """New words cost one hash each, not one for every n-gram in them."""
+    import random
+    rng, calls, digest = random.Random(6), [], xxhash.xxh3_64_intdigest
+    words = sorted({"".join(rng.choice("abcd") for _ in range(9)) for _ in range(3000)})
+    monkeypatch.setattr(quality.xxhash, "xxh3_64_intdigest", lambda data: calls.append(data) or digest(data))
+    bodies = [" ".join(words[i::4]).encode() for i in range(4)]
+    quality.fit(bodies, [0, 1, 0, 1], quality.Settings(buckets=1 << 10, width=4, epochs=1))
+    assert len(calls) < 2 * len(words)
+
+
+@pytest.mark.parametrize("grams", [(2, 4), (1, 3, 9)])
+def test_scores_stay_when_words_are_forgotten(grams):
+    settings = quality.Settings(buckets=1 << 10, grams=grams)
+    outputs = np.random.default_rng(4).normal(size=settings.buckets).astype(np.float32)
+    bodies = [(text or "").encode() for _, text in samples.messy(words=300)] + [b"one", b"a", b"x" * 5000 + b" y", b"\0 \0\0", b"one"]
+    at = lambda data: 1 + xxhash.xxh3_64_intdigest(data) % (settings.buckets - 1)
+    want = []
+    for body in bodies:
+        words = body.split()
+        hashed = [xxhash.xxh3_64_intdigest(w) for w in words]
+        mixed = [1 + (a * 0x9E3779B97F4A7C15 % 2**64 ^ b >> 1) % (settings.buckets - 1) for a, b in zip(hashed, hashed[1:])]
+        spelled = [at(m[i:i + n]) for w in words for m in [b"<" + w + b">"] for n in grams for i in range(len(m) - n + 1)]
+        kinds = [k for k in ([0, *map(at, words)], mixed, spelled) if k]
+        want.append(sum(float(outputs[k].astype(float).mean()) for k in kinds) / len(kinds))
+    scorer = quality.Scorer(outputs.tobytes(), settings, limit=20)
+    got = [scorer.logits(some) for i in range(0, len(bodies), 3) for some in quality.groups(bodies[i:i + 3], size=1000)]
+    assert np.concatenate(got) == pytest.approx(want, rel=1e-9, abs=1e-12)

@@ -15,9 +15,10 @@ Neither language, source nor key is a feature; other columns are not looked at.
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain, count, islice
 
 import numpy as np
 import pandas as pd
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, worker_cache
+from .common import worker_cache
 
 
 #: Length of a gradient, and the factor that undoes the mean, at most.
@@ -48,34 +49,77 @@ class Settings:
     seed: int = 7
 
 
-def gram_buckets(word: bytes, settings: Settings) -> list[int]:
-    """Buckets of the character n-grams of a word."""
-    marked = b"<" + word + b">"
-    return [1 + xxhash.xxh3_64_intdigest(marked[i:i + n]) % (settings.buckets - 1) for n in settings.grams for i in range(len(marked) - n + 1)]
-
-
-def word_buckets(words: list[bytes], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of words, after the constant one, and of pairs of neighbouring words."""
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+def groups(bodies: Iterable[bytes], size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """``bodies`` in order, in lists of about ``size`` bytes."""
+    held, taken = [], 0
+    for body in bodies:
+        held.append(body)
+        taken += len(body)
+        if taken >= size:
+            yield held
+            held, taken = [], 0
+    if held:
+        yield held
+
+
+def hashes_of(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def gram_buckets(words: list[bytes], settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the character n-grams of words, word by word, and where each word's begin, with the end as last entry.
+
+    Grams are cut from all words at once, and each distinct one is hashed once.
+    """
+    data = np.frombuffer(b"".join([b"<%b>" % word for word in words]), np.uint8)
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    starts = np.cumsum(sizes) - sizes
+    counts = [np.maximum(sizes - n + 1, 0) for n in settings.grams]
+    cuts = np.concatenate(([0], np.cumsum(sum(counts))))
+    buckets, before = np.empty(cuts[-1], np.int64), cuts[:-1]
+    for n, times in zip(settings.grams, counts):
+        inside = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        at = np.repeat(starts, times) + inside
+        width = -(-n // 8) * 8
+        padded = np.zeros((at.size, width), np.uint8)
+        for i in range(n):
+            padded[:, i] = data[at + i]
+        distinct, which = np.unique(padded.view(np.uint64 if width == 8 else f"V{width}").ravel(), return_inverse=True)
+        packed = distinct.tobytes()
+        hashed = hashes_of([packed[i:i + n] for i in range(0, len(packed), width)])
+        buckets[np.repeat(before, times) + inside] = (hashed % np.uint64(settings.buckets - 1)).astype(np.int64)[which] + 1
+        before = before + times
+    return buckets, cuts
+
+
+def word_buckets(hashes: np.ndarray, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of words, and of the pairs of each with the next."""
     pairs = (hashes[:-1] * np.uint64(0x9E3779B97F4A7C15)) ^ (hashes[1:] >> np.uint64(1))
     words, pairs = ((v % np.uint64(settings.buckets - 1)).astype(np.int64) + 1 for v in (hashes, pairs))
-    return np.concatenate(([0], words)), pairs
-
-
-def example(body: bytes, settings: Settings, grams: Memo) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct features of a text and their shares."""
-    words = body.split()
-    counted = Counter(words)
-    parts = [*word_buckets(words, settings), np.array([bucket for word, times in counted.items() for bucket in grams[word] * times], np.int64)]
-    parts = [p for p in parts if p.size]
-    buckets, at = np.unique(np.concatenate(parts), return_inverse=True)
-    shares = np.bincount(at, np.concatenate([np.full(p.size, 1 / (p.size * len(parts))) for p in parts]))
-    return buckets, shares.astype(np.float32)
+    return words, pairs
+
+
+def examples(bodies: list[bytes], settings: Settings) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct features of each text and their shares."""
+    for group in groups(bodies):
+        numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
+        texts = [np.array([numbers[word] for word in body.split()], np.int64) for body in group]
+        words = [*numbers]
+        hashes, (spelled, cuts) = hashes_of(words), gram_buckets(words, settings)
+        for text in texts:
+            sizes = cuts[text + 1] - cuts[text]
+            grams = spelled[np.repeat(cuts[text] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
+            single, pairs = word_buckets(hashes[text], settings)
+            parts = [p for p in (np.concatenate(([0], single)), pairs, grams) if p.size]
+            buckets, at = np.unique(np.concatenate(parts), return_inverse=True)
+            shares = np.bincount(at, np.concatenate([np.full(p.size, 1 / (p.size * len(parts))) for p in parts]))
+            yield buckets, shares.astype(np.float32)
 
 
 def descend(vectors: np.ndarray, output: np.ndarray, buckets: np.ndarray, shares: np.ndarray, label: int, rate: float, weight: float = 1.0) -> None:
     """One step of gradient descent on the log loss of one example, in place."""
-    hidden = shares @ vectors[buckets]
+    rows = vectors[buckets]
+    hidden = shares @ rows
     logits = hidden @ output
     chances = np.exp(logits - logits.max())
     error = chances / chances.sum()
@@ -86,7 +130,8 @@ def descend(vectors: np.ndarray, output: np.ndarray, buckets: np.ndarray, shares
     output -= rate * np.outer(hidden, error) / max(1.0, np.linalg.norm(hidden) * np.linalg.norm(error) / LONGEST)
     back /= max(1.0, np.linalg.norm(back) / LONGEST)
     # The mean spreads the gradient by the features' shares; undoing the mean keeps long texts learning.
-    vectors[buckets] -= (rate * np.minimum(shares * min(len(buckets), 100), STEEPEST))[:, None] * back
+    rows -= (rate * np.minimum(shares * min(len(buckets), 100), STEEPEST))[:, None] * back
+    vectors[buckets] = rows
 
 
 def fit(bodies: list[bytes], labels: list[int], settings: Settings) -> np.ndarray:
@@ -94,16 +139,15 @@ def fit(bodies: list[bytes], labels: list[int], settings: Settings) -> np.ndarra
     random = np.random.default_rng(settings.seed)
     vectors = random.uniform(-1 / settings.width, 1 / settings.width, (settings.buckets, settings.width)).astype(np.float32)
     output = np.zeros((settings.width, 2), np.float32)
-    grams = Memo(lambda w: gram_buckets(w, settings), limit=100_000)
-    examples = [example(body, settings, grams) for body in bodies]
+    seen = [*examples(bodies, settings)]
     there = np.bincount(labels, minlength=2)
     weights = np.clip(there.max() / np.maximum(there, 1), 1, settings.most_weight).tolist()
-    steps, step = settings.epochs * len(examples), 0
+    steps, step = settings.epochs * len(seen), 0
     for _ in range(settings.epochs):
-        for at in random.permutation(len(examples)):
+        for at in random.permutation(len(seen)):
             rate = settings.rate * (1 - step / steps)
             step += 1
-            descend(vectors, output, *examples[at], labels[at], rate, weights[labels[at]])
+            descend(vectors, output, *seen[at], labels[at], rate, weights[labels[at]])
     return (vectors @ (output[:, 1] - output[:, 0])).astype(np.float32)
 
 
@@ -130,19 +174,51 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), k
     return np.frombuffer(found[0]["outputs"], np.float32) if found else np.zeros(settings.buckets, np.float32)
 
 
-def _scorer(outputs: bytes, settings: Settings) -> tuple[np.ndarray, Memo]:
-    """Per worker: the outputs, and word -> sum of its n-grams' outputs (real part) and their number (imaginary part)."""
-    def build() -> tuple[np.ndarray, Memo]:
-        table = np.frombuffer(outputs, np.float32)
-        numbers = table.astype(float).tolist()
-
-        def word(w: bytes) -> complex:
-            buckets = gram_buckets(w, settings)
-            return complex(sum([numbers[b] for b in buckets]), len(buckets))
-
-        return table, Memo(word, limit=100_000)
-
-    return worker_cache(("quality", xxhash.xxh3_128_digest(outputs), settings), build)
+class Scorer:
+    """Logits of texts. Recent words keep a number, and by it their hash, output, and sum and count of their n-grams' outputs."""
+
+    def __init__(self, outputs: bytes, settings: Settings, limit: int = 200_000) -> None:
+        self.table, self.settings, self.limit = np.frombuffer(outputs, np.float32).astype(float), settings, limit
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers: defaultdict[bytes, int] = defaultdict(count().__next__)
+        self.held, self.hashes = 0, np.empty(0, np.uint64)
+        self.alone, self.spelled, self.grams = np.empty((3, 0))
+
+    def learn(self) -> None:
+        """What is kept of the words that got a number last."""
+        fresh = [*islice(self.numbers, self.hashes.size, None)]
+        if not fresh:
+            return
+        hashes, (buckets, cuts) = hashes_of(fresh), gram_buckets(fresh, self.settings)
+        sizes = np.diff(cuts)
+        spelled = np.bincount(np.repeat(np.arange(len(fresh)), sizes), self.table[buckets], len(fresh))
+        self.held += sum(map(len, fresh))
+        self.hashes = np.concatenate((self.hashes, hashes))
+        self.alone = np.concatenate((self.alone, self.table[word_buckets(hashes, self.settings)[0]]))
+        self.spelled, self.grams = np.concatenate((self.spelled, spelled)), np.concatenate((self.grams, sizes))
+
+    def logits(self, bodies: list[bytes]) -> np.ndarray:
+        """The mean of the averages of each kind of feature that a text has."""
+        if len(self.numbers) > self.limit or self.held > 64 * self.limit:
+            self.forget()
+        texts = [body.split() for body in bodies]
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        words = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(texts)), np.int64, sizes.sum())
+        self.learn()
+        text = np.repeat(np.arange(len(texts)), sizes)
+        paired = self.table[word_buckets(self.hashes[words], self.settings)[1]]
+        paired[text[:-1] != text[1:]] = 0  # words of two texts
+        kinds = [(self.table[0] + np.bincount(text, self.alone[words], len(texts)), sizes + 1),
+                 (np.bincount(text[1:], paired, len(texts)), np.maximum(sizes - 1, 0)),
+                 (np.bincount(text, self.spelled[words], len(texts)), np.bincount(text, self.grams[words], len(texts)))]
+        return sum(total / np.maximum(number, 1) for total, number in kinds) / sum((number > 0).astype(int) for _, number in kinds)
+
+
+def _scorer(outputs: bytes, settings: Settings) -> Scorer:
+    """One per worker, so that tasks of a worker share its words."""
+    return worker_cache(("quality", xxhash.xxh3_128_digest(outputs), settings), lambda: Scorer(outputs, settings))
 
 
 def quality_score(text: Column, outputs: np.ndarray, settings: Settings = Settings()) -> Column:
@@ -151,18 +227,9 @@ def quality_score(text: Column, outputs: np.ndarray, settings: Settings = Settin
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        table, grams = _scorer(packed, settings)
-        grams = grams.__getitem__
-
-        def logit(body: bytes) -> float:
-            words = body.split()
-            means = [float(table[buckets].mean(dtype=np.float64)) for buckets in word_buckets(words, settings) if buckets.size]
-            spelled = sum(map(grams, words), 0j)
-            if spelled.imag:
-                means.append(spelled.real / spelled.imag)
-            return sum(means) / len(means)
-
+        scorer = _scorer(packed, settings)
         for bodies in batches:
-            yield pd.Series((1 + np.tanh(np.array([logit(body) for body in bodies], dtype=float) / 2)) / 2)
+            logits = [scorer.logits(group) for group in groups(bodies)]
+            yield pd.Series((1 + np.tanh(np.concatenate([*logits, []]) / 2)) / 2)
 
     return score(F.coalesce(text.cast("binary"), F.lit(b"")))
