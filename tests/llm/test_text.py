@@ -323,3 +323,35 @@ def test_scores_stay_when_words_are_forgotten(grams):
     scorer = quality.Scorer(outputs.tobytes(), settings, limit=20)
     got = [scorer.logits(some) for i in range(0, len(bodies), 3) for some in quality.groups(bodies[i:i + 3], size=1000)]
     assert np.concatenate(got) == pytest.approx(want, rel=1e-9, abs=1e-12)
+
+
+def test_many_positions_of_a_pair_are_merged_at_once(monkeypatch):
+    """The same ids however many positions are merged by arrays, with runs of one symbol and neighbouring occurrences."""
+    import random
+    rng, library = random.Random(9), tokenizers.Tokenizer.from_file(BYTES)
+    words = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 40))) for letters in ("ab", "eé", "then ", "aeinorst") for _ in range(300)]
+    words += ["ab" * 500, "a" * 999, "abab" * 7 + "b", "thethethe" * 40, "=" * 70, "\0" * 9]
+    text = " ".join(words)
+    want = library.encode(text, add_special_tokens=False).ids
+    for bulk in (1, 24, 10**9):
+        monkeypatch.setattr(bpe, "BULK", bulk)
+        assert bpe.Codec(BYTES).encode([text])[0].tolist() == want
+
+
+def test_both_split_patterns_agree_up_to_ff():
+    import random
+    import regex
+    rng, coder, split = random.Random(5), bpe.Codec(BYTES), regex.compile(bpe.SPLIT).findall
+    texts = [chr(a) + before + chr(a) + chr(b) for a in range(256) for b in range(0, 256, 3) for before in (" ", "'")]
+    texts += ["".join(rng.choice([chr(rng.randrange(256)), rng.choice(" \n\t'strevmldS\xa0\x85\x1c1½a")]) for _ in range(12)) for _ in range(5000)]
+    assert all(coder.split_latin(text) == split(text) for text in texts)
+    assert coder.split("ǆ1 日本") == split("ǆ1 日本")
+
+
+def test_unknown_ids_fail():
+    coder, library = bpe.Codec(BYTES), tokenizers.Tokenizer.from_file(BYTES)
+    ids = [5, 300, library.get_vocab_size() - 1, 199, 5] * 30_000  # more than one part, and bytes that are no text
+    assert coder.decode(ids) == library.decode(ids, skip_special_tokens=False) and coder.decode([]) == ""
+    for bad in (-1, library.get_vocab_size()):
+        with pytest.raises(KeyError):
+            coder.decode([5, bad])
