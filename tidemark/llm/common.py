@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-#: Rows and bytes of one Arrow batch. Texts are long, so Spark's default of 10,000 rows would hold far too much.
+#: Rows and bytes of one Arrow batch, rows of one batch of a Parquet scan. Texts are long, so Spark's defaults of 10,000 and 4,096 rows
+#: would hold far too much: a scan's text column grows by doubling into arrays of tens of megabytes, in every task.
 BATCH_SETTINGS = {
+    "spark.sql.parquet.columnarReaderBatchSize": "512",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(32 << 20),
 }
@@ -130,5 +135,15 @@ def worker_cache(name: Any, build: Callable[[], Any] = lambda: None) -> Any:
     """
     if name not in _HELD:
         _HELD.clear()
+        give_back()
         _HELD[name] = build()
     return _HELD[name]
+
+
+def give_back() -> None:
+    """Hands memory that this worker no longer uses to the system. Allocators keep it otherwise, beside what the JVM takes meanwhile."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
