@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 import numpy as np
 import pandas as pd
 
-from tidemark.llm import shingles, simhash, substrings
-from tidemark.llm.common import without_rows
+from tidemark.llm import components, shingles, simhash, substrings
+from tidemark.llm.common import among, bitmap, without_rows
 from tidemark.llm.components import connected_components
 
 from . import samples
@@ -56,6 +56,23 @@ def test_components_of_a_chain_and_no_links(spark):
     assert connected_components(links.limit(0)).count() == 0
 
 
+def test_components_of_stars_take_one_round(spark, monkeypatch):
+    """Every round is many jobs, whose plans and tasks the driver remembers: none is run to see that nothing changes."""
+    written = []
+    monkeypatch.setattr(components, "cut_lineage", lambda frame, cut=components.cut_lineage: written.append(1) or cut(frame))
+    links = spark.createDataFrame([(5, 1), (1, 9), (5, 1), (20, 30), (30, 20), (4, None)], "a long, b long")
+    got = {r["node"]: r["component"] for r in connected_components(links).collect()}
+    assert got == {1: 1, 5: 1, 9: 1, 20: 20, 30: 20} and len(written) == 2
+    stars = lambda *rows: components._stars(spark.createDataFrame(rows, "u long, v long"))
+    assert stars((2, 1), (3, 1), (7, 5)) and not stars((2, 1), (3, 2)) and not stars((3, 1), (3, 2))
+
+
+def test_a_bitmap_of_repeated_values_by_their_number(spark):
+    values = np.arange(5000, dtype=np.int64) * 7919
+    bits = bitmap(spark.createDataFrame([(int(v),) for v in values for _ in range(3)], "row long"), "row", 5000)
+    assert among(bits, values).all() and len(bits) == 1 << 15  # 32 bits for each of 5,000, rounded up
+
+
 def test_keep_one_keeps_columns_and_rows_without_a_key(spark):
     docs = table(spark, samples.messy())
     kept = simhash.keep_one(docs)

@@ -43,9 +43,9 @@ def text_bytes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
     return docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("body"))
 
 
-def bitmap(hashed: DataFrame, column: str) -> bytes:
-    """A bitmap of the low bits of a column of longs; its size is a power of two."""
-    bits = min(MOST_BITS, max(1 << 15, 1 << (FILL * max(hashed.count(), 1) - 1).bit_length()))
+def bitmap(hashed: DataFrame, column: str, values: int | None = None) -> bytes:
+    """A bitmap of the low bits of a column of longs; its size is a power of two, by the rows or by about how many ``values`` they have."""
+    bits = min(MOST_BITS, max(1 << 15, 1 << (FILL * max(hashed.count() if values is None else values, 1) - 1).bit_length()))
     bit = F.col(column).bitwiseAND(bits - 1) + 1
     rows = (hashed.select(F.bitmap_bucket_number(bit).alias("bucket"), F.bitmap_bit_position(bit).alias("at"))
             .groupBy("bucket").agg(F.bitmap_construct_agg("at").alias("bits")).collect())

@@ -213,8 +213,8 @@ def _postings(docs: DataFrame, shared: bytes, common: np.ndarray, often: np.ndar
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int, key: str, text: str) -> DataFrame:
-    """(node, shingles) of the rows whose id is in ``wanted``, and of a few others: 48 bits of each shingle, packed."""
-    bits = bitmap(wanted, "row")
+    """(node, shingles) of the rows whose id is in ``wanted``, repeats or not, and of a few others: 48 bits of each shingle, packed."""
+    bits = bitmap(wanted, "row", wanted.agg(F.approx_count_distinct("row")).first()[0])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cache("shingles")
@@ -331,11 +331,11 @@ def _crowd_links(rows: DataFrame, reps: DataFrame, sets_of) -> DataFrame:
     """(a, b): near pairs of the frequent shingles, enough to join their components; ``rows`` has (shingle, node, n, place, part, many, load)."""
     blocks = F.ceil(F.greatest(F.col("many") / BLOCK_ROWS, F.col("load") / BLOCK_LOAD)).cast("int")
     cut = rows.where(F.col("many") > SMALL).withColumn("k", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
-    paired = cut.join(reps.select("node", "parity"), "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select(
-        "shingle", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "node", "part", "n", "place", "parity")
-    met = cut_lineage(paired.groupBy("shingle", "p", "q").applyInPandas(_meet, "shingle long, p int, q int, own int, node long, part long, n int, place int"))
-    sets = cut_lineage(sets_of(met.select("node").distinct().join(reps.select("node", "row"), "node")))
-    links = cut_lineage(met.join(sets, "node").groupBy("shingle", "p", "q").applyInPandas(_tie, "a long, b long").distinct())
+    paired = cut.join(reps.select("node", "row", "parity"), "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select(
+        "shingle", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "node", "row", "part", "n", "place", "parity")
+    met = cut_lineage(paired.groupBy("shingle", "p", "q").applyInPandas(_meet, "shingle long, p int, q int, own int, node long, row long, part long, n int, place int"))
+    sets = cut_lineage(sets_of(met.select("row")))
+    links = cut_lineage(met.drop("row").join(sets, "node").groupBy("shingle", "p", "q").applyInPandas(_tie, "a long, b long").distinct())
     release(met, sets)
     return links
 
@@ -344,15 +344,14 @@ def near_links(docs: DataFrame, marked: DataFrame, size: int = 5, bits: int = 4,
     """(a, b): pairs of nodes of similarity at least 4/5, enough of them to connect all."""
     # One row stands for all of a node.
     reps = cut_lineage(marked.groupBy("node").agg(F.min("row").alias("row"), F.max("n").alias("n"), F.first("fp").alias("fp"), F.first("parity").alias("parity")))
-    sizes, wide = reps.select("node", "row", "n"), reps.select("node", "parity")
+    judges = reps.select("node", "row", "n", "parity")
 
     def sets_of(wanted: DataFrame) -> DataFrame:
         return _sets(docs, wanted, size, key, text)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        sized = (pairs.distinct().join(sizes.toDF("a", "row_a", "n_a"), "a").join(sizes.toDF("b", "row_b", "n_b"), "b")
-                 .where(F.least("n_a", "n_b") * 5 >= F.greatest("n_a", "n_b") * 4))
-        bounded = sized.join(wide.toDF("a", "bits_a"), "a").join(wide.toDF("b", "bits_b"), "b")
+        bounded = (pairs.distinct().join(judges.toDF("a", "row_a", "n_a", "bits_a"), "a").join(judges.toDF("b", "row_b", "n_b", "bits_b"), "b")
+                   .where(F.least("n_a", "n_b") * 5 >= F.greatest("n_a", "n_b") * 4))
 
         def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -361,7 +360,7 @@ def near_links(docs: DataFrame, marked: DataFrame, size: int = 5, bits: int = 4,
                 yield batch.select(["a", "b", "row_a", "row_b"]).filter(pa.array(good, pa.bool_()))
 
         near = cut_lineage(bounded.mapInArrow(judged, "a long, b long, row_a long, row_b long"))
-        sets = cut_lineage(sets_of(near.select(F.col("row_a").alias("row")).union(near.select("row_b")).distinct()))
+        sets = cut_lineage(sets_of(near.select(F.explode(F.array("row_a", "row_b")).alias("row"))))
         whole = near.select("a", "b").join(sets.toDF("a", "of_a"), "a").join(sets.toDF("b", "of_b"), "b")
         # A repeated row, or a bit shared by two rows, may give a set twice.
         found = cut_lineage(_kept_pairs(whole, _alike, "of_a", "of_b").distinct())
