@@ -148,3 +148,50 @@ def test_overlap_chunks_keep_every_row_once(spark):
     assert out.where("own").count() == 100
     # Ten chunk ends, the last one included, each hand three rows on.
     assert out.where("not own").count() == 30
+
+
+@pytest.mark.parametrize("few", [4, 40])
+def test_two_clocks_of_large_and_small_keys(spark, monkeypatch, few):
+    """Keys with more rows than an array may hold give the same answers as small ones."""
+    monkeypatch.setattr(timeline, "FEW", few)
+    rng = random.Random(8)
+    facts = [(rng.choice(["a", "a", "b", "c", "d", None]), START + dt.timedelta(hours=rng.randrange(200)), START + dt.timedelta(hours=rng.randrange(300)), rng.choice([None, float(rng.randrange(40))])) for _ in range(150)]
+    asks = [(i, rng.choice(["a", "b", "e", None]), rng.choice([None, START + dt.timedelta(hours=rng.randrange(220))]), START + dt.timedelta(hours=rng.randrange(320))) for i in range(50)]
+    l = spark.createDataFrame(asks, "id int, c string, target timestamp, decision timestamp")
+    r = spark.createDataFrame(facts, "c string, t timestamp, av timestamp, v double")
+    got = timeline.known_prefix(l, r, ["c"], F.col("target"), F.col("decision"), F.col("t"), F.col("av"), {
+        "n": Running("sum", F.lit(1)), "s": Running("sum", F.col("v")), "low": Running("min", F.col("v")), "top": Running("max", F.struct("t", "av", "v")),
+        "newest": Running("last", F.col("v"), [F.col("av")])}).collect()
+    assert len(got) == 50
+    for row in got:
+        _, c, target, decision = asks[row.id]
+        seen = [(t, av, v) for k, t, av, v in facts if c and k == c and target and t < target and av <= decision]
+        values = [v for *_, v in seen if v is not None]
+        assert ((row.n or 0), row.s, row.low) == (len(seen), sum(values) if values else None, min(values, default=None))
+        assert (tuple(row.top) if seen else row.top) == (max(seen, key=lambda x: (x[0], x[1], -1 if x[2] is None else x[2])) if seen else None)
+        assert row.newest == max(((t, av, v) for t, av, v in seen if v is not None), default=(None,))[-1]
+
+
+def exchanges(df):
+    """Shuffles in the plan as it is made before it runs."""
+    return df._jdf.queryExecution().sparkPlan().toString().count("Exchange") + df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_two_clocks_of_small_keys_shuffle_each_side_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        r = spark.range(4000).select((F.col("id") % 100).alias("k"), F.timestamp_seconds(F.col("id")).alias("t"), F.timestamp_seconds(F.col("id") + 5).alias("av"))
+        l = r.select("k", F.col("t").alias("target"), F.col("av").alias("decision"))
+        got = timeline.known_prefix(l, r, ["k"], F.col("target"), F.col("decision"), F.col("t"), F.col("av"), {"n": Running("sum", F.lit(1))})
+        assert exchanges(got) == 2
+        assert got.agg(F.sum("n")).first()[0] == sum(k * 100 for k in range(40))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_rows_that_no_ask_tells_apart_are_merged(spark):
+    facts = spark.range(20000).select(F.lit("k").alias("k"), F.timestamp_seconds(F.col("id") * 60).alias("__a"), F.timestamp_seconds(F.col("id") * 60 + 300).alias("__c"), F.lit(1).alias("n"))
+    asks = spark.createDataFrame([("k", START.replace(year=1970) + dt.timedelta(hours=h), START.replace(year=1970) + dt.timedelta(hours=h)) for h in (0, 20, 300)], "k string, target timestamp, decision timestamp")
+    merged = timeline._merged(asks, facts, ["k"], F.col("target"), F.col("decision"), {"n": "sum"})
+    # All that the last ask may use, of at most nine pairs of limits.
+    assert merged.count() <= 9 and merged.agg(F.sum("n")).first()[0] == 300 * 60 - 5 + 1

@@ -11,7 +11,7 @@ from ..functions import clocks, numeric
 from ..session import cut_lineage
 from .filters import REASON, all_reasons, first_reason, split
 from .quantiles import asof_quantiles
-from .timeline import Running, asof_join, asof_scan, known_prefix
+from .timeline import FEW, Running, asof_join, asof_scan, by_size, known_prefix, with_rows
 
 # Latency scenarios a policy may define.
 SCENARIOS = ("optimistic", "base", "conservative", "highly_conservative")
@@ -142,7 +142,19 @@ def _just_after(instant: Column) -> Column:
 def _newest_before(asks: DataFrame, observations: DataFrame, station: str, limit: Column, name: str) -> DataFrame:
     """Adds ``name``: struct (t, r, v) of the newest observation before ``limit`` whose receipt is not after ``decision_ts``."""
     point = F.struct(F.col("valid_utc").alias("t"), F.col("receipt_utc").alias("r"), F.col("temperature_f").alias("v"))
-    return known_prefix(asks, observations, [station], limit, F.col("decision_ts"), F.col("valid_utc"), F.col("receipt_utc"), {name: Running("max", point)})
+    return known_prefix(asks, observations, [station], limit, F.col("decision_ts"), F.col("valid_utc"), F.col("receipt_utc"), {name: Running("max", point)}, few=False)
+
+
+def _with_points(states: DataFrame, points: DataFrame, station: str) -> DataFrame:
+    """Adds ``__points``: (t, r, v) of the observations of the station received by ``decision_ts``."""
+    found = with_rows(states, points.dropna(subset=["valid_utc", "receipt_utc"]), [station], "__points",
+                      t=F.col("valid_utc").cast("timestamp"), r=F.col("receipt_utc").cast("timestamp"), v=F.col("temperature_f"))
+    return found.withColumn("__points", F.filter("__points", lambda p: p["r"] <= F.col("decision_ts")))
+
+
+def _newest(limit: Column) -> Column:
+    """Of ``__points`` the newest before ``limit``."""
+    return F.array_max(F.filter("__points", lambda p: p["t"] < limit))
 
 
 def finite(value: Column) -> Column:
@@ -151,7 +163,7 @@ def finite(value: Column) -> Column:
     return F.when(~F.isnan(number) & (F.abs(number) < F.lit(float("inf"))), number)
 
 
-def observation_features(contracts: DataFrame, observations: DataFrame, station: str = "station") -> DataFrame:
+def observation_features(contracts: DataFrame, observations: DataFrame, station: str = "station", few: bool | None = None) -> DataFrame:
     """Observation features of each contract from its station's rows known at the decision.
 
     A row counts when its time is at most the target and its receipt at most the decision. These are two orders, so the
@@ -175,7 +187,7 @@ def observation_features(contracts: DataFrame, observations: DataFrame, station:
             "temperature_sum": Running("sum", value),
             "latest": Running("max", F.when(value.isNotNull(), point)),
             "__row": Running("max", row),
-        })
+        }, few=few)
     return state.withColumns({
         "temperature_latest": F.col("latest.v"), "latest_valid_utc": F.col("latest.t"), "covariates": F.col("__row.covariates"),
         "temperature_range": F.col("running_max_temperature") - F.col("running_min_temperature"),
@@ -191,7 +203,7 @@ def _id_number(parts: Sequence[Column]) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
-def observation_lineage(contracts: DataFrame, observations: DataFrame, station: str = "station") -> DataFrame:
+def observation_lineage(contracts: DataFrame, observations: DataFrame, station: str = "station", few: bool | None = None) -> DataFrame:
     """Adds ``observation_ids`` (distinct identities used) and ``observation_digest`` (sum of their numbers).
 
     The identity of a row is its source station (``source_station``, else the station), time and ``raw_sha256``. A decision uses its station's
@@ -203,7 +215,7 @@ def observation_lineage(contracts: DataFrame, observations: DataFrame, station:
     out = known_prefix(
         contracts, first, [station], _just_after(F.col("target_time_utc")), F.col("decision_ts"), F.col("valid_utc"), F.col("receipt_utc"), {
             "observation_ids": Running("sum", F.lit(1)),
-            "observation_digest": Running("sum", _id_number([F.col("__source"), F.unix_micros("valid_utc"), F.col("raw_sha256")]))})
+            "observation_digest": Running("sum", _id_number([F.col("__source"), F.unix_micros("valid_utc"), F.col("raw_sha256")]))}, few=few)
     return out.withColumns({n: F.coalesce(F.col(n), F.lit(0)).cast("long") for n in ("observation_ids", "observation_digest")})
 
 
@@ -223,12 +235,19 @@ def run_lineage(contracts: DataFrame, forecasts: DataFrame) -> DataFrame:
 
 
 def slope_features(states: DataFrame, observations: DataFrame, station: str = "station",
-                   minutes: Sequence[int] = SLOPE_MINUTES) -> DataFrame:
+                   minutes: Sequence[int] = SLOPE_MINUTES, few: bool | None = None) -> DataFrame:
     """Slopes back from the latest known observation: its value less the value k minutes before, over k.
 
     The earlier value, too, must have been received by the decision.
     """
     points = observations.where(F.col("temperature_f").isNotNull())
+    if few is None:
+        return by_size(states, points, [station], FEW, lambda l, r, some: slope_features(l, r, station, minutes, some))
+    if few:
+        found = _with_points(states, points, station)
+        back = {k: _just_after(F.col("latest_valid_utc") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(k))) for k in minutes}
+        return found.select(*states.columns, *[
+            ((F.col("temperature_latest") - _newest(at).getField("v")) / k).alias(f"temperature_slope_{k}m") for k, at in back.items()])
     states = cut_lineage(states)
     asks = states.where(F.col("latest_valid_utc").isNotNull()).select(
         station, "decision_ts", "latest_valid_utc", F.explode(F.array(*[F.lit(k) for k in minutes])).alias("__k")).distinct()
@@ -241,9 +260,14 @@ def slope_features(states: DataFrame, observations: DataFrame, station: str = "s
         ((F.col("temperature_latest") - F.col(f"__prior_{k}")) / k).alias(f"temperature_slope_{k}m") for k in minutes])
 
 
-def acceleration_feature(states: DataFrame, observations: DataFrame, station: str = "station") -> DataFrame:
+def acceleration_feature(states: DataFrame, observations: DataFrame, station: str = "station", few: bool | None = None) -> DataFrame:
     """Second difference of the last three observed instants known at the decision, NULL where there are fewer."""
     points = observations.where(F.col("temperature_f").isNotNull())
+    if few is None:
+        return by_size(states, points, [station], FEW, lambda l, r, some: acceleration_feature(l, r, station, some))
+    if few:
+        found = _with_points(states, points, station).withColumn("__one", _newest(F.col("latest_valid_utc"))).withColumn("__two", _newest(F.col("__one.t")))
+        return found.select(*states.columns, (F.col("temperature_latest") - 2 * F.col("__one.v") + F.col("__two.v")).alias("temperature_slope_acceleration"))
     states = cut_lineage(states)
     asks = states.where(F.col("latest_valid_utc").isNotNull()).select(station, "decision_ts", "latest_valid_utc").distinct()
     one = cut_lineage(_newest_before(asks, points, station, F.col("latest_valid_utc"), "__one").where(F.col("__one").isNotNull()))

@@ -9,12 +9,17 @@ carried into it by a join on (key, segment). Results equal those of the plain wi
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
+#: Rows of a key that an array may hold, and rows of a key that one task may order; keys with more are cut into segments or ranges.
+FEW, ONE_TASK = 1024, 1 << 18
+
 SEGMENT = "__segment"
 INSTANT = "__instant"
 WANTED = "__wanted"
@@ -172,6 +177,58 @@ def asof_scan(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: C
     return asked.join(answers, match, "left").select(*left.columns, *kinds)
 
 
+def by_size(left: DataFrame, right: DataFrame, on: Sequence[str], limit: int, build: Callable[[DataFrame, DataFrame, bool], DataFrame],
+            both: bool = False) -> DataFrame:
+    """``build(left, right, few)`` once for the keys with at most ``limit`` rows and once for the others, if there are any.
+
+    The rows of ``right`` count, with ``both`` those of both sides. Rows without a key go with the few.
+    """
+    keys = list(on)
+    rows = right.select(*keys).unionAll(left.select(*keys)) if both else right.select(*keys)
+    large = cut_lineage(rows.dropna().groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > limit).select(*keys))
+    if large.isEmpty():
+        return build(left, right, True)
+    # Each part reads it, and the parts of later steps would read it through all earlier ones.
+    left = left if hasattr(left, "tidemark_folder") else cut_lineage(left)
+    parts = [build(left.join(large, keys, how), right.join(large, keys, how), how == "left_anti") for how in ("left_anti", "left_semi")]
+    return parts[0].unionByName(parts[1])
+
+
+def with_rows(left: DataFrame, right: DataFrame, on: Sequence[str], name: str, **fields: Column) -> DataFrame:
+    """``left`` with all right rows of its key as array ``name`` of structs; rows without a key take no part."""
+    keys = list(on)
+    arrays = right.select(*keys, F.struct(*[value.alias(n) for n, value in fields.items()]).alias(name)).dropna(subset=keys).groupBy(*keys).agg(
+        F.collect_list(name).alias(name))
+    return left.join(arrays, keys, "left").select(*left.columns, name)
+
+
+def _asof_window(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: Column, right_time: Column,
+                 values: Mapping[str, Running], inclusive: bool) -> DataFrame:
+    """``asof_scan``, backward and without ``last``, by one window over each key."""
+    keys = list(on)
+    asked = left.select(*left.columns, left_time.alias(INSTANT), F.lit(inclusive).alias(SEGMENT), F.lit(True).alias(WANTED))
+    facts = right.select(*keys, right_time.alias(INSTANT), F.lit(not inclusive).alias(SEGMENT), *[spec.value.alias(f"__value_{name}") for name, spec in values.items()])
+    facts = facts.dropna(subset=[*keys, INSTANT])
+    upto = Window.partitionBy(*keys).orderBy(INSTANT, SEGMENT).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    line = asked.unionByName(facts, allowMissingColumns=True)
+    usable = F.col(INSTANT).isNotNull()
+    for key in keys:
+        usable = usable & F.col(key).isNotNull()
+    return line.select(*line.columns, *[F.when(usable, _windowed(spec.kind, F.col(f"__value_{name}")).over(upto)).alias(name) for name, spec in values.items()]).where(
+        F.col(WANTED)).select(*left.columns, *values)
+
+
+def asof_by_size(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: Column, right_time: Column,
+                 values: Mapping[str, Running], *, inclusive: bool = True, segment: str = "hour") -> DataFrame:
+    """``asof_scan`` backward, without ``last``: keys that one task can order are shuffled once, the others are cut into segments."""
+    def build(asks: DataFrame, facts: DataFrame, few: bool) -> DataFrame:
+        if few:
+            return _asof_window(asks, facts, on, left_time, right_time, values, inclusive)
+        return asof_scan(asks, facts, on, left_time, right_time, values, inclusive=inclusive, segment=segment)
+
+    return by_size(left, right, on, ONE_TASK, build, both=True)
+
+
 def asof_join(left: DataFrame, right: DataFrame, on: Sequence[str], left_time: Column,
               right_time: Column, columns: Mapping[str, Column], tie: Sequence[Column] = (), *,
               inclusive: bool = True, backward: bool = True, segment: str = "hour",
@@ -267,32 +324,81 @@ def _rejoined(left: DataFrame, answers: DataFrame, keys: Sequence[str], axis: Co
     return asked.join(renamed, match, "left").select(*left.columns, *names)
 
 
+def _met(facts: DataFrame, points: DataFrame, keys: Sequence[str], name: str, strict: bool) -> DataFrame:
+    """``facts`` with ``name`` moved on to the first of the key's ``points`` that is not before it (``strict``: that is after it); without such a point a fact is dropped."""
+    line = facts.withColumn(WANTED, F.lit(True)).unionByName(
+        points.select(*keys, F.col("__point").alias(name), F.col("__point")).dropna().distinct(), allowMissingColumns=True).withColumn(SEGMENT, F.date_trunc("hour", F.col(name)))
+    # Backwards in time; of one instant the points come first, or last where they must be later than the fact.
+    order = [F.col(name).desc(), F.col("__point").asc_nulls_first() if strict else F.col("__point").asc_nulls_last()]
+    seen = Window.partitionBy(*keys, SEGMENT).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summary = line.groupBy(*keys, SEGMENT).agg(F.min("__point").alias("__point"))
+    later = _carry(summary, keys, {"__point": "last"}, ascending=False)
+    local = line.withColumn("__point", F.min("__point").over(seen)).where(F.col(WANTED))
+    point = F.coalesce("__point", "__carry___point")
+    moved = local.join(later, [*keys, SEGMENT], "left").withColumn(name, point).where(F.col(name).isNotNull())
+    return moved.select(*facts.columns)
+
+
+def _merged(left: DataFrame, facts: DataFrame, keys: Sequence[str], axis: Column, clock: Column, kinds: Mapping[str, str]) -> DataFrame:
+    """Facts that no ask of their key tells apart become one: both clocks move on to the next ones asked for.
+
+    A key with few asks thus keeps few facts, however many it has.
+    """
+    asks = left.select(*keys, axis.cast("timestamp").alias("__axis"), clock.cast("timestamp").alias("__clock")).dropna()
+    combined = [_windowed(kind, F.col(name)).alias(name) for name, kind in kinds.items()]
+    facts = _met(facts, asks.select(*keys, F.col("__clock").alias("__point")), keys, "__c", False)
+    facts = _met(facts, asks.select(*keys, F.col("__axis").alias("__point")), keys, "__a", True)
+    # Just before the limit, which excludes itself.
+    return facts.groupBy(*keys, F.timestamp_micros(F.unix_micros("__a") - 1).alias("__a"), "__c").agg(*combined)
+
+
 def known_prefix(left: DataFrame, right: DataFrame, on: Sequence[str], axis: Column, clock: Column,
-                 right_axis: Column, right_clock: Column, values: Mapping[str, Running], *, segment: str = "year") -> DataFrame:
+                 right_axis: Column, right_clock: Column, values: Mapping[str, Running], *, segment: str = "year",
+                 few: bool | None = None) -> DataFrame:
     """Running values over right rows that are both before an axis limit and already published.
 
     A right row counts when ``right_axis < axis`` and ``right_clock <= clock``: two orders at once,
-    which one scan cannot follow. Receipts are cut into dyadic ranges (``_dyadic``); within a range every row has been received, so one
+    which one scan cannot follow. The rows of a key with at most ``FEW`` of them travel as one array, of which each left row takes those it may use, so both sides are
+    shuffled once. Of larger keys, rows that no ask tells apart are merged, and receipts are cut into dyadic ranges (``_dyadic``); within a
+    range every row has been received, so one
     as-of lookup along the axis answers it, and the answers of an ask's ranges are merged. Rows are copied
     log-many times whatever the order in which they were received; nothing is laid out by the calendar.
-    Of rows of one axis point, ``last`` takes the greatest ``tie``, then the greatest value.
+    Of rows of one axis point, ``last`` takes the greatest ``tie``, then the greatest value. ``few`` tells that all keys are of the one or the other kind.
     """
     keys = list(on)
-
-    def merged(kind: str, value: Column) -> Column:
-        return _windowed("max" if kind == "last" else kind, value)
-
+    if few is None:
+        return by_size(left, right, keys, FEW, lambda asks, facts, some: known_prefix(
+            asks, facts, keys, axis, clock, right_axis, right_clock, values, segment=segment, few=some))
+    kinds = {name: "max" if spec.kind == "last" else spec.kind for name, spec in values.items()}
     payload = {}
     for name, spec in values.items():
         ranked = F.struct(right_axis.cast("timestamp").alias("a"), *[t.alias(f"t{i}") for i, t in enumerate(spec.tie)], spec.value.alias("v"))
         payload[name] = F.when(spec.value.isNotNull(), ranked) if spec.kind == "last" else spec.value
-    asked, facts = _dyadic(left, right, keys, axis, clock, right_axis, right_clock, payload, segment)
+
+    def read(name: str, found: Column) -> Column:
+        return (found.getField("v") if values[name].kind == "last" else found).alias(name)
+
+    facts = right.select(*keys, right_axis.cast("timestamp").alias("__a"), right_clock.cast("timestamp").alias("__c"), *[value.alias(name) for name, value in payload.items()])
+    facts = facts.dropna(subset=[*keys, "__a", "__c"])
+    if few:
+        sums = facts.select(*[F.sum(name).alias(name) for name, kind in kinds.items() if kind == "sum"]).schema
+        asked = left.withColumns({"__axis": axis.cast("timestamp"), "__clock": clock.cast("timestamp")})
+        held = with_rows(asked, facts, keys, "__rows", **{name: F.col(name) for name in ("__a", "__c", *values)})
+        held = held.withColumn("__rows", F.filter("__rows", lambda x: (x["__a"] < F.col("__axis")) & (x["__c"] <= F.col("__clock"))))
+
+        def folded(name: str, kind: str) -> Column:
+            items = F.transform("__rows", lambda x: x[name].cast(sums[name].dataType) if kind == "sum" else x[name])
+            if kind == "sum":
+                return F.aggregate(items, F.lit(None).cast(sums[name].dataType), lambda a, x: F.coalesce(a + x, a, x))
+            return F.array_max(items) if kind == "max" else F.array_min(items)
+
+        return held.select(*left.columns, *[read(name, folded(name, kind)) for name, kind in kinds.items()])
+    facts = _merged(left, facts, keys, axis, clock, kinds)
+    asked, facts = _dyadic(left, facts, keys, axis, clock, F.col("__a"), F.col("__c"), {name: F.col(name) for name in values}, segment)
     found = asof_scan(asked, facts, [*keys, SLOT], F.col("__axis").cast("timestamp"), F.col("__a"),
-                      {name: Running("max" if spec.kind == "last" else spec.kind, F.col(name)) for name, spec in values.items()},
-                      inclusive=False, segment=segment)
-    answers = found.groupBy(*keys, "__axis", "__clock").agg(*[merged(spec.kind, F.col(name)).alias(name) for name, spec in values.items()])
-    answers = answers.select(*keys, "__axis", "__clock", *[
-        (F.col(name).getField("v") if spec.kind == "last" else F.col(name)).alias(name) for name, spec in values.items()])
+                      {name: Running(kind, F.col(name)) for name, kind in kinds.items()}, inclusive=False, segment=segment)
+    answers = found.groupBy(*keys, "__axis", "__clock").agg(*[_windowed(kind, F.col(name)).alias(name) for name, kind in kinds.items()])
+    answers = answers.select(*keys, "__axis", "__clock", *[read(name, F.col(name)) for name in values])
     return _rejoined(left, answers, keys, axis, clock, list(values))
 
 
