@@ -195,3 +195,28 @@ def test_rows_that_no_ask_tells_apart_are_merged(spark):
     merged = timeline._merged(asks, facts, ["k"], F.col("target"), F.col("decision"), {"n": "sum"})
     # All that the last ask may use, of at most nine pairs of limits.
     assert merged.count() <= 9 and merged.agg(F.sum("n")).first()[0] == 300 * 60 - 5 + 1
+
+
+@pytest.mark.parametrize("rows_of_a_task", [20, 1 << 18])
+def test_order_statistics_of_small_and_large_pools(spark, monkeypatch, rows_of_a_task):
+    monkeypatch.setattr(quantiles, "ONE_TASK", rows_of_a_task)
+    rng = random.Random(9)
+    items = [(rng.choice(["a", "a", "a", "b", None]), rng.choice([None, START + dt.timedelta(minutes=rng.randrange(60))]), rng.choice([None, float("nan"), float("inf"), -0.0] + [float(rng.randrange(30)) for _ in range(9)])) for _ in range(120)]
+    states = [(k, START + dt.timedelta(minutes=m)) for k in ("a", "b", "c") for m in (-1, 3, 20, 59)]
+    found = quantiles.asof_order_statistics(spark.createDataFrame(states, "k string, t timestamp"), spark.createDataFrame(items, "k string, u timestamp, v double"), ["k"], "t", "u", "v", {
+        "low": F.lit(1), "third": F.floor(F.col("group_rows") / 3) + 1, "beyond": F.col("group_rows") + 1})
+    got = {(r.k, r.t): r for r in found.collect()}
+    pools = {(k, t): sorted(v for kk, u, v in items if kk == k and u and u <= t and v is not None and v == v) for k, t in states}
+    assert set(got) == {x for x, pool in pools.items() if pool}
+    for x, r in got.items():
+        pool = pools[x]
+        assert (r.group_rows, r.low, r.third, r.beyond) == (len(pool), pool[0], pool[len(pool) // 3], None)
+
+
+def test_small_pools_are_shuffled_once(spark):
+    states = spark.range(500).select((F.col("id") % 7).alias("k"), F.timestamp_seconds("id").alias("t"))
+    items = states.select("k", F.col("t").alias("u"), F.rand(1).alias("v"))
+    found = quantiles.asof_medians(states, items, ["k"], "t", "u", "v")
+    assert exchanges(found) == 1 and found.count() == 500
+    counted = timeline.asof_by_size(states, items, ["k"], F.col("t"), F.col("u"), {"n": Running("sum", F.lit(1))}, inclusive=False)
+    assert exchanges(counted) == 1 and counted.agg(F.sum(F.coalesce("n", F.lit(0)))).first()[0] == sum(i // 7 for i in range(500))

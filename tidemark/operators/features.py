@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clocks, numeric
-from ..session import cut_lineage
+from ..session import cut_lineage, release
 from .filters import REASON, all_reasons, first_reason, split
 from .quantiles import asof_quantiles
-from .timeline import FEW, Running, asof_join, asof_scan, by_size, known_prefix, with_rows
+from .timeline import FEW, Running, asof_by_size, asof_join, by_size, known_prefix, with_rows
 
 # Latency scenarios a policy may define.
 SCENARIOS = ("optimistic", "base", "conservative", "highly_conservative")
@@ -219,18 +219,25 @@ def observation_lineage(contracts: DataFrame, observations: DataFrame, station:
     return out.withColumns({n: F.coalesce(F.col(n), F.lit(0)).cast("long") for n in ("observation_ids", "observation_digest")})
 
 
-def run_lineage(contracts: DataFrame, forecasts: DataFrame) -> DataFrame:
+def _instants(contracts: DataFrame) -> DataFrame:
+    """What contracts ask of the forecasts: those that agree in it are answered once."""
+    return contracts.select("target_time_utc", "decision_ts").dropna().distinct()
+
+
+def run_lineage(contracts: DataFrame, forecasts: DataFrame, asks: DataFrame | None = None) -> DataFrame:
     """Adds ``source_run_ids`` and ``source_run_digest`` of the runs behind the forecasts of a contract's target.
 
     A run is named by model, city, initialization_time_utc and sha256, as far as the forecasts have them; one without an
-    initialisation has no name. It counts from its first receipt. See ``observation_lineage`` for why there is no list.
+    initialisation has no name. It counts from its first receipt. See ``observation_lineage`` for why there is no list. ``asks``: the
+    instants of the contracts, if they are at hand.
     """
     names = [c for c in ("model", "city", "initialization_time_utc", "sha256") if c in forecasts.columns]
     parts = [F.unix_micros(F.col(c).cast("timestamp")) if c == "initialization_time_utc" else F.col(c) for c in names]
     first = forecasts.where(F.col("initialization_time_utc").isNotNull()).groupBy("target_time_utc", *names).agg(
         F.min("source_receipt_time").alias("source_receipt_time"))
-    out = asof_scan(contracts, first, ["target_time_utc"], F.col("decision_ts"), F.col("source_receipt_time"), {
+    found = asof_by_size(_instants(contracts) if asks is None else asks, first, ["target_time_utc"], F.col("decision_ts"), F.col("source_receipt_time"), {
         "source_run_ids": Running("sum", F.lit(1)), "source_run_digest": Running("sum", _id_number(parts))})
+    out = contracts.join(found, ["target_time_utc", "decision_ts"], "left").select(*contracts.columns, "source_run_ids", "source_run_digest")
     return out.withColumns({n: F.coalesce(F.col(n), F.lit(0)).cast("long") for n in ("source_run_ids", "source_run_digest")})
 
 
@@ -277,33 +284,36 @@ def acceleration_feature(states: DataFrame, observations: DataFrame, station: st
     return out.select(*states.columns, (F.col("temperature_latest") - 2 * F.col("__v1") + F.col("__v2")).alias("temperature_slope_acceleration"))
 
 
-def forecast_summary(contracts: DataFrame, forecasts: DataFrame) -> DataFrame:
-    """Spread and quantiles of the forecasts that are about a contract's target and arrived by its decision.
+def forecast_counts(contracts: DataFrame, forecasts: DataFrame, asks: DataFrame | None = None) -> DataFrame:
+    """Count and moments of the forecasts that are about a contract's target and arrived by its decision.
 
-    ``forecast_count`` counts rows, ``forecast_member_count`` those with a finite value. Between two receipts the pool of a target does not
-    change, so its quantiles are found once per receipt.
+    ``forecast_count`` counts rows, ``forecast_member_count`` those with a finite value. ``asks``: the instants of the contracts, if they are at hand.
     """
     value = finite(F.col("value"))
-    target, receipt = ["target_time_utc"], "source_receipt_time"
-    out = cut_lineage(asof_scan(
-        contracts, forecasts, target, F.col("decision_ts"), F.col(receipt), {
+    found = asof_by_size(
+        _instants(contracts) if asks is None else asks, forecasts, ["target_time_utc"], F.col("decision_ts"), F.col("source_receipt_time"), {
             "__rows": Running("sum", F.lit(1)), "__n": Running("sum", F.when(value.isNotNull(), 1)), "__sum": Running("sum", value),
-            "__square": Running("sum", value * value), "__release": Running("max", F.when(value.isNotNull(), F.col(receipt))),
-            "forecast_min": Running("min", value), "forecast_max": Running("max", value),
-        }))
-    states = out.where(F.col("__release").isNotNull()).select(*target, "__release").distinct()
-    items = forecasts.select(*target, receipt, value.alias("__value"))
-    found = asof_quantiles(states, items, target, "__release", receipt, "__value", FORECAST_QUANTILES)
-    out = out.join(found.drop("group_rows"), [*target, "__release"], "left")
+            "__square": Running("sum", value * value), "forecast_min": Running("min", value), "forecast_max": Running("max", value),
+        })
     mean = F.col("__sum") / F.col("__n")
     spread = F.sqrt(F.greatest(F.col("__square") / F.col("__n") - mean * mean, F.lit(0.0)))
-    out = out.withColumns({
-        "forecast_mean": mean,
-        "forecast_std": F.when(F.col("forecast_min") == F.col("forecast_max"), 0.0).when(F.col("__n") > 0, spread),
-        "forecast_count": F.coalesce(F.col("__rows"), F.lit(0)).cast("long"),
-        "forecast_member_count": F.col("__n").cast("long"),
-        "forecast_iqr": F.col("__q75") - F.col("__q25"),
-    })
+    return contracts.join(found, ["target_time_utc", "decision_ts"], "left").select(
+        *contracts.columns, "forecast_min", "forecast_max", mean.alias("forecast_mean"),
+        F.when(F.col("forecast_min") == F.col("forecast_max"), 0.0).when(F.col("__n") > 0, spread).alias("forecast_std"),
+        F.coalesce(F.col("__rows"), F.lit(0)).cast("long").alias("forecast_count"), F.col("__n").cast("long").alias("forecast_member_count"))
+
+
+def forecast_spread(contracts: DataFrame, forecasts: DataFrame) -> DataFrame:
+    """Quantiles of the finite values behind ``forecast_counts``; contracts that ask for the same target at the same instant are answered once."""
+    states = _instants(contracts.where(F.col("forecast_member_count") > 0))
+    items = forecasts.select("target_time_utc", "source_receipt_time", finite(F.col("value")).alias("__value"))
+    found = asof_quantiles(states, items, ["target_time_utc"], "decision_ts", "source_receipt_time", "__value", FORECAST_QUANTILES)
+    return contracts.join(found.drop("group_rows"), ["target_time_utc", "decision_ts"], "left").withColumn("forecast_iqr", F.col("__q75") - F.col("__q25")).drop("__q25", "__q75")
+
+
+def forecast_summary(contracts: DataFrame, forecasts: DataFrame) -> DataFrame:
+    """Spread and quantiles of the forecasts that are about a contract's target and arrived by its decision."""
+    out = forecast_spread(cut_lineage(forecast_counts(contracts, forecasts)), forecasts)
     return out.select(*contracts.columns, "forecast_min", "forecast_max", "forecast_mean", "forecast_std", "forecast_count", *FORECAST_SPREAD)
 
 
@@ -328,14 +338,17 @@ def decision_features(contracts: DataFrame, observations: DataFrame, forecasts:
     first_obs = observations.groupBy("station").agg(
         F.min("valid_utc").alias("__first_valid"), F.count(F.lit(1)).alias("__station_rows"))
     fc_any = forecasts.groupBy("target_time_utc").agg(F.count(F.lit(1)).alias("__target_rows"))
-    out = checked.join(first_obs, "station", "left").join(fc_any, "target_time_utc", "left")
-    out = slope_features(observation_features(cut_lineage(out), observations), observations)
-    out = acceleration_feature(out, observations)
-    out = forecast_summary(cut_lineage(out), forecasts)
-    if "raw_sha256" in observations.columns:
-        out = observation_lineage(cut_lineage(out), observations)
-    if "initialization_time_utc" in forecasts.columns:
-        out = run_lineage(out, forecasts)
+    base = cut_lineage(checked.join(first_obs, "station", "left").join(fc_any, "target_time_utc", "left"))
+
+    def observed(asks: DataFrame, rows: DataFrame, few: bool) -> DataFrame:
+        found = slope_features(observation_features(asks, rows, few=few), rows, few=few)
+        found = acceleration_feature(found, rows, few=few)
+        return observation_lineage(found, rows, few=few) if "raw_sha256" in observations.columns else found
+
+    instants = _instants(base)
+    out = forecast_counts(by_size(base, observations, ["station"], FEW, observed), forecasts, instants)
+    out = cut_lineage(run_lineage(out, forecasts, instants) if "initialization_time_utc" in forecasts.columns else out)
+    release(base, observations)
     has_obs = F.coalesce(F.col("observation_count"), F.lit(0)) > 0
     has_fc = F.col("forecast_count") > 0
     late_obs = F.coalesce(F.col("__first_valid") <= F.col("target_time_utc"), F.lit(False))
@@ -367,9 +380,15 @@ def decision_features(contracts: DataFrame, observations: DataFrame, forecasts:
     ])
     covariates = [F.col("covariates").getField(c).alias(c) for c in COVARIATES if c in observations.columns]
     fields = sorted([(c, F.col(c)) for c in payload] + list(zip([c for c in COVARIATES if c in observations.columns], covariates)), key=lambda f: f[0])
-    out = out.withColumn("features_json", F.to_json(F.struct(*[c for _, c in fields]))).withColumn("station", F.col("__given")).drop(
-        "__bad", "__first_valid", "__station_rows", "__target_rows", "__given", "covariates")
-    return split(out)
+
+    def finished(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("features_json", F.to_json(F.struct(*[c for _, c in fields]))).withColumn("station", F.col("__given")).drop(
+            "__bad", "__first_valid", "__station_rows", "__target_rows", "__given", "covariates")
+
+    # Quantiles are searched for when the rows are read; few rejected rows have forecasts, so of these only the targets that do are read.
+    good, bad = split(out)
+    targets = bad.where(F.col("forecast_member_count") > 0).select("target_time_utc").distinct()
+    return finished(forecast_spread(good, forecasts)), finished(forecast_spread(bad, forecasts.join(targets, "target_time_utc", "left_semi")))
 
 
 def ensemble_features(members: DataFrame, keys: Sequence[str], thresholds: Sequence[float],

@@ -10,11 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .timeline import Running, asof_scan, row_numbers
+from .timeline import ONE_TASK, Running, asof_scan, by_size, row_numbers
 
 DIGIT_BITS = 16
 
@@ -110,8 +112,69 @@ def floor_index_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     return order_statistics(df, keys, value, ranks)
 
 
+def prefix_ranks(values: np.ndarray, sizes: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+    """The ``ranks``-th smallest (from 1) of the first ``sizes`` values; NaN outside of them.
+
+    The values' places in order are split bit by bit, the highest first, each time with the zeros in front (a wavelet matrix). How many zeros a prefix
+    has tells the bit of the place looked for, so all prefixes are searched together in as many steps as a place has bits.
+    """
+    inside = (ranks >= 1) & (ranks <= sizes)
+    order = np.argsort(values, kind="stable")
+    places = np.empty(len(values), np.int64)
+    places[order] = np.arange(len(values))
+    low, high, left, found = (np.zeros(int(inside.sum()), np.int64) for _ in range(4))
+    high += sizes[inside]
+    left += ranks[inside] - 1
+    for bit in range(max(len(values) - 1, 1).bit_length() - 1, -1, -1):
+        ones = (places >> bit & 1).astype(bool)
+        zeros = np.concatenate(([0], np.cumsum(~ones)))
+        from_low, to_high = zeros[low], zeros[high]
+        up = left >= to_high - from_low
+        left -= np.where(up, to_high - from_low, 0)
+        found += up.astype(np.int64) << bit
+        low, high = np.where(up, zeros[-1] + low - from_low, from_low), np.where(up, zeros[-1] + high - to_high, to_high)
+        places = np.concatenate((places[~ones], places[ones]))
+    out = np.full(len(ranks), np.nan)
+    out[inside] = values[order[found]]
+    return out
+
+
+def _ranked(states: DataFrame, items: DataFrame, on: Sequence[str], state_time: str, item_time: str, number: Column, ranks: dict[str, Column]) -> DataFrame:
+    """``asof_order_statistics`` of keys that fit a task: states and items come together once, in order of time."""
+    keys = list(on)
+    asked = states.select(*keys, state_time, F.col(state_time).cast("timestamp").alias("__at"), F.lit(0).alias("__item"))
+    facts = items.select(*keys, F.col(item_time).cast("timestamp").alias("__at"), F.lit(1).alias("__item"), number.alias("__v")).where(
+        F.col("__v").isNotNull() & ~F.isnan("__v"))
+    line = asked.unionByName(facts, allowMissingColumns=True).dropna(subset=[*keys, "__at"])
+    # Of one instant the items come first, so a state's rows before it are its pool.
+    upto = Window.partitionBy(*keys).orderBy("__at", F.desc("__item")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    line = line.withColumn("group_rows", F.sum("__item").over(upto))
+    line = line.select(*keys, state_time, "group_rows", F.col("__item") == 1, "__v", *[r.cast("long").alias(name) for name, r in ranks.items()]).toDF(
+        *keys, state_time, "group_rows", "__item", "__v", *ranks)
+    head = line.select(*keys, state_time, "group_rows")
+    kind = f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in head.schema)}, {', '.join(f'`{name}` double' for name in ranks)}"
+
+    names = list(ranks)
+
+    def search(group: pa.Table) -> pa.Table:
+        item = group.column("__item").to_numpy()
+        pool = group.filter(pa.array(item))
+        values = pool.column("__v").to_numpy()[np.argsort(pool.column("group_rows").to_numpy(), kind="stable")]
+        wanted = group.filter(pa.array(~item))
+        wanted = wanted.filter(pa.array(wanted.column("group_rows").to_numpy() > 0))
+        sizes = wanted.column("group_rows").to_numpy()
+        found = wanted.select([*keys, state_time, "group_rows"])
+        for name in names:
+            rank = wanted.column(name).to_pandas().fillna(0).to_numpy(np.int64)
+            values_at = prefix_ranks(values, sizes, rank)
+            found = found.append_column(name, pa.array(values_at, pa.float64(), mask=np.isnan(values_at)))
+        return found
+
+    return line.groupBy(*keys).applyInArrow(search, kind)
+
+
 def asof_order_statistics(states: DataFrame, items: DataFrame, on: Sequence[str], state_time: str, item_time: str,
-                          value: str, ranks: dict[str, Column], *, digit: int = 16, segment: str = "day") -> DataFrame:
+                          value: str, ranks: dict[str, Column], *, digit: int = 16, segment: str = "day", few: bool | None = None) -> DataFrame:
     """Values at 1-based ranks among all items of the key released at or before each state's instant.
 
     ``states`` is distinct on (``on``, ``state_time``); each rank is a Column over ``group_rows``, the size of the pool by then.
@@ -119,8 +182,15 @@ def asof_order_statistics(states: DataFrame, items: DataFrame, on: Sequence[str]
     numbers. One as-of lookup a level returns how many items of each child of the node found so far had been released, as ``digit``
     running counts, so a wanted rank is one ask a level. Values may be of any size and as close as doubles can be.
     NULL and NaN values and items without a release take no part; a state without items has no row; a rank outside the pool is NULL.
+    Keys with at most ``ONE_TASK`` states and items are shuffled once and searched in one task each (``prefix_ranks``).
     """
     number = F.col(value).cast("double") + F.lit(0.0)
+    if few is None:
+        there = items.where(number.isNotNull() & ~F.isnan(number) & F.col(item_time).isNotNull())
+        return by_size(states, there, on, ONE_TASK, lambda l, r, some: asof_order_statistics(
+            l, r, on, state_time, item_time, value, ranks, digit=digit, segment=segment, few=some), both=True)
+    if few:
+        return _ranked(states, items, on, state_time, item_time, number, ranks)
     facts = items.where(number.isNotNull() & ~F.isnan(number) & F.col(item_time).isNotNull()).groupBy(
         *on, item_time, number.alias("__v")).agg(F.count(F.lit(1)).alias("__w"))
     numbered = cut_lineage(row_numbers(

@@ -393,13 +393,14 @@ def known_prefix(left: DataFrame, right: DataFrame, on: Sequence[str], axis: Col
             return F.array_max(items) if kind == "max" else F.array_min(items)
 
         return held.select(*left.columns, *[read(name, folded(name, kind)) for name, kind in kinds.items()])
-    facts = _merged(left, facts, keys, axis, clock, kinds)
+    # Read from several branches below, which would each repeat the plan of both moves.
+    facts = cut_lineage(_merged(left, facts, keys, axis, clock, kinds))
     asked, facts = _dyadic(left, facts, keys, axis, clock, F.col("__a"), F.col("__c"), {name: F.col(name) for name in values}, segment)
     found = asof_scan(asked, facts, [*keys, SLOT], F.col("__axis").cast("timestamp"), F.col("__a"),
                       {name: Running(kind, F.col(name)) for name, kind in kinds.items()}, inclusive=False, segment=segment)
     answers = found.groupBy(*keys, "__axis", "__clock").agg(*[_windowed(kind, F.col(name)).alias(name) for name, kind in kinds.items()])
     answers = answers.select(*keys, "__axis", "__clock", *[read(name, F.col(name)) for name in values])
-    return _rejoined(left, answers, keys, axis, clock, list(values))
+    return _rejoined(left, cut_lineage(answers), keys, axis, clock, list(values))
 
 
 def known_latest(left: DataFrame, right: DataFrame, on: Sequence[str], axis: Column, clock: Column, right_axis: Column,
