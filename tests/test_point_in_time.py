@@ -115,3 +115,36 @@ def test_quantiles_of_a_growing_pool(spark):
         known = [v for _, u, v in data if u <= t.replace(tzinfo=start.tzinfo)]
         assert r.group_rows == len(known)
         assert [r.a, r.b, r.c] == pytest.approx([numpy.quantile(known, q) for q in (0.0, 0.37, 1.0)])
+
+
+def test_spatial_spread_equals_brute_force_without_pairs(spark, monkeypatch):
+    """Two groups, missing values, copies of an instant, a station of two groups; no row for each station of a decision's group is looked up."""
+    import random
+
+    rng, start = random.Random(4), ts("2026-07-01T00:00Z")
+    at = lambda n: start + dt.timedelta(minutes=rng.randrange(n))
+    stations = [("g", s) for s in range(30)] + [("h", s) for s in (3, 40)] + [(None, 1), ("h", None)]
+    seen = [(rng.choice([*range(31), 40, None]), at(600), rng.choice([None, *range(50)])) for _ in range(300)] + [(1, None, 9.0)]
+    seen = [(s, t, None if v is None else float(v)) for s, t, v in seen]
+    asks = [(i // 2 if i < 6 else i, rng.choice(["g", "g", "h", "x", None]), rng.choice([None, at(640), at(640), at(640)])) for i in range(120)]
+    real = joins.asof_join
+
+    def bounded(left, *args, **kwargs):
+        assert left.count() <= len(seen) + len(asks)
+        return real(left, *args, **kwargs)
+
+    monkeypatch.setattr(joins, "asof_join", bounded)
+    got = {r["decision_id"]: r for r in joins.spatial_spread(
+        spark.createDataFrame(asks, "decision_id int, group string, decision_time_utc timestamp"), spark.createDataFrame(stations, "group string, station int"),
+        spark.createDataFrame(seen, "station int, valid_utc timestamp, temperature_f double")).collect()}
+    want = {}
+    for i, group, when in asks:
+        for g, s in stations:
+            known = [(t, -1e9 if v is None else v) for k, t, v in seen if s is not None and k == s and t and when and t <= when]
+            if g and g == group and known:
+                want.setdefault(i, []).append(max(known)[1])
+    assert set(got) == set(want)
+    for i, latest in want.items():
+        values = [v for v in latest if v > -1e9]
+        assert (got[i]["station_count"], got[i]["spatial_range"]) == (len(values), max(values) - min(values) if values else None)
+        assert got[i]["spatial_mean"] == (pytest.approx(sum(values) / len(values)) if values else None)

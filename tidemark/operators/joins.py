@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import numeric
+from ..session import cut_lineage
 from .filters import REASON, first_reason, split
-from .timeline import Running, asof_join, asof_scan, keep_latest
+from .timeline import ONE_TASK, Running, asof_join, asof_scan, by_size, keep_latest, running_scan, time_segment
 
 
 def lookup_join(left: DataFrame, right: DataFrame, on: Sequence[str], last: Sequence[Column],
@@ -131,19 +132,58 @@ def within_radius(stations: DataFrame, cities: DataFrame, radius_km: float,
     return near.where(F.col("distance_km") <= radius_km).drop("__lat_cell", "__lon_cell")
 
 
+def _tree_node(level: Column, number: Column) -> Column:
+    return (level.cast("long") * F.lit(1 << 56) + number).alias("__node")
+
+
 def spatial_spread(decisions: DataFrame, stations: DataFrame, observations: DataFrame) -> DataFrame:
     """Range and mean over the latest temperature of every station of a group at each decision.
 
-    ``stations`` maps group to station. A station's latest value is found once per (decision,
-    station), then folded per decision.
+    ``stations`` maps group to station. A station's value holds from its instant until the station's next one. Per group the instants are numbered,
+    the span of each value is cut into dyadic ranges of numbers, at most two a level, and every range is reduced to one row; a decision reads the one
+    range of each level that its number lies in. So rows grow with the logarithm of the group's instants, not with its stations.
     """
-    asked = decisions.join(stations, "group")
-    latest = asof_join(
-        asked, observations, ["station"], F.col("decision_time_utc"), F.col("valid_utc"),
-        {"value": F.col("temperature_f")}, [F.col("temperature_f")], how="inner")
-    return latest.groupBy("decision_id").agg(
-        F.count("value").alias("station_count"),
-        (F.max("value") - F.min("value")).alias("spatial_range"), F.avg("value").alias("spatial_mean"))
+    newest = cut_lineage(observations.dropna(subset=["station", "valid_utc"]).groupBy("station", "valid_utc").agg(F.max("temperature_f").alias("value")))
+
+    def until(rows: DataFrame, same: DataFrame, few: bool) -> DataFrame:
+        if few:
+            return rows.withColumn("__until", F.lead("valid_utc").over(Window.partitionBy("station").orderBy("valid_utc")))
+        return asof_join(rows, same, ["station"], F.col("valid_utc"), F.col("valid_utc"), {"__until": F.col("valid_utc")}, inclusive=False, backward=False)
+
+    spans = cut_lineage(by_size(newest, newest, ["station"], ONE_TASK, until).join(stations, "station").where(F.col("group").isNotNull()).select("group", "value", "valid_utc", "__until"))
+    asks = decisions.select("group", "decision_time_utc").dropna().distinct()
+    # One line of instants and decisions numbers the ones and tells the others how many came before.
+    line = spans.select("group", F.col("valid_utc").alias("__at"), F.lit(1).alias("__own")).unionAll(
+        asks.select("group", F.col("decision_time_utc").cast("timestamp"), F.lit(0))).groupBy("group", "__at").agg(F.max("__own").alias("__own"))
+    numbers = cut_lineage(running_scan(line, ["group"], ["__at"], {"__no": Running("sum", F.col("__own"))}, time_segment("__at")).select(
+        "group", "__at", (F.col("__no") - 1).cast("long").alias("__no")))
+    last = numbers.groupBy("group").agg(F.max("__no").alias("__last"))
+
+    def number(name: str, at: str) -> DataFrame:
+        return numbers.select("group", F.col("__at").alias(at), F.col("__no").alias(name))
+
+    placed = spans.join(number("__from", "valid_utc"), ["group", "valid_utc"]).join(number("__to", "__until"), ["group", "__until"], "left").join(last, "group")
+    placed = placed.select("group", "value", "__from", F.coalesce("__to", F.col("__last") + 1).alias("__to"))
+    levels = F.sequence(F.lit(0), F.floor(F.log2(F.col("__to") - F.col("__from"))).cast("int"))
+    shift = lambda value, level: F.call_function("shiftright", value, level)
+    # Of the ranges of a level that lie in the span, one whose range of the next level does so too is left to that level.
+    first = lambda level: shift(F.col("__from") + F.call_function("shiftleft", F.lit(1).cast("long"), level) - 1, level)
+    beyond = lambda level: shift(F.col("__to"), level)
+    ranges = F.flatten(F.transform(levels, lambda level: F.filter(
+        F.array(F.when((first(level) < beyond(level)) & (first(level) % 2 == 1), F.struct(level.alias("level"), first(level).alias("number"))),
+                F.when((first(level) < beyond(level)) & (beyond(level) % 2 == 1), F.struct(level.alias("level"), (beyond(level) - 1).alias("number"))),
+                ), lambda x: x.isNotNull())))
+    nodes = placed.select("group", "value", F.explode(ranges).alias("__r")).groupBy(
+        "group", _tree_node(F.col("__r.level"), F.col("__r.number"))).agg(
+        F.count(F.lit(1)).alias("__rows"), F.count("value").alias("__n"), F.sum("value").alias("__sum"), F.max("value").alias("__high"), F.min("value").alias("__low"))
+    reach = asks.withColumn("__at", F.col("decision_time_utc").cast("timestamp")).join(numbers, ["group", "__at"]).join(last, "group").where(F.col("__no") >= 0)
+    above = F.explode(F.sequence(F.lit(0), F.floor(F.log2(F.col("__last") + 1)).cast("int"))).alias("__level")
+    asked = reach.select("group", "decision_time_utc", "__no", above).select("group", "decision_time_utc", _tree_node(F.col("__level"), shift(F.col("__no"), F.col("__level"))))
+    found = asked.join(nodes, ["group", "__node"]).groupBy("group", "decision_time_utc").agg(
+        *[F.sum(n).alias(n) for n in ("__rows", "__n", "__sum")], F.max("__high").alias("__high"), F.min("__low").alias("__low"))
+    # Decisions of one id are one.
+    return decisions.join(found, ["group", "decision_time_utc"]).groupBy("decision_id").agg(
+        F.sum("__n").alias("station_count"), (F.max("__high") - F.min("__low")).alias("spatial_range"), F.try_divide(F.sum("__sum"), F.sum("__n")).alias("spatial_mean"))
 
 
 def label_both_extremes(states: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
