@@ -311,3 +311,43 @@ def test_robustness_delays(spark):
     rows = spark.createDataFrame([(.8, 1, base + dt.timedelta(minutes=10), base, base, 3.0, .2, .06, 5.0, .2), (.8, 1, base + dt.timedelta(minutes=1), base, base, 3.0, .2, .06, 5.0, .2)], cols)
     got = {r.scenario: r.rows for r in evaluate.robustness(rows).collect()}
     assert got["feed_delay_2m"] == 1 and got["feed_delay_20m"] == 0 and got["wide_spread"] == 2
+
+
+def test_bootstrap_equals_brute_force_and_gathers_no_path_on_the_driver(spark):
+    import math
+    import random
+
+    from tidemark.operators import market
+
+    rng, sims, block = random.Random(3), 1500, 5
+    series = {"a": [rng.gauss(0, 0.02) for _ in range(123)], "b": [rng.gauss(0.001, 0.01) for _ in range(200)], "c": [0.1, None]}
+    rows = [(k, t, v) for k, values in series.items() for t, v in enumerate(values)] + [(None, 0, 1.0)]
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "8m")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")
+    try:
+        got = {r["strategy"]: r for r in market.block_bootstrap(spark.createDataFrame(rows, "strategy string, t long, value double"), sims, block).collect()}
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert set(got) == set(series)
+    for key, values in series.items():
+        n, ends, falls = len(values), [], []
+        for sim in range(sims):
+            level, peak, fall, any_row = 0.0, 0.0, 0.0, False
+            for slot in range(n):
+                start = (sim * 7919 + slot // block * 104729 + 12345) * 69069 % 2147483647 * 48271 % 2147483647 % n
+                value = values[(start + slot % block) % n]
+                if value is not None:
+                    any_row = True
+                    level += math.log1p(value)
+                    peak = max(peak, level)
+                    fall = max(fall, 1 - math.exp(level - peak))
+            if any_row:
+                ends.append(math.exp(level) - 1)
+                falls.append(fall)
+        ends.sort()
+        falls.sort()
+        m = len(ends)
+        assert got[key]["simulations"] == m
+        assert got[key]["terminal_return_p05"] == pytest.approx(ends[int(0.05 * (m - 1))]) and got[key]["terminal_return_median"] == pytest.approx(ends[int(0.5 * (m - 1))])
+        assert got[key]["max_drawdown_p95"] == pytest.approx(falls[int(0.95 * (m - 1))]) and got[key]["probability_of_loss"] == pytest.approx(sum(e < 0 for e in ends) / m)

@@ -128,6 +128,12 @@ def allocate_event(candidates: DataFrame, bankroll: float, max_loss_fraction: fl
     return out.withColumn("allocation_dollars", F.when(over, F.col("contracts") * net).otherwise(F.col("allocation_dollars"))).drop("__total")
 
 
+def _block_start(sim: Column, block: Column, n: Column, seed: int) -> Column:
+    """Where a block of a resample starts: an integer mix, the same on every run."""
+    mixed = (sim * 7919 + block * 104729 + F.lit(seed) * 15485863 + 12345) * 69069 % 2147483647
+    return mixed * 48271 % 2147483647 % n
+
+
 def _draws(n: DataFrame, simulations: int, block: int, seed: int, keys: Sequence[str] = ()) -> DataFrame:
     """(keys, sim, slot, t): circular moving blocks whose starts come from an integer mix, the same on every run.
 
@@ -135,8 +141,7 @@ def _draws(n: DataFrame, simulations: int, block: int, seed: int, keys: Sequence
     """
     starts = n.withColumn("sim", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(simulations - 1).cast("long")))).withColumn(
         "block", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / block) - 1)))
-    mixed = (F.col("sim") * 7919 + F.col("block") * 104729 + F.lit(seed) * 15485863 + 12345) * 69069 % 2147483647
-    starts = starts.withColumn("start", mixed * 48271 % 2147483647 % F.col("n"))
+    starts = starts.withColumn("start", _block_start(F.col("sim"), F.col("block"), F.col("n"), seed))
     slots = starts.withColumn("offset", F.explode(F.sequence(F.lit(0), F.lit(block - 1))))
     return slots.select(
         *keys, "sim", (F.col("block") * block + F.col("offset")).alias("slot"), ((F.col("start") + F.col("offset")) % F.col("n")).alias("t"), "n"
@@ -146,16 +151,30 @@ def _draws(n: DataFrame, simulations: int, block: int, seed: int, keys: Sequence
 def block_bootstrap(returns: DataFrame, simulations: int = 1000, block_size: int = 5, seed: int = 0, key: str = "strategy") -> DataFrame:
     """Terminal return and drawdown tails of every strategy's return series by moving-block resampling.
 
-    ``returns`` has the key, t (0 upwards per key) and value, one row per period, so a path is as long as the calendar.
+    ``returns`` has the key, t (0 upwards per key) and value, one row per period, so a path is as long as the calendar. A strategy's
+    log returns travel as one array, which each resample reads in its own order: the periods of the paths are never rows.
     """
-    n = returns.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    paths = _draws(n, simulations, block_size, seed, [key]).join(returns.select(key, "t", "value"), [key, "t"])
-    ends = paths.groupBy(key, "sim").agg((F.exp(F.sum(F.log1p("value"))) - 1).alias("terminal"))
-    order = Window.partitionBy(key, "sim").orderBy("slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    level = paths.withColumn("__level", F.sum(F.log1p("value")).over(order))
-    level = level.withColumn("__peak", F.greatest(F.max("__level").over(order), F.lit(0.0)))
-    falls = level.groupBy(key, "sim").agg(F.max(F.lit(1.0) - F.exp(F.col("__level") - F.col("__peak"))).alias("drawdown"))
-    sims = cut_lineage(ends.join(falls, [key, "sim"]))
+    periods = returns.where(F.col(key).isNotNull()).groupBy(key, "t").agg(F.sum(F.log1p("value")).alias("log"), F.count(F.lit(1)).alias("rows"))
+    series = periods.groupBy(key).agg(F.sum("rows").alias("n"), F.max("t").alias("last"), F.sort_array(F.collect_list(F.struct("t", "log"))).alias("periods"))
+    # Periods without a row are gaps: a draw of one changes nothing.
+    whole = (F.col("last") == F.size("periods") - 1) & (F.col("periods")[0]["t"] == 0)
+    at = F.map_from_entries(F.filter("periods", lambda p: p["t"].isNotNull()))
+    logs = F.when(whole, F.transform("periods", lambda p: p["log"])).otherwise(
+        F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda t: at[t.cast(returns.schema["t"].dataType)]))
+    sims = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(simulations - 1).cast("long"))).alias("sim")
+    paths = series.select(key, "n", logs.alias("logs")).select(key, "n", "logs", sims).repartition(key, "sim")
+
+    def step(state: Column, slot: Column) -> Column:
+        start = _block_start(F.col("sim"), F.floor(slot / block_size), F.col("n"), seed)
+        log = F.get("logs", ((start + slot % block_size) % F.col("n")).cast("int"))
+        level = F.coalesce(state["level"] + log, state["level"], log)
+        peak = F.greatest(state["peak"], level, F.lit(0.0))
+        return F.struct(level.alias("level"), peak.alias("peak"), F.greatest(state["drawdown"], F.lit(1.0) - F.exp(level - peak)).alias("drawdown"))
+
+    none = F.lit(None).cast("double")
+    walked = F.aggregate(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), F.struct(none.alias("level"), none.alias("peak"), none.alias("drawdown")), step)
+    sims = cut_lineage(paths.select(key, "sim", walked.alias("end")).select(
+        key, "sim", (F.exp("end.level") - 1).alias("terminal"), F.col("end.drawdown").alias("drawdown")))
     terminal = floor_index_quantiles(sims, [key], "terminal", {"terminal_return_p05": 0.05, "terminal_return_median": 0.5})
     drop = floor_index_quantiles(sims, [key], "drawdown", {"max_drawdown_p95": 0.95}).drop("group_rows")
     loss = sims.groupBy(key).agg(F.avg((F.col("terminal") < 0).cast("double")).alias("probability_of_loss"))
