@@ -14,7 +14,7 @@ from .filters import REASON, first_reason, split
 from .joins import expand_buckets, label_both_extremes
 from .quantiles import asof_medians, interpolated_quantiles
 from .state import bucket_gaps
-from .timeline import Running, asof_join, asof_scan, keep_latest, known_latest, known_prefix, overlap_chunks, row_numbers
+from .timeline import Running, asof_by_size, asof_join, keep_latest, known_latest, known_prefix, overlap_chunks, row_numbers
 
 MIN_TRAINING = 5
 MIN_SIGMA = 0.01
@@ -107,7 +107,7 @@ def nowcast(states: DataFrame, labels: DataFrame, min_training: int = 10) -> tup
     r = F.col("residual")
     out = cut_lineage(rows)
     for level, keys in (("hour", ["city", "temp_type", "local_hour"]), ("day", ["city", "temp_type"])):
-        out = cut_lineage(asof_scan(out, items, keys, F.col("feature_asof_utc"), F.col("label_available_ts"), {
+        out = cut_lineage(asof_by_size(out, items, keys, F.col("feature_asof_utc"), F.col("label_available_ts"), {
             f"__n_{level}": Running("sum", F.lit(1)), f"__s_{level}": Running("sum", r), f"__q_{level}": Running("sum", r * r),
             f"__lo_{level}": Running("min", r), f"__hi_{level}": Running("max", r),
             f"__release_{level}": Running("max", F.col("label_available_ts"))}, segment="day"))
