@@ -148,3 +148,32 @@ def test_spatial_spread_equals_brute_force_without_pairs(spark, monkeypatch):
         values = [v for v in latest if v > -1e9]
         assert (got[i]["station_count"], got[i]["spatial_range"]) == (len(values), max(values) - min(values) if values else None)
         assert got[i]["spatial_mean"] == (pytest.approx(sum(values) / len(values)) if values else None)
+
+
+@pytest.mark.parametrize("few", [3, 1024])
+def test_newest_vintages_of_small_and_large_contracts(spark, monkeypatch, few):
+    import random
+
+    from .test_timeline import exchanges
+
+    monkeypatch.setattr(features, "FEW", few)
+    rng, start, target = random.Random(2), ts("2026-07-01T00:00Z"), ts("2026-07-02T00:00Z")
+    at = lambda: start + dt.timedelta(minutes=rng.randrange(100))
+    rows = [(rng.choice("abc"), "K", target, rng.choice("uv"), rng.choice("xy"), rng.choice([None, start]), str(i), at(), str(i), "p") for i in range(60)]
+    rows += [(*r[:6], r[6] + "b", r[7], "later", "p") for r in rows[:10]]
+    asks = [(i, rng.choice("abcd"), "K", target, at()) for i in range(40)]
+    f = spark.createDataFrame(rows, "city string, contract string, target_time_utc timestamp, source string, feature_name string, issue_time timestamp, revision string, available_at timestamp, value string, provenance string").selectExpr(
+        "*", "cast(null as timestamp) source_event_time", "cast(null as timestamp) valid_time", "cast(null as timestamp) retrieved_at", "cast(null as timestamp) availability_reference_time")
+    d = spark.createDataFrame(asks, "id int, city string, contract string, target_time_utc timestamp, decision_time_utc timestamp")
+    chosen, _, empty = features.reconstruct_vintages(f, d, spark.createDataFrame([("*", "base", 60.0)], "policy string, scenario string, seconds double"))
+    if few > 60:
+        assert exchanges(chosen) <= 6  # four of them for the joins with the policies
+    want, none = {}, set()
+    for i, city, _, _, when in asks:
+        known = [r for r in rows if r[0] == city and r[7] <= when]
+        none |= set() if known else {i}
+        for r in known:
+            key = (i, r[3], r[4])
+            want[key] = max(want.get(key, r), r, key=lambda x: (x[7], x[5] is not None, x[6]))
+    assert {(r["id"], r["source"], r["feature_name"]): r["revision"] for r in chosen.collect()} == {k: r[6] for k, r in want.items()}
+    assert {r["id"] for r in empty.collect()} == none

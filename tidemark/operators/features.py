@@ -81,9 +81,9 @@ def reconstruct_vintages(features: DataFrame, decisions: DataFrame, policies: Da
                          scenario: str = "base") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Newest vintage of every (source, feature) known at each decision.
 
-    Returns vintages, rejected features and decisions without any feature. Each decision is paired
-    with the (source, feature) names of its contract, not with its rows; the rows are then found by
-    an as-of lookup, so no pair of rows of one contract is ever formed.
+    Returns vintages, rejected features and decisions without any feature. A contract's features travel as one array, of which
+    each decision takes the newest of every name. With more features than an array may hold, each decision is paired
+    with the (source, feature) names of its contract, not with its rows, which are then found by an as-of lookup.
     """
     good, bad = split(with_availability(features, policies, scenario))
     needed = ["city", "contract", "target_time_utc", "decision_time_utc"]
@@ -94,19 +94,33 @@ def reconstruct_vintages(features: DataFrame, decisions: DataFrame, policies: Da
         (F.col(name).isNull() | (F.trim(F.col(name).cast("string")) == ""), f"missing {name}") for name in needed
     ]))
     usable, broken = split(asked)
-    names = good.select(*FEATURE_KEY, "source", "feature_name").distinct()
-    wanted = usable.join(names, list(FEATURE_KEY))
     carried = [
         "source_event_time", "issue_time", "valid_time", "revision", "availability_method",
         "availability_reference_time", "assumed_latency_seconds", "retrieved_at", "value",
         "provenance", "latency_scenario", "effective_available_at",
     ]
     # Arrival decides; other clocks and the revision only order rows that arrived together.
-    tie = [F.col(n) for n in ("issue_time", "source_event_time", "revision", "provenance")]
-    chosen = asof_join(
-        wanted, good, [*FEATURE_KEY, "source", "feature_name"], F.col("decision_time_utc"),
-        F.col("effective_available_at"), {n: F.col(n) for n in carried}, tie, how="inner",
-    )
+    ties = ["issue_time", "source_event_time", "revision", "provenance"]
+    order = ["source", "feature_name", "effective_available_at", *ties]
+
+    def newest(asks: DataFrame, rows: DataFrame, few: bool) -> DataFrame:
+        if not few:
+            wanted = asks.join(rows.select(*FEATURE_KEY, "source", "feature_name").distinct(), list(FEATURE_KEY))
+            return asof_join(
+                wanted, rows, [*FEATURE_KEY, "source", "feature_name"], F.col("decision_time_utc"),
+                F.col("effective_available_at"), {n: F.col(n) for n in carried}, [F.col(n) for n in ties], how="inner")
+        held = with_rows(asks, rows, FEATURE_KEY, "__rows", **{n: F.col(n) for n in [*order, *[c for c in carried if c not in order]]})
+        held = held.withColumn("__rows", F.sort_array(F.filter("__rows", lambda r: r["effective_available_at"] <= F.col("decision_time_utc"))))
+
+        def last_of_its_name(row: Column, place: Column) -> Column:
+            after = F.get("__rows", place + 1)
+            return F.coalesce((after["source"] != row["source"]) | (after["feature_name"] != row["feature_name"]), F.lit(True))
+
+        found = held.select(*asks.columns, F.explode(F.filter("__rows", last_of_its_name)).alias("__row"))
+        others = [c for c in asks.columns if c not in FEATURE_KEY]
+        return found.select(*FEATURE_KEY, *others, *[F.col("__row").getField(n).alias(n) for n in ("source", "feature_name", *carried)])
+
+    chosen = by_size(usable, good, FEATURE_KEY, FEW, newest)
     # A decision has a vintage as soon as any feature of its contract has arrived.
     first = good.groupBy(*FEATURE_KEY).agg(F.min("effective_available_at").alias("__first"))
     empty = (
